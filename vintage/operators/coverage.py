@@ -9,27 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import pct_round
-from vintage.operators.distribution import tagged_ids, tagged_values
+from vintage.operators.distribution import per_id, tagged, totals_from_ids
 from vintage.spec import FieldSpec, Period, Source
 
 
 def coverage(sources: Sequence[Source], field: FieldSpec, period: Period | None) -> DataFrame:
     """``(source, total, covered)``.
 
-    ``total``: distinct ids in scope (extra predicates applied, lookup joins
-    not, S9). ``covered``: distinct ids with a present, non-excluded value
-    after the field's preparation. Both come from one aggregation: the two
-    id sets are unioned with a flag, reduced to one row per (source, id)
-    (one exchange on that pair, which spreads a hot source over all tasks),
-    then counted per source with map-side partial aggregation.
+    ``total``: distinct ids in scope (extra predicates applied, enrichment
+    joins not, S9). ``covered``: distinct ids with a present, non-excluded
+    value. One scan per source: the tagged rows are reduced to one row per
+    (source, id) (one exchange on that pair, which spreads a hot source over
+    all tasks, after map-side partial aggregation), then counted per source.
     """
-    everyone = tagged_ids(sources, period, field).withColumn("covered", F.lit(False))
-    valued = (tagged_values(sources, field, period)
-              .select("source", "id", F.lit(True).alias("covered")))
-    per_id = (everyone.unionByName(valued)
-              .groupBy("source", "id").agg(F.max("covered").alias("covered")))
-    return per_id.groupBy("source").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
+    return totals_from_ids(per_id(tagged(sources, field, period)))
 
 
 def coverage_pct(cov: DataFrame) -> DataFrame:

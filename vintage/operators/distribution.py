@@ -2,18 +2,25 @@
 
 Plan shape, whatever the number of sources:
 
-* each source is scoped (country, period, extra predicates, crosswalk) and
-  projected to ``(source, id, value)``; the projections are unioned, so the
-  count is ONE aggregation over all sources rather than one per source;
-* ``count_distinct(id)`` per (source, value) is planned by Spark as a
-  partial dedupe on (source, value, id), an exchange on that triple (well
-  spread even when one value holds a third of the rows), and a partial
-  count on (source, value);
-* totals are a second aggregation to one row per source; they are joined
-  on ``source`` with a broadcast whose size is bounded by the number of
-  sources, a parameter, not the data;
+* each source is scoped (country, period, extra predicates, crosswalk),
+  enriched (lookup joins as left joins, so the source's rows are kept) and
+  projected ONCE to ``(source, id, field_value)``, where ``field_value`` is
+  NULL for rows that do not count (absent or excluded value); the
+  projections are unioned, so every source is scanned once per query;
+* that frame is reduced to one row per (source, id) carrying the id's
+  distinct values (an exchange on (source, id): well spread even when one
+  source or one value holds a third of the rows, with map-side partial
+  aggregation before it);
+* the per-value counts and the per-source totals come from one aggregation
+  (each id emits its values plus one "total" token), so the scan and the
+  (source, id) exchange run once for both;
+* totals are one row per source and joined with a broadcast bounded by the
+  number of sources, a parameter, not the data;
 * the per-value rows are turned wide by conditional aggregation over the
   known source list (one exchange on the value, on aggregated rows).
+
+With ``measure='rows'`` the count is of rows, not distinct ids, and no
+per-id step is needed.
 """
 
 from __future__ import annotations
@@ -34,23 +41,11 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def tagged_ids(sources: Sequence[Source], period: Period | None,
-               field: FieldSpec | None = None) -> DataFrame:
-    """``(source, id)`` rows of every source in scope (the totals' base).
-    A field's extra predicates apply here too (S8); its lookup joins do not
-    (S9)."""
-    frames = []
-    for s in sources:
-        extra = field.extra_pred(s.name) if field is not None else None
-        df = s.scoped(period, extra)
-        frames.append(df.select(F.lit(s.name).alias("source"), F.col(s.id).alias("id")))
-    return union_all(frames)
-
-
-def tagged_values(sources: Sequence[Source], field: FieldSpec, period: Period | None,
-                  keep_ids: bool = True) -> DataFrame:
-    """``(source, id, field_value)`` for rows whose value is present and not
-    excluded. Exclusion patterns are matched on the normalised value."""
+def tagged(sources: Sequence[Source], field: FieldSpec, period: Period | None) -> DataFrame:
+    """``(source, id, field_value)`` for every row in scope; the value is
+    normalised and NULL where it is absent or matches an exclusion. A
+    field's extra predicates narrow the scope (they apply to totals too,
+    S8); its enrichment joins do not (S9)."""
     frames = []
     for s in sources:
         df = field.prepared(s.name, s.scoped(period, field.extra_pred(s.name)))
@@ -58,33 +53,64 @@ def tagged_values(sources: Sequence[Source], field: FieldSpec, period: Period |
         cond = v.isNotNull()
         if field.exclude:
             cond = cond & not_like_any(v, list(field.exclude))
-        cols = [F.lit(s.name).alias("source")]
-        if keep_ids:
-            cols.append(F.col(s.id).alias("id"))
-        cols.append(v.alias("field_value"))
-        frames.append(df.select(*cols).filter(cond))
+        frames.append(df.select(F.lit(s.name).alias("source"), F.col(s.id).alias("id"),
+                                F.when(cond, v).alias("field_value")))
     return union_all(frames)
 
 
+def per_id(t: DataFrame) -> DataFrame:
+    """One row per (source, id) with the id's distinct counted values
+    (``vals``, empty when none). An id has one value per field, or a few
+    when the source repeats it, so the set stays small."""
+    return t.groupBy("source", "id").agg(F.collect_set("field_value").alias("vals"))
+
+
+# Token emitted once per id beside its values, so one aggregation yields the
+# per-value counts and the per-source id total together.
+_TOTAL = "\u0000total"
+
+
+def _token_counts(ids: DataFrame) -> DataFrame:
+    tokens = F.concat("vals", F.array(F.lit(_TOTAL)))
+    return (ids.select("source", F.explode(tokens).alias("token"))
+            .groupBy("source", "token").agg(F.count(F.lit(1)).alias("n")))
+
+
+def counts_and_totals(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(source, field_value, n)`` distinct ids per value, and ``(source,
+    total)`` distinct ids in scope, from one aggregation over ``ids``: both
+    frames read the same (source, id) exchange, which Spark then runs once."""
+    agg = _token_counts(ids)
+    counts = agg.filter(F.col("token") != _TOTAL).select(
+        "source", F.col("token").alias("field_value"), "n")
+    totals = agg.filter(F.col("token") == _TOTAL).select("source", F.col("n").alias("total"))
+    return counts, totals
+
+
+def counts_from_ids(ids: DataFrame) -> DataFrame:
+    """``(source, field_value, n)``: distinct ids per value."""
+    return (ids.select("source", F.explode("vals").alias("field_value"))
+            .groupBy("source", "field_value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def totals_from_ids(ids: DataFrame) -> DataFrame:
+    """``(source, total, covered)``: distinct ids in scope, and those with at
+    least one counted value."""
+    return ids.groupBy("source").agg(F.count(F.lit(1)).alias("total"),
+                                     F.count_if(F.size("vals") > 0).alias("covered"))
+
+
 def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | None,
                  measure: str = "distinct") -> DataFrame:
     """Long ``(source, field_value, n)``; ``measure`` is ``distinct`` (count
     of distinct ids) or ``rows`` (count of rows)."""
-    vals = tagged_values(sources, field, period, keep_ids=(measure == "distinct"))
+    t = tagged(sources, field, period)
     if measure == "distinct":
-        agg = F.count_distinct("id")
-    elif measure == "rows":
-        agg = F.count(F.lit(1))
-    else:
-        raise ValueError(f"measure must be 'distinct' or 'rows', not {measure!r}")
-    return vals.groupBy("source", "field_value").agg(agg.alias("n"))
-
-
-def totals(sources: Sequence[Source], period: Period | None,
-           field: FieldSpec | None = None) -> DataFrame:
-    """``(source, total)``: distinct ids in scope per source."""
-    return (tagged_ids(sources, period, field)
-            .groupBy("source").agg(F.count_distinct("id").alias("total")))
+        return counts_from_ids(per_id(t.filter(F.col("field_value").isNotNull())))
+    if measure == "rows":
+        return (t.filter(F.col("field_value").isNotNull())
+                .groupBy("source", "field_value").agg(F.count(F.lit(1)).alias("n")))
+    raise ValueError(f"measure must be 'distinct' or 'rows', not {measure!r}")
 
 
 def with_share(counts: DataFrame, denominators: DataFrame) -> DataFrame:
@@ -99,31 +125,34 @@ def classified_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("source").agg(F.sum("n").alias("total"))
 
 
+def _wide(long_df: DataFrame, names: Sequence[str]) -> DataFrame:
+    out = wide(long_df, ["field_value"], "source", names, {"n": 0, "frac": 0.0})
+    return out.select("field_value",
+                      *[F.col(f"{n}_{m}").alias(f"{n}_{'count' if m == 'n' else 'frac'}")
+                        for n in names for m in ("n", "frac")])
+
+
 def distribution(sources: Sequence[Source], field: FieldSpec, period: Period | None,
-                 denominator: str = "all", measure: str = "distinct",
-                 long: bool = False) -> DataFrame:
-    """Per value, count and fraction for every source.
+                 denominator: str = "all", long: bool = False) -> DataFrame:
+    """Per value, distinct-id count and fraction for every source.
 
     ``denominator='all'`` divides by every id of the source in scope
     (fractions need not sum to 1); ``'classified'`` by the sum of the
     counted values. Wide output: ``field_value, {src}_count, {src}_frac``.
     """
-    counts = value_counts(sources, field, period, measure)
+    ids = per_id(tagged(sources, field, period))
+    counts, all_ids = counts_and_totals(ids)
     if denominator == "all":
-        den = totals(sources, period, field)
+        den = all_ids
     elif denominator == "classified":
         den = classified_totals(counts)
     else:
         raise ValueError(f"denominator must be 'all' or 'classified', not {denominator!r}")
-    long_df = with_share(counts, den).select("source", "field_value", "n", "frac")
+    long_df = with_share(counts, den).select(
+        "source", "field_value", "n", "frac")
     if long:
         return long_df
-    names = [s.name for s in sources]
-    return wide(long_df, ["field_value"], "source", names,
-                {"n": 0, "frac": 0.0}, name="{label}_{measure}").select(
-        "field_value",
-        *[F.col(f"{n}_{m}").alias(f"{n}_{'count' if m == 'n' else 'frac'}")
-          for n in names for m in ("n", "frac")])
+    return _wide(long_df, [s.name for s in sources])
 
 
 def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: Period | None,
@@ -131,25 +160,15 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
     """The ``k`` most frequent values of the ``anchor`` source, with
     every source's count and fraction for those values.
 
-    The top-k is a ``TakeOrderedAndProject`` (ties broken by value, S18);
-    its k rows are broadcast (bounded by ``k``) and used to semi-join the
-    other sources *before* their distinct counts, so only rows of the k
-    values are shuffled.
+    The top-k is a ``TakeOrderedAndProject`` over the anchor's aggregated
+    counts (ties broken by value, S18); its k rows are broadcast (bounded
+    by ``k``) to restrict the other sources' aggregated counts.
     """
-    anchor_src = [s for s in sources if s.name == anchor]
-    others = [s for s in sources if s.name != anchor]
-    a_counts = value_counts(anchor_src, field, period)
-    top = (a_counts.orderBy(F.col("n").desc(), F.col("field_value").asc()).limit(k)
-           .select("field_value", F.col("n").alias("anchor_n")))
-    vals = tagged_values(others, field, period).join(F.broadcast(top.select("field_value")),
-                                                     "field_value", "left_semi")
-    o_counts = vals.groupBy("source", "field_value").agg(F.count_distinct("id").alias("n"))
-    counts = o_counts.unionByName(
-        top.select(F.lit(anchor).alias("source"), "field_value", F.col("anchor_n").alias("n")))
-    long_df = with_share(counts, totals(sources, period, field)).select(
-        "source", "field_value", "n", "frac")
-    names = [s.name for s in sources]
-    out = wide(long_df, ["field_value"], "source", names, {"n": 0, "frac": 0.0})
-    return out.select("field_value",
-                      *[F.col(f"{n}_{m}").alias(f"{n}_{'count' if m == 'n' else 'frac'}")
-                        for n in names for m in ("n", "frac")])
+    ids = per_id(tagged(sources, field, period))
+    counts, all_ids = counts_and_totals(ids)
+    top = (counts.filter(F.col("source") == anchor)
+           .orderBy(F.col("n").desc(), F.col("field_value").asc()).limit(k)
+           .select("field_value"))
+    kept = counts.join(F.broadcast(top), "field_value", "left_semi")
+    long_df = with_share(kept, all_ids).select("source", "field_value", "n", "frac")
+    return _wide(long_df, [s.name for s in sources])

@@ -87,8 +87,11 @@ class PostingsJob:
 
     # -------------------------------------------------------------- fields
     def _soc2_prep(self, df: DataFrame) -> DataFrame:
+        """Enrichment: the occupation group of the posting's code (left
+        join; an unknown code leaves the group NULL, so the posting is in
+        the totals but not counted)."""
         lu = self.lookup.select("onet_code", F.col("soc2_name").alias("lu_soc2"))
-        return df.join(lu, "onet_code")
+        return df.join(lu, "onet_code", "left")
 
     def field(self, name: str) -> FieldSpec:
         all3 = ("v1", "v2", "ext")
@@ -112,7 +115,7 @@ class PostingsJob:
             return FieldSpec(name, {s: "state" for s in all3})
         if name == "overlap_industry":
             h = lambda df: df.join(self.fx.naics_hierarchy().withColumnRenamed(
-                "naics2_name", "h_naics2"), "naics6")
+                "naics2_name", "h_naics2"), "naics6", "left")
             return FieldSpec(name, {"overlap_v1": "h_naics2", "full_v1": "h_naics2",
                                     "overlap_ext": "naics2_name", "full_ext": "naics2_name"},
                              prep={"overlap_v1": h, "full_v1": h}, exclude=UNCLASSIFIED)

@@ -15,15 +15,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintage.sources.staging import staged
 from vintage.sources.tables import Tables
 
+# Relations the queries read, with the columns their stored files are
+# sorted by (within each file, so min/max statistics skip row groups).
+STAGED = {
+    "profiles_base": ("country",), "profiles_new": ("country",),
+    "postings_v1": ("post_date",), "postings_v2": ("post_date",), "postings_ext": ("posted",),
+    "salary": ("desc_id",), "xwalk": ("rl_id",), "onet_lookup": (), "naics_hierarchy": (),
+    "bench_occ": (), "bench_wide": (), "bench_map": (), "series_json": (), "bench_counts": (),
+    "bench_share": (), "openings_industry": (), "imputed": (), "employers": (),
+}
+
 
 def _null_when(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
-class Fixtures:
-    """Derived relations over one dataset directory; every attribute is lazy."""
+class Recipes:
+    """Derived relations over one dataset directory, as lazy plans."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -273,3 +284,23 @@ class Fixtures:
         k = F.col("s_suppkey")
         return self.t.supplier.select(
             k.alias("employer_key"), _null_when(k % 6 == 0, F.col("s_nationkey")).alias("naics6"))
+
+
+class Fixtures:
+    """The relations the queries read. With ``staged=True`` (default) each is
+    written once under the shared checkpoint folder and read back as a
+    stored table; with ``staged=False`` it is the lazy recipe itself."""
+
+    def __init__(self, spark: SparkSession, root: str, staged: bool = True):
+        self.spark = spark
+        self.root = root
+        self.recipes = Recipes(spark, root)
+        self.is_staged = staged
+
+    def __getattr__(self, name: str):
+        if name.startswith("_") or name not in STAGED:
+            raise AttributeError(name)
+        build = getattr(self.recipes, name)
+        if not self.is_staged:
+            return build
+        return lambda: staged(self.spark, self.root, name, build, STAGED[name])
