@@ -31,15 +31,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(keys..., _v, _c)``: rows per distinct value (NULL included) of each
+    group; map-side partial aggregation runs before the shuffle."""
+    return (df.select(*keys, F.col(value).cast("double").alias("_v"))
+            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median",
                  partitions: int | None = None) -> DataFrame:
     """``(keys..., alias)``: exact median of non-NULL ``value`` per group."""
+    return median_from_histogram(histogram(df, keys, value), keys, alias, partitions)
+
+
+def median_from_histogram(hist: DataFrame, keys: Sequence[str], alias: str = "median",
+                          partitions: int | None = None) -> DataFrame:
+    """The median of each group of a ``histogram`` (NULL values ignored)."""
     keys = list(keys)
-    spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value).cast("double")
-    hist = (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    n_parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hist = hist.filter(F.col("_v").isNotNull())
     ranged = (hist.repartitionByRange(n_parts, *keys, "_v")
               .withColumn("_pid", F.spark_partition_id()))
     w_in = (Window.partitionBy("_pid", *keys).orderBy("_v")

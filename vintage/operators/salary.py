@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
 from vintage.operators.distribution import union_all
-from vintage.operators.median import exact_median
+from vintage.operators.median import histogram, median_from_histogram
 
 
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
@@ -40,14 +40,8 @@ def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame) -> DataFr
     """``(source, min, max, avg, median, n_postings_with_salary,
     n_values)``; the row count includes piece-rate rows whose yearly value
     is NULL, the other measures skip them (S16)."""
-    s = salaried(postings, salary)
-    basic = s.groupBy("source").agg(
-        F.min("yearly").alias("min_salary"), F.max("yearly").alias("max_salary"),
-        F.round(F.avg("yearly"), 2).alias("avg_salary"),
-        F.count(F.lit(1)).alias("n_postings_with_salary"),
-        F.count("yearly").alias("n_values"))
-    med = exact_median(s, ["source"], "yearly", "median_salary")
-    return basic.join(med, "source", "left").select(
+    hist = histogram(salaried(postings, salary), ["source"], "yearly")
+    return _summary(hist, ["source"]).select(
         "source", "min_salary", "max_salary", "avg_salary",
         F.round("median_salary", 2).alias("median_salary"),
         "n_postings_with_salary", "n_values")
@@ -72,10 +66,23 @@ def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame,
     s = salaried(postings, salary, keep=[group]).filter(F.col(group).isNotNull())
     if cap is not None:
         s = s.filter(F.col("yearly") <= cap)
-    counts = s.groupBy("source", group).agg(F.count(F.lit(1)).alias("n_postings"))
-    med = exact_median(s, ["source", group], "yearly", "median_salary")
-    return counts.join(med, ["source", group], "left").select(
-        "source", group, F.round("median_salary", 2).alias("median_salary"), "n_postings")
+    hist = histogram(s, ["source", group], "yearly")
+    return _summary(hist, ["source", group]).select(
+        "source", group, F.round("median_salary", 2).alias("median_salary"),
+        F.col("n_postings_with_salary").alias("n_postings"))
+
+
+def _summary(hist: DataFrame, keys: list[str]) -> DataFrame:
+    """min / max / mean / median / row counts per group, all from one value
+    histogram, so the postings-salary join behind it runs once (both
+    branches read the histogram's exchange)."""
+    v, c = F.col("_v"), F.col("_c")
+    basic = hist.groupBy(*keys).agg(
+        F.min(v).alias("min_salary"), F.max(v).alias("max_salary"),
+        F.round(F.sum(v * c) / F.sum(F.when(v.isNotNull(), c)), 2).alias("avg_salary"),
+        F.sum(c).alias("n_postings_with_salary"),
+        F.coalesce(F.sum(F.when(v.isNotNull(), c)), F.lit(0)).alias("n_values"))
+    return basic.join(median_from_histogram(hist, keys, "median_salary"), keys, "left")
 
 
 def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, country_col: str,
