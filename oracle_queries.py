@@ -151,6 +151,9 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN 'Total US' ELSE 'Other' END AS state_t
 FROM orders""",
     "fx_imputed": """
 SELECT job_id, custkey % 50 AS imputed_key FROM fx_orders_geo WHERE job_id % 4 = 0""",
+    "fx_classifier": """
+SELECT o_orderkey AS desc_id, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS top1_code
+FROM orders""",
     "fx_employers": """
 SELECT s_suppkey AS employer_key, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_nationkey END AS naics6 FROM supplier""",
 }
@@ -400,6 +403,24 @@ _F_STATE = {"v1": "v1.state", "v2": "v2.state", "ext": "ext.state"}
 POSTINGS = ["fx_postings_v1", "fx_postings_v2", "fx_postings_ext"]
 
 
+_FIELDS = {
+    "industry": dict(exprs=_F_INDUSTRY, exclude=True),
+    "employer": dict(exprs=_F_EMPLOYER, exclude=True, extra=_X_EMPLOYER),
+    "degree": dict(exprs=_F_DEGREE),
+    "soc2": dict(exprs=_F_SOC2, froms=_FROM_SOC2, exclude=True),
+    "city": dict(exprs=_F_CITY),
+    "state": dict(exprs=_F_STATE),
+}
+
+
+def _dist_matrix() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{f}' AS field, * FROM ({_dist3(**kw)})" for f, kw in _FIELDS.items())
+
+
+def _kpi_matrix() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{f}' AS field, * FROM ({_kpi3(**kw)})" for f, kw in _FIELDS.items())
+
+
 def _totals_yearly() -> str:
     parts = []
     for s, (tbl, a, idc, dt, cty) in SRC.items():
@@ -689,7 +710,11 @@ def _truncated() -> str:
     parts = {
         "v1": (f"SELECT left(v1.onet_code, 1) AS label, count(*) AS n FROM fx_postings_v1 v1 "
                f"WHERE v1.onet_code IS NOT NULL AND v1.country = {US} AND year(v1.post_date) = {YC} GROUP BY 1"),
-        "ext": (f"SELECT left(ext.onet_code, 1) AS label, count(*) AS n FROM fx_postings_ext ext "
+        "v2": (f"SELECT left(occ.top1_code, 1) AS label, count(*) AS n FROM fx_classifier occ "
+               f"JOIN fx_postings_v2 p ON p.desc_id = occ.desc_id "
+               f"WHERE occ.top1_code IS NOT NULL AND year(p.post_date) = {YC} GROUP BY 1"),
+        "ext": (f"SELECT left(lu.onet_code, 1) AS label, count(*) AS n FROM fx_postings_ext ext "
+                f"JOIN fx_onet_lookup lu ON upper(trim(ext.onet_code)) = upper(trim(lu.onet_name)) "
                 f"WHERE ext.onet_code IS NOT NULL AND year(ext.posted) = {YC} GROUP BY 1"),
     }
     return _share_cmp("code", parts, None, "")
@@ -823,6 +848,8 @@ def oracle_sql() -> dict[str, str]:
         "totals_yearly": _with(POSTINGS, _totals_yearly()),
         "totals_monthly_spine": _with(POSTINGS, _monthly(SRC)),
         "coverage_three_sources": _with(POSTINGS, _kpi3(_F_INDUSTRY, exclude=True)),
+        "postings_field_matrix": _with(POSTINGS + ["fx_onet_lookup"], _dist_matrix()),
+        "postings_kpi_matrix": _with(POSTINGS + ["fx_onet_lookup"], _kpi_matrix()),
         "coverage_extra_filter": _with(POSTINGS, _kpi3(_F_EMPLOYER, exclude=True, extra=_X_EMPLOYER)),
         "distribution_three_sources": _with(POSTINGS, _dist3(_F_INDUSTRY, exclude=True)),
         "distribution_recode": _with(POSTINGS, _dist3(_F_DEGREE)),
@@ -852,7 +879,7 @@ def oracle_sql() -> dict[str, str]:
                                         _sector_share()),
         "sector_rollup_map": _with(POSTINGS, _rollup()),
         "group_share_vs_employment": _with(POSTINGS + ["fx_onet_lookup", "fx_bench_occ"], _group_share()),
-        "truncated_code_share": _with(POSTINGS, _truncated()),
+        "truncated_code_share": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup"], _truncated()),
         "loglog_r2": _with(POSTINGS + ["fx_bench_occ"], _loglog()),
         "top_pp_diff": _with(POSTINGS + ["fx_naics_hierarchy", "fx_openings_industry"], _top_pp()),
         "agreement_stats": _with(POSTINGS[:2] + ["fx_salary", "fx_onet_lookup"], _agreement_stats()),

@@ -198,3 +198,33 @@ def test_self_comparison_is_full_agreement(spark):
     r = code_agreement(code_pairs(p, p, "id", "code")).collect()[0]
     # id 2 appears twice on each side: 4 joined pairs, as the inner join counts
     assert (r.same_code, r.different_code, r.total_matched) == (5, 0, 5)
+
+
+# ----------------------------------------------------------------- loaders
+def test_landed_series_json_and_wide_csv(spark, tmp_path):
+    import json
+    from vintage.operators import benchmark as bm
+    payload = {"Results": {"series": [
+        {"seriesID": "JTS000000060000000JOL", "data": [
+            {"year": "2024", "period": "M01", "value": "1.5"},
+            {"year": "2024", "period": "M02", "value": "2.5"},
+            {"year": "2024", "period": "M13", "value": "9.0"},
+            {"year": "2023", "period": "M01", "value": "7.0"}]},
+        {"seriesID": "JTS000000990000000JOL", "data": [
+            {"year": "2024", "period": "M01", "value": "1"}]}]}}
+    p = tmp_path / "resp.json"
+    p.write_text(json.dumps(payload, indent=2))
+    s = bm.read_series_files(spark, str(p))
+    out = bm.series_annual_mean(s, "2024").collect()
+    assert [(r.state, r.bench_count) for r in out] == [("CALIFORNIA", 2000)]
+
+    c = tmp_path / "wide.csv"
+    c.write_text("Year,Jan,Feb\n2024,1.5,x\nnote,,\n2023.0,,2\n")
+    rows = bm.wide_monthly_to_long(bm.read_wide_csv(spark, str(c))).collect()
+    assert sorted((r.month.isoformat(), r.posting_count) for r in rows) == [
+        ("2023-02-01", 2000), ("2024-01-01", 1500)]
+
+
+def test_display_order_nulls_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 2), ("c", 5)], "k string, n int")
+    assert [r.k for r in vw.display_order(df, "n", descending=["n"]).collect()] == ["c", "b", "a"]

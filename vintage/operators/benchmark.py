@@ -96,6 +96,12 @@ def read_series_files(spark: SparkSession, path: str) -> DataFrame:
                     to_number(F.col("d.value")).alias("value"))
 
 
+def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A6 input: a wide table exported as CSV (header row; every cell read
+    as text, numbers coerced later with ``try_cast``)."""
+    return spark.read.option("header", True).option("inferSchema", False).csv(path)
+
+
 def series_from_payload(df: DataFrame, key: str = "$.k") -> DataFrame:
     """Series rows whose value sits in a JSON text column ``payload``."""
     return df.select("series_id", "year", "period",
@@ -126,7 +132,7 @@ def wide_monthly_to_long(df: DataFrame, scale: int = 1000) -> DataFrame:
     yr = to_number(year_col).cast("int")
     mnum = F.array_position(F.array(*[F.lit(m) for m in MONTH_ABBR]), F.col("month_name"))
     month = F.try_to_date(F.format_string("%04d-%02d-01", yr, mnum.cast("int")), "yyyy-MM-dd")
-    return (long_df.select(month.alias("month"), F.col("value"))
+    return (long_df.select(month.alias("month"), to_number(F.col("value").cast("string")).alias("value"))
             .filter(F.col("month").isNotNull() & F.col("value").isNotNull())
             .select("month", (F.col("value") * scale).cast("bigint").alias("posting_count")))
 

@@ -172,3 +172,73 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
     kept = counts.join(F.broadcast(top), "field_value", "left_semi")
     long_df = with_share(kept, all_ids).select("source", "field_value", "n", "frac")
     return _wide(long_df, [s.name for s in sources])
+
+
+# ------------------------------------------------------------ many fields
+def tagged_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
+                  period: Period | None) -> DataFrame:
+    """R5 for the postings job: ``(source, field, id, field_value)`` for
+    every field of every source from ONE scan per source.
+
+    Each source is scoped once; every enrichment join any field needs is
+    applied once (left joins, so rows are kept); each row then yields one
+    (field, in-scope, value) struct per field, where in-scope carries the
+    field's extra predicates (a NULL predicate counts as false, like a
+    WHERE clause)."""
+    frames = []
+    for s in sources:
+        df = s.scoped(period)
+        applied = []
+        for f in fields:
+            fn = f.prep.get(s.name)
+            if fn is not None and fn not in applied:
+                df = fn(df)
+                applied.append(fn)
+        items = []
+        for f in fields:
+            v = f.value(s.name, df)
+            cond = v.isNotNull()
+            if f.exclude:
+                cond = cond & not_like_any(v, list(f.exclude))
+            scope = f.extra_pred(s.name)
+            scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
+            items.append(F.struct(F.lit(f.name).alias("field"), scope.alias("in_scope"),
+                                  F.when(cond, v).alias("field_value")))
+        frames.append(df.select(F.lit(s.name).alias("source"), F.col(s.id).alias("id"),
+                                F.inline(F.array(*items))))
+    return union_all(frames).filter("in_scope").drop("in_scope")
+
+
+def _matrix_ids(sources, fields, period) -> DataFrame:
+    t = tagged_matrix(sources, fields, period)
+    return t.groupBy("source", "field", "id").agg(F.collect_set("field_value").alias("vals"))
+
+
+def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
+                        period: Period | None) -> DataFrame:
+    """P11 for many fields in one job: ``(field, field_value, {src}_count,
+    {src}_frac ...)``. One scan per source, one exchange on (source, field,
+    id), totals per (source, field) broadcast (bounded by sources x fields,
+    both parameters)."""
+    ids = _matrix_ids(sources, fields, period)
+    tokens = F.concat("vals", F.array(F.lit(_TOTAL)))
+    agg = (ids.select("source", "field", F.explode(tokens).alias("token"))
+           .groupBy("source", "field", "token").agg(F.count(F.lit(1)).alias("n")))
+    counts = agg.filter(F.col("token") != _TOTAL).select(
+        "source", "field", F.col("token").alias("field_value"), "n")
+    totals = agg.filter(F.col("token") == _TOTAL).select("source", "field", F.col("n").alias("total"))
+    long_df = (counts.join(F.broadcast(totals), ["source", "field"], "left")
+               .withColumn("frac", frac_or_zero("n", "total")))
+    names = [s.name for s in sources]
+    out = wide(long_df, ["field", "field_value"], "source", names, {"n": 0, "frac": 0.0})
+    return out.select("field", "field_value",
+                      *[F.col(f"{n}_{m}").alias(f"{n}_{'count' if m == 'n' else 'frac'}")
+                        for n in names for m in ("n", "frac")])
+
+
+def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
+                    period: Period | None) -> DataFrame:
+    """P10 for many fields in one job: ``(source, field, total, covered)``."""
+    ids = _matrix_ids(sources, fields, period)
+    return ids.groupBy("source", "field").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.size("vals") > 0).alias("covered"))

@@ -17,6 +17,17 @@ from pyspark.sql import functions as F
 from vintage.functions.expr import NULL_LABEL, null_label, safe_div
 
 
+def display_order(df: DataFrame, *keys: str | Column, descending: Sequence[str] = ()) -> DataFrame:
+    """Order a (small) result for display, NULLs last in
+    every key; stored tables stay unordered (S33)."""
+    order = []
+    for k in keys:
+        c = F.col(k) if isinstance(k, str) else k
+        order.append(c.desc_nulls_last() if isinstance(k, str) and k in descending
+                     else c.asc_nulls_last())
+    return df.orderBy(*order)
+
+
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """T5: the first ``k`` rows of each group under ``order`` (which should
     end with a unique tie-breaker, S18)."""

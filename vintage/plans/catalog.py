@@ -65,6 +65,8 @@ QUERIES: dict[str, Query] = {
     "distribution_lookup_join": _po(lambda j: j.distribution("soc2")),
     "distribution_city_trim": _po(lambda j: j.distribution("city")),
     "distribution_top_anchor": _po(lambda j: j.distribution_top_anchor("employer")),
+    "postings_field_matrix": _po(lambda j: j.distribution_matrix()),
+    "postings_kpi_matrix": _po(lambda j: j.coverage_matrix()),
     "overlap_coverage": _po(lambda j: j.overlap_coverage()),
     "overlap_distribution": _po(lambda j: j.overlap_distribution()),
     "field_coverage_by_source": _po(lambda j: j.field_coverage_by_source()),

@@ -13,7 +13,9 @@ from vintage.functions.expr import drop_suffix, left, map_lookup, norm, null_if_
 from vintage.operators import benchmark as bm
 from vintage.operators.changes import code_agreement, code_changes, code_pairs, with_code_names
 from vintage.operators.coverage import coverage, coverage_pct, field_coverage_by_source
-from vintage.operators.distribution import distribution, distribution_anchored
+from vintage.operators.distribution import (coverage_matrix, distribution, distribution_anchored,
+                                            distribution_matrix)
+from vintage.operators.joins import norm_join
 from vintage.operators.salary import (salary_buckets, salary_coverage, salary_median_by_group,
                                       salary_outliers, salary_stats)
 from vintage.operators.trends import monthly_totals_spine, monthly_with_benchmark, yearly_totals
@@ -148,6 +150,17 @@ class PostingsJob:
         return distribution_anchored(self.three, self.field(field), Period.year(COMPARE_YEAR),
                                      anchor="ext", k=k)
 
+    MATRIX_FIELDS = ("industry", "employer", "degree", "soc2", "city", "state")
+
+    def distribution_matrix(self) -> DataFrame:
+        """Every field's distribution in one job (one scan per source)."""
+        return distribution_matrix(self.three, [self.field(f) for f in self.MATRIX_FIELDS],
+                                   Period.year(COMPARE_YEAR))
+
+    def coverage_matrix(self) -> DataFrame:
+        return coverage_matrix(self.three, [self.field(f) for f in self.MATRIX_FIELDS],
+                               Period.since(MIN_YEAR))
+
     def overlap_coverage(self) -> DataFrame:
         return coverage(self.four, self.field("overlap_industry"), Period.since(MIN_YEAR))
 
@@ -255,11 +268,21 @@ class PostingsJob:
                                    bench_name="employment")
 
     def truncated_code_share(self) -> DataFrame:
-        srcs = [self.v1, self.ext]
+        """Rows per truncated occupation code. v1 carries the code; v2
+        takes it from the classifier's output joined on the description id
+        (D19); the vendor names its occupation, matched to the lookup's name
+        by normalised text (D17)."""
+        v2_all = Source("v2", self.fx.postings_v2, "job_id", "post_date")
+        cls = self.fx.classifier()
+        lu = self.lookup.select(F.col("onet_code").alias("lu_code"), "onet_name")
         f = FieldSpec("code1", {"v1": lambda df: left("onet_code", 1),
-                                "ext": lambda df: left("onet_code", 1)}, normalize=True)
-        return bm.share_comparison(srcs, f, Period.year(COMPARE_YEAR), None, label="code",
-                                   measure="rows")
+                                "v2": lambda df: left("top1_code", 1),
+                                "ext": lambda df: left("lu_code", 1)},
+                      prep={"v2": lambda df: df.join(cls, "desc_id", "left"),
+                            "ext": lambda df: norm_join(df, lu, "onet_code", "onet_name", "left")},
+                      normalize=False)
+        return bm.share_comparison([self.v1, v2_all, self.ext], f, Period.year(COMPARE_YEAR), None,
+                                   label="code", measure="rows")
 
     def imputed_key_join(self) -> DataFrame:
         return bm.imputed_industry(self.fx.postings_v2(), self.fx.imputed(), self.fx.employers(),

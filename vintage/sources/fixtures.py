@@ -26,6 +26,7 @@ STAGED = {
     "salary": ("desc_id",), "xwalk": ("rl_id",), "onet_lookup": (), "naics_hierarchy": (),
     "bench_occ": (), "bench_wide": (), "bench_map": (), "series_json": (), "bench_counts": (),
     "bench_share": (), "openings_industry": (), "imputed": (), "employers": (),
+    "classifier": ("desc_id",),
 }
 
 
@@ -280,6 +281,12 @@ class Recipes:
         return self.orders_geo().filter(F.col("job_id") % 4 == 0).select(
             "job_id", (F.col("custkey") % 50).alias("imputed_key"))
 
+    def classifier(self) -> DataFrame:
+        """An occupation classifier's output: top code per description."""
+        o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+        return o.select(F.col("o_orderkey").alias("desc_id"),
+                        _null_when(F.col("o_custkey") % 7 == 0, F.col("o_orderpriority")).alias("top1_code"))
+
     def employers(self) -> DataFrame:
         k = F.col("s_suppkey")
         return self.t.supplier.select(
