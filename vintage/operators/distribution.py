@@ -67,7 +67,8 @@ def per_id(t: DataFrame) -> DataFrame:
 
 # Token emitted once per id beside its values, so one aggregation yields the
 # per-value counts and the per-source id total together.
-_TOTAL = "\u0000total"
+TOTAL_TOKEN = "\u0000total"
+_TOTAL = TOTAL_TOKEN
 
 
 def _token_counts(ids: DataFrame) -> DataFrame:

@@ -55,8 +55,13 @@ class PostingsJob:
         return self.fx.onet_lookup()
 
     def _xwalk_semi(self, xcol: str, id_col: str):
+        """Keep the rows whose id is in the crosswalk. The crosswalk's
+        keys are de-duplicated first (partial aggregation before the
+        shuffle), so an id paired many times is one row on the build side
+        and the semi join cannot fan out."""
         def f(df: DataFrame) -> DataFrame:
-            return df.join(self.fx.xwalk().select(F.col(xcol).alias(id_col)), id_col, "left_semi")
+            keys = self.fx.xwalk().select(F.col(xcol).alias(id_col)).distinct()
+            return df.join(keys, id_col, "left_semi")
         return f
 
     @property
