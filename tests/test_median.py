@@ -38,3 +38,17 @@ def test_matches_numpy(spark, data):
     got = {r.g: r.median for r in exact_median(df, ["g"], "v", partitions=4).collect()}
     want = _np_medians(rows)
     assert got == pytest.approx(want)
+
+
+def test_ranks_agree_without_exchange_reuse(spark):
+    """The two readers of the range-partitioned histogram must agree on
+    every row's partition even when Spark recomputes the exchange."""
+    rng = np.random.default_rng(3)
+    rows = [("hot", float(x)) for x in rng.normal(size=5000)] + [("b", 1.0), ("b", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.g: r.median for r in exact_median(df, ["g"], "v", partitions=12).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert got == pytest.approx(_np_medians(rows), abs=1e-12)

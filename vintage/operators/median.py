@@ -17,10 +17,13 @@ ranks:
 5. keep the (at most two) rows covering ranks ``(n+1) div 2`` and
    ``n div 2 + 1`` and interpolate.
 
-The partition count is explicit so adaptive execution never coalesces the
-range exchange differently for the two readers of step 3; the range bounds
-are sampled once by the driver and reused on task retries, so a lost
-executor recomputes the same ranks.
+Steps 3 and 4 read the range-partitioned histogram twice and must see the
+same partition of every row. The histogram is therefore checkpointed first
+(reliably, to ``spark.checkpoint.dir``): the range sampling then runs over
+fixed input, so any recomputation of the range exchange - no exchange
+reuse, a lost executor, a retried stage - yields the same bounds and the
+same partition ids. The partition count is explicit so adaptive execution
+never coalesces the range exchange differently for the two readers.
 """
 
 from __future__ import annotations
@@ -30,6 +33,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintage.session import checkpoint_dir
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and cut its
+    lineage, so every later reader (and every retry) sees the same rows in
+    the same partitions."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """``(keys..., _v, _c)``: rows per distinct value (NULL included) of each
@@ -41,12 +54,14 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median",
                  partitions: int | None = None) -> DataFrame:
     """``(keys..., alias)``: exact median of non-NULL ``value`` per group."""
-    return median_from_histogram(histogram(df, keys, value), keys, alias, partitions)
+    return median_from_histogram(stable(histogram(df, keys, value)), keys, alias, partitions)
 
 
 def median_from_histogram(hist: DataFrame, keys: Sequence[str], alias: str = "median",
                           partitions: int | None = None) -> DataFrame:
-    """The median of each group of a ``histogram`` (NULL values ignored)."""
+    """The median of each group of a ``histogram`` (NULL values ignored).
+    ``hist`` must be deterministic on recomputation: pass it through
+    ``stable`` (as ``exact_median`` does)."""
     keys = list(keys)
     n_parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hist = hist.filter(F.col("_v").isNotNull())

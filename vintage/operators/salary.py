@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
 from vintage.operators.distribution import union_all
-from vintage.operators.median import histogram, median_from_histogram
+from vintage.operators.median import histogram, median_from_histogram, stable
 
 
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
@@ -74,8 +74,9 @@ def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame,
 
 def _summary(hist: DataFrame, keys: list[str]) -> DataFrame:
     """min / max / mean / median / row counts per group, all from one value
-    histogram, so the postings-salary join behind it runs once (both
-    branches read the histogram's exchange)."""
+    histogram, checkpointed once, so the postings-salary join behind it
+    runs once and the median's ranks are stable."""
+    hist = stable(hist)
     v, c = F.col("_v"), F.col("_c")
     basic = hist.groupBy(*keys).agg(
         F.min(v).alias("min_salary"), F.max(v).alias("max_salary"),
