@@ -18,12 +18,13 @@ ranks:
    ``n div 2 + 1`` and interpolate.
 
 Steps 3 and 4 read the range-partitioned histogram twice and must see the
-same partition of every row. The histogram is therefore checkpointed first
-(reliably, to ``spark.checkpoint.dir``): the range sampling then runs over
-fixed input, so any recomputation of the range exchange - no exchange
-reuse, a lost executor, a retried stage - yields the same bounds and the
-same partition ids. The partition count is explicit so adaptive execution
-never coalesces the range exchange differently for the two readers.
+same partition id on every row. Spark seeds the range sampling with the
+RDD id, so two executions of the range exchange (no exchange reuse, a
+recomputed stage) would pick different bounds. The histogram is therefore
+range-partitioned, tagged with its partition id and checkpointed reliably
+to ``spark.checkpoint.dir`` once; every reader and every retry then reads
+the same materialised ids. The partition count is explicit so adaptive
+execution does not coalesce the range exchange.
 """
 
 from __future__ import annotations
@@ -51,22 +52,25 @@ def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
 
 
+def ranked(hist: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """The histogram range-partitioned on (keys, value) into a fixed number
+    of partitions, each row tagged with its partition id ``_pid``, and
+    materialised (NULL values kept; they sort first and are not ranked)."""
+    n_parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stable(hist.repartitionByRange(n_parts, *keys, "_v")
+                  .withColumn("_pid", F.spark_partition_id()))
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str = "median",
                  partitions: int | None = None) -> DataFrame:
     """``(keys..., alias)``: exact median of non-NULL ``value`` per group."""
-    return median_from_histogram(stable(histogram(df, keys, value)), keys, alias, partitions)
+    return median_from_ranked(ranked(histogram(df, keys, value), keys, partitions), keys, alias)
 
 
-def median_from_histogram(hist: DataFrame, keys: Sequence[str], alias: str = "median",
-                          partitions: int | None = None) -> DataFrame:
-    """The median of each group of a ``histogram`` (NULL values ignored).
-    ``hist`` must be deterministic on recomputation: pass it through
-    ``stable`` (as ``exact_median`` does)."""
+def median_from_ranked(ranked_hist: DataFrame, keys: Sequence[str], alias: str = "median") -> DataFrame:
+    """The median of each group of a ``ranked`` histogram."""
     keys = list(keys)
-    n_parts = partitions or int(hist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hist = hist.filter(F.col("_v").isNotNull())
-    ranged = (hist.repartitionByRange(n_parts, *keys, "_v")
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = ranked_hist.filter(F.col("_v").isNotNull())
     w_in = (Window.partitionBy("_pid", *keys).orderBy("_v")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     with_cum = ranged.withColumn("_cum", F.sum("_c").over(w_in))

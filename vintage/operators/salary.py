@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
 from vintage.operators.distribution import union_all
-from vintage.operators.median import histogram, median_from_histogram, stable
+from vintage.operators.median import histogram, median_from_ranked, ranked
 
 
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
@@ -76,14 +76,14 @@ def _summary(hist: DataFrame, keys: list[str]) -> DataFrame:
     """min / max / mean / median / row counts per group, all from one value
     histogram, checkpointed once, so the postings-salary join behind it
     runs once and the median's ranks are stable."""
-    hist = stable(hist)
+    hist = ranked(hist, keys)
     v, c = F.col("_v"), F.col("_c")
     basic = hist.groupBy(*keys).agg(
         F.min(v).alias("min_salary"), F.max(v).alias("max_salary"),
         F.round(F.sum(v * c) / F.sum(F.when(v.isNotNull(), c)), 2).alias("avg_salary"),
         F.sum(c).alias("n_postings_with_salary"),
         F.coalesce(F.sum(F.when(v.isNotNull(), c)), F.lit(0)).alias("n_values"))
-    return basic.join(median_from_histogram(hist, keys, "median_salary"), keys, "left")
+    return basic.join(median_from_ranked(hist, keys, "median_salary"), keys, "left")
 
 
 def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, country_col: str,
