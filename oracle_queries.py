@@ -78,7 +78,7 @@ SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN job_id % 13 = 0 THEN NULL ELSE prio END AS onet_code,
        CASE WHEN job_id % 19 = 0 THEN NULL ELSE nation_name END AS state,
        segment AS city
-FROM fx_orders_geo WHERE job_id % 10 <> 0""",
+FROM fx_orders_geo WHERE post_date < TIMESTAMP '2001-07-01'""",
     "fx_postings_v2": """
 SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN custkey % 11 = 0 THEN NULL ELSE segment END AS naics2_name,
@@ -88,7 +88,7 @@ SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN job_id % 11 = 0 THEN NULL WHEN job_id % 5 = 0 THEN '1-URGENT' ELSE prio END AS onet_code,
        CASE WHEN job_id % 23 = 0 THEN NULL ELSE nation_name END AS state,
        segment AS city
-FROM fx_orders_geo WHERE job_id % 7 <> 0""",
+FROM fx_orders_geo WHERE NOT (status = 'P' AND prio = '5-LOW')""",
     "fx_postings_ext": """
 SELECT g.job_id AS id, l.l_shipdate AS posted, g.cust_name AS company_name,
        CASE WHEN l.l_partkey % 10 = 0 THEN NULL ELSE g.segment END AS naics2_name,
@@ -130,7 +130,7 @@ UNION ALL SELECT 'Original Data Value', NULL, NULL, NULL""",
     "fx_bench_map": """
 SELECT 'B' || CAST(n_nationkey % 4 AS STRING) AS bls_code, 'Sector ' || CAST(n_nationkey % 4 AS STRING) AS industry,
        CAST(n_nationkey % 8 AS STRING) AS naics2_code, CAST(0.05 * (1 + n_nationkey % 4) AS DOUBLE) AS bls_pct
-FROM nation WHERE n_nationkey BETWEEN 1 AND 9""",
+FROM nation""",
     "fx_series_json": """
 SELECT 'JTS000000' || lpad(CAST(user_id % 60 AS STRING), 2, '0') || '0000000JOL' AS series_id,
        CAST(year(ts) AS STRING) AS year,
@@ -150,7 +150,7 @@ SELECT CASE WHEN o_orderstatus = 'F' THEN 'Total US' ELSE 'Other' END AS state_t
        o_totalprice / 1000 AS job_openings
 FROM orders""",
     "fx_imputed": """
-SELECT job_id, custkey % 50 AS imputed_key FROM fx_orders_geo WHERE job_id % 4 = 0""",
+SELECT job_id, CASE WHEN job_id % 4 <> 0 THEN NULL ELSE custkey % 50 END AS imputed_key FROM fx_orders_geo""",
     "fx_classifier": """
 SELECT o_orderkey AS desc_id, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS top1_code
 FROM orders""",

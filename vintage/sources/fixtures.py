@@ -125,7 +125,8 @@ class Recipes:
 
     def postings_v1(self) -> DataFrame:
         ck, jid = F.col("custkey"), F.col("job_id")
-        return self.orders_geo().filter(jid % 10 != 0).select(
+        # the older release was cut before July 2001
+        return self.orders_geo().filter(F.col("post_date") < F.to_timestamp_ntz(F.lit("2001-07-01"))).select(
             "job_id", jid.alias("desc_id"), "post_date", "country",
             F.col("nationkey").alias("naics6"),
             F.when(ck % 9 == 0, F.lit(None)).when(ck % 9 == 1, F.lit(" unclassified "))
@@ -143,7 +144,8 @@ class Recipes:
 
     def postings_v2(self) -> DataFrame:
         ck, jid = F.col("custkey"), F.col("job_id")
-        return self.orders_geo().filter(jid % 7 != 0).select(
+        # the newer release drops one data-quality class of postings
+        return self.orders_geo().filter(~((F.col("status") == "P") & (F.col("prio") == "5-LOW"))).select(
             "job_id", jid.alias("desc_id"), "post_date", "country",
             F.col("nationkey").alias("naics6"),
             _null_when(ck % 11 == 0, F.col("segment")).alias("naics2_name"),
@@ -234,7 +236,7 @@ class Recipes:
 
     def bench_map(self) -> DataFrame:
         k = F.col("n_nationkey")
-        return self.t.nation.filter(k.between(1, 9)).select(
+        return self.t.nation.select(
             F.concat(F.lit("B"), (k % 4).cast("string")).alias("bls_code"),
             F.concat(F.lit("Sector "), (k % 4).cast("string")).alias("industry"),
             (k % 8).cast("string").alias("naics2_code"),
@@ -278,8 +280,8 @@ class Recipes:
         )
 
     def imputed(self) -> DataFrame:
-        return self.orders_geo().filter(F.col("job_id") % 4 == 0).select(
-            "job_id", (F.col("custkey") % 50).alias("imputed_key"))
+        return self.orders_geo().select(
+            "job_id", _null_when(F.col("job_id") % 4 != 0, F.col("custkey") % 50).alias("imputed_key"))
 
     def classifier(self) -> DataFrame:
         """An occupation classifier's output: top code per description."""
