@@ -45,11 +45,13 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def histogram(df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None) -> DataFrame:
     """``(keys..., _v, _c)``: rows per distinct value (NULL included) of each
-    group; map-side partial aggregation runs before the shuffle."""
-    return (df.select(*keys, F.col(value).cast("double").alias("_v"))
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    group, or the sum of ``weight`` when rows are already counts; map-side
+    partial aggregation runs before the shuffle."""
+    w = F.lit(1) if weight is None else F.col(weight)
+    return (df.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
+            .groupBy(*keys, "_v").agg(F.sum("_w").cast("bigint").alias("_c")))
 
 
 def ranked(hist: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

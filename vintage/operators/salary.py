@@ -26,12 +26,16 @@ def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Col
 def salaried(postings: Mapping[str, DataFrame], salary: DataFrame, keep: Sequence[str] = (),
              key: str = "desc_id", amount: str = "parsed_salary_min", period_col: str = "salary_per",
              piece_is_null: bool = True) -> DataFrame:
-    """``(source, *keep, yearly)``: each source's postings joined to their
-    positive salary rows, annualised."""
-    sal = salary.filter(positive_salary(salary, amount)).select(key, amount, period_col)
+    """``(source, *keep, yearly, c)``: each source's postings joined to their
+    positive salary rows, annualised; ``c`` is how many joined rows carry
+    that yearly value. The salary side is first reduced to (id, yearly,
+    count) with map-side partial aggregation, so an id repeated across a
+    third of the side table is a handful of rows before the join."""
+    sal = (salary.filter(positive_salary(salary, amount))
+           .groupBy(key, annual_salary(amount, period_col, piece_is_null).alias("yearly"))
+           .agg(F.count(F.lit(1)).alias("c")))
     frames = [p.select(key, *keep).join(sal, key).select(
-        F.lit(name).alias("source"), *keep,
-        annual_salary(amount, period_col, piece_is_null).alias("yearly"))
+        F.lit(name).alias("source"), *keep, "yearly", "c")
         for name, p in postings.items()]
     return union_all(frames)
 
@@ -40,7 +44,7 @@ def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame) -> DataFr
     """``(source, min, max, avg, median, n_postings_with_salary,
     n_values)``; the row count includes piece-rate rows whose yearly value
     is NULL, the other measures skip them (S16)."""
-    hist = histogram(salaried(postings, salary), ["source"], "yearly")
+    hist = histogram(salaried(postings, salary), ["source"], "yearly", weight="c")
     return _summary(hist, ["source"]).select(
         "source", "min_salary", "max_salary", "avg_salary",
         F.round("median_salary", 2).alias("median_salary"),
@@ -52,7 +56,7 @@ def salary_buckets(postings: Mapping[str, DataFrame], salary: DataFrame) -> Data
     NULL yearly values (piece rate) are dropped first, as in the job (S15)."""
     s = salaried(postings, salary).filter(F.col("yearly").isNotNull())
     counts = s.groupBy("source", salary_bucket("yearly").alias("salary_bucket")).agg(
-        F.count(F.lit(1)).alias("cnt"))
+        F.sum("c").alias("cnt"))
     tot = counts.groupBy("source").agg(F.sum("cnt").alias("_tot"))
     return (counts.join(F.broadcast(tot), "source")
             .select("source", "salary_bucket", "cnt",
@@ -66,7 +70,7 @@ def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame,
     s = salaried(postings, salary, keep=[group]).filter(F.col(group).isNotNull())
     if cap is not None:
         s = s.filter(F.col("yearly") <= cap)
-    hist = histogram(s, ["source", group], "yearly")
+    hist = histogram(s, ["source", group], "yearly", weight="c")
     return _summary(hist, ["source", group]).select(
         "source", group, F.round("median_salary", 2).alias("median_salary"),
         F.col("n_postings_with_salary").alias("n_postings"))
@@ -96,14 +100,20 @@ def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, countr
     for full, short in codes.items():
         cond = F.col(country_col) == F.lit(full)
         code = F.when(cond, F.lit(short)) if code is None else code.when(cond, F.lit(short))
-    sal = salary.select(key, amount)
+    # The side table reduced to one row per id (rows, positive rows) before
+    # the left join: adaptive execution can split only the left side of a
+    # left outer join, so a hot id must not reach the join as many rows.
+    # A posting with k salary rows still counts k times (1 when k = 0).
+    sal = salary.groupBy(key).agg(F.count(F.lit(1)).alias("k"),
+                                  F.count_if(positive_salary(salary, amount)).alias("pos"))
     frames = [p.filter(F.col(country_col).isin(list(codes))).select(key, country_col)
               .join(sal, key, "left")
               .select(F.lit(name).alias("source"), code.alias("country"),
-                      F.when(positive_salary(sal, amount), 1).otherwise(0).alias("has"))
+                      F.coalesce(F.col("k"), F.lit(1)).alias("k"),
+                      F.coalesce(F.col("pos"), F.lit(0)).alias("pos"))
               for name, p in postings.items()]
     return union_all(frames).groupBy("source", "country").agg(
-        F.count(F.lit(1)).alias("total_postings"), F.sum("has").alias("postings_with_salary"))
+        F.sum("k").alias("total_postings"), F.sum("pos").alias("postings_with_salary"))
 
 
 def salary_outliers(postings: DataFrame, salary: DataFrame, k: int = 20, highest: bool = True,
