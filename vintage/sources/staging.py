@@ -32,6 +32,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+# Staged tables already resolved in this application: (app id, path) -> the
+# lazy read of the table. Resolving a parquet path lists its files and reads
+# a footer, so a query that reads the same table several times (one source
+# in several roles) resolves it once.
+_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+
+
 def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], DataFrame],
            sort_by: Sequence[str] = ()) -> DataFrame:
     """The table ``name`` derived from ``dataset``: written on first use,
@@ -39,10 +46,14 @@ def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], Dat
     min/max statistics let date and key filters skip row groups."""
     root = stage_root(spark, dataset)
     path, marker = f"{root}/{name}", f"{root}/_done_{name}"
+    memo = (spark.sparkContext.applicationId, path)
+    if memo in _RESOLVED:
+        return _RESOLVED[memo]
     if not _exists(spark, marker):
         df = build()
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
         df.write.mode("overwrite").parquet(path)
         spark.range(1).write.mode("overwrite").parquet(marker)
-    return spark.read.parquet(path)
+    _RESOLVED[memo] = spark.read.parquet(path)
+    return _RESOLVED[memo]
