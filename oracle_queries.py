@@ -650,6 +650,23 @@ def _state_share() -> str:
             + " ".join(joins) + " " + " ".join(cross))
 
 
+def _state_share_rows() -> str:
+    ctes = [f"bench AS (SELECT occ_title AS state, tot_emp AS bench_count FROM ({_coded()}))"]
+    for s, (tbl, a, idc, dt, cty) in SRC.items():
+        ctes.append(f"""{s}_state AS (SELECT upper(trim({a}.state)) AS state, count(*) AS n
+  FROM {tbl} {_where(f'{a}.state IS NOT NULL', cty, _year_eq(a, dt, YX))} GROUP BY 1)""")
+    j = ("j AS (SELECT b.state, b.bench_count, " + ", ".join(f"{s}.n AS {s}_count" for s in SRC)
+         + " FROM bench b " + " ".join(f"LEFT JOIN {s}_state {s} ON b.state = {s}.state" for s in SRC) + ")")
+    ctes.append(j)
+
+    def pct(c: str) -> str:
+        return f"round_even(CAST({c} AS DOUBLE) * 1000 / sum({c}) OVER (), 0) / 10"
+    sel = ["state", "bench_count", f"CASE WHEN sum(bench_count) OVER () > 0 THEN {pct('bench_count')} ELSE 0 END AS bench_pct"]
+    for s in SRC:
+        sel += [f"{s}_count", f"{pct(f'{s}_count')} AS {s}_pct"]
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join(sel)} FROM j"
+
+
 def _share_cmp(label: str, parts: dict[str, str], bench: str | None, bench_name: str) -> str:
     """Shares of classified totals per source plus an optional benchmark,
     over the union of labels (``parts``: source -> SELECT label, n)."""
@@ -873,6 +890,7 @@ def oracle_sql() -> dict[str, str]:
         "salary_outliers_low": _with(["fx_postings_v1", "fx_salary"], _outliers(False)),
         "series_json_mean": _with(["fx_series_json"], _series_mean()),
         "state_share_benchmark": _with(POSTINGS + ["fx_bench_occ"], _state_share()),
+        "state_share_rows_variant": _with(POSTINGS + ["fx_bench_occ"], _state_share_rows()),
         "wide_month_unpivot": _with(["fx_bench_wide"], _wide_unpivot()),
         "coded_benchmark_load": _with(["fx_bench_occ"], _coded()),
         "sector_share_benchmark": _with(POSTINGS + ["fx_naics_hierarchy", "fx_openings_industry"],

@@ -152,9 +152,16 @@ def pct_round(n: str | Column, d: str | Column, scale: int = 0) -> Column:
     """``ROUND(n / d * 100, scale)`` computed as a rounding of the scaled
     ratio ``n * 100 * 10^scale / d`` to an integer, so exact decimal ties
     (x.5) are rounded away from zero however the ratio is stored; equals the
-    exact decimal result of the warehouse. ``d`` must be non-zero."""
+    exact decimal result of the warehouse. NULL when ``d`` is 0."""
     f = 100 * 10 ** scale
-    return F.round(col(n).cast("double") * f / col(d), 0) / (10 ** scale)
+    return F.round(F.try_divide(col(n).cast("double") * f, col(d)), 0) / (10 ** scale)
+
+
+def pct_round_even(n: str | Column, d: str | Column, scale: int = 0) -> Column:
+    """``round(n / d * 100, scale)`` as pandas does it (half to even),
+    computed on the scaled ratio like ``pct_round``; NULL when ``d`` is 0."""
+    f = 100 * 10 ** scale
+    return F.bround(F.try_divide(col(n).cast("double") * f, col(d)), 0) / (10 ** scale)
 
 
 def half_even(c: str | Column, scale: int = 0) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vintage.functions.expr import half_even, map_lookup, pct_round, to_number
+from vintage.functions.expr import half_even, map_lookup, pct_round, pct_round_even, to_number
 from vintage.operators.distribution import union_all, value_counts
 from vintage.operators.reshape import wide
 from vintage.spec import FieldSpec, Period, Source
@@ -158,26 +158,42 @@ def official_by_sector(openings: DataFrame, code_map: Mapping[str, str] = OPENIN
 
 # --------------------------------------------------------------- comparisons
 def state_share(sources: Sequence[Source], field: FieldSpec, period: Period,
-                bench: DataFrame) -> DataFrame:
-    """Per benchmark state, the benchmark count and each source's
-    distinct ids, with percent shares rounded to one decimal. Source
-    totals include states absent from the benchmark (S11)."""
-    counts = value_counts(sources, field, period)
-    tot = counts.groupBy("source").agg(F.sum("n").alias("total"))
-    shares = counts.join(F.broadcast(tot), "source").select(
-        "source", F.col("field_value").alias("state"), "n",
-        F.when(F.col("total") > 0, pct_round("n", "total", 1))
-        .otherwise(F.lit(0.0)).alias("pct"))
+                bench: DataFrame, measure: str = "distinct", total_scope: str = "all",
+                rounding: str = "half_up") -> DataFrame:
+    """Per benchmark state, the benchmark count and each source's count,
+    with percent shares rounded to one decimal.
+
+    Two variants of the original (S11): the job counts distinct ids, takes
+    each source's total over all its states (also those missing from the
+    benchmark), rounds half-up and shows a missing state as 0
+    (``total_scope='all'``); the notebook counts rows, totals only the
+    benchmark's states, rounds half-to-even and leaves a missing state NULL
+    (``measure='rows', total_scope='benchmark', rounding='half_even'``).
+    """
+    rnd = pct_round if rounding == "half_up" else pct_round_even
+    counts = value_counts(sources, field, period, measure).withColumnRenamed("field_value", "state")
     b = bench.select("state", F.col("bench_count").cast("bigint").alias("bench_count"))
     names = [s.name for s in sources]
-    per_state = wide(shares, ["state"], "source", names, {"n": 0, "pct": 0.0})
-    out = b.join(per_state, "state", "left")
-    bench_pct = pct_round(F.col("bench_count"), F.sum("bench_count").over(_all()), 1)
+    btot = F.sum("bench_count").over(_all())
     cols = [F.col("state"), F.col("bench_count"),
-            F.when(F.sum("bench_count").over(_all()) > 0, bench_pct).otherwise(0.0).alias("bench_pct")]
-    for n in names:
-        cols += [F.coalesce(F.col(f"{n}_n"), F.lit(0)).cast("bigint").alias(f"{n}_count"),
-                 F.coalesce(F.col(f"{n}_pct"), F.lit(0.0)).alias(f"{n}_pct")]
+            F.when(btot > 0, rnd(F.col("bench_count"), btot, 1)).otherwise(0.0).alias("bench_pct")]
+    if total_scope == "all":
+        tot = counts.groupBy("source").agg(F.sum("n").alias("total"))
+        shares = counts.join(F.broadcast(tot), "source").select(
+            "source", "state", "n",
+            F.when(F.col("total") > 0, rnd("n", "total", 1)).otherwise(F.lit(0.0)).alias("pct"))
+        out = b.join(wide(shares, ["state"], "source", names, {"n": 0, "pct": 0.0}), "state", "left")
+        for n in names:
+            cols += [F.coalesce(F.col(f"{n}_n"), F.lit(0)).cast("bigint").alias(f"{n}_count"),
+                     F.coalesce(F.col(f"{n}_pct"), F.lit(0.0)).alias(f"{n}_pct")]
+    elif total_scope == "benchmark":
+        out = b.join(wide(counts, ["state"], "source", names, {"n": None}), "state", "left")
+        for n in names:
+            c = F.col(f"{n}_n")
+            cols += [c.cast("bigint").alias(f"{n}_count"),
+                     rnd(c, F.sum(c).over(_all()), 1).alias(f"{n}_pct")]
+    else:
+        raise ValueError(f"total_scope must be 'all' or 'benchmark', not {total_scope!r}")
     return out.select(*cols)
 
 

@@ -86,6 +86,7 @@ QUERIES: dict[str, Query] = {
     # benchmarks
     "series_json_mean": _po(lambda j: j.series_mean()),
     "state_share_benchmark": _po(lambda j: j.state_share()),
+    "state_share_rows_variant": _po(lambda j: j.state_share(notebook=True)),
     "wide_month_unpivot": _po(lambda j: j.wide_month_unpivot()),
     "coded_benchmark_load": _po(lambda j: j.coded_benchmark()),
     "monthly_benchmark_long": _po(lambda j: j.monthly_benchmark_long()),

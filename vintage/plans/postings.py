@@ -231,9 +231,12 @@ class PostingsJob:
     def coded_benchmark(self) -> DataFrame:
         return bm.coded_benchmark(self.fx.bench_occ())
 
-    def state_share(self) -> DataFrame:
+    def state_share(self, notebook: bool = False) -> DataFrame:
         bench = self.coded_benchmark().select(F.col("occ_title").alias("state"),
                                               F.col("tot_emp").alias("bench_count"))
+        if notebook:
+            return bm.state_share(self.three, self.field("state"), Period.year(CHANGES_YEAR), bench,
+                                  measure="rows", total_scope="benchmark", rounding="half_even")
         return bm.state_share(self.three, self.field("state"), Period.year(CHANGES_YEAR), bench)
 
     def monthly_benchmark_long(self) -> DataFrame:
