@@ -36,6 +36,15 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
+def test_publish_postings_job(spark):
+    from vintage.plans.publish import publish_postings
+    m = publish_postings(spark, SMALL).collect()
+    assert len(m) == 12 and all(r.status == "ok" and r.rows > 0 for r in m), m
+    comp = [r for r in m if r.artifact == "comp"][0]
+    fields = {r.field for r in spark.read.parquet(comp.path).select("field").distinct().collect()}
+    assert fields == {"industry", "employer", "degree", "soc2", "city", "state"}
+
+
 def test_publish_manifest(spark):
     m = queries()["publish_manifest"](spark, SMALL).collect()
     assert {r.artifact for r in m} == {"comp", "kpi", "roles_benchmark", "employers_industry_benchmark"}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import pct_round
-from vintage.operators.distribution import per_id, tagged, totals_from_ids
+from vintage.operators.distribution import tagged
 from vintage.spec import FieldSpec, Period, Source
 
 
@@ -22,7 +22,10 @@ def coverage(sources: Sequence[Source], field: FieldSpec, period: Period | None)
     (source, id) (one exchange on that pair, which spreads a hot source over
     all tasks, after map-side partial aggregation), then counted per source.
     """
-    return totals_from_ids(per_id(tagged(sources, field, period)))
+    ids = tagged(sources, field, period).groupBy("source", "id").agg(
+        F.max(F.col("field_value").isNotNull()).alias("covered"))
+    return ids.groupBy("source").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
 
 
 def coverage_pct(cov: DataFrame) -> DataFrame:

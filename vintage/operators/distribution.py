@@ -239,7 +239,10 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
 
 def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                     period: Period | None) -> DataFrame:
-    """P10 for many fields in one job: ``(source, field, total, covered)``."""
-    ids = _matrix_ids(sources, fields, period)
+    """P10 for many fields in one job: ``(source, field, total, covered)``;
+    one boolean per (source, field, id), no value sets."""
+    t = tagged_matrix(sources, fields, period)
+    ids = t.groupBy("source", "field", "id").agg(
+        F.max(F.col("field_value").isNotNull()).alias("covered"))
     return ids.groupBy("source", "field").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if(F.size("vals") > 0).alias("covered"))
+        F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
