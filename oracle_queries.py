@@ -116,9 +116,10 @@ FROM orders""",
     "fx_naics_hierarchy": """
 SELECT n_nationkey AS naics6, r_name AS naics2_name FROM nation JOIN region ON r_regionkey = n_regionkey""",
     "fx_bench_occ": """
-SELECT CASE WHEN n_nationkey % 5 = 4 THEN 'detailed' ELSE 'major' END AS o_group, n_name AS occ_title,
-       CASE WHEN n_nationkey % 6 = 5 THEN '**' ELSE CAST(1000 + 37 * n_nationkey AS STRING) END AS tot_emp
-FROM nation""",
+SELECT CASE WHEN n.n_nationkey % 5 = 4 THEN 'detailed' ELSE 'major' END AS o_group, n.n_name AS occ_title,
+       CASE WHEN n.n_nationkey % 6 = 5 THEN '**' ELSE CAST(1000 + 37 * count(c.c_custkey) AS STRING) END AS tot_emp
+FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey
+GROUP BY n.n_nationkey, n.n_name""",
     "fx_bench_wide": """
 SELECT CAST(year(o_orderdate) AS STRING) AS year_label,
        CAST(count(CASE WHEN month(o_orderdate) = 1 THEN 1 END) AS DOUBLE) / 8 AS Jan,

@@ -212,11 +212,17 @@ class Recipes:
 
     # -------------------------------------------------------------- benchmarks
     def bench_occ(self) -> DataFrame:
+        """Employment by occupation: one row per nation, sized by its customers."""
         k = F.col("n_nationkey")
-        return self.t.nation.select(
+        n = self.t.nation.select("n_nationkey", "n_name")
+        c = self.t.customer.select("c_custkey", "c_nationkey")
+        per = (n.join(c, c.c_nationkey == n.n_nationkey, "left")
+               .groupBy("n_nationkey", "n_name").agg(F.count("c_custkey").alias("cnt")))
+        return per.select(
             F.when(k % 5 == 4, "detailed").otherwise("major").alias("o_group"),
             F.col("n_name").alias("occ_title"),
-            F.when(k % 6 == 5, F.lit("**")).otherwise((1000 + 37 * k).cast("string")).alias("tot_emp"),
+            F.when(k % 6 == 5, F.lit("**")).otherwise((1000 + 37 * F.col("cnt")).cast("string"))
+            .alias("tot_emp"),
         )
 
     def bench_wide(self) -> DataFrame:
