@@ -63,3 +63,18 @@ def test_no_python_udf_anywhere(spark):
             continue
         s = q(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in s and "ArrowEvalPython" not in s, k
+
+
+def test_no_cross_joins_in_any_plan(spark):
+    for k, q in queries().items():
+        if k == "publish_manifest":
+            continue
+        p = _final_plan(q(spark, SMALL))
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, k
+
+
+def test_recommended_conf_sizes():
+    from vintage.session import recommended_conf
+    c = recommended_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert recommended_conf(1024, 8)["spark.sql.shuffle.partitions"] == "16"

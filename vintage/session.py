@@ -51,3 +51,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings sized for one job over ``input_bytes`` of parquet on a
+    cluster with ``total_cores`` task slots: scan splits and shuffle
+    partitions of about ``target_partition_mb`` each (at least two waves of
+    tasks), AQE left to coalesce small partitions and split skewed ones.
+    For 100 TB on 1000 executors x 8 cores this gives ~400k scan splits and
+    as many initial shuffle partitions, which AQE coalesces per stage."""
+    target = target_partition_mb * 1024 * 1024
+    shuffle = max(2 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target),
+        # only plan-time broadcasts of measured small sides (lookups); the
+        # explicit ones are bounded by a parameter (sources, k)
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    }

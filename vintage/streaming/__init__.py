@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The compared releases are finished batches: the original jobs have no
+stream, watermark, window over event time, state or late data. Every
+pipeline here is a batch DataFrame plan; a release landing later is compared
+by running the batch job again over the stored tables.
+"""
