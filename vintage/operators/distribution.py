@@ -94,13 +94,6 @@ def counts_from_ids(ids: DataFrame) -> DataFrame:
             .groupBy("source", "field_value").agg(F.count(F.lit(1)).alias("n")))
 
 
-def totals_from_ids(ids: DataFrame) -> DataFrame:
-    """``(source, total, covered)``: distinct ids in scope, and those with at
-    least one counted value."""
-    return ids.groupBy("source").agg(F.count(F.lit(1)).alias("total"),
-                                     F.count_if(F.size("vals") > 0).alias("covered"))
-
-
 def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | None,
                  measure: str = "distinct") -> DataFrame:
     """Long ``(source, field_value, n)``; ``measure`` is ``distinct`` (count
