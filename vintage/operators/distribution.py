@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import frac_or_zero, not_like_any
 from vintage.operators.reshape import wide
+from vintage.operators.scan import scan_union
 from vintage.spec import FieldSpec, Period, Source
 
 
@@ -45,17 +46,17 @@ def tagged(sources: Sequence[Source], field: FieldSpec, period: Period | None) -
     """``(source, id, field_value)`` for every row in scope; the value is
     normalised and NULL where it is absent or matches an exclusion. A
     field's extra predicates narrow the scope (they apply to totals too,
-    S8); its enrichment joins do not (S9)."""
-    frames = []
-    for s in sources:
-        df = field.prepared(s.name, s.scoped(period, field.extra_pred(s.name)))
+    S8); its enrichment joins do not (S9). Sources over one table share a
+    scan (``scan_union``)."""
+    def project(s: Source, df: DataFrame) -> list:
         v = field.value(s.name, df)
         cond = v.isNotNull()
         if field.exclude:
             cond = cond & not_like_any(v, list(field.exclude))
-        frames.append(df.select(F.lit(s.name).alias("source"), F.col(s.id).alias("id"),
-                                F.when(cond, v).alias("field_value")))
-    return union_all(frames)
+        return [F.col(s.id).alias("id"), F.when(cond, v).alias("field_value")]
+
+    return scan_union(sources, period, project, extra=lambda s: field.extra_pred(s.name),
+                      prep=lambda s: [fn for fn in [field.prep.get(s.name)] if fn is not None])
 
 
 def per_id(t: DataFrame) -> DataFrame:
@@ -172,22 +173,13 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
 def tagged_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                   period: Period | None) -> DataFrame:
     """R5 for the postings job: ``(source, field, id, field_value)`` for
-    every field of every source from ONE scan per source.
-
-    Each source is scoped once; every enrichment join any field needs is
-    applied once (left joins, so rows are kept); each row then yields one
-    (field, in-scope, value) struct per field, where in-scope carries the
-    field's extra predicates (a NULL predicate counts as false, like a
-    WHERE clause)."""
-    frames = []
-    for s in sources:
-        df = s.scoped(period)
-        applied = []
-        for f in fields:
-            fn = f.prep.get(s.name)
-            if fn is not None and fn not in applied:
-                df = fn(df)
-                applied.append(fn)
+    every field of every source from ONE scan per table.
+
+    Every enrichment join any field needs is applied once (left joins, so
+    rows are kept); each row then yields one (field, in-scope, value) struct
+    per field, where in-scope carries the field's extra predicates (a NULL
+    predicate counts as false, like a WHERE clause)."""
+    def project(s: Source, df: DataFrame) -> list:
         items = []
         for f in fields:
             v = f.value(s.name, df)
@@ -198,9 +190,13 @@ def tagged_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
             scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
             items.append(F.struct(F.lit(f.name).alias("field"), scope.alias("in_scope"),
                                   F.when(cond, v).alias("field_value")))
-        frames.append(df.select(F.lit(s.name).alias("source"), F.col(s.id).alias("id"),
-                                F.inline(F.array(*items))))
-    return union_all(frames).filter("in_scope").drop("in_scope")
+        return [F.col(s.id).alias("id"), F.array(*items).alias("_fields")]
+
+    def preps(s: Source) -> list:
+        return [f.prep[s.name] for f in fields if s.name in f.prep]
+
+    t = scan_union(sources, period, project, prep=preps)
+    return t.select("source", "id", F.inline("_fields")).filter("in_scope").drop("in_scope")
 
 
 def _matrix_ids(sources, fields, period) -> DataFrame:

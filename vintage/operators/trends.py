@@ -8,17 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import date_lit, month_start, ts_lit
-from vintage.operators.distribution import union_all
+from vintage.operators.scan import scan_union
 from vintage.spec import Period, Source
 
 
 def yearly_totals(sources: Sequence[Source], period: Period | None) -> DataFrame:
     """Distinct ids per (source, year) -> ``(source, yr, cnt)``.
     All sources are counted in one aggregation over their union."""
-    frames = [s.scoped(period).select(F.lit(s.name).alias("source"),
-                                      F.year(s.date).alias("yr"), F.col(s.id).alias("id"))
-              for s in sources]
-    return union_all(frames).groupBy("source", "yr").agg(F.count_distinct("id").alias("cnt"))
+    t = scan_union(sources, period,
+                   lambda s, df: [F.year(s.date).alias("yr"), F.col(s.id).alias("id")])
+    return t.groupBy("source", "yr").agg(F.count_distinct("id").alias("cnt"))
 
 
 def monthly_counts(sources: Sequence[Source], period: Period | None,
@@ -26,15 +25,11 @@ def monthly_counts(sources: Sequence[Source], period: Period | None,
     """Distinct ids per (source, month) -> ``(source, month_start, cnt)``;
     ``since`` is an extra lower bound applied to every source (timeless ones
     included)."""
-    frames = []
-    for s in sources:
-        df = s.scoped(period)
-        if since is not None:
-            df = df.filter(F.col(s.date) >= ts_lit(since))
-        frames.append(df.select(F.lit(s.name).alias("source"),
-                                month_start(s.date).alias("month_start"), F.col(s.id).alias("id")))
-    return (union_all(frames).groupBy("source", "month_start")
-            .agg(F.count_distinct("id").alias("cnt")))
+    cut = None if since is None else (lambda s: F.col(s.date) >= ts_lit(since))
+    t = scan_union(sources, period,
+                   lambda s, df: [month_start(s.date).alias("month_start"), F.col(s.id).alias("id")],
+                   since=cut)
+    return t.groupBy("source", "month_start").agg(F.count_distinct("id").alias("cnt"))
 
 
 def month_spine(spark: SparkSession, names: Sequence[str], first: str, last: str) -> DataFrame:

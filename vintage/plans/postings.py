@@ -54,15 +54,20 @@ class PostingsJob:
     def lookup(self) -> DataFrame:
         return self.fx.onet_lookup()
 
-    def _xwalk_semi(self, xcol: str, id_col: str):
-        """Keep the rows whose id is in the crosswalk. The crosswalk's
-        keys are de-duplicated first (partial aggregation before the
-        shuffle), so an id paired many times is one row on the build side
-        and the semi join cannot fan out."""
-        def f(df: DataFrame) -> DataFrame:
-            keys = self.fx.xwalk().select(F.col(xcol).alias(id_col)).distinct()
-            return df.join(keys, id_col, "left_semi")
-        return f
+    @cached_property
+    def _marks(self) -> dict:
+        """Crosswalk membership as a flag, one transform per side, kept
+        so views of the same table apply it once. The crosswalk's keys are
+        de-duplicated first (partial aggregation before the shuffle), so an
+        id paired many times is one row on the build side and the left join
+        cannot fan out."""
+        def mark(xcol: str, id_col: str):
+            def f(df: DataFrame) -> DataFrame:
+                keys = (self.fx.xwalk().select(F.col(xcol).alias(id_col)).distinct()
+                        .withColumn("_in_xwalk", F.lit(True)))
+                return df.join(keys, id_col, "left")
+            return f
+        return {"v1": mark("rl_id", "job_id"), "ext": mark("ext_id", "id")}
 
     @property
     def v1(self) -> Source:
@@ -83,13 +88,14 @@ class PostingsJob:
     @property
     def four(self) -> list[Source]:
         """Matched overlap (through the crosswalk, no period) and full sets."""
+        in_xwalk = lambda: F.col("_in_xwalk")
         return [
             Source("overlap_v1", self.fx.postings_v1, "job_id", "post_date", ("country", US),
-                   restrict=self._xwalk_semi("rl_id", "job_id"), timeless=True),
+                   timeless=True, table="v1", mark=self._marks["v1"], member=in_xwalk),
             Source("overlap_ext", self.fx.postings_ext, "id", "posted",
-                   restrict=self._xwalk_semi("ext_id", "id"), timeless=True),
-            Source("full_v1", self.fx.postings_v1, "job_id", "post_date", ("country", US)),
-            Source("full_ext", self.fx.postings_ext, "id", "posted"),
+                   timeless=True, table="ext", mark=self._marks["ext"], member=in_xwalk),
+            Source("full_v1", self.fx.postings_v1, "job_id", "post_date", ("country", US), table="v1"),
+            Source("full_ext", self.fx.postings_ext, "id", "posted", table="ext"),
         ]
 
     # -------------------------------------------------------------- fields

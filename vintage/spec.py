@@ -65,9 +65,14 @@ class Source:
     """One release / vendor table.
 
     ``country``: optional (column, value) scope. ``restrict``: optional
-    frame transform that narrows the rows (the crosswalk semi-join of the
-    overlap sources). ``timeless``: the source ignores the period (the
-    overlap sources are not year-filtered).
+    frame transform that narrows the rows. ``timeless``: the source ignores
+    the period (the overlap sources are not year-filtered).
+
+    Several sources may be views of one stored table (``table`` names it):
+    they are then scanned once. A view narrowed by membership in another
+    relation (the crosswalk) declares it as ``mark`` - a frame transform
+    adding a flag column through a left join on de-duplicated keys, applied
+    once per scan - plus ``member``, the predicate on that flag.
     """
 
     name: str
@@ -77,6 +82,26 @@ class Source:
     country: tuple[str, str] | None = None
     restrict: FrameFn | None = None
     timeless: bool = False
+    table: str | None = None
+    mark: FrameFn | None = None
+    member: Callable[[], Column] | None = None
+
+    @property
+    def scan_key(self) -> str:
+        return self.table or f"__{self.name}"
+
+    def scope(self, period: Period | None = None, extra: Column | None = None) -> Column:
+        """This view's row predicate over the (marked) table."""
+        out = F.lit(True)
+        if self.country is not None:
+            out = out & (F.col(self.country[0]) == F.lit(self.country[1]))
+        if period is not None and not self.timeless:
+            out = out & period.predicate(self.date)
+        if extra is not None:
+            out = out & F.coalesce(extra, F.lit(False))
+        if self.member is not None:
+            out = out & F.coalesce(self.member(), F.lit(False))
+        return out
 
     def scoped(self, period: Period | None = None, extra: Column | None = None) -> DataFrame:
         df = self.frame()
@@ -88,6 +113,10 @@ class Source:
             df = df.filter(extra)
         if self.restrict is not None:
             df = self.restrict(df)
+        if self.mark is not None:
+            df = self.mark(df)
+            if self.member is not None:
+                df = df.filter(F.coalesce(self.member(), F.lit(False)))
         return df
 
 
