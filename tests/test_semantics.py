@@ -228,3 +228,23 @@ def test_landed_series_json_and_wide_csv(spark, tmp_path):
 def test_display_order_nulls_last(spark):
     df = spark.createDataFrame([("a", None), ("b", 2), ("c", 5)], "k string, n int")
     assert [r.k for r in vw.display_order(df, "n", descending=["n"]).collect()] == ["c", "b", "a"]
+
+
+def test_s21_two_names_for_one_code_do_not_inflate(spark):
+    rows = [(1, "7", "Seven", 5, dt.datetime(2020, 1, 1), None, "US"),
+            (2, "7", "Seven (old)", 5, dt.datetime(2020, 1, 1), None, "US"),
+            (3, "8", "Eight", 5, dt.datetime(2020, 1, 1), None, "US")]
+    rel = spark.createDataFrame(rows, "person_id long, naics2_code string, naics2_name string, "
+                                      "company_id long, start_date timestamp_ntz, "
+                                      "end_date timestamp_ntz, country string")
+    bench = spark.createDataFrame([("B", "Ind", "7", 0.5), ("B", "Ind", "8", 0.5)],
+                                  "bls_code string, industry string, naics2_code string, bls_pct double")
+    r = cmp.stint_industry_share({"base": rel}, bench, "2021-01-01", "2021-12-31", ("country", "US")).first()
+    assert (r.perc_bls, r.perc_base) == (0.5, 1.0)
+
+
+def test_pivot_check_raises_on_duplicate_cells(spark):
+    from vintage.operators.reshape import pivot_unique
+    df = spark.createDataFrame([("m", "a", 1), ("m", "a", 2)], "k string, s string, v long")
+    with pytest.raises(ValueError):
+        pivot_unique(df, ["k"], "s", ["a"], "v", check=True)

@@ -29,10 +29,12 @@ def wide(df: DataFrame, keys: Sequence[str], label: str, labels: Sequence[str],
 
 
 def pivot_unique(df: DataFrame, keys: Sequence[str], label: str, labels: Sequence[str],
-                 value: str) -> DataFrame:
-    """R2: long -> wide with one value per cell (``first``). Also returns a
-    ``_dup_cells`` count so a caller can assert the cells were unique
-    (pandas' pivot raises on duplicates; S14)."""
+                 value: str, check: bool = False) -> DataFrame:
+    """R2: long -> wide with one value per cell (``first``). With ``check``
+    the cells are verified unique first (one small aggregation job) and a
+    duplicate raises, as pandas' pivot does (S14)."""
+    if check and duplicate_cells(df, keys, label).limit(1).count() > 0:
+        raise ValueError(f"pivot cells not unique for keys {list(keys)} x {label}")
     aggs = [F.first(F.when(F.col(label) == F.lit(lab), F.col(value)), ignorenulls=True).alias(lab)
             for lab in labels]
     return df.groupBy(*keys).agg(*aggs)

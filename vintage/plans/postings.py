@@ -253,7 +253,7 @@ class PostingsJob:
     def monthly_benchmark_wide(self) -> DataFrame:
         from vintage.operators.reshape import pivot_unique
         return pivot_unique(self.monthly_benchmark_long(), ["month_start"], "source",
-                            ["benchmark", "full_v1", "full_ext"], "cnt")
+                            ["benchmark", "full_v1", "full_ext"], "cnt", check=True)
 
     def sector_share(self) -> DataFrame:
         full = [s for s in self.four if s.name.startswith("full_")]
