@@ -305,6 +305,7 @@ def _matrix_long() -> str:
     parts = []
     for f, g in _MATRIX.items():
         parts.append(f"SELECT '{f}' AS field, * FROM ({_p1(f, g)})")
+    parts.append(f"SELECT 'degree_list' AS field, * FROM ({_p2()})")
     return "\nUNION ALL\n".join(parts)
 
 

@@ -217,25 +217,35 @@ def stint_industry_share(releases: Mapping[str, DataFrame], bench_map: DataFrame
 
 def release_matrix_long(releases: Mapping[str, DataFrame], fields: Mapping[str, Column | None],
                         by: Sequence[str] = ("country",),
-                        exclude: Sequence[str] = UNCLASSIFIED) -> DataFrame:
+                        exclude: Sequence[str] = UNCLASSIFIED,
+                        list_fields: Mapping[str, Column | None] | None = None,
+                        sep: str = ", ", raw: str | None = "education_raw") -> DataFrame:
     """Value counts for many fields of both releases in ONE scan.
 
-    Each row is expanded to one (field, value, passes) struct per field,
-    where ``passes`` carries that field's gate, then filtered and counted by
-    (field, *by, value): one exchange for the whole matrix instead of one
-    statement per (field, country).
+    Each row is expanded to one (field, values, passes) struct per field,
+    where ``passes`` carries that field's gate; ``values`` is the value
+    itself, or for ``list_fields`` the trimmed elements of the list (with
+    the P2 rules: whole-string exclusion, raw-text sentinel). The passing
+    values are counted by (field, *by, value): one exchange for the whole
+    matrix instead of one statement per (field, country).
     """
     u = release_union(releases)
     items = []
-    for name, gate in fields.items():
+    specs = [(n, g, False) for n, g in fields.items()]
+    specs += [(n, g, True) for n, g in (list_fields or {}).items()]
+    for name, gate, is_list in specs:
         v = F.col(name).cast("string")
         ok = v.isNotNull() & not_ilike_any(v, list(exclude))
+        if is_list and raw is not None:
+            ok = ok & (F.col(raw) != F.lit(EMPTY_EDUCATION_SENTINEL))
         if gate is not None:
             ok = ok & gate
-        items.append(F.struct(F.lit(name).alias("field"), v.alias("field_value"),
+        values = split_list(v, sep) if is_list else F.array(v)
+        items.append(F.struct(F.lit(name).alias("field"), values.alias("vals"),
                               F.coalesce(ok, F.lit(False)).alias("passes")))
-    exploded = u.select(*by, "release", F.inline(F.array(*items)))
-    return (exploded.filter("passes")
+    rows = u.select(*by, "release", F.inline(F.array(*items))).filter("passes")
+    exploded = rows.select("field", *by, "release", F.explode("vals").alias("field_value"))
+    return (exploded.filter(F.col("field_value").isNotNull())
             .groupBy("field", *by, "field_value").agg(*_count_cols(list(releases))))
 
 

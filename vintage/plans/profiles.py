@@ -89,7 +89,8 @@ class ProfilesJob:
                 "naics2_name": (F.col("naics2_name").isNotNull(), None)}
 
     def matrix_long(self) -> DataFrame:
-        return cmp.release_matrix_long(self.releases, self.matrix_fields())
+        return cmp.release_matrix_long(self.releases, self.matrix_fields(),
+                                       list_fields={"degree_list": None})
 
     def matrix_kpi(self) -> DataFrame:
         return cmp.release_matrix_kpi(self.releases, self.matrix_kpi_fields())
