@@ -558,6 +558,18 @@ FROM (SELECT {YEARLY_JOB} AS y FROM fx_postings_{s} p JOIN fx_salary sal ON sal.
     return "\nUNION ALL\n".join(parts)
 
 
+def _salary_stats_vendor() -> str:
+    return f"""SELECT 'v1' AS source, min(y) AS min_salary, max(y) AS max_salary,
+  round(avg(y), 2) AS avg_salary, round(median(y), 2) AS median_salary,
+  count(*) AS n_postings_with_salary, count(y) AS n_values
+FROM (SELECT {YEARLY_JOB} AS y FROM fx_postings_v1 p JOIN fx_salary sal ON sal.desc_id = p.desc_id
+      WHERE {SAL_OK} AND p.country = {US})
+UNION ALL
+SELECT 'ext', min(salary_from), max(salary_from), round(avg(salary_from), 2),
+  round(median(salary_from), 2), count(*), count(salary_from)
+FROM fx_postings_ext WHERE salary_from IS NOT NULL AND salary_from > 0"""
+
+
 def _salary_buckets() -> str:
     parts = []
     for s in ("v1", "v2"):
@@ -886,6 +898,7 @@ def oracle_sql() -> dict[str, str]:
         "overlap_distribution": _with(POSTINGS + ["fx_xwalk", "fx_naics_hierarchy"], _overlap_dist()),
         "salary_stats": _with(POSTINGS[:2] + ["fx_salary"], _salary_stats()),
         "salary_buckets": _with(POSTINGS[:2] + ["fx_salary"], _salary_buckets()),
+        "salary_stats_with_vendor": _with(POSTINGS + ["fx_salary"], _salary_stats_vendor()),
         "salary_median_by_group": _with(POSTINGS[:2] + ["fx_salary", "fx_onet_lookup"], _salary_by_group()),
         "salary_coverage": _with(POSTINGS[:2] + ["fx_salary"], _salary_coverage()),
         "salary_outliers_high": _with(["fx_postings_v1", "fx_salary"], _outliers(True)),

@@ -45,6 +45,12 @@ def test_publish_postings_job(spark):
     assert fields == {"industry", "employer", "degree", "soc2", "city", "state"}
 
 
+def test_export_bundle(spark):
+    from vintage.plans.publish import publish_export_bundle
+    m = publish_export_bundle(spark, SMALL).collect()
+    assert len(m) == 8 and all(r.status == "ok" and r.rows > 0 and r.description for r in m), m
+
+
 def test_publish_manifest(spark):
     m = queries()["publish_manifest"](spark, SMALL).collect()
     assert {r.artifact for r in m} == {"comp", "kpi", "roles_benchmark", "employers_industry_benchmark"}

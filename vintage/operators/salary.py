@@ -40,11 +40,26 @@ def salaried(postings: Mapping[str, DataFrame], salary: DataFrame, keep: Sequenc
     return union_all(frames)
 
 
-def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame) -> DataFrame:
+def direct_salaries(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``(source, yearly, c)`` for sources that carry a yearly amount as a
+    column of their own (the vendor's ``salary_from``), positive values only."""
+    frames = [df.filter(F.col(c).isNotNull() & (F.col(c) > 0))
+              .groupBy(F.col(c).cast("double").alias("yearly")).agg(F.count(F.lit(1)).alias("c"))
+              .select(F.lit(name).alias("source"), "yearly", "c")
+              for name, (df, c) in sources.items()]
+    return union_all(frames)
+
+
+def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame,
+                 direct: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """``(source, min, max, avg, median, n_postings_with_salary,
     n_values)``; the row count includes piece-rate rows whose yearly value
-    is NULL, the other measures skip them (S16)."""
-    hist = histogram(salaried(postings, salary), ["source"], "yearly", weight="c")
+    is NULL, the other measures skip them (S16). ``direct`` adds sources
+    whose salary is a column of the postings table (no side table)."""
+    rows = salaried(postings, salary)
+    if direct:
+        rows = rows.unionByName(direct_salaries(direct))
+    hist = histogram(rows, ["source"], "yearly", weight="c")
     return _summary(hist, ["source"]).select(
         "source", "min_salary", "max_salary", "avg_salary",
         F.round("median_salary", 2).alias("median_salary"),

@@ -77,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "code_changes_lookup": _po(lambda j: j.code_changes_lookup()),
     # salary
     "salary_stats": _po(lambda j: j.salary_stats()),
+    "salary_stats_with_vendor": _po(lambda j: j.salary_stats_with_vendor()),
     "salary_buckets": _po(lambda j: j.salary_buckets()),
     "salary_median_by_group": _po(lambda j: j.salary_median_by_group()),
     "salary_coverage": _po(lambda j: j.salary_coverage()),

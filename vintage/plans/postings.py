@@ -211,6 +211,12 @@ class PostingsJob:
     def salary_stats(self) -> DataFrame:
         return salary_stats(self._salary_postings(None), self.fx.salary())
 
+    def salary_stats_with_vendor(self) -> DataFrame:
+        """The notebook's variant: the vendor's own ``salary_from`` beside
+        the release's annualised side-table salaries."""
+        return salary_stats({"v1": self.v1.scoped(None)}, self.fx.salary(),
+                            direct={"ext": (self.fx.postings_ext(), "salary_from")})
+
     def salary_buckets(self) -> DataFrame:
         return salary_buckets(self._salary_postings(Period.year(COMPARE_YEAR)), self.fx.salary())
 
