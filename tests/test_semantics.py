@@ -248,3 +248,16 @@ def test_pivot_check_raises_on_duplicate_cells(spark):
     df = spark.createDataFrame([("m", "a", 1), ("m", "a", 2)], "k string, s string, v long")
     with pytest.raises(ValueError):
         pivot_unique(df, ["k"], "s", ["a"], "v", check=True)
+
+
+def test_empty_source_still_reports_a_row(spark):
+    p = _postings(spark, [(1, D, "US", "a", None)])
+    empty = _postings(spark, [])
+    f = FieldSpec("v", {"s": "v", "e": "v"})
+    got = {r.source: (r.total, r.covered)
+           for r in coverage([_src("s", p), _src("e", empty)], f, None).collect()}
+    assert got == {"s": (1, 1), "e": (0, 0)}
+    posts = spark.createDataFrame([(1, "US")], "desc_id long, country string")
+    sal = spark.createDataFrame([(2, "year", 5.0)], "desc_id long, salary_per string, parsed_salary_min double")
+    r = salary_stats({"v1": posts}, sal).collect()
+    assert [(x.source, x.median_salary, x.n_postings_with_salary) for x in r] == [("v1", None, 0)]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import pct_round
-from vintage.operators.distribution import tagged
+from vintage.operators.distribution import every_source, tagged
 from vintage.spec import FieldSpec, Period, Source
 
 
@@ -24,8 +24,11 @@ def coverage(sources: Sequence[Source], field: FieldSpec, period: Period | None)
     """
     ids = tagged(sources, field, period).groupBy("source", "id").agg(
         F.max(F.col("field_value").isNotNull()).alias("covered"))
-    return ids.groupBy("source").agg(
+    per_source = ids.groupBy("source").agg(
         F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
+    # a source with nothing in scope still reports 0 / 0
+    return every_source(per_source, [s.name for s in sources],
+                        {"total": F.lit(0).cast("bigint"), "covered": F.lit(0).cast("bigint")})
 
 
 def coverage_pct(cov: DataFrame) -> DataFrame:

@@ -59,6 +59,18 @@ def tagged(sources: Sequence[Source], field: FieldSpec, period: Period | None) -
                       prep=lambda s: [fn for fn in [field.prep.get(s.name)] if fn is not None])
 
 
+def every_source(df: DataFrame, names: Sequence[str], fills: dict) -> DataFrame:
+    """Give every named source a row, like an aggregate without GROUP BY
+    over an empty input: ``df`` (one row per source) is left-joined onto
+    the names (a frame of ``len(names)`` rows, generated from the
+    parameter) and the given columns are filled."""
+    spark = df.sparkSession
+    base = spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("source"))
+    out = base.join(df, "source", "left")
+    return out.select("source", *[F.coalesce(F.col(c), F.lit(v)).alias(c) if v is not None else F.col(c)
+                                  for c, v in fills.items()])
+
+
 def per_id(t: DataFrame) -> DataFrame:
     """One row per (source, id) with the id's distinct counted values
     (``vals``, empty when none). An id has one value per field, or a few

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
-from vintage.operators.distribution import union_all
+from vintage.operators.distribution import every_source, union_all
 from vintage.operators.median import histogram, median_from_ranked, ranked
 
 
@@ -60,7 +60,11 @@ def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame,
     if direct:
         rows = rows.unionByName(direct_salaries(direct))
     hist = histogram(rows, ["source"], "yearly", weight="c")
-    return _summary(hist, ["source"]).select(
+    names = list(postings) + list(direct or {})
+    summary = every_source(_summary(hist, ["source"]), names, {
+        "min_salary": None, "max_salary": None, "avg_salary": None, "median_salary": None,
+        "n_postings_with_salary": F.lit(0).cast("bigint"), "n_values": F.lit(0).cast("bigint")})
+    return summary.select(
         "source", "min_salary", "max_salary", "avg_salary",
         F.round("median_salary", 2).alias("median_salary"),
         "n_postings_with_salary", "n_values")
