@@ -182,49 +182,54 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
 
 
 # ------------------------------------------------------------ many fields
-def tagged_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
-                  period: Period | None) -> DataFrame:
-    """R5 for the postings job: ``(source, field, id, field_value)`` for
-    every field of every source from ONE scan per table.
-
-    Every enrichment join any field needs is applied once (left joins, so
-    rows are kept); each row then yields one (field, in-scope, value) struct
-    per field, where in-scope carries the field's extra predicates (a NULL
-    predicate counts as false, like a WHERE clause)."""
+def _matrix_rows(sources: Sequence[Source], fields: Sequence[FieldSpec],
+                 period: Period | None) -> DataFrame:
+    """R5 for the postings job: ``(source, id, _in_i, _v_i ...)`` - one row
+    per scanned row with, for every field ``i``, whether the row is in the
+    field's scope (its extra predicates; NULL counts as false) and its
+    counted value (NULL when absent, excluded or out of scope). One scan per
+    table; every enrichment join any field needs is applied once."""
     def project(s: Source, df: DataFrame) -> list:
-        items = []
-        for f in fields:
+        cols = [F.col(s.id).alias("id")]
+        for i, f in enumerate(fields):
             v = f.value(s.name, df)
             cond = v.isNotNull()
             if f.exclude:
                 cond = cond & not_like_any(v, list(f.exclude))
             scope = f.extra_pred(s.name)
             scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-            items.append(F.struct(F.lit(f.name).alias("field"), scope.alias("in_scope"),
-                                  F.when(cond, v).alias("field_value")))
-        return [F.col(s.id).alias("id"), F.array(*items).alias("_fields")]
+            cols += [scope.alias(f"_in_{i}"), F.when(scope & cond, v).alias(f"_v_{i}")]
+        return cols
 
     def preps(s: Source) -> list:
         return [f.prep[s.name] for f in fields if s.name in f.prep]
 
-    t = scan_union(sources, period, project, prep=preps)
-    return t.select("source", "id", F.inline("_fields")).filter("in_scope").drop("in_scope")
-
-
-def _matrix_ids(sources, fields, period) -> DataFrame:
-    t = tagged_matrix(sources, fields, period)
-    return t.groupBy("source", "field", "id").agg(F.collect_set("field_value").alias("vals"))
+    return scan_union(sources, period, project, prep=preps)
 
 
 def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                         period: Period | None) -> DataFrame:
     """P11 for many fields in one job: ``(field, field_value, {src}_count,
-    {src}_frac ...)``. One scan per source, one exchange on (source, field,
-    id), totals per (source, field) broadcast (bounded by sources x fields,
-    both parameters)."""
-    ids = _matrix_ids(sources, fields, period)
-    tokens = F.concat("vals", F.array(F.lit(_TOTAL)))
-    agg = (ids.select("source", "field", F.explode(tokens).alias("token"))
+    {src}_frac ...)``.
+
+    One scan per table and ONE exchange of one row per (source, id) holding
+    every field's value set (not one row per field), then per field the
+    values plus a total token are exploded and counted (partial aggregation
+    first). Totals per (source, field) are broadcast (bounded by sources x
+    fields, both parameters)."""
+    rows = _matrix_rows(sources, fields, period)
+    aggs = []
+    for i in range(len(fields)):
+        aggs += [F.collect_set(f"_v_{i}").alias(f"_vals_{i}"), F.max(f"_in_{i}").alias(f"_in_{i}")]
+    ids = rows.groupBy("source", "id").agg(*aggs)
+    empty = F.array().cast("array<string>")
+    items = [F.struct(F.lit(f.name).alias("field"),
+                      F.concat(F.col(f"_vals_{i}"),
+                               F.when(F.col(f"_in_{i}"), F.array(F.lit(_TOTAL))).otherwise(empty))
+                      .alias("tokens"))
+             for i, f in enumerate(fields)]
+    per_field = ids.select("source", F.inline(F.array(*items)))
+    agg = (per_field.select("source", "field", F.explode("tokens").alias("token"))
            .groupBy("source", "field", "token").agg(F.count(F.lit(1)).alias("n")))
     counts = agg.filter(F.col("token") != _TOTAL).select(
         "source", "field", F.col("token").alias("field_value"), "n")
@@ -240,10 +245,19 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
 
 def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                     period: Period | None) -> DataFrame:
-    """P10 for many fields in one job: ``(source, field, total, covered)``;
-    one boolean per (source, field, id), no value sets."""
-    t = tagged_matrix(sources, fields, period)
-    ids = t.groupBy("source", "field", "id").agg(
-        F.max(F.col("field_value").isNotNull()).alias("covered"))
-    return ids.groupBy("source", "field").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
+    """P10 for many fields in one job: ``(source, field, total, covered)``.
+    One row per (source, id) with two flags per field crosses the exchange;
+    the per-source counts are unpivoted afterwards."""
+    rows = _matrix_rows(sources, fields, period)
+    aggs = []
+    for i in range(len(fields)):
+        aggs += [F.max(f"_in_{i}").alias(f"_in_{i}"),
+                 F.max(F.col(f"_v_{i}").isNotNull()).alias(f"_cov_{i}")]
+    ids = rows.groupBy("source", "id").agg(*aggs)
+    counts = []
+    for i in range(len(fields)):
+        counts += [F.count_if(f"_in_{i}").alias(f"_t_{i}"), F.count_if(f"_cov_{i}").alias(f"_c_{i}")]
+    per_source = ids.groupBy("source").agg(*counts)
+    items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_t_{i}").alias("total"),
+                      F.col(f"_c_{i}").alias("covered")) for i, f in enumerate(fields)]
+    return per_source.select("source", F.inline(F.array(*items)))
