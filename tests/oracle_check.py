@@ -17,6 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+STRICT = os.environ.get("ORACLE_STRICT") == "1"   # compare floats bit for bit
+
 from vintage.sources.tables import DRIVER_TABLES  # noqa: E402
 
 
@@ -33,7 +35,7 @@ def _norm_val(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if type(v).__name__ == "Decimal":
