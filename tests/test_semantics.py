@@ -58,7 +58,7 @@ def test_s4_s3_null_groups_stay_apart_and_benchmark_label(spark):
 
 
 def test_s5_whole_percents_round_half_up(spark):
-    # 1 of 8 = 12.5% -> 13 (the reference rounds 0.125 to 0.13 then x100).
+    # 1 of 8 = 12.5% -> 13 (the original job rounds 0.125 to 0.13 then x100).
     base = _profiles(spark, [("X", "A", 9, "")] + [("X", "B", 9, "")] * 7)
     rows = cmp.release_share_vs_benchmark({"base": base}, "v",
                                           spark.createDataFrame([], "label string, s double"),

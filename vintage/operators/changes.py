@@ -3,7 +3,7 @@
 Both releases are reduced to ``(id, code, n)`` before the join on id:
 partial aggregation absorbs duplicated ids and hot ids before any shuffle,
 and the join then multiplies ``n_old * n_new``, which equals the row count
-of the plain inner join that the reference counts with ``COUNT(*)``.
+of the plain inner join that the original job counts with ``COUNT(*)``.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Release-vs-release comparisons of a profile dataset.
 
-The reference builds one statement per (field, country) and joins the two
+The original job builds one statement per (field, country) and joins the two
 releases with a FULL OUTER JOIN on the value. Here the releases are unioned
 with a ``release`` column and counted in one aggregation keyed by
 (country, value) with one ``count_if`` per release: one exchange, every
@@ -87,7 +87,7 @@ def release_value_counts_with_benchmark(releases: Mapping[str, DataFrame], value
 
     The benchmark ``(label, cnt)`` is unioned in as one more source and the
     whole thing is one aggregation. Release values are never NULL (filtered),
-    so a NULL benchmark label forms its own row, as with the reference's
+    so a NULL benchmark label forms its own row, as with the original job's
     placeholder key.
     """
     u = release_union(releases).filter(F.col(country[0]) == F.lit(country[1]))
@@ -140,7 +140,7 @@ def release_share_vs_benchmark(releases: Mapping[str, DataFrame], value: str,
     gated rows of the country, NULL values included in the total (S4). NULL
     groups of different releases stay separate rows, like the full join on
     plain equality. Benchmark-only rows carry the benchmark's label unless
-    ``strict`` (then NULL, as in the reference, S3).
+    ``strict`` (then NULL, as in the original job, S3).
     """
     u = release_union(releases)
     u = u.filter(F.col(country[0]) == F.lit(country[1]))

@@ -2,7 +2,7 @@
 
 Postings and the salary side table are joined on the description id; the
 side table may hold several rows per id, so the COUNT(*) measures count
-joined rows, as the reference does (S20). At scale both sides are large:
+joined rows, as the original job does (S20). At scale both sides are large:
 the join is a sort-merge on ``desc_id`` after each side is filtered and
 pruned to the three or four columns used.
 """

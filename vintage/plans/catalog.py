@@ -1,6 +1,6 @@
 """Registry of every query: key -> callable(spark, dataset_dir) -> DataFrame.
 
-Each key is one pipeline of the reference (SURVEY §2.13) run over the whole
+Each key is one pipeline of the original job (SURVEY §2.13) run over the whole
 derived tables of one dataset directory.
 """
 

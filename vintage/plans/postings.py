@@ -22,7 +22,7 @@ from vintage.operators.trends import monthly_totals_spine, monthly_with_benchmar
 from vintage.sources.fixtures import Fixtures
 from vintage.spec import FieldSpec, Period, Source
 
-# Parameters of the test job (the reference's values are in comments).
+# Parameters of the test job (the original job's values are in comments).
 US = "United States"
 MIN_YEAR = 1996            # first year of the "full" sources (2015)
 COMPARE_YEAR = 2000        # distribution year (2025)

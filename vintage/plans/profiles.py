@@ -10,7 +10,7 @@ from vintage.operators import compare as cmp
 from vintage.sources.fixtures import Fixtures
 
 BASE, NEW = "base", "new"
-COUNTRY = "NATION_1"           # single-country pipelines (the reference: United States)
+COUNTRY = "NATION_1"           # single-country pipelines (the original job: United States)
 STINT_WINDOW = ("1998-01-01", "1998-01-31")   # employed throughout (2023-01-01 .. 2023-12-31)
 # Confidence gates. Location fields need location confidence
 # >= 89; the occupation group needs occupation confidence >= 7; school names
