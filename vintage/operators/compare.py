@@ -10,12 +10,13 @@ release gets 0).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.functions.expr import not_ilike_any, pct_round, safe_div, split_list, ts_lit
+from vintage.functions.expr import not_ilike_any, pct_round, safe_div, ts_lit
 from vintage.operators.distribution import TOTAL_TOKEN as _TOTAL, union_all
 
 UNCLASSIFIED = ("%unclassified%",)
@@ -73,7 +74,8 @@ def release_list_value_counts(releases: Mapping[str, DataFrame], value: str,
     if gate is not None:
         cond = cond & gate
     exploded = u.filter(cond).select(*by, "release",
-                                     F.explode(split_list(value, sep)).alias("field_value"))
+                                     F.explode(F.split(F.col(value), re.escape(sep))).alias("_x"))
+    exploded = exploded.select(*by, "release", F.trim("_x").alias("field_value"))
     return (exploded.filter(F.col("field_value").isNotNull())
             .groupBy(*by, "field_value").agg(*_count_cols(list(releases))))
 
@@ -240,11 +242,16 @@ def release_matrix_long(releases: Mapping[str, DataFrame], fields: Mapping[str,
             ok = ok & (F.col(raw) != F.lit(EMPTY_EDUCATION_SENTINEL))
         if gate is not None:
             ok = ok & gate
-        values = split_list(v, sep) if is_list else F.array(v)
+        # list elements are trimmed after the explode (a plain expression;
+        # a trimming lambda over the array would leave code generation)
+        values = F.split(v, re.escape(sep)) if is_list else F.array(v)
         items.append(F.struct(F.lit(name).alias("field"), values.alias("vals"),
+                              F.lit(is_list).alias("is_list"),
                               F.coalesce(ok, F.lit(False)).alias("passes")))
     rows = u.select(*by, "release", F.inline(F.array(*items))).filter("passes")
-    exploded = rows.select("field", *by, "release", F.explode("vals").alias("field_value"))
+    exploded = rows.select("field", *by, "release", "is_list", F.explode("vals").alias("_x"))
+    exploded = exploded.withColumn(
+        "field_value", F.when(F.col("is_list"), F.trim("_x")).otherwise(F.col("_x")))
     return (exploded.filter(F.col("field_value").isNotNull())
             .groupBy("field", *by, "field_value").agg(*_count_cols(list(releases))))
 
