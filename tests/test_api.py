@@ -46,3 +46,21 @@ def test_versioned_release_path(spark, tmp_path):
 def test_names():
     assert clean_name("Bachelor's degree-2") == "BACHELORS_DEGREE_2"
     assert table_name("comp", "roles", "bgi soc2", "United States") == "COMP_ROLES_BGI_SOC2_UNITED_STATES"
+
+
+def test_cli_runs_the_profile_job(spark, tmp_path, capsys):
+    from vintage.__main__ import main
+    from tests.conftest import SMALL
+    # build_session reuses the running session; main() must not stop it here
+    import vintage.__main__ as cli
+    orig = cli.build_session
+    cli.build_session = lambda master: spark
+    stop = spark.stop
+    spark.stop = lambda: None
+    try:
+        assert main(["profiles", "--data", SMALL, "--out", str(tmp_path / "res")]) == 0
+    finally:
+        cli.build_session = orig
+        spark.stop = stop
+    out = capsys.readouterr().out
+    assert "comp\tok" in out and "kpi\tok" in out
