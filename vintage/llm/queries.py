@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import bpe, minhash, mixing, rules, secrets
+from vintage.llm import bpe, chunks, minhash, mixing, quality, rules, secrets, toxicity
 from vintage.llm.common import table
 
 
@@ -17,6 +17,34 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _held_out(parts: int, rest: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == rest
+
+
+def _labels(spark: SparkSession, sf_dir: str, parts: int, rest: int) -> DataFrame:
+    """The labels that may be learnt from."""
+    return table(spark, sf_dir, "labels").filter(~_held_out(parts, rest))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; fifths of the ids are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, _labels(spark, sf_dir, 5, 0), "toxic"))
+    return scored.select("doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; quarters of the ids are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.train(docs, _labels(spark, sf_dir, 4, 2), "quality"))
+    return scored.select("doc_id", _held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that repeat, with the documents and places that hold them."""
+    return chunks.repeated(table(spark, sf_dir, "documents"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document. Null text: none. Spans by code points."""
     found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -53,7 +81,10 @@ def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_secret_scans": op3_secret_scans,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
