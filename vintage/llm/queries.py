@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import bpe, chunks, minhash, mixing, quality, rules, secrets, toxicity
+from vintage.llm import bpe, chunks, embeddings, html, minhash, mixing, quality, rules, secrets, toxicity
 from vintage.llm.common import table
 
 
@@ -59,6 +59,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector (equal labels, cosine 0.93)."""
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("*", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document (two-word shingles, 0.8)."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
@@ -72,6 +78,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "p_good")])
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.train(pages)).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -86,8 +98,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": op3_secret_scans,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_source_mixing": op5_source_mixing,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
     "op10_bpe_encoding": op10_bpe_encoding,
 }
 
@@ -110,4 +124,15 @@ cut AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(floor(target) / sour
 SELECT doc_id, size, source_size, target,
     CAST(passes * size + least(size, greatest(0, CAST(floor(target) AS BIGINT) - passes * source_size - ahead)) AS BIGINT) AS taken
 FROM cut""",
+    "op6_embedding_near_dedup": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id, vec_id AS node FROM embeddings UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON l.a = r.node),
+comp AS (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIGINT) AS n_links, c.component_id,
+    e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN comp c ON c.vec_id = e.vec_id""",
 }

@@ -2,11 +2,11 @@
 
 Features are the presence of word unigrams, bigrams and skip-grams (two
 words with one or two words between them) and of word beginnings,
-lower-cased, hashed to ``2 ** BITS`` coordinates. Follow-the-regularised-leader learns on line: every
-coordinate has its own learning rate, from the squares of its own
-gradients, and the L1 term keeps a coordinate at exactly zero until its
-evidence outweighs it, so the model that is broadcast holds only the few
-coordinates that matter (bounded by ``2 ** BITS`` in any case).
+lower-cased, hashed to ``2 ** BITS`` coordinates. Follow-the-regularised-
+leader learns on line: every coordinate has its own learning rate, from the
+squares of its own gradients, and the L1 term keeps a coordinate at exactly
+zero until its evidence outweighs it, so the model that is broadcast holds
+only the few coordinates that matter (at most ``2 ** BITS`` in any case).
 
 Learning reads at most ``MAX_TRAIN`` labelled documents (all of them if
 there are fewer), those with the smallest hash of their id; this bound is a
