@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.llm import bpe, minhash, mixing, rules, secrets
-from vintage.llm.common import table
+from vintage.llm.common import ship, table
 from vintage.llm.queries import vocabulary
 from vintage.session import checkpoint_dir
 
@@ -29,6 +29,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of each group of near copies (five-word shingles, similarity 0.8 or
     more) the document with the smallest id stays; of rows with that id and
     equal text one."""
+    ship(spark)
     kept = minhash.near_duplicates(docs, shingle=5).filter("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
 
@@ -54,6 +55,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether decoding gives them back."""
+    ship(spark)
     both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), vocabulary()), vocabulary())
     return both.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"))

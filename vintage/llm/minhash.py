@@ -12,12 +12,12 @@ the similarity of 0.8 the mean distance is 8; such a pair shares no key with
 a chance of 2 in 100,000, and pairs above it less.
 
 Equal sets are one class first, so copies never meet as pairs. Within a key
-all classes are first compared with the smallest id of the key only; what
-that confirms is contracted to components, and only classes of one key that
-are still in different components are compared pairwise. A group of near
+all classes are first compared with one of them only, the one that meets
+most others under all its keys; what that confirms is contracted to components, and only classes of one key that
+are still in different components are compared pairwise (in large keys block by block, without making the pairs). A group of near
 copies, however large, is thus confirmed along a star, and no link between
 different components is lost. Pairs whose signatures differ in more than
-``FAR`` symbols are no candidates (at 0.8 a chance below 1 in 10 million);
+``FAR`` symbols are no candidates (at 0.8 a chance of 2 in 100,000);
 the others are confirmed on the full shingle sets of their texts.
 
 Defined results: null text and text without words have an empty set, link
@@ -40,7 +40,10 @@ from vintage.llm.textbatch import U, grams, hashed, mix, prefix, slices, spans
 CHUNKS, SYMBOLS, BITS, ERRORS = 8, 5, 12, 1
 #: Signature distance up to which all pairs are guaranteed to meet.
 GUARANTEED = CHUNKS * (ERRORS + 1) - 1
-FAR = 22
+FAR = 19
+#: Keys of more classes than this are compared in blocks of about ``BLOCK``.
+FEW = 48
+BLOCK = 400
 #: Rows of a minimum taken at once.
 _ROWS = 8192
 
@@ -151,6 +154,83 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
+def _crowded(members: DataFrame, classes: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different components inside large keys, found
+    without making their pairs. A key's members are split into blocks; a block
+    is held with its shingle sets while every member of a later block streams
+    by. A pair is looked at under the first key that it shares, and only
+    links that join two components of the block are returned."""
+    blocks = F.ceil(F.col("n_met") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    visits = F.when(block + 1 < blocks, F.sequence(block + 1, blocks - 1)).otherwise(F.array().cast("array<int>"))
+    places = members.withColumn("place", F.explode(F.concat(F.array(F.struct(block.alias("block"), F.lit(0).alias("visits"))), F.transform(
+        visits, lambda b: F.struct(b.alias("block"), F.lit(1).alias("visits"))))))
+    key = ["slot", "value", "block"]
+    ids = members.select("node").distinct()
+    rows = (places.select("slot", "value", "place.block", "place.visits", "node", "component")
+            .join(classes.join(ids, "node", "left_semi").select("node", *_SIG), "node")
+            .join(texts.join(ids, "node", "left_semi"), "node"))
+    rows = rows.select(*key, "visits", "node", "component", *_SIG, "text").repartition(*key).sortWithinPartitions(*key, "visits", "node")
+
+    def run(batches):
+        block, home = None, None
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(3)]))
+            visits = batch.column(3).to_pylist()
+            cuts = [0, *[i for i in range(1, len(keys)) if keys[i] != keys[i - 1] or visits[i] != visits[i - 1] or i % BLOCK == 0], len(keys)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if keys[a] != block:
+                    block, home = keys[a], None
+                part = batch.slice(a, b - a)
+                node, component = (part.column(i).to_numpy().copy() for i in (4, 5))
+                chunks = np.stack([part.column(6 + c).to_numpy() for c in range(CHUNKS)], axis=1).view(np.uint64)
+                symbols = ((chunks[:, :, None] >> (U(BITS) * np.arange(SYMBOLS, dtype=np.uint64))) & U((1 << BITS) - 1)).astype(np.uint16)
+                sets = [s for _, s in shingle_sets(part.column(6 + CHUNKS), shingle)]
+                now = (node, component, symbols, sets, np.array([len(s) for s in sets]))
+                linked = []
+                if home is not None:
+                    linked += _compared(home, now, block[0], percent)
+                if not visits[a]:
+                    linked += _compared(now, now, block[0], percent)
+                    home = now if home is None else tuple(x + y if isinstance(x, list) else np.concatenate([x, y]) for x, y in zip(home, now))
+                if linked:
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in linked]), pa.array([y for _, y in linked])], names=["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _compared(x: tuple, y: tuple, slot: int, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of ``x`` and of ``y`` that join different components."""
+    differ = (x[2].reshape(len(x[0]), 1, -1) != y[2].reshape(1, len(y[0]), -1)).sum(axis=2)
+    small, large = np.minimum.outer(x[4], y[4]), np.maximum.outer(x[4], y[4])
+    i, j = np.nonzero((differ <= FAR) & (small * 100 >= large * percent) & (x[1][:, None] != y[1][None, :]) & (x[0][:, None] != y[0][None, :]))
+    if not len(i):
+        return []
+    errors = x[2][i] != y[2][j]
+    shares = errors.sum(axis=2) <= ERRORS
+    chunk = shares.argmax(axis=1)
+    first = chunk * SYMBOLS + errors[np.arange(len(i)), chunk].argmax(axis=1)
+    keep = shares.any(axis=1) & (first == slot)
+    parent: dict[int, int] = {}
+
+    def find(c):
+        while parent.get(c, c) != c:
+            c = parent[c]
+        return c
+
+    out = []
+    for p, q in zip(i[keep].tolist(), j[keep].tolist()):
+        a, b = find(int(x[1][p])), find(int(y[1][q]))
+        if a != b:
+            both = len(np.intersect1d(x[3][p], y[3][q], assume_unique=True))
+            if 100 * both >= percent * (x[4][p] + y[4][q] - both):
+                parent[max(a, b)] = min(a, b)
+                out.append((int(x[0][p]), int(y[0][q])))
+    return out
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
@@ -158,22 +238,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = checkpointed(rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), *[F.max(c).alias(c) for c in _SIG]))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
-    shared = _keys(classes).groupBy("slot", "value").agg(F.min("node").alias("head"), F.max("node").alias("tail")).filter("head < tail")
-    met = checkpointed(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "head"))
+    shared = (_keys(classes).groupBy("slot", "value").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_met"))
+              .filter("lo < hi").select("slot", "value", "n_met"))
+    met = checkpointed(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "n_met"))
+    # the text that meets most others under all its keys heads each of them:
+    # of a text and its altered copies that is the text they all come from
+    popular = met.groupBy("node").agg(F.struct(F.sum("n_met").alias("n_met"), (-F.col("node")).alias("id")).alias("rank"))
+    ranked = met.select("slot", "value", "node").join(popular, "node")
+    heads = ranked.groupBy("slot", "value").agg((-F.max("rank")["id"]).alias("head"))
+    met = checkpointed(met.select("slot", "value", "node").join(heads, ["slot", "value"]))
 
     star = checkpointed(_close(met.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), classes, percent))
     links = checkpointed(confirm(star, _needed(texts, star), shingle, percent))
     first = checkpointed(graph.components(links))
 
     placed = met.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
-    rest = placed.join(mixed.select("slot", "value"), ["slot", "value"], "left_semi").select("slot", "value", "node", "component")
+    mixed = (placed.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_met"))
+             .filter("lo < hi").select("slot", "value", "n_met"))
+    rest = checkpointed(placed.select("slot", "value", "node", "component").join(mixed, ["slot", "value"]))
+    crowd = _crowded(rest.filter(F.col("n_met") > FEW), classes, texts, shingle, percent)
+    rest = rest.filter(F.col("n_met") <= FEW)
     other = rest.select("slot", "value", F.col("node").alias("b"), F.col("component").alias("b_component"))
     pairs = (rest.join(other, ["slot", "value"]).filter("node < b and component <> b_component")
              .select(F.col("node").alias("a"), "b").distinct())
-    late = checkpointed(_close(pairs, classes, percent).join(
-        star.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
-    links = links.union(confirm(late, _needed(texts, late), shingle, percent))
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    late = checkpointed(_close(pairs, classes, percent).join(tried, ["a", "b"], "left_anti"))
+    links = links.union(confirm(late, _needed(texts, late), shingle, percent)).union(crowd)
     whole = graph.components(links)
 
     named = classes.join(whole, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
