@@ -125,9 +125,18 @@ SELECT CAST(year(o_orderdate) AS STRING) AS year_label,
        CAST(count(CASE WHEN month(o_orderdate) = 1 THEN 1 END) AS DOUBLE) / 8 AS Jan,
        CAST(count(CASE WHEN month(o_orderdate) = 2 THEN 1 END) AS DOUBLE) / 8 AS Feb,
        CASE WHEN year(o_orderdate) = 1997 THEN NULL
-            ELSE CAST(count(CASE WHEN month(o_orderdate) = 3 THEN 1 END) AS DOUBLE) / 8 END AS Mar
+            ELSE CAST(count(CASE WHEN month(o_orderdate) = 3 THEN 1 END) AS DOUBLE) / 8 END AS Mar,
+       CAST(count(CASE WHEN month(o_orderdate) = 4 THEN 1 END) AS DOUBLE) / 8 AS Apr,
+       CAST(count(CASE WHEN month(o_orderdate) = 5 THEN 1 END) AS DOUBLE) / 8 AS May,
+       CAST(count(CASE WHEN month(o_orderdate) = 6 THEN 1 END) AS DOUBLE) / 8 AS Jun,
+       CAST(count(CASE WHEN month(o_orderdate) = 7 THEN 1 END) AS DOUBLE) / 8 AS Jul,
+       CAST(count(CASE WHEN month(o_orderdate) = 8 THEN 1 END) AS DOUBLE) / 8 AS Aug,
+       CAST(count(CASE WHEN month(o_orderdate) = 9 THEN 1 END) AS DOUBLE) / 8 AS Sep,
+       CAST(count(CASE WHEN month(o_orderdate) = 10 THEN 1 END) AS DOUBLE) / 8 AS Oct,
+       CAST(count(CASE WHEN month(o_orderdate) = 11 THEN 1 END) AS DOUBLE) / 8 AS Nov,
+       CAST(count(CASE WHEN month(o_orderdate) = 12 THEN 1 END) AS DOUBLE) / 8 AS Dec
 FROM orders GROUP BY year(o_orderdate)
-UNION ALL SELECT 'Original Data Value', NULL, NULL, NULL""",
+UNION ALL SELECT 'Original Data Value', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""",
     "fx_bench_map": """
 SELECT 'B' || CAST(n_nationkey % 4 AS STRING) AS bls_code, 'Sector ' || CAST(n_nationkey % 4 AS STRING) AS industry,
        CAST(n_nationkey % 8 AS STRING) AS naics2_code, CAST(0.05 * (1 + n_nationkey % 4) AS DOUBLE) AS bls_pct
@@ -628,9 +637,9 @@ GROUP BY s.series_id, m.state"""
 
 def _wide_unpivot() -> str:
     return """SELECT make_date(CAST(TRY_CAST(year_label AS DOUBLE) AS INTEGER),
-      CASE month_name WHEN 'Jan' THEN 1 WHEN 'Feb' THEN 2 WHEN 'Mar' THEN 3 END, 1) AS month,
+      CASE month_name WHEN 'Jan' THEN 1 WHEN 'Feb' THEN 2 WHEN 'Mar' THEN 3 WHEN 'Apr' THEN 4 WHEN 'May' THEN 5 WHEN 'Jun' THEN 6 WHEN 'Jul' THEN 7 WHEN 'Aug' THEN 8 WHEN 'Sep' THEN 9 WHEN 'Oct' THEN 10 WHEN 'Nov' THEN 11 WHEN 'Dec' THEN 12 END, 1) AS month,
   CAST(trunc(value * 1000) AS BIGINT) AS posting_count
-FROM (UNPIVOT fx_bench_wide ON Jan, Feb, Mar INTO NAME month_name VALUE value)
+FROM (UNPIVOT fx_bench_wide ON Jan, Feb, Mar, Apr, May, Jun, Jul, Aug, Sep, Oct, Nov, Dec INTO NAME month_name VALUE value)
 WHERE TRY_CAST(year_label AS DOUBLE) IS NOT NULL AND value IS NOT NULL"""
 
 

@@ -3,7 +3,6 @@
 from vintage.functions import expr as X
 from vintage.operators import reshape as rs
 from vintage.operators.joins import lookup, norm_join
-from vintage.plans.publish import clean_name, table_name
 from vintage.sources.tables import read_release
 
 
@@ -43,18 +42,13 @@ def test_versioned_release_path(spark, tmp_path):
     assert read_release(spark, str(tmp_path), "v5", "experience").count() == 1
 
 
-def test_names():
-    assert clean_name("Bachelor's degree-2") == "BACHELORS_DEGREE_2"
-    assert table_name("comp", "roles", "bgi soc2", "United States") == "COMP_ROLES_BGI_SOC2_UNITED_STATES"
-
-
 def test_cli_runs_the_profile_job(spark, tmp_path, capsys):
     from vintage.__main__ import main
     from tests.conftest import SMALL
     # build_session reuses the running session; main() must not stop it here
     import vintage.__main__ as cli
     orig = cli.build_session
-    cli.build_session = lambda master: spark
+    cli.build_session = lambda *a, **k: spark
     stop = spark.stop
     spark.stop = lambda: None
     try:

@@ -1,12 +1,12 @@
 """Run a whole comparison job and print its manifest.
 
-    python -m vintage profiles --data /path/to/dataset [--out /shared/results]
-    python -m vintage postings --data /path/to/dataset [--out /shared/results]
+    python -m vintage profiles --data /path/to/dataset [--out /shared/results] --master 'local[*]'
+    spark-submit --py-files vintage.zip vintage/__main__.py postings --data hdfs:///dataset
 
-On a cluster, submit with ``spark-submit -m vintage ...`` or call
-``vintage.plans.publish.publish_profile_matrix`` / ``publish_postings`` from
-the driver program; the session's ``spark.checkpoint.dir`` is used for
-staging and, without ``--out``, for the results.
+Without ``--master`` the master and all sizes are those of the submitted
+session; the job sets neither. The session's ``spark.checkpoint.dir`` is used
+for staging and, without ``--out``, for the results; it must be set unless
+the master is local.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("job", choices=["profiles", "postings"])
     ap.add_argument("--data", required=True, help="dataset directory (one parquet file per table)")
     ap.add_argument("--out", default=None, help="result folder (default: under spark.checkpoint.dir)")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", default=None, help="only for runs that are not submitted, such as local[*]")
     args = ap.parse_args(argv)
-    spark = build_session(args.master)
+    spark = build_session(args.master, shuffle_partitions=8 if args.master else None)
     run = publish_profile_matrix if args.job == "profiles" else publish_postings
     rows = run(spark, args.data, args.out).collect()
     for r in rows:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import not_ilike_any, pct_round, safe_div, ts_lit
-from vintage.operators.distribution import TOTAL_TOKEN as _TOTAL, union_all
+from vintage.operators.distribution import union_all
 
 UNCLASSIFIED = ("%unclassified%",)
 # Fixed value: raw education text that means "no entry".
@@ -193,16 +193,11 @@ def stint_industry_share(releases: Mapping[str, DataFrame], bench_map: DataFrame
                  & (F.col(country[0]) == F.lit(country[1]))
                  & (F.col(start) <= ts_lit(period_start))
                  & ((F.col(end) >= ts_lit(period_end)) | F.col(end).isNull()))
-    # One row per (release, person) with the person's codes; each person
-    # emits its codes plus one total token, so the per-code and the overall
-    # distinct counts come from one aggregation (one scan, one exchange on
-    # (release, person)).
-    per_person = u.groupBy("release", person).agg(F.collect_set(code).alias("codes"))
-    tokens = F.concat("codes", F.array(F.lit(_TOTAL)))
-    agg = (per_person.select("release", F.explode(tokens).alias("tok"))
-           .groupBy("release", "tok").agg(F.count(F.lit(1)).alias("n")))
-    per_code = agg.filter(F.col("tok") != _TOTAL).select("release", F.col("tok").alias(code), "n")
-    total = agg.filter(F.col("tok") == _TOTAL).select("release", F.col("n").alias("ttl"))
+    # distinct (release, person, code) rows; a NULL person is nobody
+    held = u.select("release", person, code).distinct()
+    per_code = held.groupBy("release", code).agg(F.count(person).alias("n"))
+    total = (held.filter(F.col(person).isNotNull()).select("release", person).distinct()
+             .groupBy("release").agg(F.count(F.lit(1)).alias("ttl")))
     names = list(releases)
     shares = (per_code.join(F.broadcast(total), "release")
               .withColumn("perc", F.col("n") / F.col("ttl")))

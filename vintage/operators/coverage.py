@@ -18,11 +18,12 @@ def coverage(sources: Sequence[Source], field: FieldSpec, period: Period | None)
 
     ``total``: distinct ids in scope (extra predicates applied, enrichment
     joins not, S9). ``covered``: distinct ids with a present, non-excluded
-    value. One scan per source: the tagged rows are reduced to one row per
-    (source, id) (one exchange on that pair, which spreads a hot source over
-    all tasks, after map-side partial aggregation), then counted per source.
+    value. A NULL id is no entity and counts in neither. One scan per source:
+    the tagged rows are reduced to one row per (source, id) (one exchange on
+    that pair, which spreads a hot source over all tasks, after map-side
+    partial aggregation), then counted per source.
     """
-    ids = tagged(sources, field, period).groupBy("source", "id").agg(
+    ids = tagged(sources, field, period).filter(F.col("id").isNotNull()).groupBy("source", "id").agg(
         F.max(F.col("field_value").isNotNull()).alias("covered"))
     per_source = ids.groupBy("source").agg(
         F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))

@@ -7,13 +7,10 @@ Plan shape, whatever the number of sources:
   projected ONCE to ``(source, id, field_value)``, where ``field_value`` is
   NULL for rows that do not count (absent or excluded value); the
   projections are unioned, so every source is scanned once per query;
-* that frame is reduced to one row per (source, id) carrying the id's
-  distinct values (an exchange on (source, id): well spread even when one
-  source or one value holds a third of the rows, with map-side partial
-  aggregation before it);
-* the per-value counts and the per-source totals come from one aggregation
-  (each id emits its values plus one "total" token), so the scan and the
-  (source, id) exchange run once for both;
+* that frame is reduced to its distinct (source, id, field_value) rows with
+  map-side partial aggregation; the per-value counts are one more partial
+  aggregation over them, the per-source totals a distinct on (source, id);
+  NULL ids are entities in neither;
 * totals are one row per source and joined with a broadcast bounded by the
   number of sources, a parameter, not the data;
 * the per-value rows are turned wide by conditional aggregation over the
@@ -72,39 +69,26 @@ def every_source(df: DataFrame, names: Sequence[str], fills: dict) -> DataFrame:
 
 
 def per_id(t: DataFrame) -> DataFrame:
-    """One row per (source, id) with the id's distinct counted values
-    (``vals``, empty when none). An id has one value per field, or a few
-    when the source repeats it, so the set stays small."""
-    return t.groupBy("source", "id").agg(F.collect_set("field_value").alias("vals"))
-
-
-# Token emitted once per id beside its values, so one aggregation yields the
-# per-value counts and the per-source id total together.
-TOTAL_TOKEN = "\u0000total"
-_TOTAL = TOTAL_TOKEN
-
-
-def _token_counts(ids: DataFrame) -> DataFrame:
-    tokens = F.concat("vals", F.array(F.lit(_TOTAL)))
-    return (ids.select("source", F.explode(tokens).alias("token"))
-            .groupBy("source", "token").agg(F.count(F.lit(1)).alias("n")))
+    """Distinct ``(source, id, field_value)``: plain hash aggregation on all
+    three, so neither a hot source nor a placeholder or NULL id gathers its
+    values in one group."""
+    return t.select("source", "id", "field_value").distinct()
 
 
 def counts_and_totals(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(source, field_value, n)`` distinct ids per value, and ``(source,
-    total)`` distinct ids in scope, from one aggregation over ``ids``: both
-    frames read the same (source, id) exchange, which Spark then runs once."""
-    agg = _token_counts(ids)
-    counts = agg.filter(F.col("token") != _TOTAL).select(
-        "source", F.col("token").alias("field_value"), "n")
-    totals = agg.filter(F.col("token") == _TOTAL).select("source", F.col("n").alias("total"))
-    return counts, totals
+    total)`` distinct ids in scope. A NULL id is no entity: it adds nothing
+    to a count or total, but a value that only NULL ids hold stays as a 0
+    row, as ``COUNT(DISTINCT id)`` gives it."""
+    totals = (ids.filter(F.col("id").isNotNull()).select("source", "id").distinct()
+              .groupBy("source").agg(F.count(F.lit(1)).alias("total")))
+    return counts_from_ids(ids), totals
 
 
 def counts_from_ids(ids: DataFrame) -> DataFrame:
     """``(source, field_value, n)``: distinct ids per value."""
-    return (ids.select("source", F.explode("vals").alias("field_value"))
-            .groupBy("source", "field_value").agg(F.count(F.lit(1)).alias("n")))
+    return (ids.filter(F.col("field_value").isNotNull())
+            .groupBy("source", "field_value").agg(F.count("id").alias("n")))
 
 
 def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | None,
@@ -212,28 +196,20 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
     """P11 for many fields in one job: ``(field, field_value, {src}_count,
     {src}_frac ...)``.
 
-    One scan per table and ONE exchange of one row per (source, id) holding
-    every field's value set (not one row per field), then per field the
-    values plus a total token are exploded and counted (partial aggregation
-    first). Totals per (source, field) are broadcast (bounded by sources x
-    fields, both parameters)."""
+    One scan per table. Each row gives one (field, value) pair per field it
+    is in scope of; the pairs are reduced to distinct (source, field, id,
+    value) rows, from which values and totals are counted by partial
+    aggregation; no id gathers its values in one group. Totals per (source,
+    field) are broadcast (bounded by sources x fields, both parameters)."""
     rows = _matrix_rows(sources, fields, period)
-    aggs = []
-    for i in range(len(fields)):
-        aggs += [F.collect_set(f"_v_{i}").alias(f"_vals_{i}"), F.max(f"_in_{i}").alias(f"_in_{i}")]
-    ids = rows.groupBy("source", "id").agg(*aggs)
-    empty = F.array().cast("array<string>")
-    items = [F.struct(F.lit(f.name).alias("field"),
-                      F.concat(F.col(f"_vals_{i}"),
-                               F.when(F.col(f"_in_{i}"), F.array(F.lit(_TOTAL))).otherwise(empty))
-                      .alias("tokens"))
-             for i, f in enumerate(fields)]
-    per_field = ids.select("source", F.inline(F.array(*items)))
-    agg = (per_field.select("source", "field", F.explode("tokens").alias("token"))
-           .groupBy("source", "field", "token").agg(F.count(F.lit(1)).alias("n")))
-    counts = agg.filter(F.col("token") != _TOTAL).select(
-        "source", "field", F.col("token").alias("field_value"), "n")
-    totals = agg.filter(F.col("token") == _TOTAL).select("source", "field", F.col("n").alias("total"))
+    items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_in_{i}").alias("in_scope"),
+                      F.col(f"_v_{i}").cast("string").alias("field_value")) for i, f in enumerate(fields)]
+    ids = (rows.select("source", "id", F.inline(F.array(*items))).filter("in_scope")
+           .select("source", "field", "id", "field_value").distinct())
+    counts = (ids.filter(F.col("field_value").isNotNull())
+              .groupBy("source", "field", "field_value").agg(F.count("id").alias("n")))
+    totals = (ids.filter(F.col("id").isNotNull()).select("source", "field", "id").distinct()
+              .groupBy("source", "field").agg(F.count(F.lit(1)).alias("total")))
     long_df = (counts.join(F.broadcast(totals), ["source", "field"], "left")
                .withColumn("frac", frac_or_zero("n", "total")))
     names = [s.name for s in sources]
@@ -247,8 +223,9 @@ def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                     period: Period | None) -> DataFrame:
     """P10 for many fields in one job: ``(source, field, total, covered)``.
     One row per (source, id) with two flags per field crosses the exchange;
-    the per-source counts are unpivoted afterwards."""
-    rows = _matrix_rows(sources, fields, period)
+    the per-source counts are unpivoted afterwards. A NULL id is no entity;
+    a source with nothing in scope reports 0 / 0 for every field."""
+    rows = _matrix_rows(sources, fields, period).filter(F.col("id").isNotNull())
     aggs = []
     for i in range(len(fields)):
         aggs += [F.max(f"_in_{i}").alias(f"_in_{i}"),
@@ -257,7 +234,9 @@ def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
     counts = []
     for i in range(len(fields)):
         counts += [F.count_if(f"_in_{i}").alias(f"_t_{i}"), F.count_if(f"_cov_{i}").alias(f"_c_{i}")]
-    per_source = ids.groupBy("source").agg(*counts)
+    zero = F.lit(0).cast("bigint")
+    per_source = every_source(ids.groupBy("source").agg(*counts), [s.name for s in sources],
+                              {f"_{x}_{i}": zero for i in range(len(fields)) for x in ("t", "c")})
     items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_t_{i}").alias("total"),
                       F.col(f"_c_{i}").alias("covered")) for i, f in enumerate(fields)]
     return per_source.select("source", F.inline(F.array(*items)))

@@ -77,21 +77,19 @@ def pp_diff_pairs(dist: DataFrame, pairs: Sequence[tuple[str, str]], k: int = 15
 
 
 def long_view(df: DataFrame, value_cols: Mapping[str, str], sort_col: str | None = None,
-              ladder: Sequence[str] | None = None, k: int = 25) -> DataFrame:
+              ladder: Sequence[str] | None = None) -> DataFrame:
     """Wide counts -> long ``(field_value, version, value, sort_rank)``
-    for plotting. NULL values get a visible label (X25); columns are
-    renamed to display labels (R3); ``sort_rank`` follows a fixed ladder
-    when given (others after it, T8), else the ``sort_col`` count, largest
-    first, keeping the ``k`` largest (the rows a chart shows; the ranking
-    window then spans at most ``k`` rows)."""
+    for plotting; every row comes back. NULL values get a visible label
+    (X25); columns are renamed to display labels (R3). ``sort_rank`` is the
+    sort key, ascending: the place on a fixed ladder when given (others
+    after it, T8), else minus the ``sort_col`` count, so that the largest
+    come first. Ranking or a top-k is left to the caller (``top_k_per_group``)."""
     labelled = df.withColumn("field_value", null_label("field_value"))
     if ladder:
         pos = F.array_position(F.array(*[F.lit(x) for x in ladder]), F.col("field_value"))
         rank = F.when(pos > 0, pos).otherwise(F.lit(len(ladder) + 1)).cast("bigint")
     else:
-        order = [F.col(sort_col).desc(), F.col("field_value").asc()]
-        labelled = labelled.orderBy(*order).limit(k)
-        rank = F.row_number().over(Window.orderBy(*order)).cast("bigint")
+        rank = (-F.col(sort_col)).cast("bigint")
     labelled = labelled.withColumn("sort_rank", rank)
     stacked = labelled.unpivot(["field_value", "sort_rank"], list(value_cols), "version", "value")
     m = F.create_map(*[F.lit(x) for kv in value_cols.items() for x in kv])

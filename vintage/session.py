@@ -21,14 +21,18 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "vintage", extra: dict | None = None) -> SparkSession:
-    """Local session for tests and the bench; on a cluster the submitter
-    owns the session and only ``BASE_CONF`` needs to be applied."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Local session for tests and the bench. With ``master=None`` (and
+    ``shuffle_partitions=None``) the submitter owns master and sizes, and
+    only ``BASE_CONF`` is applied."""
+    builder = SparkSession.builder.appName(app_name)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = "16g"
+    if master is not None:
+        builder = builder.master(master)
+        conf["spark.driver.memory"] = "16g"
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -41,11 +45,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the submitter sets it to shared storage and we only read
-    it. Where it is unset (local tests) a fresh scratch folder is created
-    and registered for the session.
+    it; where it is unset there, that is an error, as executors cannot share
+    a folder of the driver. With a local master a fresh scratch folder is
+    created and registered for the session.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not d and not sc.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a shared folder when the master is not local")
     if not d:
         d = tempfile.mkdtemp(prefix="vintage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not sc.getCheckpointDir():

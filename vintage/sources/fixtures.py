@@ -232,12 +232,13 @@ class Recipes:
         def month_count(i):
             return F.count(F.when(m == i, 1)).cast("double") / 8
 
-        agg = o.groupBy(y.alias("y")).agg(
-            month_count(1).alias("Jan"), month_count(2).alias("Feb"), month_count(3).alias("Mar"))
-        body = agg.select(F.col("y").cast("string").alias("year_label"), "Jan", "Feb",
-                          F.when(F.col("y") == 1997, F.lit(None)).otherwise(F.col("Mar")).alias("Mar"))
-        note = self.spark.createDataFrame([("Original Data Value", None, None, None)],
-                                          "year_label string, Jan double, Feb double, Mar double")
+        names = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+        agg = o.groupBy(y.alias("y")).agg(*[month_count(i + 1).alias(n) for i, n in enumerate(names)])
+        body = agg.select(F.col("y").cast("string").alias("year_label"),
+                          *[F.when(F.col("y") == 1997, F.lit(None)).otherwise(F.col(n)).alias(n) if n == "Mar"
+                            else F.col(n) for n in names])
+        note = self.spark.createDataFrame([("Original Data Value", *[None] * 12)],
+                                          "year_label string, " + ", ".join(f"{n} double" for n in names))
         return body.unionByName(note)
 
     def bench_map(self) -> DataFrame:
