@@ -152,7 +152,9 @@ def judge(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None
     Measures are written once to the shared folder, without the texts when
     ``keep`` leaves them out, so that fitting and judging read them there."""
     keep = docs.columns if keep is None else keep
-    prefix, = fresh(docs, "m_")
+    have, prefix = {c.lower() for c in docs.columns}, "m_"
+    while any(prefix + m in have for m in MEASURES):
+        prefix = "_" + prefix
     rows = measured(docs.select(*keep, *([] if text_col in keep else [text_col])), text_col, prefix).select(
         *keep, *[prefix + m for m in MEASURES])
     if text_col not in keep:
