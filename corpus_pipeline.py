@@ -56,7 +56,7 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text, and whether decoding gives them back."""
     ship(spark)
-    both = bpe.decode(bpe.encode(docs.select("doc_id", "source", "text"), vocabulary()), vocabulary())
+    both = bpe.encode(docs.select("doc_id", "source", "text"), vocabulary(), decoded_col="decoded")
     return both.select("doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -412,6 +412,8 @@ def test_bpe_is_the_library(spark, documents):
         ids = ref.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
         assert bytes(r.ids) == struct.pack(f"<{len(ids)}I", *ids), texts[r.doc_id]
         assert r.decoded == ref.decode(ids, skip_special_tokens=False)
+    at_once = bpe.encode(frame(spark, texts), vocabulary(), decoded_col="decoded").collect()
+    assert sorted(map(tuple, at_once)) == sorted(map(tuple, both))
 
 
 def test_bpe_query_digests(spark, documents):
@@ -420,6 +422,7 @@ def test_bpe_query_digests(spark, documents):
     for r in QUERIES["op10_bpe_encoding"](spark, SMALL).collect():
         ids = ref.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(ref.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
 # ---------------------------------------------------------------- utilities

@@ -87,7 +87,7 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, vocabulary()), vocabulary())
+    both = bpe.encode(docs, vocabulary(), decoded_col="decoded")
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
