@@ -141,10 +141,9 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> D
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left = [s for _, s in shingle_sets(batch.column(2), shingle)]
-            right = [s for _, s in shingle_sets(batch.column(3), shingle)]
+            left, right = shingle_sets(batch.column(2), shingle), shingle_sets(batch.column(3), shingle)
             keep = []
-            for x, y in zip(left, right):
+            for (_, x), (_, y) in zip(left, right):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
