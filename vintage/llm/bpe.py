@@ -193,6 +193,11 @@ class WordBpe:
             out += [memo(w) or fresh(w) for w in found]
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Empty the memos: a worker kept for later stages holds only the tables."""
+        self._memo.clear()
+        self._fits.clear()
+
     def decode(self, ids: bytes) -> str:
         """The tokens' strings joined by blanks (the file names no decoder)."""
         tokens = self.tokens
@@ -245,6 +250,7 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", ids_col: st
                 ids = [bpe.encode(t) for t in part.column(part.schema.get_field_index(text_col)).to_pylist()]
                 out = _replaced(part, text_col, ids_col, pa.array(ids, pa.binary()))
                 yield _added(out, decoded_col, pa.array([bpe.decode(b) for b in ids], pa.string())) if decoded_col else out
+        bpe.forget()
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col]
                        + [f"`{ids_col}` binary"] + ([f"`{decoded_col}` string"] if decoded_col else []))
