@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import half_even, map_lookup, pct_round, pct_round_even, to_number
@@ -170,39 +170,29 @@ def state_share(sources: Sequence[Source], field: FieldSpec, period: Period,
     benchmark's states, rounds half-to-even and leaves a missing state NULL
     (``measure='rows', total_scope='benchmark', rounding='half_even'``).
     """
+    if total_scope not in ("all", "benchmark"):
+        raise ValueError(f"total_scope must be 'all' or 'benchmark', not {total_scope!r}")
     rnd = pct_round if rounding == "half_up" else pct_round_even
     counts = value_counts(sources, field, period, measure).withColumnRenamed("field_value", "state")
     b = bench.select("state", F.col("bench_count").cast("bigint").alias("bench_count"))
+    if total_scope == "benchmark":
+        counts = counts.join(b.select("state"), "state", "left_semi")
+    tot = counts.groupBy("source").agg(F.sum("n").alias("total"))
+    shares = counts.join(F.broadcast(tot), "source").select(
+        "source", "state", "n", F.when(F.col("total") > 0, rnd("n", "total", 1)).alias("pct"))
     names = [s.name for s in sources]
-    btot = F.sum("bench_count").over(_all())
+    out = b.join(wide(shares, ["state"], "source", names, {"n": None, "pct": None}), "state", "left")
+    btot = b.agg(F.sum("bench_count").alias("total")).scalar()
     cols = [F.col("state"), F.col("bench_count"),
             F.when(btot > 0, rnd(F.col("bench_count"), btot, 1)).otherwise(0.0).alias("bench_pct")]
-    if total_scope == "all":
-        tot = counts.groupBy("source").agg(F.sum("n").alias("total"))
-        shares = counts.join(F.broadcast(tot), "source").select(
-            "source", "state", "n",
-            F.when(F.col("total") > 0, rnd("n", "total", 1)).otherwise(F.lit(0.0)).alias("pct"))
-        out = b.join(wide(shares, ["state"], "source", names, {"n": 0, "pct": 0.0}), "state", "left")
-        for n in names:
-            cols += [F.coalesce(F.col(f"{n}_n"), F.lit(0)).cast("bigint").alias(f"{n}_count"),
-                     F.coalesce(F.col(f"{n}_pct"), F.lit(0.0)).alias(f"{n}_pct")]
-    elif total_scope == "benchmark":
-        out = b.join(wide(counts, ["state"], "source", names, {"n": None}), "state", "left")
-        for n in names:
-            c = F.col(f"{n}_n")
-            cols += [c.cast("bigint").alias(f"{n}_count"),
-                     rnd(c, F.sum(c).over(_all()), 1).alias(f"{n}_pct")]
-    else:
-        raise ValueError(f"total_scope must be 'all' or 'benchmark', not {total_scope!r}")
+    for n in names:
+        count, pct = F.col(f"{n}_n"), F.col(f"{n}_pct")
+        if total_scope == "all":
+            count, pct = F.coalesce(count, F.lit(0)), F.coalesce(pct, F.lit(0.0))
+        cols += [count.cast("bigint").alias(f"{n}_count"), pct.alias(f"{n}_pct")]
     return out.select(*cols)
 
 
-def _all():
-    """Window over a whole (aggregated, label-bounded) frame: a total beside
-    each row without a second job or a cross join."""
-    return Window.partitionBy()
-
-
 def share_comparison(sources: Sequence[Source], field: FieldSpec, period: Period,
                      bench: DataFrame | None, label: str, bench_name: str = "benchmark",
                      measure: str = "distinct") -> DataFrame:
@@ -265,6 +255,6 @@ def imputed_industry(postings: DataFrame, imputed: DataFrame, employers: DataFra
     h = hierarchy.select(F.col("naics6").alias("emp_naics6"), "naics2_name")
     counts = j.join(h, "emp_naics6").groupBy("naics2_name").agg(
         F.count(F.lit(1)).alias("posting_count"))
-    total = F.sum("posting_count").over(_all())
+    total = counts.agg(F.sum("posting_count").alias("total")).scalar()
     return counts.select("naics2_name", "posting_count",
                          (F.col("posting_count") / total * 100).alias("pct"))

@@ -30,13 +30,17 @@ def wide(df: DataFrame, keys: Sequence[str], label: str, labels: Sequence[str],
 
 def pivot_unique(df: DataFrame, keys: Sequence[str], label: str, labels: Sequence[str],
                  value: str, check: bool = False) -> DataFrame:
-    """R2: long -> wide with one value per cell (``first``). With ``check``
-    the cells are verified unique first (one small aggregation job) and a
-    duplicate raises, as pandas' pivot does (S14)."""
-    if check and duplicate_cells(df, keys, label).limit(1).count() > 0:
-        raise ValueError(f"pivot cells not unique for keys {list(keys)} x {label}")
-    aggs = [F.first(F.when(F.col(label) == F.lit(lab), F.col(value)), ignorenulls=True).alias(lab)
-            for lab in labels]
+    """R2: long -> wide with one value per cell. With ``check`` the same
+    aggregation counts each cell's rows, and a cell of two or more raises
+    when the result is computed, as pandas' pivot does (S14)."""
+    aggs = []
+    for lab in labels:
+        here = F.col(label) == F.lit(lab)
+        cell = F.first(F.when(here, F.col(value)), ignorenulls=True)
+        if check:
+            clash = F.raise_error(F.lit(f"pivot cells not unique for keys {list(keys)} x {label}: {lab}"))
+            cell = F.when(F.count_if(here) > 1, clash.cast(df.schema[value].dataType)).otherwise(cell)
+        aggs.append(cell.alias(lab))
     return df.groupBy(*keys).agg(*aggs)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
 from vintage.operators.distribution import every_source, union_all
-from vintage.operators.median import histogram, median_from_ranked, ranked
+from vintage.operators.median import histogram, summary
 
 
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
@@ -61,10 +61,10 @@ def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame,
         rows = rows.unionByName(direct_salaries(direct))
     hist = histogram(rows, ["source"], "yearly", weight="c")
     names = list(postings) + list(direct or {})
-    summary = every_source(_summary(hist, ["source"]), names, {
+    found = every_source(_summary(hist, ["source"]), names, {
         "min_salary": None, "max_salary": None, "avg_salary": None, "median_salary": None,
         "n_postings_with_salary": F.lit(0).cast("bigint"), "n_values": F.lit(0).cast("bigint")})
-    return summary.select(
+    return found.select(
         "source", "min_salary", "max_salary", "avg_salary",
         F.round("median_salary", 2).alias("median_salary"),
         "n_postings_with_salary", "n_values")
@@ -97,16 +97,12 @@ def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame,
 
 def _summary(hist: DataFrame, keys: list[str]) -> DataFrame:
     """min / max / mean / median / row counts per group, all from one value
-    histogram, checkpointed once, so the postings-salary join behind it
-    runs once and the median's ranks are stable."""
-    hist = ranked(hist, keys)
-    v, c = F.col("_v"), F.col("_c")
-    basic = hist.groupBy(*keys).agg(
-        F.min(v).alias("min_salary"), F.max(v).alias("max_salary"),
-        F.round(F.sum(v * c) / F.sum(F.when(v.isNotNull(), c)), 2).alias("avg_salary"),
-        F.sum(c).alias("n_postings_with_salary"),
-        F.coalesce(F.sum(F.when(v.isNotNull(), c)), F.lit(0)).alias("n_values"))
-    return basic.join(median_from_ranked(hist, keys, "median_salary"), keys, "left")
+    histogram, so the postings-salary join behind it runs once."""
+    return summary(hist, keys).select(
+        *keys, F.col("_min").alias("min_salary"), F.col("_max").alias("max_salary"),
+        F.round(F.col("_sum") / F.when(F.col("_n") > 0, F.col("_n")), 2).alias("avg_salary"),
+        F.col("_median").alias("median_salary"), F.col("_rows").alias("n_postings_with_salary"),
+        F.col("_n").alias("n_values"))
 
 
 def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, country_col: str,
