@@ -77,7 +77,10 @@ SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE status WHEN 'F' THEN 'No Education Found' WHEN 'P' THEN 'High School/GED' ELSE 'Doctorate Degree' END AS min_degree,
        CASE WHEN job_id % 13 = 0 THEN NULL ELSE prio END AS onet_code,
        CASE WHEN job_id % 19 = 0 THEN NULL ELSE nation_name END AS state,
-       segment AS city
+       segment AS city,
+       CASE WHEN job_id % 13 = 0 THEN NULL WHEN job_id % 17 = 1 THEN 'Unclassified occupation' ELSE upper(prio) || ' ' END AS onet_name,
+       CASE WHEN job_id % 29 = 0 THEN NULL ELSE nation_name || ' Metro' END AS msa,
+       CASE WHEN custkey % 21 = 0 THEN NULL WHEN custkey % 21 = 1 THEN ' unclassified title' ELSE segment || ' ' || status END AS title
 FROM fx_orders_geo WHERE post_date < TIMESTAMP '2001-07-01'""",
     "fx_postings_v2": """
 SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
@@ -87,7 +90,10 @@ SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE status WHEN 'F' THEN 'None' WHEN 'P' THEN 'High School/GED' ELSE 'Doctorate Degree' END AS min_degree,
        CASE WHEN job_id % 11 = 0 THEN NULL WHEN job_id % 5 = 0 THEN '1-URGENT' ELSE prio END AS onet_code,
        CASE WHEN job_id % 23 = 0 THEN NULL ELSE nation_name END AS state,
-       segment AS city
+       segment AS city,
+       CASE WHEN job_id % 11 = 0 THEN NULL ELSE upper(prio) END AS onet_name,
+       CASE WHEN job_id % 31 = 0 THEN NULL ELSE nation_name || ' Metro' END AS msa,
+       CASE WHEN custkey % 22 = 0 THEN NULL ELSE segment || ' ' || status END AS title
 FROM fx_orders_geo WHERE NOT (status = 'P' AND prio = '5-LOW')""",
     "fx_postings_ext": """
 SELECT g.job_id AS id, l.l_shipdate AS posted, g.cust_name AS company_name,
@@ -95,7 +101,10 @@ SELECT g.job_id AS id, l.l_shipdate AS posted, g.cust_name AS company_name,
        CASE status WHEN 'F' THEN 'High school or GED' WHEN 'P' THEN 'Ph.D. or professional degree' ELSE 'Unspecified' END AS min_degree,
        CASE WHEN g.job_id % 13 = 0 THEN NULL ELSE g.prio END AS onet_code,
        g.nation_name AS state, g.segment || ', US' AS city_name,
-       CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 6 THEN 0.0 ELSE l.l_extendedprice * 3 END AS salary_from
+       CASE WHEN l.l_linenumber = 7 THEN NULL WHEN l.l_linenumber = 6 THEN 0.0 ELSE l.l_extendedprice * 3 END AS salary_from,
+       CASE WHEN g.job_id % 13 = 0 THEN NULL ELSE g.prio END AS onet_name,
+       CASE WHEN l.l_partkey % 14 = 0 THEN NULL ELSE g.nation_name || ' Metro' END AS msa,
+       CASE WHEN l.l_partkey % 15 = 0 THEN NULL ELSE g.segment || ' ' || status END AS title
 FROM lineitem l JOIN fx_orders_geo g ON g.job_id = l.l_orderkey
 WHERE g.country = 'United States'""",
     "fx_salary": """
@@ -107,7 +116,7 @@ SELECT l_orderkey AS desc_id,
             WHEN l_linenumber = 5 THEN l_extendedprice / 10 ELSE l_extendedprice * 3 END AS parsed_salary_min
 FROM lineitem""",
     "fx_xwalk": """
-SELECT l_orderkey AS rl_id, l_orderkey AS ext_id FROM lineitem WHERE l_linenumber IN (1, 2)""",
+SELECT l_orderkey AS release_id, l_orderkey AS ext_id FROM lineitem WHERE l_linenumber IN (1, 2)""",
     "fx_onet_lookup": """
 SELECT DISTINCT o_orderpriority AS onet_code, upper(o_orderpriority) || ' ' AS onet_name,
        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Management'
@@ -421,6 +430,9 @@ _FIELDS = {
     "soc2": dict(exprs=_F_SOC2, froms=_FROM_SOC2, exclude=True),
     "city": dict(exprs=_F_CITY),
     "state": dict(exprs=_F_STATE),
+    "onet_name": dict(exprs={s: f"{s}.onet_name" for s in ("v1", "v2", "ext")}, exclude=True),
+    "msa": dict(exprs={s: f"{s}.msa" for s in ("v1", "v2", "ext")}),
+    "title": dict(exprs={s: f"{s}.title" for s in ("v1", "v2", "ext")}, exclude=True),
 }
 
 
@@ -463,7 +475,7 @@ LEFT JOIN (SELECT CAST(date_trunc('month', {a}.{dt}) AS DATE) AS month_start, co
 
 
 SRC4 = {
-    "overlap_v1": ("fx_postings_v1 v1 JOIN fx_xwalk xw ON xw.rl_id = v1.job_id", "v1", "job_id", "post_date",
+    "overlap_v1": ("fx_postings_v1 v1 JOIN fx_xwalk xw ON xw.release_id = v1.job_id", "v1", "job_id", "post_date",
                    f"v1.country = {US}"),
     "overlap_ext": ("fx_postings_ext ext JOIN fx_xwalk xw ON xw.ext_id = ext.id", "ext", "id", "posted", ""),
     "full_v1": ("fx_postings_v1 v1", "v1", "job_id", "post_date", f"v1.country = {US} AND year(v1.post_date) >= {Y0}"),
@@ -480,30 +492,55 @@ FROM {tbl} {_where(cond)} GROUP BY 2""")
 
 
 _H = "JOIN fx_naics_hierarchy h ON h.naics6 = v1.naics6"
-_F4 = {"overlap_v1": ("h.naics2_name", f"fx_postings_v1 v1 JOIN fx_xwalk xw ON xw.rl_id = v1.job_id {_H}"),
+_F4 = {"overlap_v1": ("h.naics2_name", f"fx_postings_v1 v1 JOIN fx_xwalk xw ON xw.release_id = v1.job_id {_H}"),
        "overlap_ext": ("ext.naics2_name", "fx_postings_ext ext JOIN fx_xwalk xw ON xw.ext_id = ext.id"),
        "full_v1": ("h.naics2_name", f"fx_postings_v1 v1 {_H}"),
        "full_ext": ("ext.naics2_name", "fx_postings_ext ext")}
 
 
-def _overlap_kpi() -> str:
+# Four-source fields: (v1 expression, ext expression, join of v1, join of ext, exclude unclassified).
+_FIELDS4 = {
+    "industry": ("h.naics2_name", "ext.naics2_name", _H, "", True),
+    "degree": ("""CASE WHEN upper(trim(v1.min_degree)) IN ('NO EDUCATION FOUND', 'NO EDUCATION LISTED')
+      THEN 'NO EDUCATION LISTED' ELSE v1.min_degree END""", _F_DEGREE["ext"], "", "", False),
+    "onet_name": ("v1.onet_name", "ext.onet_name", "", "", True),
+    "soc2": ("lu.soc2_name", "lu.soc2_name", "JOIN fx_onet_lookup lu ON lu.onet_code = v1.onet_code",
+             "JOIN fx_onet_lookup lu ON lu.onet_code = ext.onet_code", True),
+    "city": ("v1.city", _F_CITY["ext"], "", "", False),
+    "state": ("v1.state", "ext.state", "", "", False),
+    "msa": ("v1.msa", "ext.msa", "", "", False),
+    "title": ("v1.title", "ext.title", "", "", True),
+}
+
+
+def _overlap_matrix(one) -> str:
+    parts = []
+    for f, (e1, e2, j1, j2, exclude) in _FIELDS4.items():
+        f4 = {s: ((e1, f"{tbl} {j1}") if a == "v1" else (e2, f"{tbl} {j2}")) for s, (tbl, a, *_) in SRC4.items()}
+        parts.append(f"SELECT '{f}' AS field, * FROM ({one(f4, exclude)})")
+    return "\nUNION ALL\n".join(parts)
+
+
+def _overlap_kpi(f4: dict = _F4, exclude: bool = True) -> str:
     parts = []
     for s, (tbl, a, idc, dt, cond) in SRC4.items():
-        e, frm = _F4[s]
+        e, frm = f4[s]
         v = _norm(e)
+        ex = f"{v} NOT LIKE '%UNCLASSIFIED%'" if exclude else ""
         parts.append(f"""SELECT '{s}' AS source,
   (SELECT count(DISTINCT {a}.{idc}) FROM {tbl} {_where(cond)}) AS total,
-  (SELECT count(DISTINCT {a}.{idc}) FROM {frm} {_where(cond, f'{v} IS NOT NULL', f"{v} NOT LIKE '%UNCLASSIFIED%'")}) AS covered""")
+  (SELECT count(DISTINCT {a}.{idc}) FROM {frm} {_where(cond, f'{v} IS NOT NULL', ex)}) AS covered""")
     return "\nUNION ALL\n".join(parts)
 
 
-def _overlap_dist() -> str:
+def _overlap_dist(f4: dict = _F4, exclude: bool = True) -> str:
     ctes = []
     for s, (tbl, a, idc, dt, cond) in SRC4.items():
-        e, frm = _F4[s]
+        e, frm = f4[s]
         v = _norm(e)
+        ex = f"{v} NOT LIKE '%UNCLASSIFIED%'" if exclude else ""
         ctes.append(f"""{s}_ind AS (SELECT {v} AS field_value, count(DISTINCT {a}.{idc}) AS {s}_count
-  FROM {frm} {_where(cond, f'{v} IS NOT NULL', f"{v} NOT LIKE '%UNCLASSIFIED%'")} GROUP BY 1)""")
+  FROM {frm} {_where(cond, f'{v} IS NOT NULL', ex)} GROUP BY 1)""")
         ctes.append(f"""{s}_total AS (SELECT count(DISTINCT {a}.{idc}) AS total_{s} FROM {tbl} {_where(cond)})""")
     names = list(SRC4)
     sel = ["av.field_value"]
@@ -905,6 +942,10 @@ def oracle_sql() -> dict[str, str]:
         "overlap_totals_monthly": _with(POSTINGS + ["fx_xwalk"], _monthly(SRC4)),
         "overlap_coverage": _with(POSTINGS + ["fx_xwalk", "fx_naics_hierarchy"], _overlap_kpi()),
         "overlap_distribution": _with(POSTINGS + ["fx_xwalk", "fx_naics_hierarchy"], _overlap_dist()),
+        "overlap_field_matrix": _with(POSTINGS + ["fx_xwalk", "fx_naics_hierarchy", "fx_onet_lookup"],
+                                      _overlap_matrix(_overlap_dist)),
+        "overlap_kpi_matrix": _with(POSTINGS + ["fx_xwalk", "fx_naics_hierarchy", "fx_onet_lookup"],
+                                    _overlap_matrix(_overlap_kpi)),
         "salary_stats": _with(POSTINGS[:2] + ["fx_salary"], _salary_stats()),
         "salary_buckets": _with(POSTINGS[:2] + ["fx_salary"], _salary_buckets()),
         "salary_stats_with_vendor": _with(POSTINGS + ["fx_salary"], _salary_stats_vendor()),
@@ -941,9 +982,40 @@ SELECT month_start,
   max(CASE WHEN source = 'full_v1' THEN cnt END) AS full_v1,
   max(CASE WHEN source = 'full_ext' THEN cnt END) AS full_ext
 FROM l GROUP BY month_start""")
+    for job, artifacts in _PUBLISHED.items():
+        q[job] = "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS artifact, 'ok' AS status, (SELECT count(*) FROM ({q[key]})) AS rows"
+            for name, key in artifacts.items())
     return q
 
 
+# Published artifacts of each job and the query whose rows they hold.
+_PUBLISHED = {
+    "publish_manifest": {
+        "comp": "profile_matrix_long", "kpi": "profile_matrix_kpi",
+        "roles_benchmark": "occupation_share_benchmark",
+        "employers_industry_benchmark": "industry_share_stints"},
+    "publish_postings": {
+        "total_counts_yearly": "totals_yearly", "total_counts_monthly": "totals_monthly_spine",
+        "onet_changes": "code_changes_top", "onet_change_summary": "code_agreement",
+        "salary_stats": "salary_stats", "salary_distribution": "salary_buckets",
+        "salary_by_soc2": "salary_median_by_group", "salary_coverage": "salary_coverage",
+        "state_comparison": "state_share_benchmark", "kpi": "postings_kpi_matrix",
+        "comp": "postings_field_matrix", "comp_top_employer": "distribution_top_anchor"},
+    "publish_overlap": {
+        "total_counts_yearly": "overlap_totals_yearly", "total_counts_monthly": "overlap_totals_monthly",
+        "kpi": "overlap_kpi_matrix", "comp": "overlap_field_matrix",
+        "monthly_openings": "monthly_benchmark_long", "openings_by_month": "wide_month_unpivot",
+        "employment": "coded_benchmark_load", "group_vs_employment": "group_share_vs_employment",
+        "industry_sectors": "sector_share_benchmark"},
+    "publish_export": {
+        "monthly_counts": "monthly_benchmark_wide", "salary_stats": "salary_stats_with_vendor",
+        "salary_distribution": "salary_buckets", "salary_by_group": "salary_median_by_group",
+        "salary_coverage": "salary_coverage", "group_vs_employment": "group_share_vs_employment",
+        "industry_sectors": "sector_share_benchmark", "industry_coverage": "field_coverage_by_source"},
+}
+
+
 def _monthly_bench() -> str:
     return f"""SELECT 'benchmark' AS source, month AS month_start, posting_count AS cnt FROM ({_wide_unpivot()})
 WHERE month >= DATE '{Y0}-01-01'

@@ -36,9 +36,12 @@ def _agreement(j: PostingsJob) -> DataFrame:
                               label="soc2")
 
 
-def _publish(spark: SparkSession, root: str) -> DataFrame:
-    from vintage.plans.publish import publish_profile_matrix
-    return publish_profile_matrix(spark, root)
+def _publish(job: str) -> Query:
+    """The job's manifest without its run's paths."""
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        from vintage.plans import publish
+        return getattr(publish, job)(spark, root).select("artifact", "status", "rows")
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -69,6 +72,8 @@ QUERIES: dict[str, Query] = {
     "postings_kpi_matrix": _po(lambda j: j.coverage_matrix()),
     "overlap_coverage": _po(lambda j: j.overlap_coverage()),
     "overlap_distribution": _po(lambda j: j.overlap_distribution()),
+    "overlap_field_matrix": _po(lambda j: j.overlap_distribution_matrix()),
+    "overlap_kpi_matrix": _po(lambda j: j.overlap_coverage_matrix()),
     "field_coverage_by_source": _po(lambda j: j.field_coverage_by_source()),
     "kpi_cards": _po(lambda j: j.kpi_cards("industry")),
     # postings: code changes
@@ -110,6 +115,9 @@ QUERIES: dict[str, Query] = {
         j.value_counts_with_benchmark(),
         {"cnt_base": "Base release", "cnt_new": "New release", "cnt_benchmark": "Benchmark"},
         ladder=LADDER)),
-    # publish (writes the matrix job's tables and returns its manifest)
-    "publish_manifest": _publish,
+    # publish (each writes its job's tables and returns what it wrote)
+    "publish_manifest": _publish("publish_profile_matrix"),
+    "publish_postings": _publish("publish_postings"),
+    "publish_overlap": _publish("publish_overlap"),
+    "publish_export": _publish("publish_export_bundle"),
 }

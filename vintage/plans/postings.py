@@ -32,6 +32,9 @@ UNCLASSIFIED = ("%Unclassified%",)
 # Degree texts that mean "no requirement" in the releases, and
 # the vendor's two degree labels recoded onto the releases' spelling.
 NO_DEGREE = ["No Education Found", "None", "No Education Listed"]
+# The four-source job keeps "no requirement" as one value.
+RELEASE_DEGREE_RECODE = {"NO EDUCATION FOUND": "NO EDUCATION LISTED",
+                         "NO EDUCATION LISTED": "NO EDUCATION LISTED"}
 VENDOR_DEGREE_RECODE = {"HIGH SCHOOL OR GED": "HIGH SCHOOL/GED",
                         "PH.D. OR PROFESSIONAL DEGREE": "DOCTORATE DEGREE"}
 # Country name -> short code of the salary coverage table.
@@ -67,7 +70,7 @@ class PostingsJob:
                         .withColumn("_in_xwalk", F.lit(True)))
                 return df.join(keys, id_col, "left")
             return f
-        return {"v1": mark("rl_id", "job_id"), "ext": mark("ext_id", "id")}
+        return {"v1": mark("release_id", "job_id"), "ext": mark("ext_id", "id")}
 
     @property
     def v1(self) -> Source:
@@ -124,14 +127,36 @@ class PostingsJob:
         if name == "city":
             return FieldSpec(name, {"v1": "city", "v2": "city",
                                     "ext": lambda df: drop_suffix("city_name", 4)})
-        if name == "state":
-            return FieldSpec(name, {s: "state" for s in all3})
-        if name == "overlap_industry":
-            h = lambda df: df.join(self.fx.naics_hierarchy().withColumnRenamed(
-                "naics2_name", "h_naics2"), "naics6", "left")
-            return FieldSpec(name, {"overlap_v1": "h_naics2", "full_v1": "h_naics2",
-                                    "overlap_ext": "naics2_name", "full_ext": "naics2_name"},
-                             prep={"overlap_v1": h, "full_v1": h}, exclude=UNCLASSIFIED)
+        if name in ("state", "msa"):
+            return FieldSpec(name, {s: name for s in all3})
+        if name in ("onet_name", "title"):
+            return FieldSpec(name, {s: name for s in all3}, exclude=UNCLASSIFIED)
+        raise KeyError(name)
+
+    def _hierarchy_prep(self, df: DataFrame) -> DataFrame:
+        """Enrichment: the sector of the release's detailed industry code."""
+        return df.join(self.fx.naics_hierarchy().withColumnRenamed("naics2_name", "h_naics2"), "naics6", "left")
+
+    def overlap_field(self, name: str) -> FieldSpec:
+        """A field of the four-source job: the release's and the vendor's
+        spelling, each for its matched and its full set."""
+        def spec(release, vendor, release_prep=None, vendor_prep=None, exclude=()):
+            preps = {"overlap_v1": release_prep, "full_v1": release_prep,
+                     "overlap_ext": vendor_prep, "full_ext": vendor_prep}
+            return FieldSpec(name, {"overlap_v1": release, "full_v1": release,
+                                    "overlap_ext": vendor, "full_ext": vendor},
+                             prep={s: p for s, p in preps.items() if p}, exclude=exclude)
+
+        if name == "industry":
+            return spec("h_naics2", "naics2_name", self._hierarchy_prep, exclude=UNCLASSIFIED)
+        if name == "degree":
+            return spec(lambda df: recode("min_degree", RELEASE_DEGREE_RECODE, key=norm("min_degree")),
+                        self.field(name).exprs["ext"])
+        if name == "soc2":
+            return spec("lu_soc2", "lu_soc2", self._soc2_prep, self._soc2_prep, UNCLASSIFIED)
+        if name in ("city", "state", "msa", "onet_name", "title"):
+            three = self.field(name)
+            return spec(three.exprs["v1"], three.exprs["ext"], exclude=three.exclude)
         raise KeyError(name)
 
     # ------------------------------------------------------------ totals
@@ -161,7 +186,8 @@ class PostingsJob:
         return distribution_anchored(self.three, self.field(field), Period.year(COMPARE_YEAR),
                                      anchor="ext", k=k)
 
-    MATRIX_FIELDS = ("industry", "employer", "degree", "soc2", "city", "state")
+    MATRIX_FIELDS = ("industry", "employer", "degree", "onet_name", "soc2", "city", "state", "msa", "title")
+    OVERLAP_FIELDS = ("industry", "degree", "onet_name", "soc2", "city", "state", "msa", "title")
 
     def distribution_matrix(self) -> DataFrame:
         """Every field's distribution in one job (one scan per source)."""
@@ -173,10 +199,19 @@ class PostingsJob:
                                Period.since(MIN_YEAR))
 
     def overlap_coverage(self) -> DataFrame:
-        return coverage(self.four, self.field("overlap_industry"), Period.since(MIN_YEAR))
+        return coverage(self.four, self.overlap_field("industry"), Period.since(MIN_YEAR))
 
     def overlap_distribution(self) -> DataFrame:
-        return distribution(self.four, self.field("overlap_industry"), Period.since(MIN_YEAR))
+        return distribution(self.four, self.overlap_field("industry"), Period.since(MIN_YEAR))
+
+    def overlap_distribution_matrix(self) -> DataFrame:
+        """Every four-source field's distribution in one job (one scan per table)."""
+        return distribution_matrix(self.four, [self.overlap_field(f) for f in self.OVERLAP_FIELDS],
+                                   Period.since(MIN_YEAR))
+
+    def overlap_coverage_matrix(self) -> DataFrame:
+        return coverage_matrix(self.four, [self.overlap_field(f) for f in self.OVERLAP_FIELDS],
+                               Period.since(MIN_YEAR))
 
     def field_coverage_by_source(self) -> DataFrame:
         frames = {s.name: s.scoped(Period.year(COMPARE_YEAR)) for s in self.three}
@@ -263,7 +298,7 @@ class PostingsJob:
 
     def sector_share(self) -> DataFrame:
         full = [s for s in self.four if s.name.startswith("full_")]
-        f = self.field("overlap_industry")
+        f = self.overlap_field("industry")
         sector_field = FieldSpec("sector", {
             "full_v1": lambda df: map_lookup(norm("h_naics2"), FIXTURE_SECTOR_MAP),
             "full_ext": lambda df: map_lookup(norm("naics2_name"), FIXTURE_SECTOR_MAP)},

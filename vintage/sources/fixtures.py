@@ -23,7 +23,7 @@ from vintage.sources.tables import Tables
 STAGED = {
     "profiles_base": ("country",), "profiles_new": ("country",),
     "postings_v1": ("post_date",), "postings_v2": ("post_date",), "postings_ext": ("posted",),
-    "salary": ("desc_id",), "xwalk": ("rl_id",), "onet_lookup": (), "naics_hierarchy": (),
+    "salary": ("desc_id",), "xwalk": ("release_id",), "onet_lookup": (), "naics_hierarchy": (),
     "bench_occ": (), "bench_wide": (), "bench_map": (), "series_json": (), "bench_counts": (),
     "bench_share": (), "openings_industry": (), "imputed": (), "employers": (),
     "classifier": ("desc_id",),
@@ -140,6 +140,11 @@ class Recipes:
             _null_when(jid % 13 == 0, F.col("prio")).alias("onet_code"),
             _null_when(jid % 19 == 0, F.col("nation_name")).alias("state"),
             F.col("segment").alias("city"),
+            F.when(jid % 13 == 0, F.lit(None)).when(jid % 17 == 1, F.lit("Unclassified occupation"))
+             .otherwise(F.concat(F.upper("prio"), F.lit(" "))).alias("onet_name"),
+            _null_when(jid % 29 == 0, F.concat(F.col("nation_name"), F.lit(" Metro"))).alias("msa"),
+            F.when(ck % 21 == 0, F.lit(None)).when(ck % 21 == 1, F.lit(" unclassified title"))
+             .otherwise(F.concat(F.col("segment"), F.lit(" "), F.col("status"))).alias("title"),
         )
 
     def postings_v2(self) -> DataFrame:
@@ -159,6 +164,9 @@ class Recipes:
              .otherwise(F.col("prio")).alias("onet_code"),
             _null_when(jid % 23 == 0, F.col("nation_name")).alias("state"),
             F.col("segment").alias("city"),
+            _null_when(jid % 11 == 0, F.upper("prio")).alias("onet_name"),
+            _null_when(jid % 31 == 0, F.concat(F.col("nation_name"), F.lit(" Metro"))).alias("msa"),
+            _null_when(ck % 22 == 0, F.concat(F.col("segment"), F.lit(" "), F.col("status"))).alias("title"),
         )
 
     def postings_ext(self) -> DataFrame:
@@ -179,6 +187,9 @@ class Recipes:
             F.concat(F.col("segment"), F.lit(", US")).alias("city_name"),
             F.when(ln == 7, F.lit(None)).when(ln == 6, F.lit(0.0))
              .otherwise(F.col("l_extendedprice") * 3).alias("salary_from"),
+            _null_when(F.col("job_id") % 13 == 0, F.col("prio")).alias("onet_name"),
+            _null_when(F.col("l_partkey") % 14 == 0, F.concat(F.col("nation_name"), F.lit(" Metro"))).alias("msa"),
+            _null_when(F.col("l_partkey") % 15 == 0, F.concat(F.col("segment"), F.lit(" "), F.col("status"))).alias("title"),
         )
 
     def salary(self) -> DataFrame:
@@ -193,7 +204,7 @@ class Recipes:
 
     def xwalk(self) -> DataFrame:
         return (self.t.lineitem.filter(F.col("l_linenumber").isin(1, 2))
-                .select(F.col("l_orderkey").alias("rl_id"), F.col("l_orderkey").alias("ext_id")))
+                .select(F.col("l_orderkey").alias("release_id"), F.col("l_orderkey").alias("ext_id")))
 
     def onet_lookup(self) -> DataFrame:
         p = F.col("o_orderpriority")
