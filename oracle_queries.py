@@ -107,6 +107,15 @@ SELECT g.job_id AS id, l.l_shipdate AS posted, g.cust_name AS company_name,
        CASE WHEN l.l_partkey % 15 = 0 THEN NULL ELSE g.segment || ' ' || status END AS title
 FROM lineitem l JOIN fx_orders_geo g ON g.job_id = l.l_orderkey
 WHERE g.country = 'United States'""",
+    "fx_postings_ext_uk": """
+SELECT g.job_id AS id, l.l_shipdate AS posted, g.country,
+       CASE WHEN l.l_linenumber >= 5 THEN NULL WHEN l.l_linenumber = 4 THEN 0.0 ELSE l.l_extendedprice * 2 END AS salary_from
+FROM lineitem l JOIN fx_orders_geo g ON g.job_id = l.l_orderkey WHERE g.country = 'United Kingdom'""",
+    "fx_postings_ext_global": """
+SELECT g.job_id AS id, l.l_shipdate AS posted, g.country,
+       CASE WHEN l.l_linenumber >= 5 THEN NULL WHEN l.l_linenumber = 4 THEN 0.0 ELSE l.l_extendedprice * 2 END AS salary_from
+FROM lineitem l JOIN fx_orders_geo g ON g.job_id = l.l_orderkey
+WHERE g.country NOT IN ('United States', 'United Kingdom')""",
     "fx_salary": """
 SELECT l_orderkey AS desc_id,
        CASE l_linenumber WHEN 1 THEN 'Year' WHEN 2 THEN 'HOUR' WHEN 3 THEN 'week' WHEN 4 THEN 'day'
@@ -126,6 +135,8 @@ FROM orders""",
 SELECT n_nationkey AS naics6, r_name AS naics2_name FROM nation JOIN region ON r_regionkey = n_regionkey""",
     "fx_bench_occ": """
 SELECT CASE WHEN n.n_nationkey % 5 = 4 THEN 'detailed' ELSE 'major' END AS o_group, n.n_name AS occ_title,
+       CASE CAST(floor(n.n_nationkey / 5) AS BIGINT) % 5 WHEN 0 THEN '1-URGEN' WHEN 1 THEN '2-HIGH' WHEN 2 THEN '3-MEDIU'
+            WHEN 3 THEN '4-NOT S' ELSE '6-NONE' END AS occ_code,
        CASE WHEN n.n_nationkey % 6 = 5 THEN '**' ELSE CAST(1000 + 37 * count(c.c_custkey) AS STRING) END AS tot_emp
 FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey
 GROUP BY n.n_nationkey, n.n_name""",
@@ -180,7 +191,8 @@ SELECT s_suppkey AS employer_key, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_n
 _DEPS = {
     "fx_profiles_base": ["fx_stints"], "fx_profiles_new": ["fx_stints"],
     "fx_postings_v1": ["fx_orders_geo"], "fx_postings_v2": ["fx_orders_geo"],
-    "fx_postings_ext": ["fx_orders_geo"], "fx_imputed": ["fx_orders_geo"],
+    "fx_postings_ext": ["fx_orders_geo"], "fx_postings_ext_uk": ["fx_orders_geo"],
+    "fx_postings_ext_global": ["fx_orders_geo"], "fx_imputed": ["fx_orders_geo"],
 }
 
 
@@ -569,11 +581,34 @@ GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 30"""
 def _agreement() -> str:
     return f"""SELECT CAST(sum(CASE WHEN v1.onet_code = v2.onet_code THEN 1 ELSE 0 END) AS BIGINT) AS same_code,
   CAST(sum(CASE WHEN v1.onet_code != v2.onet_code THEN 1 ELSE 0 END) AS BIGINT) AS different_code,
-  count(*) AS total_matched
+  count(*) AS total_matched,
+  sum(CASE WHEN v1.onet_code = v2.onet_code THEN 1 ELSE 0 END) / count(*) * 100 AS pct_same,
+  sum(CASE WHEN v1.onet_code != v2.onet_code THEN 1 ELSE 0 END) / count(*) * 100 AS pct_changed
 FROM fx_postings_v1 v1 JOIN fx_postings_v2 v2 ON v2.job_id = v1.job_id
 WHERE {_pairs_where()}"""
 
 
+_CLS = f"""FROM fx_postings_v1 v1 JOIN fx_classifier occ ON occ.desc_id = v1.desc_id
+LEFT JOIN fx_onet_lookup a ON a.onet_code = v1.onet_code LEFT JOIN fx_onet_lookup b ON b.onet_code = occ.top1_code
+WHERE v1.country = {US} AND year(v1.post_date) = {YX} AND v1.onet_code IS NOT NULL AND occ.top1_code IS NOT NULL"""
+
+
+def _classifier_changes() -> str:
+    return f"""SELECT v1.onet_code AS old_code, a.onet_name AS old_name, occ.top1_code AS new_code,
+  b.onet_name AS new_name, count(*) AS posting_count
+{_CLS} AND v1.onet_code != occ.top1_code
+GROUP BY 1, 2, 3, 4 ORDER BY 5 DESC, 1, 3 LIMIT 30"""
+
+
+def _classifier_agreement() -> str:
+    return f"""SELECT CAST(sum(CASE WHEN v1.onet_code = occ.top1_code THEN 1 ELSE 0 END) AS BIGINT) AS same_code,
+  CAST(sum(CASE WHEN v1.onet_code != occ.top1_code THEN 1 ELSE 0 END) AS BIGINT) AS different_code,
+  count(*) AS total_matched,
+  sum(CASE WHEN v1.onet_code = occ.top1_code THEN 1 ELSE 0 END) / count(*) * 100 AS pct_same,
+  sum(CASE WHEN v1.onet_code != occ.top1_code THEN 1 ELSE 0 END) / count(*) * 100 AS pct_changed
+{_CLS}"""
+
+
 def _changes_lookup() -> str:
     return f"""WITH ch AS ({_changes()})
 SELECT ch.old_code, a.onet_name AS old_name, ch.new_code, b.onet_name AS new_name, ch.posting_count
@@ -641,14 +676,52 @@ GROUP BY 1, 2""")
     return "\nUNION ALL\n".join(parts)
 
 
-def _salary_coverage() -> str:
+_BUCKET = "CASE WHEN {y} > 200000 THEN 210000 ELSE CAST(floor({y} / 10000) * 10000 AS BIGINT) END"
+
+
+def _salary_buckets_vendor() -> str:
+    return f"""WITH e AS (SELECT {_BUCKET.format(y="salary_from")} AS salary_bucket, count(*) AS n FROM fx_postings_ext
+  WHERE salary_from IS NOT NULL AND salary_from > 0 AND year(posted) = {YC} GROUP BY 1),
+r AS (SELECT {_BUCKET.format(y="y")} AS salary_bucket, count(*) AS n
+  FROM (SELECT {YEARLY_JOB} AS y FROM fx_postings_v1 p JOIN fx_salary sal ON sal.desc_id = p.desc_id
+        WHERE {SAL_OK} AND p.country = {US} AND year(p.post_date) = {YC}) GROUP BY 1)
+SELECT COALESCE(e.salary_bucket, r.salary_bucket) AS salary_bucket,
+  COALESCE(e.n / (SELECT sum(n) FROM e) * 100, 0) AS ext_pct, COALESCE(r.n / (SELECT sum(n) FROM r) * 100, 0) AS v1_pct
+FROM e FULL JOIN r ON e.salary_bucket IS NOT DISTINCT FROM r.salary_bucket"""
+
+
+def _salary_median_vendor() -> str:
+    return f"""SELECT 'ext' AS source, lu.soc2_name AS soc2, round(median(p.salary_from), 2) AS median_salary, count(*) AS n_postings
+FROM fx_postings_ext p JOIN fx_onet_lookup lu ON lu.onet_code = p.onet_code
+WHERE p.salary_from IS NOT NULL AND p.salary_from > 0 AND year(p.posted) = {YC} AND lu.soc2_name IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'v1', lu.soc2_name, round(median(s.y), 2), count(*)
+FROM (SELECT p.onet_code, {YEARLY_JOB} AS y FROM fx_postings_v1 p JOIN fx_salary sal ON sal.desc_id = p.desc_id
+      WHERE {SAL_OK} AND p.country = {US} AND year(p.post_date) = {YC}) s
+JOIN fx_onet_lookup lu ON lu.onet_code = s.onet_code WHERE s.y IS NOT NULL AND s.y <= 500000 GROUP BY 2"""
+
+
+def _salary_coverage_vendor() -> str:
     parts = []
-    for s in ("v1", "v2"):
+    for code, table, extra in (("US", "fx_postings_ext", ""), ("UK", "fx_postings_ext_uk", ""),
+                               ("HK", "fx_postings_ext_global", " AND country = 'Hong Kong'")):
+        ok = "sum(CASE WHEN salary_from IS NOT NULL AND salary_from > 0 THEN 1 ELSE 0 END)"
+        parts.append(f"""SELECT 'ext' AS source, '{code}' AS country, count(*) AS total_postings,
+  CAST({ok} AS BIGINT) AS postings_with_salary, {ok} / count(*) * 100 AS pct_with_salary
+FROM {table} WHERE year(posted) = {YC}{extra} HAVING count(*) > 0""")
+    parts.append(_salary_coverage(("v1",)))
+    return "\nUNION ALL\n".join(parts)
+
+
+def _salary_coverage(sources: tuple = ("v1", "v2")) -> str:
+    parts = []
+    for s in sources:
         parts.append(f"""SELECT '{s}' AS source,
   CASE WHEN p.country = 'United States' THEN 'US' WHEN p.country = 'United Kingdom' THEN 'UK'
        WHEN p.country = 'Hong Kong' THEN 'HK' END AS country,
   count(*) AS total_postings,
-  CAST(sum(CASE WHEN {SAL_OK} THEN 1 ELSE 0 END) AS BIGINT) AS postings_with_salary
+  CAST(sum(CASE WHEN {SAL_OK} THEN 1 ELSE 0 END) AS BIGINT) AS postings_with_salary,
+  sum(CASE WHEN {SAL_OK} THEN 1 ELSE 0 END) / count(*) * 100 AS pct_with_salary
 FROM fx_postings_{s} p LEFT JOIN fx_salary sal ON sal.desc_id = p.desc_id
 WHERE p.country IN ('United States', 'United Kingdom', 'Hong Kong') AND year(p.post_date) = {YC}
 GROUP BY 1, 2""")
@@ -680,9 +753,9 @@ FROM (UNPIVOT fx_bench_wide ON Jan, Feb, Mar, Apr, May, Jun, Jul, Aug, Sep, Oct,
 WHERE TRY_CAST(year_label AS DOUBLE) IS NOT NULL AND value IS NOT NULL"""
 
 
-def _coded() -> str:
-    return """SELECT occ_title, CAST(trunc(TRY_CAST(tot_emp AS DOUBLE)) AS BIGINT) AS tot_emp
-FROM fx_bench_occ WHERE o_group = 'major' AND TRY_CAST(tot_emp AS DOUBLE) IS NOT NULL"""
+def _coded(level: str = "major") -> str:
+    return f"""SELECT occ_code, occ_title, CAST(trunc(TRY_CAST(tot_emp AS DOUBLE)) AS BIGINT) AS tot_emp
+FROM fx_bench_occ WHERE o_group = '{level}' AND TRY_CAST(tot_emp AS DOUBLE) IS NOT NULL"""
 
 
 def _r1(n: str, d: str, scale: int = 1) -> str:
@@ -783,18 +856,32 @@ def _group_share() -> str:
     return _share_cmp("soc2_name", parts, bench, "employment")
 
 
+def _group_share_rows() -> str:
+    parts = {
+        "ext": f"""SELECT lu.soc2_name AS label, count(*) AS n FROM fx_postings_ext ext
+JOIN fx_onet_lookup lu ON lu.onet_code = ext.onet_code WHERE lu.soc2_name IS NOT NULL AND year(ext.posted) = {YC} GROUP BY 1""",
+        "v1": f"""SELECT lu.soc2_name AS label, count(*) AS n FROM fx_postings_v1 v1
+JOIN fx_onet_lookup lu ON lu.onet_code = v1.onet_code
+WHERE lu.soc2_name IS NOT NULL AND v1.country = {US} AND year(v1.post_date) = {YC} GROUP BY 1""",
+        "v2": f"""SELECT lu.soc2_name AS label, count(*) AS n FROM fx_classifier occ
+JOIN fx_postings_v2 p ON p.desc_id = occ.desc_id JOIN fx_onet_lookup lu ON lu.onet_code = occ.top1_code
+WHERE occ.top1_code IS NOT NULL AND year(p.post_date) = {YC} GROUP BY 1"""}
+    return _share_cmp("soc2_name", parts, None, "")
+
+
 def _truncated() -> str:
     parts = {
-        "v1": (f"SELECT left(v1.onet_code, 1) AS label, count(*) AS n FROM fx_postings_v1 v1 "
+        "v1": (f"SELECT left(v1.onet_code, 7) AS label, count(*) AS n FROM fx_postings_v1 v1 "
                f"WHERE v1.onet_code IS NOT NULL AND v1.country = {US} AND year(v1.post_date) = {YC} GROUP BY 1"),
-        "v2": (f"SELECT left(occ.top1_code, 1) AS label, count(*) AS n FROM fx_classifier occ "
+        "v2": (f"SELECT left(occ.top1_code, 7) AS label, count(*) AS n FROM fx_classifier occ "
                f"JOIN fx_postings_v2 p ON p.desc_id = occ.desc_id "
                f"WHERE occ.top1_code IS NOT NULL AND year(p.post_date) = {YC} GROUP BY 1"),
-        "ext": (f"SELECT left(lu.onet_code, 1) AS label, count(*) AS n FROM fx_postings_ext ext "
+        "ext": (f"SELECT left(lu.onet_code, 7) AS label, count(*) AS n FROM fx_postings_ext ext "
                 f"JOIN fx_onet_lookup lu ON upper(trim(ext.onet_code)) = upper(trim(lu.onet_name)) "
                 f"WHERE ext.onet_code IS NOT NULL AND year(ext.posted) = {YC} GROUP BY 1"),
     }
-    return _share_cmp("code", parts, None, "")
+    bench = f"SELECT occ_code AS label, sum(tot_emp) AS n FROM ({_coded('detailed')}) GROUP BY 1"
+    return _share_cmp("code", parts, bench, "employment")
 
 
 def _rollup() -> str:
@@ -821,13 +908,15 @@ SELECT naics2_name, posting_count, posting_count / sum(posting_count) OVER () *
 
 
 def _field_cov() -> str:
-    parts = []
-    for s, (tbl, a, idc, dt, cty) in SRC.items():
-        for f in ("onet_code", "naics2_name"):
-            parts.append(f"""SELECT '{s}' AS source, '{f}' AS field, count(*) AS total_rows,
-  CAST(sum(CASE WHEN {a}.{f} IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS with_value
-FROM {tbl} {_where(cty, _year_eq(a, dt, YC))}""")
-    return "\nUNION ALL\n".join(parts)
+    parts = [("ext", "occupation", "fx_postings_ext", "onet_name", ""),
+             ("classifier", "occupation", "fx_classifier", "top1_code", ""),
+             ("ext", "industry", "fx_postings_ext", "naics2_name", f"WHERE year(posted) = {YX}")]
+    parts += [(s, "industry", f"fx_postings_{s}", "naics2_name", f"WHERE country = {US} AND year(post_date) = {YX}")
+              for s in ("v1", "v2")]
+    return "\nUNION ALL\n".join(f"""SELECT '{s}' AS source, '{f}' AS field, count(*) AS total_rows,
+  CAST(COALESCE(sum(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS with_value,
+  sum(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END) / NULLIF(count(*), 0) * 100 AS pct_with_value
+FROM {t} {w}""" for s, f, t, c, w in parts)
 
 
 # --------------------------------------------------------- stats and views
@@ -845,10 +934,10 @@ SELECT sector, full_v1_pct * 100 AS a_pct, benchmark_pct * 100 AS b_pct,
 FROM s ORDER BY abs(pp_diff) DESC, sector ASC NULLS LAST LIMIT 25"""
 
 
-def _agreement_stats() -> str:
-    return f"""WITH g AS ({_salary_by_group()}),
-w AS (SELECT soc2, max(CASE WHEN source = 'v1' THEN median_salary END) AS a,
-             max(CASE WHEN source = 'v2' THEN median_salary END) AS b FROM g GROUP BY soc2),
+def _agreement_stats(medians: str, a: str, b: str) -> str:
+    return f"""WITH g AS ({medians}),
+w AS (SELECT soc2, max(CASE WHEN source = '{a}' THEN median_salary END) AS a,
+             max(CASE WHEN source = '{b}' THEN median_salary END) AS b FROM g GROUP BY soc2),
 f AS (SELECT a, b, abs(a - b) AS abs_diff, (a - b) / a * 100 AS pct_diff FROM w
       WHERE NOT COALESCE(regexp_matches(lower(soc2), 'military|unclassified'), false) AND a > 0 AND b > 0)
 SELECT count(*) AS n, round(corr(a, b), 6) AS pearson_r, round(regr_slope(b, a), 6) AS slope,
@@ -962,11 +1051,26 @@ def oracle_sql() -> dict[str, str]:
                                         _sector_share()),
         "sector_rollup_map": _with(POSTINGS, _rollup()),
         "group_share_vs_employment": _with(POSTINGS + ["fx_onet_lookup", "fx_bench_occ"], _group_share()),
-        "truncated_code_share": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup"], _truncated()),
+        "truncated_code_share": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup", "fx_bench_occ"], _truncated()),
         "loglog_r2": _with(POSTINGS + ["fx_bench_occ"], _loglog()),
         "top_pp_diff": _with(POSTINGS + ["fx_naics_hierarchy", "fx_openings_industry"], _top_pp()),
-        "agreement_stats": _with(POSTINGS[:2] + ["fx_salary", "fx_onet_lookup"], _agreement_stats()),
-        "field_coverage_by_source": _with(POSTINGS, _field_cov()),
+        "agreement_stats": _with(POSTINGS[:2] + ["fx_salary", "fx_onet_lookup"], _agreement_stats(_salary_by_group(), "v1", "v2")),
+        "agreement_stats_with_vendor": _with(POSTINGS + ["fx_salary", "fx_onet_lookup"],
+                                             _agreement_stats(_salary_median_vendor(), "ext", "v1")),
+        "salary_buckets_with_vendor": _with(POSTINGS + ["fx_salary"], _salary_buckets_vendor()),
+        "salary_median_with_vendor": _with(POSTINGS + ["fx_salary", "fx_onet_lookup"], _salary_median_vendor()),
+        "salary_coverage_with_vendor": _with(POSTINGS + ["fx_postings_ext_uk", "fx_postings_ext_global", "fx_salary"],
+                                             _salary_coverage_vendor()),
+        "classifier_changes": _with(POSTINGS[:1] + ["fx_classifier", "fx_onet_lookup"], _classifier_changes()),
+        "classifier_agreement": _with(POSTINGS[:1] + ["fx_classifier", "fx_onet_lookup"], _classifier_agreement()),
+        "group_share_rows": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup"], _group_share_rows()),
+        "loglog_r2_employment": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup", "fx_bench_occ"], f"""
+SELECT count(*) AS n, round(power(corr(log10(employment_pct), log10(v2_pct)), 2), 6) AS r2
+FROM ({_truncated()}) WHERE employment_pct > 0 AND v2_pct > 0"""),
+        "top_pp_diff_employment": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup", "fx_bench_occ"], f"""
+SELECT code, v2_pct * 100 AS a_pct, employment_pct * 100 AS b_pct, (v2_pct - employment_pct) * 100 AS pp_diff
+FROM ({_truncated()}) ORDER BY abs((v2_pct - employment_pct) * 100) DESC, code NULLS LAST LIMIT 25"""),
+        "field_coverage_by_source": _with(POSTINGS + ["fx_classifier"], _field_cov()),
         "top_values_share_within": _with(P, _top_share_within()),
         "relative_change_top": _with(P, _relative_change()),
         "pp_diff_pairs": _with(POSTINGS, _pp_pairs()),

@@ -1,6 +1,6 @@
 """Run a whole comparison job and print its manifest.
 
-    python -m vintage profiles --data /path/to/dataset [--out /shared/results] --master 'local[*]'
+    python -m vintage profiles --data /path/to/dataset [--out /shared/results] [--database name] --master 'local[*]'
     spark-submit --py-files vintage.zip vintage/__main__.py postings --data hdfs:///dataset
 
 Without ``--master`` the master and all sizes are those of the submitted
@@ -14,20 +14,23 @@ from __future__ import annotations
 import argparse
 import sys
 
-from vintage.plans.publish import publish_postings, publish_profile_matrix
+from vintage.plans import publish
 from vintage.session import build_session
 
+JOBS = {"profiles": publish.publish_profile_matrix, "postings": publish.publish_postings,
+        "overlap": publish.publish_overlap, "export": publish.publish_export_bundle}
+
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="vintage")
-    ap.add_argument("job", choices=["profiles", "postings"])
+    ap.add_argument("job", choices=list(JOBS))
     ap.add_argument("--data", required=True, help="dataset directory (one parquet file per table)")
     ap.add_argument("--out", default=None, help="result folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--database", default=None, help="register the written tables under this name")
     ap.add_argument("--master", default=None, help="only for runs that are not submitted, such as local[*]")
     args = ap.parse_args(argv)
     spark = build_session(args.master, shuffle_partitions=8 if args.master else None)
-    run = publish_profile_matrix if args.job == "profiles" else publish_postings
-    rows = run(spark, args.data, args.out).collect()
+    rows = JOBS[args.job](spark, args.data, args.out, args.database).collect()
     for r in rows:
         print(f"{r.artifact}\t{r.status}\t{r.rows}\t{r.path}" + (f"\t{r.error}" if r.error else ""))
     spark.stop()

@@ -141,9 +141,9 @@ def coded_benchmark(df: DataFrame, level: str = "major") -> DataFrame:
     """Keep one ``o_group`` level, coerce ``tot_emp`` (suppressed
     ``**`` -> dropped), truncate to an integer."""
     return (df.filter(F.col("o_group") == level)
-            .select("occ_title", to_number("tot_emp").alias("tot_emp"))
+            .select("occ_code", "occ_title", to_number("tot_emp").alias("tot_emp"))
             .filter(F.col("tot_emp").isNotNull())
-            .select("occ_title", F.col("tot_emp").cast("bigint").alias("tot_emp")))
+            .select("occ_code", "occ_title", F.col("tot_emp").cast("bigint").alias("tot_emp")))
 
 
 def official_by_sector(openings: DataFrame, code_map: Mapping[str, str] = OPENINGS_CODE_SECTOR_MAP,

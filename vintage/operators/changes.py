@@ -35,12 +35,16 @@ def code_changes(pairs: DataFrame, k: int | None = 30) -> DataFrame:
 
 
 def code_agreement(pairs: DataFrame) -> DataFrame:
-    """One row ``(same_code, different_code, total_matched)``."""
+    """One row ``(same_code, different_code, total_matched, pct_same,
+    pct_changed)``; the percentages are NULL when nothing matched."""
     same = F.col("old_code") == F.col("new_code")
-    return pairs.agg(
+    counts = pairs.agg(
         F.sum(F.when(same, F.col("w")).otherwise(0)).alias("same_code"),
         F.sum(F.when(~same, F.col("w")).otherwise(0)).alias("different_code"),
         F.coalesce(F.sum("w"), F.lit(0).cast("bigint")).alias("total_matched"))
+    total = F.when(F.col("total_matched") > 0, F.col("total_matched"))
+    return counts.select("*", (F.col("same_code") / total * 100).alias("pct_same"),
+                         (F.col("different_code") / total * 100).alias("pct_changed"))
 
 
 def with_code_names(changes: DataFrame, lookup: DataFrame, code: str, name: str) -> DataFrame:

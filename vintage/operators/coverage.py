@@ -41,7 +41,7 @@ def coverage_pct(cov: DataFrame) -> DataFrame:
 def field_coverage_by_source(frames: dict[str, DataFrame], fields: dict[str, Column]) -> DataFrame:
     """Rows and rows-with-a-value per source for several fields at once
     (``SUM(CASE WHEN f IS NOT NULL THEN 1 ELSE 0 END)``), one scan per source.
-    Output long: ``(source, field, total_rows, with_value)``."""
+    Output long: ``(source, field, total_rows, with_value, pct_with_value)``."""
     out = []
     for name, df in frames.items():
         aggs = [F.count(F.lit(1)).alias("total_rows")]
@@ -53,4 +53,6 @@ def field_coverage_by_source(frames: dict[str, DataFrame], fields: dict[str, Col
     stacked = wide_df.unpivot(["source", "total_rows"], [f"f__{k}" for k in fields],
                               "field", "with_value")
     return stacked.select("source", F.regexp_replace("field", "^f__", "").alias("field"),
-                          "total_rows", F.col("with_value").cast("bigint").alias("with_value"))
+                          "total_rows", F.coalesce(F.col("with_value"), F.lit(0)).cast("bigint").alias("with_value"),
+                          (F.col("with_value") / F.when(F.col("total_rows") > 0, F.col("total_rows")) * 100)
+                          .alias("pct_with_value"))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vintage.functions.expr import annual_salary, salary_bucket, safe_div
 from vintage.operators.distribution import every_source, union_all
 from vintage.operators.median import histogram, summary
+from vintage.operators.reshape import wide
 
 
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
@@ -40,12 +41,12 @@ def salaried(postings: Mapping[str, DataFrame], salary: DataFrame, keep: Sequenc
     return union_all(frames)
 
 
-def direct_salaries(sources: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """``(source, yearly, c)`` for sources that carry a yearly amount as a
+def direct_salaries(sources: Mapping[str, tuple[DataFrame, str]], keep: Sequence[str] = ()) -> DataFrame:
+    """``(source, *keep, yearly, c)`` for sources that carry a yearly amount as a
     column of their own (the vendor's ``salary_from``), positive values only."""
     frames = [df.filter(F.col(c).isNotNull() & (F.col(c) > 0))
-              .groupBy(F.col(c).cast("double").alias("yearly")).agg(F.count(F.lit(1)).alias("c"))
-              .select(F.lit(name).alias("source"), "yearly", "c")
+              .groupBy(*keep, F.col(c).cast("double").alias("yearly")).agg(F.count(F.lit(1)).alias("c"))
+              .select(F.lit(name).alias("source"), *keep, "yearly", "c")
               for name, (df, c) in sources.items()]
     return union_all(frames)
 
@@ -82,13 +83,33 @@ def salary_buckets(postings: Mapping[str, DataFrame], salary: DataFrame) -> Data
                     (F.col("cnt") / F.col("_tot") * 100).alias("pct")))
 
 
+def salary_buckets_wide(postings: Mapping[str, DataFrame], salary: DataFrame,
+                        direct: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """P20, the notebook's variant: ``(salary_bucket, {src}_pct ...)`` over
+    every source's buckets, 0 where a source lacks one; shares of all rows
+    with a salary. Rows without a yearly value (piece rate) are a bucket of
+    their own, NULL here (S15)."""
+    rows = salaried(postings, salary).unionByName(direct_salaries(direct))
+    counts = rows.groupBy("source", salary_bucket("yearly").alias("salary_bucket")).agg(F.sum("c").alias("n"))
+    tot = counts.groupBy("source").agg(F.sum("n").alias("_tot"))
+    shares = counts.join(F.broadcast(tot), "source").withColumn("pct", F.col("n") / F.col("_tot") * 100)
+    names = [*direct, *postings]
+    return wide(shares, ["salary_bucket"], "source", names, {"pct": 0.0}, name="{label}_{measure}")
+
+
 def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame, group: str,
-                           cap: float | None = None) -> DataFrame:
+                           cap: float | None = None,
+                           direct: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """Median yearly salary and row count per (source, group); groups
-    with a NULL key are dropped; ``cap`` is the notebook's sanity bound."""
-    s = salaried(postings, salary, keep=[group]).filter(F.col(group).isNotNull())
+    with a NULL key are dropped; ``cap`` is the notebook's sanity bound on
+    annualised amounts; ``direct`` adds sources with a yearly amount of
+    their own, which the bound does not touch."""
+    s = salaried(postings, salary, keep=[group])
     if cap is not None:
         s = s.filter(F.col("yearly") <= cap)
+    if direct:
+        s = s.unionByName(direct_salaries(direct, [group]))
+    s = s.filter(F.col(group).isNotNull())
     hist = histogram(s, ["source", group], "yearly", weight="c")
     return _summary(hist, ["source", group]).select(
         "source", group, F.round("median_salary", 2).alias("median_salary"),
@@ -127,8 +148,22 @@ def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, countr
                       F.coalesce(F.col("k"), F.lit(1)).alias("k"),
                       F.coalesce(F.col("pos"), F.lit(0)).alias("pos"))
               for name, p in postings.items()]
-    return union_all(frames).groupBy("source", "country").agg(
+    counts = union_all(frames).groupBy("source", "country").agg(
         F.sum("k").alias("total_postings"), F.sum("pos").alias("postings_with_salary"))
+    return _with_pct(counts)
+
+
+def _with_pct(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("pct_with_salary", F.col("postings_with_salary") / F.col("total_postings") * 100)
+
+
+def direct_coverage(name: str, countries: Mapping[str, DataFrame], amount: str) -> DataFrame:
+    """P22 for a source that carries the amount itself, one table or view per
+    country code: the columns of :func:`salary_coverage`."""
+    frames = [df.select(F.lit(code).alias("country"), (F.col(amount) > 0).alias("pos"))
+              for code, df in countries.items()]
+    return _with_pct(union_all(frames).groupBy(F.lit(name).alias("source"), "country").agg(
+        F.count(F.lit(1)).alias("total_postings"), F.count_if("pos").alias("postings_with_salary")))
 
 
 def salary_outliers(postings: DataFrame, salary: DataFrame, k: int = 20, highest: bool = True,

@@ -30,8 +30,8 @@ def _po(fn: Callable[[PostingsJob], DataFrame]) -> Query:
     return lambda spark, root: fn(PostingsJob(spark, root))
 
 
-def _agreement(j: PostingsJob) -> DataFrame:
-    g = agreement_frame(j.salary_median_by_group(), "soc2", "v1", "v2")
+def _agreement(j: PostingsJob, medians: DataFrame, a: str, b: str) -> DataFrame:
+    g = agreement_frame(medians, "soc2", a, b)
     return st.agreement_stats(g, "a_median", "b_median", exclude_regex="military|unclassified",
                               label="soc2")
 
@@ -80,6 +80,8 @@ QUERIES: dict[str, Query] = {
     "code_changes_top": _po(lambda j: j.code_changes_top()),
     "code_agreement": _po(lambda j: j.code_agreement()),
     "code_changes_lookup": _po(lambda j: j.code_changes_lookup()),
+    "classifier_changes": _po(lambda j: j.classifier_changes()),
+    "classifier_agreement": _po(lambda j: j.classifier_agreement()),
     # salary
     "salary_stats": _po(lambda j: j.salary_stats()),
     "salary_stats_with_vendor": _po(lambda j: j.salary_stats_with_vendor()),
@@ -88,7 +90,11 @@ QUERIES: dict[str, Query] = {
     "salary_coverage": _po(lambda j: j.salary_coverage()),
     "salary_outliers_high": _po(lambda j: j.salary_outliers(True)),
     "salary_outliers_low": _po(lambda j: j.salary_outliers(False)),
-    "agreement_stats": _po(_agreement),
+    "agreement_stats": _po(lambda j: _agreement(j, j.salary_median_by_group(), "v1", "v2")),
+    "agreement_stats_with_vendor": _po(lambda j: _agreement(j, j.salary_median_with_vendor(), "ext", "v1")),
+    "salary_buckets_with_vendor": _po(lambda j: j.salary_buckets_with_vendor()),
+    "salary_median_with_vendor": _po(lambda j: j.salary_median_with_vendor()),
+    "salary_coverage_with_vendor": _po(lambda j: j.salary_coverage_with_vendor()),
     # benchmarks
     "series_json_mean": _po(lambda j: j.series_mean()),
     "state_share_benchmark": _po(lambda j: j.state_share()),
@@ -101,6 +107,10 @@ QUERIES: dict[str, Query] = {
     "sector_rollup_map": _po(lambda j: j.sector_rollup_map()),
     "group_share_vs_employment": _po(lambda j: j.group_share_vs_employment()),
     "truncated_code_share": _po(lambda j: j.truncated_code_share()),
+    "group_share_rows": _po(lambda j: j.group_share_rows()),
+    "loglog_r2_employment": _po(lambda j: st.loglog_fit(j.truncated_code_share(), "employment_pct", "v2_pct")),
+    "top_pp_diff_employment": _po(lambda j: st.top_point_differences(
+        j.truncated_code_share(), "code", "v2_pct", "employment_pct", 25)),
     "imputed_key_join": _po(lambda j: j.imputed_key_join()),
     "loglog_r2": _po(lambda j: st.loglog_fit(j.state_share(), "bench_pct", "v1_pct")),
     "top_pp_diff": _po(lambda j: st.top_point_differences(j.sector_share(), "sector",

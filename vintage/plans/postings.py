@@ -16,8 +16,8 @@ from vintage.operators.coverage import coverage, coverage_pct, field_coverage_by
 from vintage.operators.distribution import (coverage_matrix, distribution, distribution_anchored,
                                             distribution_matrix)
 from vintage.operators.joins import norm_join
-from vintage.operators.salary import (salary_buckets, salary_coverage, salary_median_by_group,
-                                      salary_outliers, salary_stats)
+from vintage.operators.salary import (direct_coverage, salary_buckets, salary_buckets_wide, salary_coverage,
+                                      salary_median_by_group, salary_outliers, salary_stats)
 from vintage.operators.trends import monthly_totals_spine, monthly_with_benchmark, yearly_totals
 from vintage.sources.fixtures import Fixtures
 from vintage.spec import FieldSpec, Period, Source
@@ -37,6 +37,9 @@ RELEASE_DEGREE_RECODE = {"NO EDUCATION FOUND": "NO EDUCATION LISTED",
                          "NO EDUCATION LISTED": "NO EDUCATION LISTED"}
 VENDOR_DEGREE_RECODE = {"HIGH SCHOOL OR GED": "HIGH SCHOOL/GED",
                         "PH.D. OR PROFESSIONAL DEGREE": "DOCTORATE DEGREE"}
+# Bound on a plausible yearly amount, characters of a detailed code.
+SALARY_CAP = 500_000
+CODE_WIDTH = 7
 # Country name -> short code of the salary coverage table.
 COUNTRY_CODES = {"United States": "US", "United Kingdom": "UK", "Hong Kong": "HK"}
 # Test parameters: sector schemes for the fixture's industry names and codes.
@@ -214,9 +217,13 @@ class PostingsJob:
                                Period.since(MIN_YEAR))
 
     def field_coverage_by_source(self) -> DataFrame:
-        frames = {s.name: s.scoped(Period.year(COMPARE_YEAR)) for s in self.three}
-        cols = {"onet_code": F.col("onet_code"), "naics2_name": F.col("naics2_name")}
-        return field_coverage_by_source(frames, cols)
+        """Occupation over all rows of the vendor table and of the
+        classifier's output, industry over one year of the three sources."""
+        occupation = {"ext": self.fx.postings_ext().select(F.col("onet_name").alias("occupation")),
+                      "classifier": self.fx.classifier().select(F.col("top1_code").alias("occupation"))}
+        industry = {s.name: s.scoped(Period.year(CHANGES_YEAR)) for s in self.three}
+        return field_coverage_by_source(occupation, {"occupation": F.col("occupation")}).unionByName(
+            field_coverage_by_source(industry, {"industry": F.col("naics2_name")}))
 
     # ------------------------------------------------------------ changes
     def _pairs(self) -> DataFrame:
@@ -233,6 +240,18 @@ class PostingsJob:
     def code_changes_lookup(self) -> DataFrame:
         return with_code_names(code_changes(self._pairs(), 30), self.lookup, "onet_code", "onet_name")
 
+    def _classifier_pairs(self) -> DataFrame:
+        """The classifier's output as the newer release, paired by description."""
+        old = self.v1.scoped(Period.year(CHANGES_YEAR)).select("desc_id", "onet_code")
+        new = self.fx.classifier().select("desc_id", F.col("top1_code").alias("onet_code"))
+        return code_pairs(old, new, "desc_id", "onet_code")
+
+    def classifier_changes(self) -> DataFrame:
+        return with_code_names(code_changes(self._classifier_pairs(), 30), self.lookup, "onet_code", "onet_name")
+
+    def classifier_agreement(self) -> DataFrame:
+        return code_agreement(self._classifier_pairs())
+
     # ------------------------------------------------------------- salary
     def _salary_postings(self, period: Period | None, keep_soc2: bool = False) -> dict[str, DataFrame]:
         out = {}
@@ -259,6 +278,27 @@ class PostingsJob:
         return salary_median_by_group(self._salary_postings(Period.year(COMPARE_YEAR), True),
                                       self.fx.salary(), "lu_soc2").withColumnRenamed("lu_soc2", "soc2")
 
+    def salary_buckets_with_vendor(self) -> DataFrame:
+        p = Period.year(COMPARE_YEAR)
+        return salary_buckets_wide({"v1": self.v1.scoped(p)}, self.fx.salary(),
+                                   {"ext": (self.ext.scoped(p), "salary_from")})
+
+    def salary_median_with_vendor(self) -> DataFrame:
+        """The notebook's variant: the vendor's own amounts beside the
+        release's annualised ones up to the sanity bound."""
+        p = Period.year(COMPARE_YEAR)
+        return salary_median_by_group(
+            {"v1": self._soc2_prep(self.v1.scoped(p))}, self.fx.salary(), "lu_soc2", cap=SALARY_CAP,
+            direct={"ext": (self._soc2_prep(self.ext.scoped(p)), "salary_from")}).withColumnRenamed("lu_soc2", "soc2")
+
+    def salary_coverage_with_vendor(self) -> DataFrame:
+        p = Period.year(COMPARE_YEAR)
+        vendor = {"US": p.apply(self.fx.postings_ext(), "posted"), "UK": p.apply(self.fx.postings_ext_uk(), "posted"),
+                  "HK": p.apply(self.fx.postings_ext_global().filter(F.col("country") == "Hong Kong"), "posted")}
+        release = salary_coverage({"v1": p.apply(self.fx.postings_v1(), "post_date")}, self.fx.salary(),
+                                  "country", COUNTRY_CODES)
+        return direct_coverage("ext", vendor, "salary_from").unionByName(release)
+
     def salary_coverage(self) -> DataFrame:
         p = Period.year(COMPARE_YEAR)
         frames = {n: p.apply(f(), "post_date")
@@ -275,8 +315,8 @@ class PostingsJob:
     def wide_month_unpivot(self) -> DataFrame:
         return bm.wide_monthly_to_long(self.fx.bench_wide())
 
-    def coded_benchmark(self) -> DataFrame:
-        return bm.coded_benchmark(self.fx.bench_occ())
+    def coded_benchmark(self, level: str = "major") -> DataFrame:
+        return bm.coded_benchmark(self.fx.bench_occ(), level)
 
     def state_share(self, notebook: bool = False) -> DataFrame:
         bench = self.coded_benchmark().select(F.col("occ_title").alias("state"),
@@ -322,22 +362,38 @@ class PostingsJob:
         return bm.share_comparison(full, f, Period.since(MIN_YEAR), bench, label="soc2_name",
                                    bench_name="employment")
 
-    def truncated_code_share(self) -> DataFrame:
-        """Rows per truncated occupation code. v1 carries the code; v2
+    def group_share_rows(self) -> DataFrame:
+        """P29 by row count: the newer release takes its occupation group
+        from the classifier's code."""
+        def classified(df: DataFrame) -> DataFrame:
+            names = self.lookup.select(F.col("onet_code").alias("top1_code"), F.col("soc2_name").alias("cls_soc2"))
+            return df.join(self.fx.classifier().join(names, "top1_code"), "desc_id", "left")
+
+        v2_all = Source("v2", self.fx.postings_v2, "job_id", "post_date")
+        f = FieldSpec("soc2", {"v1": "lu_soc2", "v2": "cls_soc2", "ext": "lu_soc2"},
+                      prep={"v1": self._soc2_prep, "v2": classified, "ext": self._soc2_prep}, normalize=False)
+        return bm.share_comparison([self.ext, self.v1, v2_all], f, Period.year(COMPARE_YEAR), None,
+                                   label="soc2_name", measure="rows")
+
+    def truncated_code_share(self, width: int = CODE_WIDTH) -> DataFrame:
+        """Rows per occupation code of ``width`` characters, beside the
+        employment of the detailed occupations. v1 carries the code; v2
         takes it from the classifier's output joined on the description id
         (D19); the vendor names its occupation, matched to the lookup's name
         by normalised text (D17)."""
         v2_all = Source("v2", self.fx.postings_v2, "job_id", "post_date")
         cls = self.fx.classifier()
         lu = self.lookup.select(F.col("onet_code").alias("lu_code"), "onet_name")
-        f = FieldSpec("code1", {"v1": lambda df: left("onet_code", 1),
-                                "v2": lambda df: left("top1_code", 1),
-                                "ext": lambda df: left("lu_code", 1)},
+        f = FieldSpec("code1", {"v1": lambda df: left("onet_code", width),
+                                "v2": lambda df: left("top1_code", width),
+                                "ext": lambda df: left("lu_code", width)},
                       prep={"v2": lambda df: df.join(cls, "desc_id", "left"),
                             "ext": lambda df: norm_join(df, lu, "onet_code", "onet_name", "left")},
                       normalize=False)
-        return bm.share_comparison([self.v1, v2_all, self.ext], f, Period.year(COMPARE_YEAR), None,
-                                   label="code", measure="rows")
+        bench = self.coded_benchmark("detailed").select(F.col("occ_code").alias("label"),
+                                                        F.col("tot_emp").cast("double").alias("n"))
+        return bm.share_comparison([self.v1, v2_all, self.ext], f, Period.year(COMPARE_YEAR), bench,
+                                   label="code", bench_name="employment", measure="rows")
 
     def imputed_key_join(self) -> DataFrame:
         return bm.imputed_industry(self.fx.postings_v2(), self.fx.imputed(), self.fx.employers(),

@@ -12,6 +12,10 @@ tables.
 
 from __future__ import annotations
 
+import functools
+import inspect
+import sys
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +27,7 @@ from vintage.sources.tables import Tables
 STAGED = {
     "profiles_base": ("country",), "profiles_new": ("country",),
     "postings_v1": ("post_date",), "postings_v2": ("post_date",), "postings_ext": ("posted",),
+    "postings_ext_uk": ("posted",), "postings_ext_global": ("posted",),
     "salary": ("desc_id",), "xwalk": ("release_id",), "onet_lookup": (), "naics_hierarchy": (),
     "bench_occ": (), "bench_wide": (), "bench_map": (), "series_json": (), "bench_counts": (),
     "bench_share": (), "openings_industry": (), "imputed": (), "employers": (),
@@ -192,6 +197,23 @@ class Recipes:
             _null_when(F.col("l_partkey") % 15 == 0, F.concat(F.col("segment"), F.lit(" "), F.col("status"))).alias("title"),
         )
 
+    def _postings_abroad(self, scope: Column) -> DataFrame:
+        """The vendor's tables of other countries: only what the salary
+        coverage reads."""
+        l = self.t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
+        g = self.orders_geo().filter(scope).select("job_id", "country")
+        ln = F.col("l_linenumber")
+        return l.join(g, g.job_id == l.l_orderkey).select(
+            F.col("job_id").alias("id"), F.col("l_shipdate").alias("posted"), "country",
+            F.when(ln >= 5, F.lit(None)).when(ln == 4, F.lit(0.0))
+             .otherwise(F.col("l_extendedprice") * 2).alias("salary_from"))
+
+    def postings_ext_uk(self) -> DataFrame:
+        return self._postings_abroad(F.col("country") == "United Kingdom")
+
+    def postings_ext_global(self) -> DataFrame:
+        return self._postings_abroad(~F.col("country").isin("United States", "United Kingdom"))
+
     def salary(self) -> DataFrame:
         ln, q, px = F.col("l_linenumber"), F.col("l_quantity"), F.col("l_extendedprice")
         per = (F.when(ln == 1, "Year").when(ln == 2, "HOUR").when(ln == 3, "week")
@@ -225,6 +247,7 @@ class Recipes:
     def bench_occ(self) -> DataFrame:
         """Employment by occupation: one row per nation, sized by its customers."""
         k = F.col("n_nationkey")
+        codes = F.array(*[F.lit(c) for c in ("1-URGEN", "2-HIGH", "3-MEDIU", "4-NOT S", "6-NONE")])
         n = self.t.nation.select("n_nationkey", "n_name")
         c = self.t.customer.select("c_custkey", "c_nationkey")
         per = (n.join(c, c.c_nationkey == n.n_nationkey, "left")
@@ -232,6 +255,7 @@ class Recipes:
         return per.select(
             F.when(k % 5 == 4, "detailed").otherwise("major").alias("o_group"),
             F.col("n_name").alias("occ_title"),
+            F.element_at(codes, (F.floor(k / 5) % 5 + 1).cast("int")).alias("occ_code"),
             F.when(k % 6 == 5, F.lit("**")).otherwise((1000 + 37 * F.col("cnt")).cast("string"))
             .alias("tot_emp"),
         )
@@ -313,6 +337,11 @@ class Recipes:
             k.alias("employer_key"), _null_when(k % 6 == 0, F.col("s_nationkey")).alias("naics6"))
 
 
+@functools.cache
+def _recipe_text() -> str:
+    return inspect.getsource(sys.modules[__name__])
+
+
 class Fixtures:
     """The relations the queries read. With ``staged=True`` (default) each is
     written once under the shared checkpoint folder and read back as a
@@ -330,4 +359,4 @@ class Fixtures:
         build = getattr(self.recipes, name)
         if not self.is_staged:
             return build
-        return lambda: staged(self.spark, self.root, name, build, STAGED[name])
+        return lambda: staged(self.spark, self.root, name, build, STAGED[name], _recipe_text())

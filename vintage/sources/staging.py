@@ -1,16 +1,22 @@
 """Staging derived inputs as tables in the shared checkpoint folder.
 
 The comparison jobs read stored release tables. The stand-ins derived from
-the driver tables are written once per dataset directory as parquet under
-``spark.checkpoint.dir`` (shared storage on a cluster) and read back by
-every query, which then scans them with column pruning and pushed filters
-like any stored release. A marker written after the data makes a
-half-written table (a job that died mid-write) get rebuilt, not read.
+the driver tables are written once per state of a dataset directory as
+parquet under ``spark.checkpoint.dir`` (shared storage on a cluster) and
+read back by every query, which then scans them with column pruning and
+pushed filters like any stored release.
+
+A stage belongs to the dataset's files (names, sizes, times) and to the
+recipe's own text: a rewritten dataset or a changed recipe gets new tables.
+Each table is written to a fresh folder, and a marker naming that folder is
+written last: a job that dies half-way leaves no marker, and jobs that stage
+the same table at once never write into each other's files.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,41 +25,57 @@ from pyspark.sql import DataFrame, SparkSession
 from vintage.session import checkpoint_dir
 
 
-def stage_root(spark: SparkSession, dataset: str) -> str:
-    digest = hashlib.sha1(dataset.rstrip("/").encode()).hexdigest()[:16]
+def dataset_state(spark: SparkSession, dataset: str) -> str:
+    """Names, sizes and modification times of the dataset's files, listed
+    by the file system that Spark reads them from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(dataset.rstrip("/"))
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    files = []
+    while found.hasNext():
+        f = found.next()
+        files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(files))
+
+
+def stage_root(spark: SparkSession, dataset: str, recipe: str = "") -> str:
+    state = f"{dataset.rstrip('/')}\n{dataset_state(spark, dataset)}\n{recipe}"
+    digest = hashlib.sha1(state.encode()).hexdigest()[:16]
     return f"{checkpoint_dir(spark).rstrip('/')}/vintage-stage/{digest}"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _marked(spark: SparkSession, marker: str) -> str | None:
+    """The folder that the marker names; none where there is no marker."""
     try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
-        return True
+        return spark.read.schema("path string").parquet(marker).first()["path"]
     except AnalysisException:
-        return False
+        return None
 
 
-# Staged tables already resolved in this application: (app id, path) -> the
-# lazy read of the table. Resolving a parquet path lists its files and reads
-# a footer, so a query that reads the same table several times (one source
-# in several roles) resolves it once.
-_RESOLVED: dict[tuple[str, str], DataFrame] = {}
+# Staged tables already resolved in this application: (app id, root, name) ->
+# the lazy read of the table. Resolving a parquet path lists its files and
+# reads a footer, so a query that reads the same table several times (one
+# source in several roles) resolves it once.
+_RESOLVED: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], DataFrame],
-           sort_by: Sequence[str] = ()) -> DataFrame:
+           sort_by: Sequence[str] = (), recipe: str = "") -> DataFrame:
     """The table ``name`` derived from ``dataset``: written on first use,
     read afterwards. ``sort_by`` orders rows within each file so parquet
-    min/max statistics let date and key filters skip row groups."""
-    root = stage_root(spark, dataset)
-    path, marker = f"{root}/{name}", f"{root}/_done_{name}"
-    memo = (spark.sparkContext.applicationId, path)
+    min/max statistics let date and key filters skip row groups; ``recipe``
+    is the text that the table is made by."""
+    root = stage_root(spark, dataset, recipe)
+    memo = (spark.sparkContext.applicationId, root, name)
     if memo in _RESOLVED:
         return _RESOLVED[memo]
-    if not _exists(spark, marker):
+    marker = f"{root}/_done_{name}"
+    path = _marked(spark, marker)
+    if path is None:
+        path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
         df = build()
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("overwrite").parquet(path)
-        spark.range(1).write.mode("overwrite").parquet(marker)
+        df.write.parquet(path)
+        spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(marker)
     _RESOLVED[memo] = spark.read.parquet(path)
     return _RESOLVED[memo]
