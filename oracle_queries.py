@@ -34,6 +34,9 @@ JOIN nation n ON n.n_nationkey = s.s_nationkey""",
 SELECT person_id, country, company_name, company_id, start_date, end_date,
        CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 10 = 1 THEN 'Unclassified'
             WHEN p_size % 10 = 2 THEN 'Other (unclassified)' ELSE p_type END AS soc2_name,
+       CASE WHEN p_size % 13 = 0 THEN NULL ELSE p_type || ' worker' END AS onet_name,
+       CASE WHEN p_size % 11 = 1 THEN 'unclassified role' ELSE p_brand END AS suboccupation,
+       CASE WHEN p_size % 17 = 0 THEN NULL ELSE p_name END AS standard_title,
        CAST(floor(qty / 5) AS INT) AS onet_confidence,
        qty * 2 AS location_confidence, qty * 2 AS school_confidence,
        100 - qty * 2 AS intl_school_confidence,
@@ -49,6 +52,9 @@ FROM fx_stints WHERE line_no <= 5""",
 SELECT person_id, country, company_name, company_id, start_date, end_date,
        CASE WHEN p_size % 9 = 0 THEN NULL WHEN p_size % 9 = 1 THEN 'Unclassified'
             WHEN p_type = 'PROMO' THEN 'PROMOTIONAL' ELSE p_type END AS soc2_name,
+       CASE WHEN p_size % 13 = 0 THEN NULL ELSE p_type || ' worker' END AS onet_name,
+       CASE WHEN p_size % 11 = 1 THEN 'unclassified role' ELSE p_brand END AS suboccupation,
+       CASE WHEN p_size % 17 = 0 THEN NULL ELSE p_name END AS standard_title,
        CAST(floor(qty / 5) AS INT) AS onet_confidence,
        qty * 2 AS location_confidence, qty * 2 AS school_confidence,
        100 - qty * 2 AS intl_school_confidence,
@@ -69,6 +75,38 @@ FROM orders o
 JOIN customer c ON c.c_custkey = o.o_custkey
 JOIN nation n ON n.n_nationkey = c.c_nationkey
 JOIN region r ON r.r_regionkey = n.n_regionkey""",
+    "fx_education_base": """
+SELECT person_id, CASE country WHEN 'NATION_1' THEN 'United States' WHEN 'NATION_2' THEN ' usa ' ELSE country END AS country,
+       qty * 2 AS school_confidence, 100 - qty * 2 AS intl_school_confidence,
+       CASE WHEN p_size % 7 = 0 THEN NULL ELSE p_type END AS degree_per_entry,
+       CASE WHEN p_size % 9 = 0 THEN NULL WHEN p_size % 9 = 1 THEN 'Unclassified degree' ELSE p_brand END AS degree_per_id,
+       CASE WHEN p_size % 7 = 1 THEN NULL ELSE p_type || ', ' || p_brand END AS degree_list,
+       CASE WHEN p_size % 6 = 0 THEN '"[""]' WHEN p_size % 11 = 0 THEN NULL ELSE p_name END AS education_raw,
+       CASE WHEN p_size % 11 = 0 THEN NULL ELSE 'Major ' || CAST(p_size % 23 AS STRING) END AS major_name,
+       CASE WHEN p_size % 7 = 2 THEN NULL ELSE p_name END AS school_name
+FROM fx_stints WHERE line_no <= 4""",
+    "fx_education_new": """
+SELECT person_id, CASE country WHEN 'NATION_1' THEN 'United States' WHEN 'NATION_2' THEN ' usa ' ELSE country END AS country,
+       qty * 2 AS school_confidence, 100 - qty * 2 AS intl_school_confidence,
+       CASE WHEN p_size % 8 = 0 THEN NULL ELSE p_type END AS degree_per_entry,
+       CASE WHEN p_size % 9 = 0 THEN NULL WHEN p_size % 9 = 1 THEN 'Unclassified degree' ELSE p_brand END AS degree_per_id,
+       CASE WHEN p_size % 8 = 1 THEN NULL ELSE p_type || ', ' || p_brand END AS degree_list,
+       CASE WHEN p_size % 6 = 0 THEN '"[""]' WHEN p_size % 11 = 0 THEN NULL ELSE p_name END AS education_raw,
+       CASE WHEN p_size % 11 = 0 THEN NULL ELSE 'Major ' || CAST(p_size % 23 AS STRING) END AS major_name,
+       CASE WHEN p_size % 8 = 2 THEN NULL ELSE p_name END AS school_name
+FROM fx_stints WHERE line_no >= 2""",
+    "fx_persons_base": """
+SELECT job_id AS person_id, country, custkey % 100 AS location_confidence,
+       CASE WHEN custkey % 19 = 0 THEN NULL ELSE nation_name END AS state,
+       CASE WHEN custkey % 23 = 0 THEN 'Unclassified county' ELSE segment END AS county,
+       CASE WHEN custkey % 19 = 1 THEN NULL ELSE nation_name || ' City ' || CAST(custkey % 7 AS STRING) END AS city
+FROM fx_orders_geo WHERE status <> 'F'""",
+    "fx_persons_new": """
+SELECT job_id AS person_id, country, custkey % 100 AS location_confidence,
+       CASE WHEN custkey % 21 = 0 THEN NULL ELSE nation_name END AS state,
+       CASE WHEN custkey % 23 = 0 THEN 'Unclassified county' ELSE segment END AS county,
+       CASE WHEN custkey % 21 = 1 THEN NULL ELSE nation_name || ' City ' || CAST(custkey % 7 AS STRING) END AS city
+FROM fx_orders_geo WHERE status <> 'P'""",
     "fx_postings_v1": """
 SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN custkey % 9 = 0 THEN NULL WHEN custkey % 9 = 1 THEN ' unclassified ' ELSE '  ' || segment END AS naics2_name,
@@ -190,6 +228,8 @@ SELECT s_suppkey AS employer_key, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_n
 
 _DEPS = {
     "fx_profiles_base": ["fx_stints"], "fx_profiles_new": ["fx_stints"],
+    "fx_education_base": ["fx_stints"], "fx_education_new": ["fx_stints"],
+    "fx_persons_base": ["fx_orders_geo"], "fx_persons_new": ["fx_orders_geo"],
     "fx_postings_v1": ["fx_orders_geo"], "fx_postings_v2": ["fx_orders_geo"],
     "fx_postings_ext": ["fx_orders_geo"], "fx_postings_ext_uk": ["fx_orders_geo"],
     "fx_postings_ext_global": ["fx_orders_geo"], "fx_imputed": ["fx_orders_geo"],
@@ -232,12 +272,12 @@ PROFILES = ["fx_profiles_base", "fx_profiles_new"]
 
 
 # ------------------------------------------------------------ profile job
-def _p1(field: str, gate: str, by_country: bool = True) -> str:
+def _p1(field: str, gate: str, table: str = "profiles") -> str:
     g = f" AND {gate}" if gate else ""
     ctes = []
     for r in ("base", "new"):
         ctes.append(f"""{r} AS (SELECT country, {field} AS field_value, count(*) AS cnt
-  FROM fx_profiles_{r}
+  FROM fx_{table}_{r}
   WHERE {field} IS NOT NULL AND {field} NOT ILIKE '%unclassified%'{g}
   GROUP BY 1, 2)""")
     return "WITH " + ",\n".join(ctes) + """
@@ -251,10 +291,10 @@ SCHOOL_GATE = ("CASE WHEN lower(trim(country)) IN ('united states', 'us', 'usa')
                "THEN school_confidence >= 72 ELSE intl_school_confidence >= 70 END")
 
 
-def _p4(test: str, gate: str) -> str:
+def _p4(test: str, gate: str, table: str = "profiles") -> str:
     g = f"WHERE {gate}" if gate else ""
     ctes = [f"""c_{r} AS (SELECT country, count(*) FILTER (WHERE {test}) AS nn, count(*) AS total
-  FROM fx_profiles_{r} {g} GROUP BY country)""" for r in ("base", "new")]
+  FROM fx_{table}_{r} {g} GROUP BY country)""" for r in ("base", "new")]
     return "WITH " + ",\n".join(ctes) + """
 SELECT COALESCE(c_base.country, c_new.country) AS country,
        c_base.nn / NULLIF(c_base.total, 0) AS coverage_base,
@@ -263,10 +303,10 @@ SELECT COALESCE(c_base.country, c_new.country) AS country,
 FROM c_base FULL OUTER JOIN c_new ON c_base.country = c_new.country"""
 
 
-def _p2() -> str:
+def _p2(table: str = "profiles") -> str:
     ctes = [f"""{r} AS (SELECT country, field_value, count(*) AS cnt FROM (
     SELECT country, trim(x) AS field_value FROM (
-      SELECT country, unnest(string_split(degree_list, ', ')) AS x FROM fx_profiles_{r}
+      SELECT country, unnest(string_split(degree_list, ', ')) AS x FROM fx_{table}_{r}
       WHERE degree_list IS NOT NULL AND degree_list NOT ILIKE '%unclassified%'
         AND education_raw <> '"[""]'))
   WHERE field_value IS NOT NULL GROUP BY 1, 2)""" for r in ("base", "new")]
@@ -323,27 +363,27 @@ LEFT JOIN base_perc ON base_perc.naics2_code = m.naics2_code
 GROUP BY bls_code, m.industry"""
 
 
-_MATRIX = {"soc2_name": "onet_confidence >= 7", "school_name": SCHOOL_GATE,
-           "city": "location_confidence >= 89", "naics2_name": ""}
-_MATRIX_KPI = {"soc2_name": ("soc2_name <> 'Unclassified'", "onet_confidence >= 7"),
-               "school_name": ("school_name IS NOT NULL", SCHOOL_GATE),
-               "city": ("city IS NOT NULL", "location_confidence >= 89"),
-               "naics2_name": ("naics2_name IS NOT NULL", "")}
+# Field -> (base table, gate); degree_list is the list-valued one.
+_MATRIX = {"soc2_name": ("profiles", "onet_confidence >= 7"), "onet_name": ("profiles", ""),
+           "suboccupation": ("profiles", ""), "standard_title": ("profiles", ""), "naics2_name": ("profiles", ""),
+           "company_name": ("profiles", ""), "degree_per_entry": ("education", ""),
+           "degree_per_id": ("education", ""), "major_name": ("education", ""),
+           "school_name": ("education", SCHOOL_GATE), "degree_list": ("education", ""),
+           "state": ("persons", "location_confidence >= 89"), "county": ("persons", "location_confidence >= 89"),
+           "city": ("persons", "location_confidence >= 89")}
 
 
 def _matrix_long() -> str:
-    parts = []
-    for f, g in _MATRIX.items():
-        parts.append(f"SELECT '{f}' AS field, * FROM ({_p1(f, g)})")
-    parts.append(f"SELECT 'degree_list' AS field, * FROM ({_p2()})")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        f"SELECT '{f}' AS field, * FROM ({_p2(t) if f == 'degree_list' else _p1(f, g, t)})"
+        for f, (t, g) in _MATRIX.items())
 
 
 def _matrix_kpi() -> str:
-    parts = []
-    for f, (t, g) in _MATRIX_KPI.items():
-        parts.append(f"SELECT '{f}' AS field, * FROM ({_p4(t, g)})")
-    return "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(
+        "SELECT '{}' AS field, * FROM ({})".format(
+            f, _p4("soc2_name <> 'Unclassified'" if f == "soc2_name" else f"{f} IS NOT NULL", g, t))
+        for f, (t, g) in _MATRIX.items())
 
 
 # ------------------------------------------------------------ postings job
@@ -1001,16 +1041,17 @@ SELECT source, total, covered, CASE WHEN total > 0 THEN {_r1('covered', 'total')
 
 def oracle_sql() -> dict[str, str]:
     P = PROFILES
+    P3 = [*P, "fx_education_base", "fx_education_new", "fx_persons_base", "fx_persons_new"]
     q = {
         "value_counts_two_releases": _with(P, _p1("soc2_name", "onet_confidence >= 7")),
         "value_counts_list_field": _with(P, _p2()),
         "value_counts_with_benchmark": _with(P + ["fx_bench_counts"], _p3()),
         "coverage_two_releases": _with(P, _p4("soc2_name <> 'Unclassified'", "onet_confidence >= 7")),
-        "coverage_country_gate": _with(P, _p4("school_name IS NOT NULL", SCHOOL_GATE)),
+        "coverage_country_gate": _with(P3[2:4], _p4("school_name IS NOT NULL", SCHOOL_GATE, "education")),
         "occupation_share_benchmark": _with(P + ["fx_bench_share"], _p5()),
         "industry_share_stints": _with(P + ["fx_bench_map"], _p6()),
-        "profile_matrix_long": _with(P, _matrix_long()),
-        "profile_matrix_kpi": _with(P, _matrix_kpi()),
+        "profile_matrix_long": _with(P3, _matrix_long()),
+        "profile_matrix_kpi": _with(P3, _matrix_kpi()),
         "totals_yearly": _with(POSTINGS, _totals_yearly()),
         "totals_monthly_spine": _with(POSTINGS, _monthly(SRC)),
         "coverage_three_sources": _with(POSTINGS, _kpi3(_F_INDUSTRY, exclude=True)),

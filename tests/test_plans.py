@@ -18,8 +18,16 @@ def _final_plan(df):
 
 def test_matrix_scans_each_release_once(spark):
     p = _final_plan(queries()["profile_matrix_long"](spark, SMALL))
-    assert len(re.findall(r"FileScan parquet", p)) == 2
-    assert len(re.findall(r"Exchange hashpartitioning", p)) == 1
+    # three base tables of two releases, one exchange per base table
+    assert len(re.findall(r"FileScan parquet", p)) == 6
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 3
+
+
+def test_kpi_matrix_expands_no_rows_before_its_exchange(spark):
+    p = _final_plan(queries()["profile_matrix_kpi"](spark, SMALL))
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 3
+    for below in p.split("Exchange hashpartitioning")[1:]:
+        assert "Generate" not in below.split("Union")[0]
 
 
 def test_distribution_one_scan_per_source_and_reused_exchange(spark):

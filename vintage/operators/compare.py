@@ -254,22 +254,24 @@ def release_matrix_long(releases: Mapping[str, DataFrame], fields: Mapping[str,
 def release_matrix_kpi(releases: Mapping[str, DataFrame], fields: Mapping[str, tuple[Column, Column | None]],
                        by: Sequence[str] = ("country",)) -> DataFrame:
     """P7 KPI half: coverage of many fields in one scan. ``fields`` maps a
-    field to (coverage test, gate)."""
-    u = release_union(releases)
-    items = []
-    for name, (test, gate) in fields.items():
-        g = F.lit(True) if gate is None else F.coalesce(gate, F.lit(False))
-        items.append(F.struct(F.lit(name).alias("field"), F.coalesce(test, F.lit(False)).alias("ok"),
-                              g.alias("in_scope")))
-    exploded = u.select(*by, "release", F.inline(F.array(*items))).filter("in_scope")
-    per = exploded.groupBy("field", *by, "release").agg(
-        F.count_if("ok").alias("nn"), F.count(F.lit(1)).alias("total"))
-    aggs = []
+    field to (coverage test, gate). Rows are not expanded: each group counts
+    every field's rows in scope and covered per release (one exchange), and
+    the few result rows are unpivoted. A group in which no row of either
+    release is in a field's scope has no row for it."""
+    aggs, items = [], []
+    for i, (name, (test, gate)) in enumerate(fields.items()):
+        row = [F.lit(name).alias("field")]
+        for n in releases:
+            scope = F.col("release") == F.lit(n)
+            if gate is not None:
+                scope = scope & gate
+            aggs += [F.count_if(scope).alias(f"_t_{i}_{n}"), F.count_if(scope & test).alias(f"_c_{i}_{n}")]
+            row.append(safe_div(F.col(f"_c_{i}_{n}"), F.col(f"_t_{i}_{n}")).alias(f"coverage_{n}"))
+        row += [F.col(f"_t_{i}_{n}").alias(f"profiles_{n}") for n in releases]
+        items.append(F.struct(*row))
+    out = release_union(releases).groupBy(*by).agg(*aggs).select(*by, F.inline(F.array(*items)))
+    some = F.lit(False)
     for n in releases:
-        nn = F.sum(F.when(F.col("release") == n, F.col("nn")))
-        tot = F.sum(F.when(F.col("release") == n, F.col("total")))
-        aggs.append(safe_div(nn, tot).alias(f"coverage_{n}"))
-    for n in releases:
-        aggs.append(F.coalesce(F.sum(F.when(F.col("release") == n, F.col("total"))),
-                               F.lit(0).cast("bigint")).alias(f"profiles_{n}"))
-    return per.groupBy("field", *by).agg(*aggs)
+        some = some | (F.col(f"profiles_{n}") > 0)
+    return out.filter(some).select("field", *by, *[f"coverage_{n}" for n in releases],
+                                   *[f"profiles_{n}" for n in releases])

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.operators import compare as cmp
+from vintage.operators.distribution import union_all
 from vintage.sources.fixtures import Fixtures
 
 BASE, NEW = "base", "new"
@@ -47,8 +48,19 @@ class ProfilesJob:
 
     @property
     def releases(self) -> dict[str, DataFrame]:
+        """The experience table: one row per stint."""
         return {BASE: self.fx.profiles_base(), NEW: self.fx.profiles_new()}
 
+    @property
+    def education(self) -> dict[str, DataFrame]:
+        """One row per education entry, with a country column of its own."""
+        return {BASE: self.fx.education_base(), NEW: self.fx.education_new()}
+
+    @property
+    def persons(self) -> dict[str, DataFrame]:
+        """One row per person."""
+        return {BASE: self.fx.persons_base(), NEW: self.fx.persons_new()}
+
     def value_counts(self) -> DataFrame:
         return cmp.release_value_counts(self.releases, "soc2_name", gate=occupation_gate())
 
@@ -65,8 +77,7 @@ class ProfilesJob:
                                     gate=occupation_gate())
 
     def coverage_country_gate(self) -> DataFrame:
-        return cmp.release_coverage(self.releases, F.col("school_name").isNotNull(),
-                                    gate=school_gate())
+        return cmp.release_coverage(self.education, F.col("school_name").isNotNull(), gate=school_gate())
 
     def occupation_share(self, strict: bool = False) -> DataFrame:
         return cmp.release_share_vs_benchmark(
@@ -77,20 +88,28 @@ class ProfilesJob:
         return cmp.stint_industry_share(self.releases, self.fx.bench_map(), STINT_WINDOW[0],
                                         STINT_WINDOW[1], ("country", COUNTRY))
 
-    # The matrix: field -> gate, and field -> (coverage test, gate).
-    def matrix_fields(self) -> dict[str, Column | None]:
-        return {"soc2_name": occupation_gate(), "school_name": school_gate(),
-                "city": location_gate(), "naics2_name": None}
-
-    def matrix_kpi_fields(self) -> dict[str, tuple[Column, Column | None]]:
-        return {"soc2_name": (F.col("soc2_name") != "Unclassified", occupation_gate()),
-                "school_name": (F.col("school_name").isNotNull(), school_gate()),
-                "city": (F.col("city").isNotNull(), location_gate()),
-                "naics2_name": (F.col("naics2_name").isNotNull(), None)}
+    def matrix_tables(self) -> list[tuple[dict[str, DataFrame], dict[str, Column | None], dict[str, Column | None]]]:
+        """The matrix: per base table its plain fields and its list-valued
+        fields, each with its gate."""
+        place = location_gate()
+        return [
+            (self.releases, {"soc2_name": occupation_gate(), "onet_name": None, "suboccupation": None,
+                             "standard_title": None, "naics2_name": None, "company_name": None}, {}),
+            (self.education, {"degree_per_entry": None, "degree_per_id": None, "major_name": None,
+                              "school_name": school_gate()}, {"degree_list": None}),
+            (self.persons, {"state": place, "county": place, "city": place}, {})]
 
     def matrix_long(self) -> DataFrame:
-        return cmp.release_matrix_long(self.releases, self.matrix_fields(),
-                                       list_fields={"degree_list": None})
+        """Every field's value counts: one scan per base table and release,
+        one exchange per base table."""
+        return union_all([cmp.release_matrix_long(releases, fields, list_fields=lists)
+                          for releases, fields, lists in self.matrix_tables()])
 
     def matrix_kpi(self) -> DataFrame:
-        return cmp.release_matrix_kpi(self.releases, self.matrix_kpi_fields())
+        """Every field's coverage. Covered is any value, for the occupation
+        group any but the exact 'Unclassified' (S6)."""
+        def test(name: str) -> Column:
+            return F.col(name) != "Unclassified" if name == "soc2_name" else F.col(name).isNotNull()
+
+        return union_all([cmp.release_matrix_kpi(releases, {n: (test(n), g) for n, g in {**fields, **lists}.items()})
+                          for releases, fields, lists in self.matrix_tables()])

@@ -26,6 +26,8 @@ from vintage.sources.tables import Tables
 # sorted by (within each file, so min/max statistics skip row groups).
 STAGED = {
     "profiles_base": ("country",), "profiles_new": ("country",),
+    "education_base": ("country",), "education_new": ("country",),
+    "persons_base": ("country",), "persons_new": ("country",),
     "postings_v1": ("post_date",), "postings_v2": ("post_date",), "postings_ext": ("posted",),
     "postings_ext_uk": ("posted",), "postings_ext_global": ("posted",),
     "salary": ("desc_id",), "xwalk": ("release_id",), "onet_lookup": (), "naics_hierarchy": (),
@@ -76,6 +78,9 @@ class Recipes:
         return df.select(
             "person_id", "country", "company_name", "company_id", "start_date", "end_date",
             soc2.alias("soc2_name"),
+            _null_when(size % 13 == 0, F.concat(F.col("p_type"), F.lit(" worker"))).alias("onet_name"),
+            F.when(size % 11 == 1, F.lit("unclassified role")).otherwise(F.col("p_brand")).alias("suboccupation"),
+            _null_when(size % 17 == 0, F.col("p_name")).alias("standard_title"),
             F.floor(F.col("qty") / 5).cast("int").alias("onet_confidence"),
             (F.col("qty") * 2).alias("location_confidence"),
             (F.col("qty") * 2).alias("school_confidence"),
@@ -106,6 +111,46 @@ class Recipes:
         degree = _null_when(size % 7 == 0, F.concat(F.col("p_type"), F.lit(", "), F.col("p_brand")))
         return self._profile(self.stints().filter(F.col("line_no") >= 2), soc2, 15, 16, degree)
 
+    def _education(self, df: DataFrame, mod: int) -> DataFrame:
+        """One row per education entry; two countries take the domestic gate."""
+        size = F.col("p_size")
+        return df.select(
+            "person_id",
+            F.when(F.col("country") == "NATION_1", "United States").when(F.col("country") == "NATION_2", " usa ")
+             .otherwise(F.col("country")).alias("country"),
+            (F.col("qty") * 2).alias("school_confidence"),
+            (100 - F.col("qty") * 2).alias("intl_school_confidence"),
+            _null_when(size % mod == 0, F.col("p_type")).alias("degree_per_entry"),
+            F.when(size % 9 == 0, F.lit(None)).when(size % 9 == 1, F.lit("Unclassified degree"))
+             .otherwise(F.col("p_brand")).alias("degree_per_id"),
+            _null_when(size % mod == 1, F.concat(F.col("p_type"), F.lit(", "), F.col("p_brand"))).alias("degree_list"),
+            F.when(size % 6 == 0, F.lit('"[""]')).when(size % 11 == 0, F.lit(None))
+             .otherwise(F.col("p_name")).alias("education_raw"),
+            _null_when(size % 11 == 0, F.concat(F.lit("Major "), (size % 23).cast("string"))).alias("major_name"),
+            _null_when(size % mod == 2, F.col("p_name")).alias("school_name"))
+
+    def education_base(self) -> DataFrame:
+        return self._education(self.stints().filter(F.col("line_no") <= 4), 7)
+
+    def education_new(self) -> DataFrame:
+        return self._education(self.stints().filter(F.col("line_no") >= 2), 8)
+
+    def _persons(self, df: DataFrame, mod: int) -> DataFrame:
+        """One row per person."""
+        ck = F.col("custkey")
+        return df.select(
+            F.col("job_id").alias("person_id"), "country", (ck % 100).alias("location_confidence"),
+            _null_when(ck % mod == 0, F.col("nation_name")).alias("state"),
+            F.when(ck % 23 == 0, F.lit("Unclassified county")).otherwise(F.col("segment")).alias("county"),
+            _null_when(ck % mod == 1, F.concat(F.col("nation_name"), F.lit(" City "), (ck % 7).cast("string")))
+            .alias("city"))
+
+    def persons_base(self) -> DataFrame:
+        return self._persons(self.orders_geo().filter(F.col("status") != "F"), 19)
+
+    def persons_new(self) -> DataFrame:
+        return self._persons(self.orders_geo().filter(F.col("status") != "P"), 21)
+
     # ---------------------------------------------------------------- postings
     def orders_geo(self) -> DataFrame:
         o = self.t.orders.select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus",
