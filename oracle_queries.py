@@ -12,9 +12,28 @@ rounds in ``CAST(double AS BIGINT)``, so those are cast explicitly.
 
 from __future__ import annotations
 
-from vintage.operators.benchmark import STATE_FIPS
-from vintage.plans import postings as PJ
-from vintage.plans import profiles as PR
+import datetime as dt
+
+# The jobs' parameters, written out here so that a wrong one is noticed.
+AS_OF = "2001-06-30"
+STINT_WINDOW = ("1998-01-01", "1998-01-31")
+SECTOR_MAP = {"AMERICA": "Sector A", "EUROPE": "Sector E", "ASIA": "Sector A", "AUTOMOBILE": "Sector A",
+              "BUILDING": "Sector B", "MACHINERY": "Sector M", "HOUSEHOLD": "Sector H"}
+CODE_SECTOR_MAP = {"1-URGENT": "Sector A", "2-HIGH": "Sector B", "3-MEDIUM": "Sector E",
+                   "4-NOT SPECIFIED": "Sector Z"}
+# State codes of the official series.
+STATES = {
+    "01": "ALABAMA", "02": "ALASKA", "04": "ARIZONA", "05": "ARKANSAS", "06": "CALIFORNIA", "08": "COLORADO",
+    "09": "CONNECTICUT", "10": "DELAWARE", "11": "DISTRICT OF COLUMBIA", "12": "FLORIDA", "13": "GEORGIA",
+    "15": "HAWAII", "16": "IDAHO", "17": "ILLINOIS", "18": "INDIANA", "19": "IOWA", "20": "KANSAS",
+    "21": "KENTUCKY", "22": "LOUISIANA", "23": "MAINE", "24": "MARYLAND", "25": "MASSACHUSETTS",
+    "26": "MICHIGAN", "27": "MINNESOTA", "28": "MISSISSIPPI", "29": "MISSOURI", "30": "MONTANA",
+    "31": "NEBRASKA", "32": "NEVADA", "33": "NEW HAMPSHIRE", "34": "NEW JERSEY", "35": "NEW MEXICO",
+    "36": "NEW YORK", "37": "NORTH CAROLINA", "38": "NORTH DAKOTA", "39": "OHIO", "40": "OKLAHOMA",
+    "41": "OREGON", "42": "PENNSYLVANIA", "44": "RHODE ISLAND", "45": "SOUTH CAROLINA", "46": "SOUTH DAKOTA",
+    "47": "TENNESSEE", "48": "TEXAS", "49": "UTAH", "50": "VERMONT", "51": "VIRGINIA", "53": "WASHINGTON",
+    "54": "WEST VIRGINIA", "55": "WISCONSIN", "56": "WYOMING",
+}
 
 # --------------------------------------------------------------- fixtures
 FIXTURES: dict[str, str] = {
@@ -266,8 +285,8 @@ def _case(expr: str, mapping: dict[str, str]) -> str:
 
 
 US = "'United States'"
-Y0, YC, YX = PJ.MIN_YEAR, PJ.COMPARE_YEAR, PJ.CHANGES_YEAR
-C1 = f"'{PR.COUNTRY}'"
+Y0, YC, YX = 1996, 2000, 1999
+C1 = "'NATION_1'"
 PROFILES = ["fx_profiles_base", "fx_profiles_new"]
 
 
@@ -345,7 +364,7 @@ FULL JOIN fx_bench_share b ON b.label = COALESCE(base_ver.soc2_name, new_ver.soc
 
 
 def _p6() -> str:
-    p0, p1 = PR.STINT_WINDOW
+    p0, p1 = STINT_WINDOW
     ctes = []
     for r in ("base", "new"):
         ctes.append(f"""{r}_exp AS (SELECT person_id, naics2_code FROM fx_profiles_{r}
@@ -505,8 +524,7 @@ FROM {tbl} {_where(cty, _year_ge(a, dt, Y0))} GROUP BY 2""")
 
 
 def _spine_bounds() -> tuple[str, str]:
-    import datetime as dt
-    d = dt.date.fromisoformat(PJ.AS_OF)
+    d = dt.date.fromisoformat(AS_OF)
     last = dt.date(d.year, d.month, 1)
     y, m = last.year, last.month - 11
     while m <= 0:
@@ -780,7 +798,7 @@ LIMIT 20"""
 # --------------------------------------------------------------- benchmarks
 def _series_mean() -> str:
     return f"""SELECT m.state, CAST(round_even(avg(TRY_CAST(json_extract_string(payload, '$.k') AS DOUBLE) * 1000), 0) AS BIGINT) AS bench_count
-FROM fx_series_json s JOIN {_vals(STATE_FIPS, 'code', 'state')} ON m.code = substr(s.series_id, 10, 2)
+FROM fx_series_json s JOIN {_vals(STATES, 'code', 'state')} ON m.code = substr(s.series_id, 10, 2)
 WHERE s.year = '2024' AND s.period <> 'M13' AND TRY_CAST(json_extract_string(payload, '$.k') AS DOUBLE) IS NOT NULL
 GROUP BY s.series_id, m.state"""
 
@@ -867,10 +885,10 @@ def _share_cmp(label: str, parts: dict[str, str], bench: str | None, bench_name:
 
 
 def _sector_share() -> str:
-    sec_v1 = _case(_norm("h.naics2_name"), PJ.FIXTURE_SECTOR_MAP)
-    sec_ext = _case(_norm("ext.naics2_name"), PJ.FIXTURE_SECTOR_MAP)
-    code = _case("j.industry_code", PJ.FIXTURE_CODE_SECTOR_MAP)
-    keys = ", ".join(f"'{k}'" for k in PJ.FIXTURE_CODE_SECTOR_MAP)
+    sec_v1 = _case(_norm("h.naics2_name"), SECTOR_MAP)
+    sec_ext = _case(_norm("ext.naics2_name"), SECTOR_MAP)
+    code = _case("j.industry_code", CODE_SECTOR_MAP)
+    keys = ", ".join(f"'{k}'" for k in CODE_SECTOR_MAP)
     bench = (f"SELECT {code} AS label, round(sum(j.job_openings), 6) AS n FROM fx_openings_industry j "
              f"WHERE j.state_text = 'Total US' AND j.industry_code IN ({keys}) AND j.year = '{YX}' GROUP BY 1")
     parts = {
@@ -883,6 +901,23 @@ def _sector_share() -> str:
     return _share_cmp("sector", parts, bench, "benchmark")
 
 
+def _sector_share_rows() -> str:
+    def counted(value: str, rest: str) -> str:
+        return (f"SELECT * FROM (SELECT {_case(_norm(value), SECTOR_MAP)} AS label, count(*) AS n {rest} GROUP BY 1) "
+                "WHERE label IS NOT NULL")
+    parts = {
+        "ext": counted("ext.naics2_name", f"FROM fx_postings_ext ext WHERE year(ext.posted) = {YX}"),
+        "v1": counted("v1.naics2_name", f"FROM fx_postings_v1 v1 WHERE v1.country = {US} AND year(v1.post_date) = {YX}"),
+        "v2": counted("h.naics2_name", f"""FROM fx_postings_v2 v2 LEFT JOIN fx_imputed i ON i.job_id = v2.job_id
+LEFT JOIN fx_employers e ON COALESCE(i.imputed_key, v2.naics6) = e.employer_key
+JOIN fx_naics_hierarchy h ON h.naics6 = e.naics6 WHERE v2.country = {US} AND year(v2.post_date) = {YX}""")}
+    keys = ", ".join(f"'{k}'" for k in CODE_SECTOR_MAP)
+    bench = f"""SELECT label, round(sum(n), 6) AS n FROM (
+  SELECT {_case("j.industry_code", CODE_SECTOR_MAP)} AS label, j.job_openings AS n FROM fx_openings_industry j
+  WHERE j.state_text = 'Total US' AND j.industry_code IN ({keys}) AND j.year = '{YX}') GROUP BY 1"""
+    return _share_cmp("sector", parts, bench, "benchmark")
+
+
 def _group_share() -> str:
     bench = f"SELECT upper(trim(occ_title)) AS label, CAST(tot_emp AS DOUBLE) AS n FROM ({_coded()})"
     parts = {
@@ -931,7 +966,7 @@ def _rollup() -> str:
         parts.append(f"SELECT '{s}' AS source, field_value, {s}_count AS n FROM d WHERE {s}_count > 0")
     return f"""WITH d AS ({d}),
 l AS ({' UNION ALL '.join(parts)}),
-m AS (SELECT source, {_case('field_value', PJ.FIXTURE_SECTOR_MAP)} AS sector, n FROM l),
+m AS (SELECT source, {_case('field_value', SECTOR_MAP)} AS sector, n FROM l),
 a AS (SELECT source, sector, CAST(sum(n) AS BIGINT) AS n FROM m WHERE sector IS NOT NULL GROUP BY 1, 2)
 SELECT source, sector, n, n / sum(n) OVER (PARTITION BY source) * 100 AS pct FROM a"""
 
@@ -1090,6 +1125,8 @@ def oracle_sql() -> dict[str, str]:
         "coded_benchmark_load": _with(["fx_bench_occ"], _coded()),
         "sector_share_benchmark": _with(POSTINGS + ["fx_naics_hierarchy", "fx_openings_industry"],
                                         _sector_share()),
+        "sector_share_rows": _with(POSTINGS + ["fx_imputed", "fx_employers", "fx_naics_hierarchy",
+                                               "fx_openings_industry"], _sector_share_rows()),
         "sector_rollup_map": _with(POSTINGS, _rollup()),
         "group_share_vs_employment": _with(POSTINGS + ["fx_onet_lookup", "fx_bench_occ"], _group_share()),
         "truncated_code_share": _with(POSTINGS + ["fx_classifier", "fx_onet_lookup", "fx_bench_occ"], _truncated()),

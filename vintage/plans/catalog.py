@@ -104,6 +104,7 @@ QUERIES: dict[str, Query] = {
     "monthly_benchmark_long": _po(lambda j: j.monthly_benchmark_long()),
     "monthly_benchmark_wide": _po(lambda j: j.monthly_benchmark_wide()),
     "sector_share_benchmark": _po(lambda j: j.sector_share()),
+    "sector_share_rows": _po(lambda j: j.sector_share_rows()),
     "sector_rollup_map": _po(lambda j: j.sector_rollup_map()),
     "group_share_vs_employment": _po(lambda j: j.group_share_vs_employment()),
     "truncated_code_share": _po(lambda j: j.truncated_code_share()),

@@ -348,6 +348,30 @@ class PostingsJob:
         return bm.share_comparison(full, sector_field, Period.year(CHANGES_YEAR), bench,
                                    label="sector", bench_name="benchmark")
 
+    def _employer_prep(self, df: DataFrame) -> DataFrame:
+        """Enrichment: the sector of the employer, whose imputed key replaces
+        the posting's own where there is one (D16)."""
+        e = self.fx.employers().select("employer_key", F.col("naics6").alias("emp_naics6"))
+        h = self.fx.naics_hierarchy().select(F.col("naics6").alias("emp_naics6"),
+                                             F.col("naics2_name").alias("emp_naics2"))
+        keyed = (df.join(self.fx.imputed().select("job_id", "imputed_key"), "job_id", "left")
+                 .withColumn("employer_key", F.coalesce(F.col("imputed_key").cast("bigint"),
+                                                        F.col("naics6").cast("bigint"))))
+        return keyed.join(e, "employer_key", "left").join(h, "emp_naics6", "left")
+
+    def sector_share_rows(self) -> DataFrame:
+        """P27 by row count over three sources: the newer release takes its
+        sector from the imputed employer."""
+        def sector(name: str):
+            return lambda df: map_lookup(norm(name), FIXTURE_SECTOR_MAP)
+
+        f = FieldSpec("sector", {"ext": sector("naics2_name"), "v1": sector("naics2_name"), "v2": sector("emp_naics2")},
+                      prep={"v2": self._employer_prep}, normalize=False)
+        bench = bm.official_by_sector(self.fx.openings_industry(), FIXTURE_CODE_SECTOR_MAP,
+                                      region="Total US", year=str(CHANGES_YEAR))
+        return bm.share_comparison([self.ext, self.v1, self.v2], f, Period.year(CHANGES_YEAR), bench,
+                                   label="sector", bench_name="benchmark", measure="rows")
+
     def sector_rollup_map(self) -> DataFrame:
         counts = distribution(self.three, self.field("industry"), Period.year(COMPARE_YEAR),
                               long=True)
