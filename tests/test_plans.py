@@ -36,6 +36,12 @@ def test_distribution_one_scan_per_source_and_reused_exchange(spark):
     assert "ReusedExchange" in p or "Reused" in p
 
 
+def test_field_matrix_one_scan_per_source(spark):
+    p = _final_plan(queries()["postings_field_matrix"](spark, SMALL))
+    # three sources, and the lookup joined to each
+    assert len(re.findall(r"FileScan parquet", p)) <= 6
+
+
 def _formatted(df):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):

@@ -80,15 +80,23 @@ def counts_and_totals(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
     total)`` distinct ids in scope. A NULL id is no entity: it adds nothing
     to a count or total, but a value that only NULL ids hold stays as a 0
     row, as ``COUNT(DISTINCT id)`` gives it."""
-    totals = (ids.filter(F.col("id").isNotNull()).select("source", "id").distinct()
-              .groupBy("source").agg(F.count(F.lit(1)).alias("total")))
-    return counts_from_ids(ids), totals
+    return counts_from_ids(ids), totals_from_ids(ids)
 
 
-def counts_from_ids(ids: DataFrame) -> DataFrame:
-    """``(source, field_value, n)``: distinct ids per value."""
-    return (ids.filter(F.col("field_value").isNotNull())
-            .groupBy("source", "field_value").agg(F.count("id").alias("n")))
+def counts_from_ids(ids: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """``(*keys, field_value, n)``: distinct ids per value. The NULL value is
+    dropped after counting: a filter on a grouping key would be pushed to
+    the scan, and the totals could not share the ids' exchange."""
+    return (ids.groupBy(*keys, "field_value").agg(F.count("id").alias("n"), F.max("field_value").alias("_v"))
+            .filter(F.col("_v").isNotNull()).drop("_v"))
+
+
+def totals_from_ids(ids: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """``(*keys, total)``: distinct ids. Each id's values are counted too
+    (always 0 or more), so that this reads the same columns of ``ids`` as the
+    counts do and both share one scan and one exchange."""
+    per = ids.groupBy(*keys, "id").agg(F.count("field_value").alias("_k"))
+    return per.groupBy(*keys).agg(F.count_if(F.col("id").isNotNull() & (F.col("_k") >= 0)).alias("total"))
 
 
 def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | None,
@@ -206,10 +214,8 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                       F.col(f"_v_{i}").cast("string").alias("field_value")) for i, f in enumerate(fields)]
     ids = (rows.select("source", "id", F.inline(F.array(*items))).filter("in_scope")
            .select("source", "field", "id", "field_value").distinct())
-    counts = (ids.filter(F.col("field_value").isNotNull())
-              .groupBy("source", "field", "field_value").agg(F.count("id").alias("n")))
-    totals = (ids.filter(F.col("id").isNotNull()).select("source", "field", "id").distinct()
-              .groupBy("source", "field").agg(F.count(F.lit(1)).alias("total")))
+    counts = counts_from_ids(ids, ["source", "field"])
+    totals = totals_from_ids(ids, ["source", "field"])
     long_df = (counts.join(F.broadcast(totals), ["source", "field"], "left")
                .withColumn("frac", frac_or_zero("n", "total")))
     names = [s.name for s in sources]
