@@ -398,6 +398,17 @@ def test_pages(spark):
     assert html.extract(df.filter("false"), net).count() == 0
 
 
+def test_odd_declarations_lose_no_later_block():
+    after = "<article><p>First paragraph.</p><p>Second one.</p></article>"
+    for odd in ("<![x>", "<![x]>", "<![>", "<![ >", "<![ x y]]>", "<![if !IE]>", "<![endif]>", "<![CDATA[a]]>", "<!x>", "<!>", "</ >", "<?x>"):
+        assert [t for _, t, _ in html.blocks(f"<p>Before.</p>{odd}{after}")] == ["Before.", "First paragraph.", "Second one."], odd
+    assert [t for _, t, _ in html.blocks("<p>Write <![ like this</p><p>Next.</p>")] == ["Write", "Next."]
+    rng = random.Random(6)
+    parts = ["<![", "<!", "<!--", "-->", "]]>", "]>", ">", "<", "</", "<?", "CDATA[", "if", "x", " ", "<script>", "</script>", "<p a=", "'", '"', "&", "&#", "/", "\n"]
+    for _ in range(5000):
+        html.blocks("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))))
+
+
 # --------------------------------------------------------------------- bpe
 
 def test_bpe_is_the_library(spark, documents):

@@ -52,6 +52,8 @@ BLOCKS = frozenset(
     "th thead title tr ul".split())
 SILENT = frozenset("script style noscript template svg iframe object canvas math textarea select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements whose content follows the rules of XML.
+FOREIGN = frozenset(("svg", "math"))
 #: Names of containers, by what they usually hold.
 MAIN_NAMES = "article content main post entry story body text page-content post-content entry-content article-body article-text".split()
 OTHER_NAMES = {
@@ -129,6 +131,15 @@ class _Blocks(HTMLParser):
                 self._close(at)
                 return
 
+    def parse_marked_section(self, i, report=1):
+        # as in browsers: a section of foreign markup is text, any other "<![" a comment up to the next ">"
+        if self.rawdata.startswith("<![CDATA[", i) and any(tag in FOREIGN for tag, _ in self.open):
+            end = self.rawdata.find("]]>", i)
+            if end >= 0:
+                self.handle_data(self.rawdata[i + 9:end])
+                return end + 3
+        return self.parse_bogus_comment(i, report)
+
     def handle_data(self, data):
         if not self.silent:
             self.text.append(data)
@@ -139,12 +150,8 @@ class _Blocks(HTMLParser):
 def blocks(html: str | None) -> list[tuple[str, str, int]]:
     """(path, text, characters of link text) of the leaf blocks, in page order."""
     parser = _Blocks()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except AssertionError:
-        # the parser's own check for markup it can't go on with: keep what it has read
-        pass
+    parser.feed(html or "")
+    parser.close()
     parser._end_block()
     return parser.blocks
 
