@@ -409,6 +409,13 @@ def test_odd_declarations_lose_no_later_block():
         html.blocks("".join(rng.choice(parts) for _ in range(rng.randint(1, 12))))
 
 
+def test_formulas_and_fallback_texts_are_blocks():
+    page = ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold.</p><noscript><p>No script.</p></noscript>"
+            "<object><p>No object.</p></object><canvas>No canvas.</canvas><p><svg><text><![CDATA[a <b]]></text></svg></p>"
+            "<script>s</script><style>t</style><template><p>u</p></template><textarea>v</textarea><select><option>w</select></article>")
+    assert [t for _, t, _ in html.blocks(page)] == ["Let x=1 hold.", "No script.", "No object.", "No canvas.", "a <b"]
+
+
 # --------------------------------------------------------------------- bpe
 
 def test_bpe_is_the_library(spark, documents):

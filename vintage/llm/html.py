@@ -50,7 +50,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot "
     "th thead title tr ul".split())
-SILENT = frozenset("script style noscript template svg iframe object canvas math textarea select".split())
+SILENT = frozenset("script style template textarea select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content follows the rules of XML.
 FOREIGN = frozenset(("svg", "math"))
