@@ -335,6 +335,22 @@ def test_classifiers_on_odd_tables(spark):
         assert m.score(df.filter("false").select("doc_id", "text"), m.train(df, none, "y")).count() == 0
 
 
+@pytest.mark.parametrize("train, label, kind", [(toxicity.train, "toxic", "text"), (quality.train, "quality", "text"), (html.train, None, "html")])
+def test_training_takes_one_row_of_an_id(spark, train, label, kind):
+    page = "<article><p>{0} and text of it.</p></article><nav><a>{0}</a></nav>" if kind == "html" else "{0} and text of it"
+    rows = [(i, page.format(f"word{i}")) for i in range(12)] + [(3, page.format(f"other{i}")) for i in range(40)] + [(3, page.format("other1"))] * 9
+    cols = f"page_id long, {kind} string" if kind == "html" else f"doc_id long, {kind} string"
+    df = spark.createDataFrame(rows, cols)
+    first = {}
+    for i, h, t in df.select(df.columns[0], F.xxhash64(kind), kind).collect():
+        first[i] = min(first.get(i, (h, t)), (h, t))
+    one = spark.createDataFrame([(i, t) for i, (_, t) in first.items()], cols)
+    rest = [spark.createDataFrame([(i, i % 2) for i in range(12)], f"doc_id long, {label} int"), label] if label else []
+    a, b = train(df, *rest), train(one, *rest)
+    same = lambda x, y: np.array_equal(x, y) if isinstance(x, np.ndarray) else x == y
+    assert len(a) == len(b) and all(same(x, y) for x, y in (zip(a, b) if label else ((a[k], b[k]) for k in a)))
+
+
 def test_ftrl_step_is_the_plain_formula():
     m = toxicity.Ftrl(4)
     z, n = np.zeros(5), np.zeros(5)

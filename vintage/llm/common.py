@@ -68,6 +68,14 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def one_row(rows: DataFrame, ids: DataFrame, value: str) -> DataFrame:
+    """(id, value) of the few ``ids``, which are broadcast: of every id the
+    ``value`` of smallest hash. Repeats are merged before they move."""
+    few = F.broadcast(ids.select("id").distinct())
+    return (rows.join(few, "id", "left_semi").groupBy("id").agg(F.min(F.struct(F.xxhash64(value).alias("hash"), value)).alias("one"))
+            .select("id", f"one.{value}"))
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; empty for null and for no words."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WS))

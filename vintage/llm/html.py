@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintage.llm.common import one_row
 from vintage.llm.textbatch import PUNCT, U, hashed, prefix, slices, spans
 
 TRAIN_PAGES = 400
@@ -358,10 +359,11 @@ def _varied(page: list[tuple[str, str, int]], pool: list[str], rng: random.Rando
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
-    """Network from at most ``most`` pages. One task learns from the bounded
+    """Network from at most ``most`` pages, one of every id. One task learns from the bounded
     sample; what it returns has a fixed size."""
     ids = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64("id")).limit(most)
-    sample = pages.select(F.col(id_col).alias("id"), F.col(html_col).alias("html")).join(ids, "id").select("html", F.xxhash64("html").alias("rank"))
+    rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    sample = one_row(rows, ids, "html").select("html", F.xxhash64("html").alias("rank"))
 
     def learn(batches):
         rows = sorted((r, h) for b in batches for h, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if h)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintage.llm.common import one_row
 from vintage.llm.textbatch import U, grams, hashed, mix, prefix, slices, spans
 
 BITS = 18
@@ -140,11 +141,12 @@ def _curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id", text_col: str = "text",
           max_train: int = MAX_TRAIN, bits: int = BITS) -> tuple:
     """(scaled weights, ratios, bias, slope, offset) learnt from the ``max_train`` labelled ids of
-    smallest hash. Their texts become features where they are read; one task
+    smallest hash, with one text of every id. The texts become features where they are read; one task
     learns from the bounded sample's features."""
     chosen = (labels.filter(F.col(label_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
               .withColumn("rank", F.xxhash64("id")).orderBy("rank", "label").limit(max_train))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("text", "label", "rank")
+    texts = one_row(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen, "text")
+    sample = texts.join(F.broadcast(chosen), "id").select("text", "label", "rank")
 
     def extract(batches):
         for batch in batches:
