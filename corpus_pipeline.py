@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.llm import bpe, minhash, mixing, rules, secrets
-from vintage.llm.common import ship, table
+from vintage.llm.common import fresh, ship, table
 from vintage.llm.queries import vocabulary
 from vintage.session import checkpoint_dir
 
@@ -27,11 +27,20 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8 or
-    more) the document with the smallest id stays; of rows with that id and
-    equal text one."""
+    more) the document with the smallest id stays (documents without an id
+    come last); of rows with equal id and equal text one. Documents that share
+    an id but not the text are documents of their own."""
     ship(spark)
-    kept = minhash.near_duplicates(docs, shingle=5).filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    key, one = fresh(docs, "row_key", "one")
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = minhash.near_duplicates(rows, id_col=key, shingle=5).groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("component"))
+    ids = rows.groupBy(key).agg(F.min("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", key)).alias("first")
+    kept = ids.join(found, key).groupBy("component").agg(first).select(f"first.{key}")
+    # rows that agree in id and text may differ elsewhere: which one stays is fixed by their content
+    rank = F.xxhash64(*[f.name for f in docs.schema if "map<" not in f.dataType.simpleString()])
+    stays = rows.join(kept, key, "left_semi").groupBy(key).agg(F.min_by(F.struct(*docs.columns), rank).alias(one))
+    return stays.select(f"{one}.*").select(*docs.columns)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

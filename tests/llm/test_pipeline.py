@@ -40,6 +40,19 @@ def test_near_duplicate_stage(spark, corpus):
     assert out.columns == corpus.columns and sorted(r.doc_id for r in out.collect()) == sorted(want)
 
 
+def test_near_duplicate_stage_keeps_documents_of_null_and_repeated_ids(spark, corpus):
+    rng = random.Random(12)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, a), (None, b), (7, b + " more"), (1, c), (1, d), (1, d), (0, c), (2, e), (2, e + " more"), (3, e)]
+    docs = spark.createDataFrame([(i, t, "en", f"src{k % 2}", len(t)) for k, (i, t) in enumerate(rows)], corpus.schema)
+    want = sorted([(-1, a), (7, b + " more"), (0, c), (1, d)])
+    for some in (docs, docs.repartition(5)):
+        got = cp.near_duplicates(spark, some, SMALL).collect()
+        near = [(-1 if r.doc_id is None else r.doc_id, r.text) for r in got if r.doc_id != 2]
+        assert sorted(near) == want and [r.text in (e, e + " more") for r in got if r.doc_id == 2] == [True]
+
+
 def test_secret_stage(spark, corpus):
     before = {r.doc_id: r.text for r in corpus.collect()}
     for r in cp.secret_scans(spark, corpus, SMALL).collect():
