@@ -90,6 +90,30 @@ def test_secret_scan_is_brute_force(spark):
     assert any("entropy" in got[i].listed for i in range(len(texts)))
 
 
+def _random_keys(n, size, seed):
+    rng, signs = random.Random(seed), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return ["".join(rng.sample(signs, size)) for _ in range(n)]
+
+
+def _lost(spans, text, key):
+    """Characters of ``key`` in ``text`` that no span covers."""
+    have = {i for s in spans for i in range(s.start, s.end)}
+    return [i for i in range(text.index(key), text.index(key) + len(key)) if i not in have]
+
+
+def test_secret_beside_a_pattern_span_is_found(spark):
+    rng, texts, keys = random.Random(31), [], _random_keys(300, 40, 30)
+    for i, k in enumerate(keys):
+        access = "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+        low, up = ("".join(rng.choice(x) for _ in range(32)) for x in ("0123456789abcdef", "0123456789ABCDEF"))
+        texts.append(("x " + access + "=" + k, f"x {access}/{k} y", low + "_" + k, up + "_" + k, k + "/" + access + " z")[i % 5])
+    for r in secrets.scan(frame(spark, texts)).collect():
+        # the key's outermost signs can lie outside every high window
+        assert len(_lost(r.spans, r.text, keys[r.doc_id])) <= 2, r.text
+        spans = sorted((s.start, s.end) for s in r.spans)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])), r.text
+
+
 def test_masking_and_clashing_names(spark):
     df = frame(spark, SECRETS + [None, ""]).withColumn("spans", F.lit(1)).withColumn("BASE_SPANS", F.lit(2))
     found = secrets.scan(df)

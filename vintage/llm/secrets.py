@@ -7,9 +7,11 @@ window of ``WINDOW`` characters slides over each, and the count of every
 character in the window is kept up to date as one character enters and one
 leaves, so the Shannon entropy changes by two table look-ups a step. The
 stretch from the first to the last window at or above the class's threshold
-is a span, unless the allow list suppresses it (UUIDs, digests named as
-such, paths, placeholders, plain alphabets) or a pattern span already
-covers part of it.
+is a span. What pattern spans cover and placeholder words (each with up to
+``WINDOW`` letters and digits that hang on it) is cut out of a run first, and
+each piece left is a candidate of its own, unless the allow list suppresses
+it (UUIDs, digests named as such, paths, plain words and numbers). Of a
+base-64 span only what a hex entropy span covers is left out.
 
 Everything is computed inside a row: no shuffle, no Python; a long text
 stays with its row and costs time linear in its length (quadratic only in
@@ -41,15 +43,18 @@ CLASSES = (
     ("entropy_hex", "0123456789abcdefABCDEF", 3.1),
     ("entropy_base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.9),
 )
-#: Candidates that are no secrets: UUIDs, paths and words joined by signs,
-#: placeholders, alphabets in order.
-ALLOWED = (r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
-           r"|^/?[A-Za-z]+([/_-][A-Za-z]+)+/?$|^[A-Za-z]+$|^[0-9_=/+-]+$"
-           r"|(?i:example|placeholder|dummy|sample|redacted|changeme|your[_-]|xxxx|1234567890|0123456789|abcdefghij)")
+#: Candidates that are no secrets: UUIDs, paths and words joined by signs.
+SHAPES = (r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$"
+          r"|^/?[A-Za-z]+([/_-][A-Za-z]+)+/?$|^[A-Za-z]+$|^[0-9_=/+-]+$")
+#: Placeholders and alphabets in order.
+WORDS = (r"(?i:example|placeholder|dummy|sample|redacted|changeme|your[_-]|xxxx|1234567890|0123456789|abcdefghij)")
+ALLOWED = f"{SHAPES}|{WORDS}"
+PLACEHOLDER = f"[A-Za-z0-9]{{0,{WINDOW}}}{WORDS}[A-Za-z0-9]{{0,{WINDOW}}}"
 #: What stands before a value that is meant to be public.
 ALLOWED_BEFORE = r"""(?i:(sha-?(1|224|256|384|512)|md5|crc32|etag|commit|revision|digest|checksum|integrity|uuid)["']?[\x20:=/-]*["']?)$"""
 
 _SPANS = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
+_PARTS = "array<struct<start:bigint,end:bigint>>"
 KINDS = ("assign", "access", "hex", *[c[0] for c in CLASSES])
 
 
@@ -113,14 +118,58 @@ def entropy_window(string: Column, alphabet: str, threshold: float, window: int
     return F.aggregate(steps, start, slide, lambda s: F.struct(s["first"].alias("first"), s["last"].alias("last")))
 
 
-def _entropy_spans(text: Column, found: Column, name: str, alphabet: str, threshold: float, base: Column) -> Column:
-    at = F.filter(_located(text, _runs(alphabet), found), lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Za-z]")
-                  & ~x["match"].rlike(ALLOWED) & ~F.right(x["piece"], F.lit(24)).rlike(ALLOWED_BEFORE))
-    seen = F.transform(at, lambda x: F.struct(x["start"].alias("start"), entropy_window(x["match"], alphabet, threshold).alias("w")))
+def _left(start: Column, end: Column, cuts: Column, least: int) -> Column:
+    """Array of the stretches of [start, end) outside ``cuts`` (start, end)
+    that have ``least`` characters or more."""
+    closed = F.array_sort(F.concat(cuts, F.array(F.struct(end.alias("start"), end.alias("end")))))
+
+    def step(s: Column, c: Column) -> Column:
+        stop = F.least(c["start"], end)
+        return F.struct(F.greatest(s["at"], c["end"]).alias("at"), F.when(stop - s["at"] >= least, F.concat(
+            s["out"], F.array(F.struct(s["at"].alias("start"), stop.alias("end"))))).otherwise(s["out"]).alias("out"))
+
+    return F.aggregate(closed, F.struct(start.cast("long").alias("at"), F.array().cast(_PARTS).alias("out")), step, lambda s: s["out"])
+
+
+def _parts(spans: Column, start: Column, end: Column) -> Column:
+    """(start, end) of the ``spans`` that touch [start, end), counted from ``start``."""
+    near = F.filter(spans, lambda b: (b["start"] < end) & (start < b["end"]))
+    return F.transform(near, lambda b: F.struct((b["start"] - start).alias("start"), (b["end"] - start).alias("end")))
+
+
+def _candidates(run: Column, base: Column) -> Column:
+    """(match, start, before): the pieces of a run outside the ``base`` spans
+    and the placeholders that may hold a secret."""
+    match, size = run["match"], F.length(run["match"]).cast("long")
+    words = F.transform(_located(match, PLACEHOLDER, F.regexp_extract_all(match, F.lit(PLACEHOLDER), F.lit(0))), lambda w: F.struct(
+        w["start"].alias("start"), (w["start"] + F.length(w["match"])).alias("end")))
+    pieces = _left(F.lit(0), size, F.concat(_parts(base, run["start"], run["start"] + size), words), WINDOW)
+    cut = F.transform(pieces, lambda p: F.struct(
+        F.substring(match, (p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).alias("match"), (run["start"] + p["start"]).alias("start"),
+        F.right(F.concat(F.right(run["piece"], F.lit(24)), F.substring(match, F.lit(1), p["start"].cast("int"))), F.lit(24)).alias("before")))
+    return F.filter(cut, lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Za-z]") & ~x["match"].rlike(SHAPES)
+                    & ~F.btrim(x["match"], F.lit("+/_=-")).rlike(SHAPES) & ~x["before"].rlike(ALLOWED_BEFORE))
+
+
+def _entropy_spans(text: Column, found: Column, name: str, alphabet: str, threshold: float, base: Column, taken: Column | None = None) -> Column:
+    """Entropy spans outside the ``base`` spans, without what ``taken`` covers."""
+    runs = F.filter(_located(text, _runs(alphabet), found), lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Za-z]")
+                    & ~x["match"].rlike(ALLOWED))
+    at = F.flatten(F.transform(runs, lambda x: _candidates(x, base)))
+    seen = F.transform(at, lambda x: F.struct(x["start"].alias("start"), x["match"].alias("match"),
+                                              entropy_window(x["match"], alphabet, threshold).alias("w")))
     hits = F.filter(seen, lambda x: x["w"]["first"].isNotNull())
-    spans = F.transform(hits, lambda x: _span(name, x["start"] + x["w"]["first"] - WINDOW, x["start"] + x["w"]["last"]))
-    free = F.filter(spans, lambda e: ~F.exists(base, lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    return F.when(F.size(found) == 0, _none()).otherwise(free)
+
+    def rest(x: Column) -> Column:
+        first, size = x["w"]["first"] - WINDOW, (x["w"]["last"] - x["w"]["first"] + WINDOW).cast("long")
+        if taken is None:
+            return F.array(_span(name, x["start"] + first, x["start"] + first + size))
+        start = x["start"] + first
+        parts = F.filter(_left(F.lit(0), size, _parts(taken, start, start + size), 1), lambda p: F.substring(
+            x["match"], (first + p["start"] + 1).cast("int"), (p["end"] - p["start"]).cast("int")).rlike("[A-Za-z0-9]"))
+        return F.transform(parts, lambda p: _span(name, start + p["start"], start + p["end"]))
+
+    return F.when(F.size(found) == 0, _none()).otherwise(F.flatten(F.transform(hits, rest)))
 
 
 def _runs(alphabet: str) -> str:
@@ -143,9 +192,10 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     # the base-64 scan also leaves what the hex scan has found
     hex_name, = fresh(df, "hex_spans")
     (k1, a1, t1), (k2, a2, t2) = CLASSES
-    df = df.withColumn(hex_name, F.concat(F.col(base_name), _entropy_spans(text, F.col(found[3]), k1, a1, t1, F.col(base_name))))
+    base, hex_spans = F.col(base_name), F.col(hex_name)
+    df = df.withColumn(hex_name, _entropy_spans(text, F.col(found[3]), k1, a1, t1, base))
     df = df.withColumn(all_name, F.array_sort(F.concat(
-        F.col(hex_name), _entropy_spans(text, F.col(found[4]), k2, a2, t2, F.col(hex_name)))))
+        base, hex_spans, _entropy_spans(text, F.col(found[4]), k2, a2, t2, base, hex_spans))))
     return df.drop(hex_name, *found)
 
 
