@@ -114,6 +114,18 @@ def test_secret_beside_a_pattern_span_is_found(spark):
         assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:])), r.text
 
 
+def test_placeholder_suppresses_only_itself(spark):
+    keys = _random_keys(60, 40, 32)
+    texts = [f"{w}{k}" for k, w in zip(keys, ["sample_service=", "/examples/", "a dummy-", "your_key/", "xxxx_", "0123456789/"] * 10)]
+    blob = _random_keys(2, 60, 33)
+    texts += [blob[0] + "xxxx" + blob[1], "EXAMPLEZx9Qw3Er7Ty1Ui5Op2As8Df4", "key your_placeholder_value_1234567890", "see /examples/path/to/some_long_name/of1"]
+    got = {r.doc_id: r for r in secrets.scan(frame(spark, texts)).collect()}
+    for i, k in enumerate(keys):
+        assert len(_lost(got[i].spans, texts[i], k)) <= 2, texts[i]
+    assert len(_lost(got[60].spans, texts[60], blob[0])) <= 22 and len(_lost(got[60].spans, texts[60], blob[1])) <= 22
+    assert got[61].spans == got[62].spans == [] and not any(s.start < 13 for s in got[63].spans)
+
+
 def test_masking_and_clashing_names(spark):
     df = frame(spark, SECRETS + [None, ""]).withColumn("spans", F.lit(1)).withColumn("BASE_SPANS", F.lit(2))
     found = secrets.scan(df)

@@ -154,7 +154,7 @@ def _candidates(run: Column, base: Column) -> Column:
 def _entropy_spans(text: Column, found: Column, name: str, alphabet: str, threshold: float, base: Column, taken: Column | None = None) -> Column:
     """Entropy spans outside the ``base`` spans, without what ``taken`` covers."""
     runs = F.filter(_located(text, _runs(alphabet), found), lambda x: x["match"].rlike("[0-9]") & x["match"].rlike("[A-Za-z]")
-                    & ~x["match"].rlike(ALLOWED))
+                    & ~x["match"].rlike(SHAPES))
     at = F.flatten(F.transform(runs, lambda x: _candidates(x, base)))
     seen = F.transform(at, lambda x: F.struct(x["start"].alias("start"), x["match"].alias("match"),
                                               entropy_window(x["match"], alphabet, threshold).alias("w")))
