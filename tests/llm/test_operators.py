@@ -333,6 +333,22 @@ def test_repeated_passages(spark):
         assert digests.setdefault(r.digest, texts[r.doc_id][r.start:r.end]) == texts[r.doc_id][r.start:r.end]
 
 
+def _text(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(4, 9))) for _ in range(n))
+
+
+def test_every_passage_of_51_words_is_found_up_to_its_limits(spark):
+    rng = random.Random(19)
+    passages = [_text(rng, 51) for _ in range(3000)]
+    texts = [f"{_text(rng, 20)} {passages[i % 3000]} {_text(rng, 20)}" for i in range(6000)]
+    rows = chunks.repeated(frame(spark, texts)).collect()
+    assert len(rows) == 6000 and {r.doc_id for r in rows} == set(range(6000))
+    for r in rows:
+        # a word beside the passage can be the same by chance
+        assert passages[r.doc_id % 3000] in texts[r.doc_id][r.start:r.end] and 51 <= r.n_words <= 53
+        assert r.removable == (r.doc_id >= 3000) and r.first_doc_id == r.doc_id % 3000
+
+
 def test_chunks_cover_texts(spark):
     texts = [t for t in odd_texts() if t and WORD.search(t)]
     by = {}

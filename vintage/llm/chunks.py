@@ -7,17 +7,26 @@ falls below ``1 / MEAN_WORDS`` of its range. Cuts depend on what stands
 around them and not on where, so an insertion moves later chunks without
 changing them, and a passage that two texts share is cut alike in both.
 
-Chunks are compared by digest over the whole table: counts per digest are
-aggregated before the shuffle, so a chunk in a third of all documents is one
-row per task; the digests that occur more than once are joined back to
-their places, and neighbouring ones are merged to runs. A run of at least
-``LEAST_WORDS`` words is a repeated passage. The first place of a digest
-(smallest document, then position) keeps its text; the others can go.
+At every chunk's start the next ``GRAM`` words, whatever the cuts in them,
+make an anchor. Anchors are compared by digest over the whole table: counts
+per digest are aggregated before the shuffle, so an anchor in a third of all
+documents is one row per task; the digests that occur more than once are
+joined back to their places. Each place is then paired with the first one of
+its digest (smallest document, then position), and the two texts are
+compared word by word to both sides, white space included, up to the real
+limits of what they share. So a passage is one stretch of one other place,
+ends at whole words, and does not depend on where its anchors lie; one of at
+least ``LEAST_WORDS`` words is a repeated passage. A passage is missed only
+if no anchor of it has its first place where the passage itself is met: with
+51 words that no chunk starts far enough from its end has a chance of about
+1 in 100,000.
 
 Defined results: null text is an empty text and has no chunks; repeats
 inside one document count as well; rows with the same id are one document
-whose texts are numbered by content; an empty table gives an empty result;
-chunks may be long (a text without white space is one chunk).
+whose texts are numbered by content; of identical rows (same id and text)
+one is the first and each other one a copy of it as a whole; an empty table
+gives an empty result; chunks may be long (a text without white space is one
+chunk).
 """
 
 from __future__ import annotations
@@ -27,11 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintage.llm.common import checkpointed
 from vintage.llm.textbatch import PLAIN, SPACE, hashed, prefix, slices, spans
 
 WINDOW = 16
-MEAN_WORDS = 6
+MEAN_WORDS = 4
+GRAM = 8
 LEAST_WORDS = 15
+#: A text that others repeat goes to the pairs in at most so many parts.
+PARTS = 64
 
 _GEAR = np.random.default_rng(20_240_611).integers(0, 1 << 16, 256, dtype=np.uint16)
 
@@ -86,28 +99,152 @@ def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                      pa.array(words[keep].astype(np.int32)), pa.array(digest.view(np.int64)[keep])],
                     names=["doc_id", "text_id", "chunk", "start", "end", "n_words", "digest"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_id"), F.col(text_col).alias("text"))
-    return rows.filter(F.col("doc_id").isNotNull()).mapInArrow(
+    return _texts(docs, id_col, text_col).mapInArrow(
         run, "doc_id long, text_id long, chunk int, start int, end int, n_words int, digest long")
 
 
+def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_id, word, digest): the number of the first word and the
+    digest of the ``GRAM`` words from every chunk's start that has as many."""
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            text_ids = batch.column(1).to_numpy(zero_copy_only=False)
+            for first, data, bounds in slices(batch.column(2)):
+                if not len(data):
+                    continue
+                start, end, row = spans(data, bounds)
+                at = np.unique(np.searchsorted(start, np.concatenate([bounds[:-1], cuts(data, bounds)])))
+                at = at[at + GRAM <= len(start)]
+                at = at[row[at] == row[at + GRAM - 1]]
+                digest = hashed(prefix(data, PLAIN), start[at], end[at + GRAM - 1])
+                word = at - np.searchsorted(row, row[at])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[first + row[at]]), pa.array(text_ids[first + row[at]]), pa.array(word.astype(np.int32)),
+                     pa.array(digest.view(np.int64))], names=["doc_id", "text_id", "word", "digest"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_id long, word int, digest long")
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_id"), F.col(text_col).alias("text"))
+    return rows.filter(F.col("doc_id").isNotNull())
+
+
+def shared_stretches(x: tuple, y: tuple, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int, int]]:
+    """(from, to, from, to): stretches of at least ``least`` words that two
+    texts share around the ``seeds`` (word of x, word of y). A text is the
+    hashes of its words with and without the white space after them."""
+    (xs, xw), (ys, yw) = x, y
+    out: list[tuple[int, int, int, int]] = []
+    for i, j in sorted(seeds):
+        have = next((r for r in reversed(out) if r[0] <= i and i + GRAM <= r[1]), None)
+        if have is not None:
+            a, b, shift = have[0], have[1], i - j
+            # inside a known stretch: go on only if this seed may reach beyond it
+            right = b < len(xs) and 0 <= b - shift < len(ys) and xw[b] == yw[b - shift]
+            left = a > 0 and a - 1 - shift >= 0 and xs[a - 1] == ys[a - 1 - shift]
+            if have[0] - have[2] == shift or not (left or right):
+                continue
+        n = min(len(xs) - i, len(ys) - j)
+        # the last word's white space does not count
+        apart = np.flatnonzero(xs[i:i + n] != ys[j:j + n])
+        to = int(apart[0]) if len(apart) else n
+        to += to < n and xw[i + to] == yw[j + to]
+        m = min(i, j)
+        apart = np.flatnonzero(xs[i - m:i] != ys[j - m:j])
+        back = m - 1 - int(apart[-1]) if len(apart) else m
+        if to >= GRAM:
+            out.append((i - back, i + to, j - back, j + to))
+    return sorted({r for r in out if r[1] - r[0] >= least})
+
+
+def _words(column: pa.Array):
+    """(hashes with, hashes without white space, starts, ends in code points)
+    of the words of every row, in order."""
+    for _, data, bounds in slices(column):
+        start, end, row = spans(data, bounds)
+        sums = prefix(data, PLAIN)
+        cut = np.searchsorted(row, np.arange(len(bounds)))
+        upto = np.append(start[1:], len(data))[:len(start)]
+        upto[cut[1:][cut[1:] > cut[:-1]] - 1] = bounds[1:][cut[1:] > cut[:-1]]
+        spaced, plain = hashed(sums, start, upto), hashed(sums, start, end)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
+            base = points[bounds[r]]
+            yield spaced[a:b], plain[a:b], points[start[a:b]] - base, points[end[a:b]] - base
+
+
+def _compared(rows: DataFrame, least: int) -> DataFrame:
+    """Both sides of every stretch that a text shares with its first place,
+    and the whole of texts that have identical rows (``copies``). ``rows``
+    come by place and part, in order of ``role``: the place's own text, the
+    texts that are compared with it, the texts with copies."""
+    def run(batches):
+        place, home = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = ("first_doc_id", "first_text_id", "role", "doc_id", "text_id", "copies")
+            ids, out = zip(*[batch.column(n).to_pylist() for n in names]), []
+            for (fd, ft, role, d, t, copies), seeds, x in zip(ids, batch.column("seeds"), _words(batch.column("text"))):
+                if role == 0:
+                    place, home = (fd, ft), x
+                elif role == 1:
+                    if place != (fd, ft):
+                        raise RuntimeError(f"no text of the first place {fd}")
+                    seeds = [(s["word"], s["first_word"], s["n_places"]) for s in seeds.as_py()]
+                    for a, b, c, e in shared_stretches(x[:2], home[:2], [s[:2] for s in seeds], least):
+                        inside = [n for i, j, n in seeds if a <= i and i + GRAM <= b and i - j == a - c]
+                        about = (b - a, len(inside), fd, max(inside))
+                        out.append((d, t, int(x[2][a]), int(x[3][b - 1]), *about, True, 1))
+                        out.append((fd, ft, int(home[2][c]), int(home[3][e - 1]), *about, False, 1))
+                elif len(x[0]) >= least:
+                    out.append((d, t, int(x[2][0]), int(x[3][-1]), len(x[0]), 1, d, copies, False, copies))
+            yield pa.RecordBatch.from_pylist([dict(zip(fields, r)) for r in out], schema)
+
+    fields = ["doc_id", "text_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "n_places", "removable", "copies"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+    schema = pa.schema(list(zip(fields, kinds)))
+    return rows.mapInArrow(run, "doc_id long, text_id long, start int, end int, n_words long, n_chunks long, first_doc_id long, "
+                                "n_places long, removable boolean, copies long")
+
+
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, start, end, n_words, n_chunks, first_doc_id, n_places, removable):
-    the repeated passages of every document. ``first_doc_id`` is the smallest
-    document that shares a chunk of the passage, ``n_places`` the most places
-    of one of its chunks; ``removable`` is false where the passage holds the
-    first place of some chunk."""
-    chunks = chunked(docs, id_col, text_col)
-    place = F.struct("doc_id", "text_id", "chunk")
-    shared = chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n_places"), F.min(place).alias("first")).filter("n_places > 1")
-    hits = chunks.join(shared, "digest").select(
-        "doc_id", "text_id", "chunk", "start", "end", "n_words", "n_places", F.col("first.doc_id").alias("first_doc_id"),
-        (place == F.col("first")).alias("is_first"))
-    order = Window.partitionBy("doc_id", "text_id").orderBy("chunk")
-    gap = (F.col("chunk") - F.lag("chunk", 1, -2).over(order) > 1).cast("int")
-    runs = hits.withColumn("gap", gap).withColumn("run", F.sum("gap").over(order))
-    return (runs.groupBy("doc_id", "text_id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
-        F.count(F.lit(1)).alias("n_chunks"), F.min("first_doc_id").alias("first_doc_id"),
-        F.max("n_places").alias("n_places"), (~F.max("is_first")).alias("removable"))
-        .filter(F.col("n_words") >= least_words).drop("run", "text_id"))
+    the repeated passages of every document, each with the place that it
+    repeats and up to the limits of what both share. ``first_doc_id`` is the
+    document of that place, ``n_chunks`` the anchors in it, ``n_places`` the
+    most places of one of them; ``removable`` is false for the place itself,
+    unless that lies within a copy of an earlier one. Equal limits are listed
+    once, with the smallest ``first_doc_id``."""
+    found = anchors(docs, id_col, text_col)
+    place = F.struct("doc_id", "text_id", "word")
+    # only counts go over the whole table; first places are taken among the few that repeat
+    shared = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n_places")).filter("n_places > 1")
+    placed = found.join(shared, "digest").withColumn("first", F.min(place).over(Window.partitionBy("digest")))
+    seed = F.struct("word", F.col("first.word").alias("first_word"), "n_places")
+    hits = placed.filter(place != F.col("first")).select(
+        "doc_id", "text_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_id").alias("first_text_id"), seed.alias("seed"))
+    side, first = ["doc_id", "text_id"], ["first_doc_id", "first_text_id"]
+    part = F.pmod(F.xxhash64(*side), F.lit(PARTS)).cast("int").alias("part")
+    pairs = checkpointed(hits.groupBy(*side, *first).agg(F.collect_set("seed").alias("seeds")).select("*", part))
+
+    # every text goes where it is compared; a place that many texts repeat is dealt to them in parts
+    rows = _texts(docs, id_col, text_col)
+    none = F.lit(None).cast(pairs.schema["seeds"].dataType).alias("seeds")
+    one = F.lit(1).cast("long").alias("copies")
+    places = pairs.select(*first, "part").distinct().select(
+        F.col("first_doc_id").alias("doc_id"), F.col("first_text_id").alias("text_id"), *first, "part", F.lit(0).alias("role"), none, one)
+    needed = places.union(pairs.select(*side, *first, "part", F.lit(1).alias("role"), "seeds", one))
+    dealt = needed.join(rows, side).repartition(*first, "part").sortWithinPartitions(*first, "part", "role")
+    runs = _compared(dealt, least_words).groupBy(*side, "start", "end", "n_words", "removable", "copies").agg(
+        F.min("first_doc_id").alias("first_doc_id"), F.max("n_chunks").alias("n_chunks"), F.max("n_places").alias("n_places"))
+    # a place that lies within a copy of an earlier one can go with it
+    before = Window.partitionBy(*side).orderBy("start", F.col("end").desc(), F.col("removable").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    runs = runs.withColumn("gone", F.max(F.when(F.col("removable"), F.col("end"))).over(before)).filter(
+        F.col("removable") | (F.col("copies") > 1) | F.col("gone").isNull() | (F.col("gone") < F.col("end")))
+    # of identical rows the first keeps its text
+    runs = runs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return runs.select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "n_places",
+                       (F.col("removable") | (F.col("copy") > 1)).alias("removable"))
