@@ -349,6 +349,18 @@ def test_every_passage_of_51_words_is_found_up_to_its_limits(spark):
         assert r.removable == (r.doc_id >= 3000) and r.first_doc_id == r.doc_id % 3000
 
 
+def test_runs_have_one_partner(spark):
+    rng = random.Random(20)
+    a, b, short, once = _text(rng, 40), _text(rng, 40), _text(rng, 3), _text(rng, 30)
+    # 1: a copy (of 0) beside a passage that 2 copies; 3: common short pieces only
+    texts = [f"{a} {_text(rng, 9)} {short}", f"{_text(rng, 9)} {a} {b} {_text(rng, 9)}", f"{_text(rng, 9)} {b}",
+             " ".join(f"{_text(rng, 5)} {short}" for _ in range(8)), once, once, once]
+    df = frame(spark, texts[:4]).union(spark.createDataFrame([(9, t) for t in texts[4:]], "doc_id long, text string"))
+    got = sorted((r.doc_id, (texts[:4] + [""] * 5 + [once])[r.doc_id][r.start:r.end], r.n_words, r.first_doc_id, r.removable) for r in chunks.repeated(df).collect())
+    assert got == sorted([(0, a, 40, 0, False), (1, a, 40, 0, True), (1, b, 40, 1, False), (2, b, 40, 1, True),
+                          (9, once, 30, 9, False), (9, once, 30, 9, True), (9, once, 30, 9, True)])
+
+
 def test_chunks_cover_texts(spark):
     texts = [t for t in odd_texts() if t and WORD.search(t)]
     by = {}

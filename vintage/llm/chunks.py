@@ -233,10 +233,12 @@ def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     # every text goes where it is compared; a place that many texts repeat is dealt to them in parts
     rows = _texts(docs, id_col, text_col)
     none = F.lit(None).cast(pairs.schema["seeds"].dataType).alias("seeds")
-    one = F.lit(1).cast("long").alias("copies")
+    one, same = F.lit(1).cast("long").alias("copies"), [F.col("doc_id").alias("first_doc_id"), F.col("text_id").alias("first_text_id")]
     places = pairs.select(*first, "part").distinct().select(
         F.col("first_doc_id").alias("doc_id"), F.col("first_text_id").alias("text_id"), *first, "part", F.lit(0).alias("role"), none, one)
-    needed = places.union(pairs.select(*side, *first, "part", F.lit(1).alias("role"), "seeds", one))
+    many = rows.groupBy(*side).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    needed = places.union(pairs.select(*side, *first, "part", F.lit(1).alias("role"), "seeds", one)).union(
+        many.select(*side, *same, F.lit(-1).alias("part"), F.lit(2).alias("role"), none, "copies"))
     dealt = needed.join(rows, side).repartition(*first, "part").sortWithinPartitions(*first, "part", "role")
     runs = _compared(dealt, least_words).groupBy(*side, "start", "end", "n_words", "removable", "copies").agg(
         F.min("first_doc_id").alias("first_doc_id"), F.max("n_chunks").alias("n_chunks"), F.max("n_places").alias("n_places"))
