@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import bpe, chunks, embeddings, html, minhash, mixing, quality, rules, secrets, toxicity
+from vintage.llm import bpe, chunks, embeddings, html, minhash, mixing, quality, repair, rules, secrets, toxicity
 from vintage.llm.common import table
 
 
@@ -92,6 +92,14 @@ def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every damaged conversation."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    found = repair.repairs(rows)
+    digest = repair.digests(rows, found).withColumnRenamed("conv_id", "of")
+    return found.join(digest, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -103,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_bpe_encoding": op10_bpe_encoding,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -135,4 +144,43 @@ comp AS (SELECT vec_id, min(node) AS component_id FROM reach GROUP BY vec_id)
 SELECT e.vec_id, CAST((SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS BIGINT) AS n_links, c.component_id,
     e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN comp c ON c.vec_id = e.vec_id""",
+    "op11_conversation_repair": """
+WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+fated AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_prepend(4294967295, list_transform(string_split(k, ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 AS fate FROM keyed, tab),
+hurt AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM fated WHERE fate <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM hurt),
+judged AS (SELECT *, left(role, 1) AS a, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right(trim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?') AS cut,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+faults AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated,
+    count(*) FILTER (before || a NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM judged GROUP BY conv_id),
+adds(s, m, k, said) AS (VALUES (0, 0, 0, ''), (0, 2, 1, chr(10) || 'user:'), (0, 3, 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (1, 1, 0, ''), (1, 2, 1, chr(10) || 'user:'), (1, 3, 2, chr(10) || 'user:' || chr(10) || 'assistant:'),
+    (2, 2, 0, ''), (2, 3, 1, chr(10) || 'assistant:'), (2, 2, 2, chr(10) || 'assistant:' || chr(10) || 'user:'),
+    (3, 3, 0, ''), (3, 2, 1, chr(10) || 'user:'), (3, 3, 2, chr(10) || 'user:' || chr(10) || 'assistant:')),
+eats(m, a, t, given) AS (VALUES (0, 's', 1, NULL), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+edits AS (SELECT m, 'K' AS letter, a, t, NULL AS given, 0 AS cost FROM eats UNION ALL SELECT m, 'R', NULL, t, given, 2 FROM eats WHERE given IS NOT NULL
+    UNION ALL SELECT s, 'D', NULL, s, NULL, 3 FROM (SELECT DISTINCT s FROM adds)),
+walk AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS state, {'c': CAST(0 AS BIGINT), 'w': '', 'o': ''} AS best FROM faults
+    UNION ALL
+    SELECT w.conv_id, w.i + 1, e.t, min({'c': CAST(w.best.c + 2 * d.k + e.cost + CASE WHEN j.cut AND e.letter <> 'D' THEN 1 ELSE 0 END AS BIGINT),
+        'w': w.best.w || repeat('I', d.k) || e.letter,
+        'o': w.best.o || d.said || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || j.role || ':' || j.text ELSE chr(10) || e.given || ':' || j.text END})
+    FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1 JOIN adds d ON d.s = w.state
+    JOIN edits e ON e.m = d.m AND (e.a IS NULL OR e.a = j.a) AND (e.letter = 'D' OR NOT (j.blank OR j.again))
+    GROUP BY w.conv_id, w.i, e.t),
+ends AS (SELECT f.conv_id, min({'c': CAST(w.best.c + 2 * d.k AS BIGINT), 'w': w.best.w || repeat('I', d.k), 'o': w.best.o || d.said}) AS best
+    FROM faults f JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.i = f.n JOIN adds d ON d.s = w.state AND d.m IN (0, 3) GROUP BY f.conv_id)
+SELECT c.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, coalesce(f.blank, 0) AS blank, coalesce(f.duplicate, 0) AS duplicate, coalesce(f.truncated, 0) AS truncated,
+    coalesce(f.illegal, 0) AS illegal, coalesce(e.best.c, 0) AS cost, coalesce(e.best.w, '') AS audit, sha256(coalesce(substr(e.best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
 }
