@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import bpe, chunks, embeddings, html, minhash, mixing, quality, repair, rules, secrets, toxicity
+from vintage.llm import bpe, chunks, codes, embeddings, html, minhash, mixing, nearest, quality, repair, rules, secrets, toxicity
 from vintage.llm.common import table
 
 
@@ -100,6 +100,19 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.join(digest, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product code of every vector, its error, and the final codebooks' digest."""
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.label_errors(coded).select(
+        "vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings")
+    return nearest.search(rows, rows.filter(F.col("vec_id") % 20 == 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality_classifier": op2_quality_classifier,
@@ -112,8 +125,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_bpe_encoding": op10_bpe_encoding,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Assignments and means, one after the other, in whole numbers."""
+    steps = ["""kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label, embedding FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) % 4 = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+shape AS (SELECT len(embedding) AS width FROM kept ORDER BY vec_id NULLS LAST, len(embedding) LIMIT 1),
+alike AS MATERIALIZED (SELECT row_number() OVER (ORDER BY rid) AS rid, vec_id, label, embedding, width FROM kept, shape WHERE len(embedding) = width),
+comp AS MATERIALIZED (SELECT rid, (i - 1) // (width // 4) AS part, (i - 1) % (width // 4) AS pos, CAST(floor(1024 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS v
+    FROM (SELECT *, unnest(range(1, width + 1)) AS i FROM alike)),
+book0 AS MATERIALIZED (SELECT part, rid - 1 AS entry, pos, v AS c FROM comp WHERE rid <= 256)"""]
+    for t in range(rounds + 1):
+        steps.append(f"""near{t} AS MATERIALIZED (SELECT rid, part, min({{'d': d, 'e': entry}}) AS best FROM (
+    SELECT a.rid, a.part, b.entry, CAST(sum((a.v - b.c) * (a.v - b.c)) AS BIGINT) AS d FROM comp a JOIN book{t} b USING (part, pos)
+    GROUP BY a.rid, a.part, b.entry) GROUP BY rid, part)""")
+        if t < rounds:
+            steps.append(f"""book{t + 1} AS MATERIALIZED (SELECT b.part, b.entry, b.pos, CASE WHEN s.n IS NULL THEN b.c ELSE (s.total - ((s.total % s.n) + s.n) % s.n) // s.n END AS c
+    FROM book{t} b LEFT JOIN (SELECT c.part, n.best.e AS entry, c.pos, CAST(sum(c.v) AS BIGINT) AS total, count(*) AS n
+    FROM comp c JOIN near{t} n USING (rid, part) GROUP BY c.part, n.best.e, c.pos) s USING (part, entry, pos))""")
+    return "WITH " + ",\n".join(steps) + f""",
+coded AS (SELECT a.rid, a.vec_id, a.label, string_agg(lower(printf('%02x', n.best.e)), '' ORDER BY n.part) AS code, CAST(sum(n.best.d) AS BIGINT) AS error
+    FROM alike a JOIN near{rounds} n USING (rid) GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256 FROM coded"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_source_mixing": """
 WITH base AS (SELECT doc_id, source, md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k,
@@ -183,4 +223,5 @@ SELECT c.conv_id, CAST(coalesce(f.gaps, 0) AS BIGINT) AS gaps, coalesce(f.blank,
     coalesce(f.illegal, 0) AS illegal, coalesce(e.best.c, 0) AS cost, coalesce(e.best.w, '') AS audit, sha256(coalesce(substr(e.best.o, 2), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id""",
+    "op12_vector_codes": _codes_sql(),
 }
