@@ -38,7 +38,7 @@ STATES = {
 # --------------------------------------------------------------- fixtures
 FIXTURES: dict[str, str] = {
     "fx_stints": """
-SELECT l.l_orderkey AS person_id, l.l_linenumber AS line_no, n.n_name AS country,
+SELECT CASE WHEN l.l_partkey % 41 = 0 THEN NULL ELSE l.l_orderkey END AS person_id, l.l_linenumber AS line_no, n.n_name AS country,
        p.p_size AS p_size, p.p_type AS p_type, p.p_brand AS p_brand, p.p_name AS p_name,
        CAST(l.l_quantity AS INT) AS qty, s.s_name AS company_name,
        CASE WHEN l.l_suppkey % 13 = 0 THEN NULL ELSE l.l_suppkey END AS company_id,
@@ -127,7 +127,7 @@ SELECT job_id AS person_id, country, custkey % 100 AS location_confidence,
        CASE WHEN custkey % 21 = 1 THEN NULL ELSE nation_name || ' City ' || CAST(custkey % 7 AS STRING) END AS city
 FROM fx_orders_geo WHERE status <> 'P'""",
     "fx_postings_v1": """
-SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
+SELECT CASE WHEN job_id % 37 = 0 THEN NULL ELSE job_id END AS job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN custkey % 9 = 0 THEN NULL WHEN custkey % 9 = 1 THEN ' unclassified ' ELSE '  ' || segment END AS naics2_name,
        CASE WHEN custkey % 17 = 0 THEN NULL WHEN custkey % 17 = 1 THEN '5613' ELSE '1111' END AS naics4,
        cust_name AS company_name,
@@ -153,7 +153,9 @@ SELECT job_id, job_id AS desc_id, post_date, country, nationkey AS naics6,
        CASE WHEN custkey % 22 = 0 THEN NULL ELSE segment || ' ' || status END AS title
 FROM fx_orders_geo WHERE NOT (status = 'P' AND prio = '5-LOW')""",
     "fx_postings_ext": """
-SELECT g.job_id AS id, l.l_shipdate AS posted, g.cust_name AS company_name,
+SELECT CASE WHEN l.l_partkey % 97 = 0 THEN NULL WHEN l.l_partkey % 89 = 0 THEN -g.job_id
+            WHEN l.l_partkey % 83 = 0 THEN g.job_id + 9000000000000000000 ELSE g.job_id END AS id,
+       l.l_shipdate AS posted, g.cust_name AS company_name,
        CASE WHEN l.l_partkey % 10 = 0 THEN NULL ELSE g.segment END AS naics2_name,
        CASE status WHEN 'F' THEN 'High school or GED' WHEN 'P' THEN 'Ph.D. or professional degree' ELSE 'Unspecified' END AS min_degree,
        CASE WHEN g.job_id % 13 = 0 THEN NULL ELSE g.prio END AS onet_code,
@@ -239,7 +241,7 @@ FROM orders""",
     "fx_imputed": """
 SELECT job_id, CASE WHEN job_id % 4 <> 0 THEN NULL ELSE custkey % 50 END AS imputed_key FROM fx_orders_geo""",
     "fx_classifier": """
-SELECT o_orderkey AS desc_id, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS top1_code
+SELECT o_orderkey AS desc_id, CASE WHEN o_custkey % 7 = 0 THEN NULL WHEN o_custkey % 5 = 0 THEN '2-HIGH' ELSE o_orderpriority END AS top1_code
 FROM orders""",
     "fx_employers": """
 SELECT s_suppkey AS employer_key, CASE WHEN s_suppkey % 6 = 0 THEN NULL ELSE s_nationkey END AS naics6 FROM supplier""",

@@ -14,8 +14,7 @@ def _source(spark):
 def test_null_ids(spark):
     s = _source(spark)
     f = FieldSpec("v", {"s": "v"}, normalize=False)
-    ids = dist.per_id(dist.tagged([s], f, None))
-    counts, totals = dist.counts_and_totals(ids)
+    counts, totals = dist.counts_and_totals(dist.value_words(dist.tagged([s], f, None)))
     got = {r.field_value: r.n for r in counts.collect()}
     assert got["a"] == 2 and got["only"] == 0 and got["v5"] == 1 and len(got) == 202
     assert totals.first().total == 3

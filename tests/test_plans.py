@@ -36,10 +36,26 @@ def test_distribution_one_scan_per_source_and_reused_exchange(spark):
     assert "ReusedExchange" in p or "Reused" in p
 
 
-def test_field_matrix_one_scan_per_source(spark):
+def test_field_matrix_counts_its_columns_in_one_stage(spark):
     p = _final_plan(queries()["postings_field_matrix"](spark, SMALL))
-    # three sources, and the lookup joined to each
-    assert len(re.findall(r"FileScan parquet", p)) <= 6
+    assert p.count("MapInArrow") == 1
+    # each source once for the values and, ids and scopes only, for the totals; the lookup and its key counts
+    assert len(re.findall(r"FileScan parquet", p)) <= 8
+    values = p.split("MapInArrow")[1].split("BroadcastExchange HashedRelationBroadcastMode(List(input[0, string, false], input[1")[0]
+    assert "Generate" not in values
+
+
+def test_profile_matrix_expands_no_rows(spark):
+    p = _final_plan(queries()["profile_matrix_long"](spark, SMALL))
+    assert "Generate" not in p and p.count("MapInArrow") == 3
+
+
+def test_distinct_counts_move_words_not_ids(spark):
+    """What crosses the first exchange is keyed by word, never by id."""
+    for k in ("totals_yearly", "coverage_three_sources", "postings_kpi_matrix", "distribution_three_sources"):
+        p = _final_plan(queries()[k](spark, SMALL))
+        for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p):
+            assert "job_id" not in keys and not re.search(r"\bid#", keys), (k, keys)
 
 
 def _formatted(df):
@@ -58,7 +74,7 @@ def test_period_and_country_reach_the_scan(spark):
 
 def test_column_pruning(spark):
     s = _formatted(queries()["coverage_three_sources"](spark, SMALL))
-    assert "ReadSchema: struct<job_id:bigint,post_date:timestamp_ntz,country:string,naics2_name:string>" in s
+    assert "ReadSchema: struct<post_date:timestamp_ntz,country:string,naics2_name:string,_pos:bigint,_once:boolean>" in s
 
 
 def test_top_k_is_take_ordered(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vintage.functions.expr import not_ilike_any, pct_round, safe_div, ts_lit
 from vintage.operators.distribution import union_all
+from vintage.operators.partials import column_counts
 
 UNCLASSIFIED = ("%unclassified%",)
 # Fixed value: raw education text that means "no entry".
@@ -219,36 +220,30 @@ def release_matrix_long(releases: Mapping[str, DataFrame], fields: Mapping[str,
                         sep: str = ", ", raw: str | None = "education_raw") -> DataFrame:
     """Value counts for many fields of both releases in ONE scan.
 
-    Each row is expanded to one (field, values, passes) struct per field,
-    where ``passes`` carries that field's gate; ``values`` is the value
-    itself, or for ``list_fields`` the trimmed elements of the list (with
-    the P2 rules: whole-string exclusion, raw-text sentinel). The passing
-    values are counted by (field, *by, value): one exchange for the whole
-    matrix instead of one statement per (field, country).
+    Rows are not expanded: a value is NULL where its field's gate or exclusion
+    fails, ``list_fields`` are arrays of their parts (with the P2 rules:
+    whole-string exclusion, raw-text sentinel, parts trimmed), and a task
+    counts each column by itself (``operators/partials.py``). One exchange of
+    partial counts for the whole matrix instead of one statement per (field,
+    country).
     """
     u = release_union(releases)
-    items = []
     specs = [(n, g, False) for n, g in fields.items()]
     specs += [(n, g, True) for n, g in (list_fields or {}).items()]
-    for name, gate, is_list in specs:
+    values = []
+    for i, (name, gate, is_list) in enumerate(specs):
         v = F.col(name).cast("string")
         ok = v.isNotNull() & not_ilike_any(v, list(exclude))
         if is_list and raw is not None:
             ok = ok & (F.col(raw) != F.lit(EMPTY_EDUCATION_SENTINEL))
         if gate is not None:
             ok = ok & gate
-        # list elements are trimmed after the explode (a plain expression;
-        # a trimming lambda over the array would leave code generation)
-        values = F.split(v, re.escape(sep)) if is_list else F.array(v)
-        items.append(F.struct(F.lit(name).alias("field"), values.alias("vals"),
-                              F.lit(is_list).alias("is_list"),
-                              F.coalesce(ok, F.lit(False)).alias("passes")))
-    rows = u.select(*by, "release", F.inline(F.array(*items))).filter("passes")
-    exploded = rows.select("field", *by, "release", "is_list", F.explode("vals").alias("_x"))
-    exploded = exploded.withColumn(
-        "field_value", F.when(F.col("is_list"), F.trim("_x")).otherwise(F.col("_x")))
-    return (exploded.filter(F.col("field_value").isNotNull())
-            .groupBy("field", *by, "field_value").agg(*_count_cols(list(releases))))
+        values.append(F.when(ok, F.split(v, re.escape(sep)) if is_list else v).alias(f"_v_{i}"))
+    parts = column_counts(u.select(*by, "release", *values), [*by, "release"], [f"_v_{i}" for i in range(len(specs))])
+    field = F.element_at(F.array(*[F.lit(n) for n, _, _ in specs]), F.col("_field") + 1)
+    counts = [F.sum(F.when(F.col("release") == F.lit(n), F.col("_n")).otherwise(0)).cast("bigint").alias(f"cnt_{n}") for n in releases]
+    return (parts.groupBy("_field", *by, F.col("_value").alias("field_value")).agg(*counts)
+            .select(field.alias("field"), *by, "field_value", *[f"cnt_{n}" for n in releases]))
 
 
 def release_matrix_kpi(releases: Mapping[str, DataFrame], fields: Mapping[str, tuple[Column, Column | None]],

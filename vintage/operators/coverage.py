@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import pct_round
+from vintage.operators.distinct import flagged_ids
 from vintage.operators.distribution import every_source, tagged
 from vintage.spec import FieldSpec, Period, Source
 
@@ -18,15 +19,11 @@ def coverage(sources: Sequence[Source], field: FieldSpec, period: Period | None)
 
     ``total``: distinct ids in scope (extra predicates applied, enrichment
     joins not, S9). ``covered``: distinct ids with a present, non-excluded
-    value. A NULL id is no entity and counts in neither. One scan per source:
-    the tagged rows are reduced to one row per (source, id) (one exchange on
-    that pair, which spreads a hot source over all tasks, after map-side
-    partial aggregation), then counted per source.
+    value. A NULL id is no entity and counts in neither. One scan per source
+    and one exchange, of a row per source and word of ids.
     """
-    ids = tagged(sources, field, period).filter(F.col("id").isNotNull()).groupBy("source", "id").agg(
-        F.max(F.col("field_value").isNotNull()).alias("covered"))
-    per_source = ids.groupBy("source").agg(
-        F.count(F.lit(1)).alias("total"), F.count_if("covered").alias("covered"))
+    rows = tagged(sources, field, period)
+    per_source = flagged_ids(rows, ["source"], {"total": F.lit(True), "covered": F.col("field_value").isNotNull()})
     # a source with nothing in scope still reports 0 / 0
     return every_source(per_source, [s.name for s in sources],
                         {"total": F.lit(0).cast("bigint"), "covered": F.lit(0).cast("bigint")})

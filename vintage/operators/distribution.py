@@ -7,10 +7,10 @@ Plan shape, whatever the number of sources:
   projected ONCE to ``(source, id, field_value)``, where ``field_value`` is
   NULL for rows that do not count (absent or excluded value); the
   projections are unioned, so every source is scanned once per query;
-* that frame is reduced to its distinct (source, id, field_value) rows with
-  map-side partial aggregation; the per-value counts are one more partial
-  aggregation over them, the per-source totals a distinct on (source, id);
-  NULL ids are entities in neither;
+* that frame is reduced to words of ids by (source, field_value)
+  (``operators/distinct.py``): exact, merged map-side, whatever the skew; the
+  per-value counts sum their bits, the per-source totals merge the same
+  words; NULL ids are entities in neither;
 * totals are one row per source and joined with a broadcast bounded by the
   number of sources, a parameter, not the data;
 * the per-value rows are turned wide by conditional aggregation over the
@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import frac_or_zero, not_like_any
+from vintage.operators.distinct import WORD, counted, distinct_ids, flagged_ids, merged, words
+from vintage.operators.partials import column_words
 from vintage.operators.reshape import wide
 from vintage.operators.scan import scan_union
 from vintage.spec import FieldSpec, Period, Source
@@ -40,8 +42,8 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def tagged(sources: Sequence[Source], field: FieldSpec, period: Period | None) -> DataFrame:
-    """``(source, id, field_value)`` for every row in scope; the value is
-    normalised and NULL where it is absent or matches an exclusion. A
+    """``(source, field_value, _pos, _once)`` for every row in scope, the last
+    two standing for its id; the value is normalised and NULL where it is absent or matches an exclusion. A
     field's extra predicates narrow the scope (they apply to totals too,
     S8); its enrichment joins do not (S9). Sources over one table share a
     scan (``scan_union``)."""
@@ -50,9 +52,9 @@ def tagged(sources: Sequence[Source], field: FieldSpec, period: Period | None) -
         cond = v.isNotNull()
         if field.exclude:
             cond = cond & not_like_any(v, list(field.exclude))
-        return [F.col(s.id).alias("id"), F.when(cond, v).alias("field_value")]
+        return [F.when(cond, v).alias("field_value")]
 
-    return scan_union(sources, period, project, extra=lambda s: field.extra_pred(s.name),
+    return scan_union(sources, period, project, ids=True, extra=lambda s: field.extra_pred(s.name),
                       prep=lambda s: [fn for fn in [field.prep.get(s.name)] if fn is not None])
 
 
@@ -68,35 +70,22 @@ def every_source(df: DataFrame, names: Sequence[str], fills: dict) -> DataFrame:
                                   for c, v in fills.items()])
 
 
-def per_id(t: DataFrame) -> DataFrame:
-    """Distinct ``(source, id, field_value)``: plain hash aggregation on all
-    three, so neither a hot source nor a placeholder or NULL id gathers its
-    values in one group."""
-    return t.select("source", "id", "field_value").distinct()
+def value_words(t: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
+    """Words of ids by ``(*keys, field_value)``."""
+    return words(t, [*keys, "field_value"])
 
 
-def counts_and_totals(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(source, field_value, n)`` distinct ids per value, and ``(source,
-    total)`` distinct ids in scope. A NULL id is no entity: it adds nothing
-    to a count or total, but a value that only NULL ids hold stays as a 0
-    row, as ``COUNT(DISTINCT id)`` gives it."""
-    return counts_from_ids(ids), totals_from_ids(ids)
-
-
-def counts_from_ids(ids: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
-    """``(*keys, field_value, n)``: distinct ids per value. The NULL value is
-    dropped after counting: a filter on a grouping key would be pushed to
-    the scan, and the totals could not share the ids' exchange."""
-    return (ids.groupBy(*keys, "field_value").agg(F.count("id").alias("n"), F.max("field_value").alias("_v"))
-            .filter(F.col("_v").isNotNull()).drop("_v"))
-
-
-def totals_from_ids(ids: DataFrame, keys: Sequence[str] = ("source",)) -> DataFrame:
-    """``(*keys, total)``: distinct ids. Each id's values are counted too
-    (always 0 or more), so that this reads the same columns of ``ids`` as the
-    counts do and both share one scan and one exchange."""
-    per = ids.groupBy(*keys, "id").agg(F.count("field_value").alias("_k"))
-    return per.groupBy(*keys).agg(F.count_if(F.col("id").isNotNull() & (F.col("_k") >= 0)).alias("total"))
+def counts_and_totals(parts: DataFrame, keys: Sequence[str] = ("source",)) -> tuple[DataFrame, DataFrame]:
+    """From the values' words: ``(*keys, field_value, n)`` distinct ids per
+    value, and ``(*keys, total)`` distinct ids in scope. A NULL id is no
+    entity: it adds nothing to a count or total, but a value that only NULL
+    ids hold stays as a 0 row, as ``COUNT(DISTINCT id)`` gives it. The NULL
+    value is dropped after counting: a filter on a grouping key would be
+    pushed to the scan, and the totals could not share the words' exchange."""
+    known = F.max("field_value").alias("_v")
+    per_value = parts.groupBy(*keys, "field_value").agg(
+        F.sum(F.col("_n") + F.coalesce(F.bit_count("_bits"), F.lit(0))).cast("bigint").alias("n"), known)
+    return per_value.filter(F.col("_v").isNotNull()).drop("_v"), counted(merged(parts, keys), keys, "total")
 
 
 def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | None,
@@ -105,7 +94,7 @@ def value_counts(sources: Sequence[Source], field: FieldSpec, period: Period | N
     of distinct ids) or ``rows`` (count of rows)."""
     t = tagged(sources, field, period)
     if measure == "distinct":
-        return counts_from_ids(per_id(t.filter(F.col("field_value").isNotNull())))
+        return distinct_ids(t.filter(F.col("field_value").isNotNull()), ["source", "field_value"], "n")
     if measure == "rows":
         return (t.filter(F.col("field_value").isNotNull())
                 .groupBy("source", "field_value").agg(F.count(F.lit(1)).alias("n")))
@@ -139,8 +128,7 @@ def distribution(sources: Sequence[Source], field: FieldSpec, period: Period | N
     (fractions need not sum to 1); ``'classified'`` by the sum of the
     counted values. Wide output: ``field_value, {src}_count, {src}_frac``.
     """
-    ids = per_id(tagged(sources, field, period))
-    counts, all_ids = counts_and_totals(ids)
+    counts, all_ids = counts_and_totals(value_words(tagged(sources, field, period)))
     if denominator == "all":
         den = all_ids
     elif denominator == "classified":
@@ -163,8 +151,7 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
     counts (ties broken by value, S18); its k rows are broadcast (bounded
     by ``k``) to restrict the other sources' aggregated counts.
     """
-    ids = per_id(tagged(sources, field, period))
-    counts, all_ids = counts_and_totals(ids)
+    counts, all_ids = counts_and_totals(value_words(tagged(sources, field, period)))
     top = (counts.filter(F.col("source") == anchor)
            .orderBy(F.col("n").desc(), F.col("field_value").asc()).limit(k)
            .select("field_value"))
@@ -176,13 +163,13 @@ def distribution_anchored(sources: Sequence[Source], field: FieldSpec, period: P
 # ------------------------------------------------------------ many fields
 def _matrix_rows(sources: Sequence[Source], fields: Sequence[FieldSpec],
                  period: Period | None) -> DataFrame:
-    """R5 for the postings job: ``(source, id, _in_i, _v_i ...)`` - one row
+    """R5 for the postings job: ``(source, _in_i, _v_i ..., _pos, _once)`` - one row
     per scanned row with, for every field ``i``, whether the row is in the
     field's scope (its extra predicates; NULL counts as false) and its
     counted value (NULL when absent, excluded or out of scope). One scan per
     table; every enrichment join any field needs is applied once."""
     def project(s: Source, df: DataFrame) -> list:
-        cols = [F.col(s.id).alias("id")]
+        cols = []
         for i, f in enumerate(fields):
             v = f.value(s.name, df)
             cond = v.isNotNull()
@@ -190,13 +177,28 @@ def _matrix_rows(sources: Sequence[Source], fields: Sequence[FieldSpec],
                 cond = cond & not_like_any(v, list(f.exclude))
             scope = f.extra_pred(s.name)
             scope = F.lit(True) if scope is None else F.coalesce(scope, F.lit(False))
-            cols += [scope.alias(f"_in_{i}"), F.when(scope & cond, v).alias(f"_v_{i}")]
+            cols += [scope.alias(f"_in_{i}"), F.when(scope & cond, v).cast("string").alias(f"_v_{i}")]
         return cols
 
     def preps(s: Source) -> list:
         return [f.prep[s.name] for f in fields if s.name in f.prep]
 
-    return scan_union(sources, period, project, prep=preps)
+    return scan_union(sources, period, project, prep=preps, ids=True)
+
+
+def _scope_totals(sources: Sequence[Source], fields: Sequence[FieldSpec], period: Period | None) -> DataFrame:
+    """``(source, field, total)``: distinct ids in each field's scope."""
+    def project(s: Source, df: DataFrame) -> list:
+        scopes = [f.extra_pred(s.name) for f in fields]
+        return [(F.lit(True) if c is None else F.coalesce(c, F.lit(False))).alias(f"_in_{i}") for i, c in enumerate(scopes)]
+
+    def preps(s: Source) -> list:
+        return [f.prep[s.name] for f in fields if s.name in f.prep and s.name in f.extra]
+
+    rows = scan_union(sources, period, project, prep=preps, ids=True)
+    per_source = flagged_ids(rows, ["source"], {f"_t_{i}": F.col(f"_in_{i}") for i in range(len(fields))})
+    items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_t_{i}").alias("total")) for i, f in enumerate(fields)]
+    return per_source.select("source", F.inline(F.array(*items)))
 
 
 def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
@@ -204,18 +206,21 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
     """P11 for many fields in one job: ``(field, field_value, {src}_count,
     {src}_frac ...)``.
 
-    One scan per table. Each row gives one (field, value) pair per field it
-    is in scope of; the pairs are reduced to distinct (source, field, id,
-    value) rows, from which values and totals are counted by partial
-    aggregation; no id gathers its values in one group. Totals per (source,
-    field) are broadcast (bounded by sources x fields, both parameters)."""
+    Rows are not expanded: a task counts each field's column by itself
+    (``operators/partials.py``) and passes on words of ids by (source, field,
+    value), which one exchange merges. The totals read only ids and scopes, in
+    a scan of their own without the enrichment (copies of a row add nothing
+    to them): Spark would not share the Arrow stage between the two sides of
+    the join. Totals per (source, field) are broadcast (bounded by sources x
+    fields, both parameters)."""
     rows = _matrix_rows(sources, fields, period)
-    items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_in_{i}").alias("in_scope"),
-                      F.col(f"_v_{i}").cast("string").alias("field_value")) for i, f in enumerate(fields)]
-    ids = (rows.select("source", "id", F.inline(F.array(*items))).filter("in_scope")
-           .select("source", "field", "id", "field_value").distinct())
-    counts = counts_from_ids(ids, ["source", "field"])
-    totals = totals_from_ids(ids, ["source", "field"])
+    every = range(len(fields))
+    parts = column_words(rows, ["source"], [f"_v_{i}" for i in every], [f"_in_{i}" for i in every])
+    name = F.element_at(F.array(*[F.lit(f.name) for f in fields]), F.col("_field") + 1)
+    parts = parts.select("source", name.alias("field"), F.col("_value").alias("field_value"), F.col("_word").alias(WORD), "_n", "_bits")
+    keys = ["source", "field", "field_value"]
+    counts = counted(merged(parts.filter(F.col("field_value").isNotNull()), keys), keys, "n")
+    totals = _scope_totals(sources, fields, period)
     long_df = (counts.join(F.broadcast(totals), ["source", "field"], "left")
                .withColumn("frac", frac_or_zero("n", "total")))
     names = [s.name for s in sources]
@@ -228,21 +233,15 @@ def distribution_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
 def coverage_matrix(sources: Sequence[Source], fields: Sequence[FieldSpec],
                     period: Period | None) -> DataFrame:
     """P10 for many fields in one job: ``(source, field, total, covered)``.
-    One row per (source, id) with two flags per field crosses the exchange;
-    the per-source counts are unpivoted afterwards. A NULL id is no entity;
-    a source with nothing in scope reports 0 / 0 for every field."""
-    rows = _matrix_rows(sources, fields, period).filter(F.col("id").isNotNull())
-    aggs = []
-    for i in range(len(fields)):
-        aggs += [F.max(f"_in_{i}").alias(f"_in_{i}"),
-                 F.max(F.col(f"_v_{i}").isNotNull()).alias(f"_cov_{i}")]
-    ids = rows.groupBy("source", "id").agg(*aggs)
-    counts = []
+    One row per source and word of ids, with two words per field, crosses the
+    exchange; the per-source counts are unpivoted afterwards. A NULL id is
+    no entity; a source with nothing in scope reports 0 / 0 for every field."""
+    rows = _matrix_rows(sources, fields, period)
+    flags = {}
     for i in range(len(fields)):
-        counts += [F.count_if(f"_in_{i}").alias(f"_t_{i}"), F.count_if(f"_cov_{i}").alias(f"_c_{i}")]
+        flags |= {f"_t_{i}": F.col(f"_in_{i}"), f"_c_{i}": F.col(f"_v_{i}").isNotNull()}
     zero = F.lit(0).cast("bigint")
-    per_source = every_source(ids.groupBy("source").agg(*counts), [s.name for s in sources],
-                              {f"_{x}_{i}": zero for i in range(len(fields)) for x in ("t", "c")})
+    per_source = every_source(flagged_ids(rows, ["source"], flags), [s.name for s in sources], dict.fromkeys(flags, zero))
     items = [F.struct(F.lit(f.name).alias("field"), F.col(f"_t_{i}").alias("total"),
                       F.col(f"_c_{i}").alias("covered")) for i, f in enumerate(fields)]
     return per_source.select("source", F.inline(F.array(*items)))

@@ -8,9 +8,11 @@ a sort-merge join when not.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vintage.sources.positions import ONCE
+
 
 def norm_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
               how: str = "inner") -> DataFrame:
@@ -25,5 +27,9 @@ def norm_join(left: DataFrame, right: DataFrame, left_col: str, right_col: str,
 
 def lookup(df: DataFrame, table: DataFrame, on: str, how: str = "left") -> DataFrame:
     """Attach a code lookup (left by default, so the fact rows are
-    kept and unknown codes get NULLs)."""
-    return df.join(table, on, how)
+    kept and unknown codes get NULLs). A code that the lookup holds several
+    times copies its rows: their ids no longer occur once."""
+    if ONCE not in df.columns:
+        return df.join(table, on, how)
+    ways = table.withColumn("_ways", F.count(F.lit(1)).over(Window.partitionBy(on)))
+    return df.join(ways, on, how).withColumn(ONCE, F.col(ONCE) & (F.coalesce("_ways", F.lit(1)) == 1)).drop("_ways")

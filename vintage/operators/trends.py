@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.functions.expr import date_lit, month_start, ts_lit
+from vintage.operators.distinct import distinct_ids
 from vintage.operators.scan import scan_union
 from vintage.spec import Period, Source
 
@@ -16,8 +17,8 @@ def yearly_totals(sources: Sequence[Source], period: Period | None) -> DataFrame
     """Distinct ids per (source, year) -> ``(source, yr, cnt)``.
     All sources are counted in one aggregation over their union."""
     t = scan_union(sources, period,
-                   lambda s, df: [F.year(s.date).alias("yr"), F.col(s.id).alias("id")])
-    return t.groupBy("source", "yr").agg(F.count_distinct("id").alias("cnt"))
+                   lambda s, df: [F.year(s.date).alias("yr")], ids=True)
+    return distinct_ids(t, ["source", "yr"], "cnt")
 
 
 def monthly_counts(sources: Sequence[Source], period: Period | None,
@@ -27,9 +28,8 @@ def monthly_counts(sources: Sequence[Source], period: Period | None,
     included)."""
     cut = None if since is None else (lambda s: F.col(s.date) >= ts_lit(since))
     t = scan_union(sources, period,
-                   lambda s, df: [month_start(s.date).alias("month_start"), F.col(s.id).alias("id")],
-                   since=cut)
-    return t.groupBy("source", "month_start").agg(F.count_distinct("id").alias("cnt"))
+                   lambda s, df: [month_start(s.date).alias("month_start")], since=cut, ids=True)
+    return distinct_ids(t, ["source", "month_start"], "cnt")
 
 
 def month_spine(spark: SparkSession, names: Sequence[str], first: str, last: str) -> DataFrame:

@@ -15,7 +15,7 @@ from vintage.operators.changes import code_agreement, code_changes, code_pairs,
 from vintage.operators.coverage import coverage, coverage_pct, field_coverage_by_source
 from vintage.operators.distribution import (coverage_matrix, distribution, distribution_anchored,
                                             distribution_matrix)
-from vintage.operators.joins import norm_join
+from vintage.operators.joins import lookup, norm_join
 from vintage.operators.salary import (direct_coverage, salary_buckets, salary_buckets_wide, salary_coverage,
                                       salary_median_by_group, salary_outliers, salary_stats)
 from vintage.operators.trends import monthly_totals_spine, monthly_with_benchmark, yearly_totals
@@ -110,7 +110,9 @@ class PostingsJob:
         join; an unknown code leaves the group NULL, so the posting is in
         the totals but not counted)."""
         lu = self.lookup.select("onet_code", F.col("soc2_name").alias("lu_soc2"))
-        return df.join(lu, "onet_code", "left")
+        return lookup(df, lu, "onet_code")
+
+    _soc2_prep.marks_copies = True
 
     def field(self, name: str) -> FieldSpec:
         all3 = ("v1", "v2", "ext")
@@ -138,7 +140,9 @@ class PostingsJob:
 
     def _hierarchy_prep(self, df: DataFrame) -> DataFrame:
         """Enrichment: the sector of the release's detailed industry code."""
-        return df.join(self.fx.naics_hierarchy().withColumnRenamed("naics2_name", "h_naics2"), "naics6", "left")
+        return lookup(df, self.fx.naics_hierarchy().withColumnRenamed("naics2_name", "h_naics2"), "naics6")
+
+    _hierarchy_prep.marks_copies = True
 
     def overlap_field(self, name: str) -> FieldSpec:
         """A field of the four-source job: the release's and the vendor's

@@ -19,6 +19,7 @@ import sys
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vintage.sources import positions
 from vintage.sources.staging import staged
 from vintage.sources.tables import Tables
 
@@ -35,6 +36,8 @@ STAGED = {
     "bench_share": (), "openings_industry": (), "imputed": (), "employers": (),
     "classifier": ("desc_id",),
 }
+# Tables stored with positions of their ids (exact distinct counts).
+POSITIONED = {"postings_v1": "job_id", "postings_v2": "job_id", "postings_ext": "id"}
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -61,7 +64,7 @@ class Recipes:
              .join(s, s.s_suppkey == l.l_suppkey)
              .join(n, n.n_nationkey == s.s_nationkey))
         return j.select(
-            F.col("l_orderkey").alias("person_id"),
+            _null_when(F.col("l_partkey") % 41 == 0, F.col("l_orderkey")).alias("person_id"),
             F.col("l_linenumber").alias("line_no"),
             F.col("n_name").alias("country"),
             "p_size", "p_type", "p_brand", "p_name",
@@ -177,7 +180,7 @@ class Recipes:
         ck, jid = F.col("custkey"), F.col("job_id")
         # the older release was cut before July 2001
         return self.orders_geo().filter(F.col("post_date") < F.to_timestamp_ntz(F.lit("2001-07-01"))).select(
-            "job_id", jid.alias("desc_id"), "post_date", "country",
+            _null_when(jid % 37 == 0, jid).alias("job_id"), jid.alias("desc_id"), "post_date", "country",
             F.col("nationkey").alias("naics6"),
             F.when(ck % 9 == 0, F.lit(None)).when(ck % 9 == 1, F.lit(" unclassified "))
              .otherwise(F.concat(F.lit("  "), F.col("segment"))).alias("naics2_name"),
@@ -226,8 +229,10 @@ class Recipes:
         j = l.join(g, g.job_id == l.l_orderkey)
         ln = F.col("l_linenumber")
         return j.select(
-            F.col("job_id").alias("id"), F.col("l_shipdate").alias("posted"),
-            F.col("cust_name").alias("company_name"),
+            # ids that are unknown, negative or very large
+            F.when(F.col("l_partkey") % 97 == 0, F.lit(None)).when(F.col("l_partkey") % 89 == 0, -F.col("job_id"))
+             .when(F.col("l_partkey") % 83 == 0, F.col("job_id") + F.lit(9 * 10 ** 18)).otherwise(F.col("job_id")).alias("id"),
+            F.col("l_shipdate").alias("posted"), F.col("cust_name").alias("company_name"),
             _null_when(F.col("l_partkey") % 10 == 0, F.col("segment")).alias("naics2_name"),
             F.when(F.col("status") == "F", "High school or GED")
              .when(F.col("status") == "P", "Ph.D. or professional degree")
@@ -374,7 +379,8 @@ class Recipes:
         """An occupation classifier's output: top code per description."""
         o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
         return o.select(F.col("o_orderkey").alias("desc_id"),
-                        _null_when(F.col("o_custkey") % 7 == 0, F.col("o_orderpriority")).alias("top1_code"))
+                        F.when(F.col("o_custkey") % 7 == 0, F.lit(None)).when(F.col("o_custkey") % 5 == 0, F.lit("2-HIGH"))
+                         .otherwise(F.col("o_orderpriority")).alias("top1_code"))
 
     def employers(self) -> DataFrame:
         k = F.col("s_suppkey")
@@ -384,7 +390,7 @@ class Recipes:
 
 @functools.cache
 def _recipe_text() -> str:
-    return inspect.getsource(sys.modules[__name__])
+    return inspect.getsource(sys.modules[__name__]) + inspect.getsource(positions)
 
 
 class Fixtures:
@@ -404,4 +410,7 @@ class Fixtures:
         build = getattr(self.recipes, name)
         if not self.is_staged:
             return build
+        if name in POSITIONED:
+            plain = build
+            build = lambda: positions.laid_out(plain(), POSITIONED[name])
         return lambda: staged(self.spark, self.root, name, build, STAGED[name], _recipe_text())
