@@ -1170,6 +1170,15 @@ FROM l GROUP BY month_start""")
         q[job] = "\nUNION ALL\n".join(
             f"SELECT '{name}' AS artifact, 'ok' AS status, (SELECT count(*) FROM ({q[key]})) AS rows"
             for name, key in artifacts.items())
+    restart = [(1, "total_counts_yearly", "ok", "totals_yearly"), (1, "kpi", "ok", "postings_kpi_matrix"), (1, "kpi_percent", "ok", "postings_kpi_matrix"),
+               (1, "comp_soc2", "failed", None), (1, "comp_soc2_top", "skipped", None),
+               (2, "total_counts_yearly", "kept", "totals_yearly"), (2, "kpi", "kept", "postings_kpi_matrix"), (2, "kpi_percent", "kept", "postings_kpi_matrix"),
+               (2, "comp_soc2", "ok", "distribution_lookup_join"), (2, "comp_soc2_top", "ok", "distribution_lookup_join")]
+    rows = {None: "CAST(NULL AS BIGINT)", "comp_soc2_top": "least(2, (SELECT count(*) FROM (%s)))"}
+    q["publish_restart"] = "\nUNION ALL\n".join(
+        f"SELECT {run} AS run, '{name}' AS artifact, '{status}' AS status, "
+        + (rows[None] if key is None else rows[name] % q[key] if name in rows else f"(SELECT count(*) FROM ({q[key]}))").replace("\n", " ") + " AS rows"
+        for run, name, status, key in restart)
     return q
 
 

@@ -44,6 +44,11 @@ def _publish(job: str) -> Query:
     return run
 
 
+def _publish_twice(spark: SparkSession, root: str) -> DataFrame:
+    from vintage.plans import publish
+    return publish.publish_twice(spark, root)
+
+
 QUERIES: dict[str, Query] = {
     # profile job
     "value_counts_two_releases": _pr(lambda j: j.value_counts()),
@@ -131,4 +136,5 @@ QUERIES: dict[str, Query] = {
     "publish_postings": _publish("publish_postings"),
     "publish_overlap": _publish("publish_overlap"),
     "publish_export": _publish("publish_export_bundle"),
+    "publish_restart": _publish_twice,
 }

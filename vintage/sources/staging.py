@@ -16,10 +16,10 @@ the same table at once never write into each other's files.
 from __future__ import annotations
 
 import hashlib
+import threading
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from vintage.session import checkpoint_dir
@@ -44,11 +44,11 @@ def stage_root(spark: SparkSession, dataset: str, recipe: str = "") -> str:
 
 
 def _marked(spark: SparkSession, marker: str) -> str | None:
-    """The folder that the marker names; none where there is no marker."""
-    try:
-        return spark.read.schema("path string").parquet(marker).first()["path"]
-    except AnalysisException:
+    """The folder that the marker names; none where there is no whole marker."""
+    whole = spark._jvm.org.apache.hadoop.fs.Path(f"{marker}/_SUCCESS")
+    if not whole.getFileSystem(spark._jsc.hadoopConfiguration()).exists(whole):
         return None
+    return spark.read.schema("path string").parquet(marker).first()["path"]
 
 
 # Staged tables already resolved in this application: (app id, root, name) ->
@@ -56,6 +56,8 @@ def _marked(spark: SparkSession, marker: str) -> str | None:
 # reads a footer, so a query that reads the same table several times (one
 # source in several roles) resolves it once.
 _RESOLVED: dict[tuple[str, str, str], DataFrame] = {}
+# Jobs that run side by side in this application make a table once.
+_MAKING = threading.RLock()
 
 
 def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], DataFrame],
@@ -64,6 +66,12 @@ def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], Dat
     read afterwards. ``sort_by`` orders rows within each file so parquet
     min/max statistics let date and key filters skip row groups; ``recipe``
     is the text that the table is made by."""
+    with _MAKING:
+        return _staged(spark, dataset, name, build, sort_by, recipe)
+
+
+def _staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], DataFrame],
+            sort_by: Sequence[str], recipe: str) -> DataFrame:
     root = stage_root(spark, dataset, recipe)
     memo = (spark.sparkContext.applicationId, root, name)
     if memo in _RESOLVED:
