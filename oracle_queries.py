@@ -1166,6 +1166,37 @@ SELECT month_start,
   max(CASE WHEN source = 'full_v1' THEN cnt END) AS full_v1,
   max(CASE WHEN source = 'full_ext' THEN cnt END) AS full_ext
 FROM l GROUP BY month_start""")
+    q["long_view_by_count"] = f"""WITH c AS ({q["value_counts_two_releases"]})
+SELECT field_value, 'Base release' AS version, CAST(cnt_base AS BIGINT) AS value, CAST(-cnt_new AS BIGINT) AS sort_rank FROM c
+UNION ALL SELECT field_value, 'New release', CAST(cnt_new AS BIGINT), CAST(-cnt_new AS BIGINT) FROM c"""
+    chain = """every AS (SELECT 'r1' AS release, country, state, min_degree FROM fx_postings_v1
+UNION ALL SELECT 'r2', country, state, min_degree FROM fx_postings_v2
+UNION ALL SELECT 'r10', 'United States', state, min_degree FROM fx_postings_ext)"""
+    counts = ", ".join(f"count(*) FILTER (release = '{r}') AS cnt_{r}" for r in ("r1", "r2", "r10"))
+    q["release_chain_counts"] = _with(POSTINGS, f"""WITH {chain} SELECT country, state AS field_value, {counts}
+FROM every WHERE state IS NOT NULL AND lower(state) NOT LIKE '%unclassified%' GROUP BY country, state""")
+    q["release_chain_incremental"] = _with(POSTINGS, f"""WITH {chain}, l AS (SELECT release, country, 'state' AS field, state AS field_value FROM every
+UNION ALL SELECT release, country, 'min_degree', min_degree FROM every)
+SELECT field, country, field_value, {counts}, CAST(1 AS BIGINT) AS releases_read
+FROM l WHERE field_value IS NOT NULL AND lower(field_value) NOT LIKE '%unclassified%' GROUP BY field, country, field_value""")
+    q["ordered_distribution"] = f"""WITH d AS (SELECT field_value, nullif(ext_count, 0) AS ext_count, nullif(v1_count, 0) AS v1_count
+FROM ({_with(POSTINGS, _dist3(_F_EMPLOYER, exclude=True, extra=_X_EMPLOYER))}))
+SELECT *, row_number() OVER (ORDER BY ext_count DESC NULLS LAST, v1_count DESC NULLS LAST, field_value NULLS LAST) AS position FROM d"""
+    q["ordered_totals"] = f"""SELECT *, row_number() OVER (ORDER BY source, yr) AS position FROM ({q["totals_yearly"]})"""
+    q["label_shares"] = _with(POSTINGS, f"""WITH l AS (SELECT 'v1' AS side, naics2_name AS spelling FROM fx_postings_v1 WHERE country = {US} AND year(post_date) = {YC}
+UNION ALL SELECT 'v2', naics2_name FROM fx_postings_v2 WHERE country = {US} AND year(post_date) = {YC}
+UNION ALL SELECT 'ext', upper(left(naics2_name, 1)) || lower(substr(naics2_name, 2)) FROM fx_postings_ext WHERE year(posted) = {YC}),
+s AS (SELECT side, lower(trim(spelling)) AS key, spelling, count(*) AS n FROM l WHERE spelling IS NOT NULL GROUP BY ALL),
+best AS (SELECT side, key, spelling FROM s QUALIFY row_number() OVER (PARTITION BY side, key ORDER BY n DESC, spelling) = 1),
+t AS (SELECT side, key, CAST(sum(n) AS DOUBLE) AS n, sum(n) / sum(sum(n)) OVER (PARTITION BY side) AS frac FROM s GROUP BY side, key)
+SELECT k.key, coalesce(v1.spelling, v2.spelling, ext.spelling) AS label,
+  v1.spelling AS v1_label, coalesce(t1.n, 0.0) AS v1_n, coalesce(t1.frac, 0.0) AS v1_frac,
+  v2.spelling AS v2_label, coalesce(t2.n, 0.0) AS v2_n, coalesce(t2.frac, 0.0) AS v2_frac,
+  ext.spelling AS ext_label, coalesce(te.n, 0.0) AS ext_n, coalesce(te.frac, 0.0) AS ext_frac
+FROM (SELECT DISTINCT key FROM s) k
+LEFT JOIN best v1 ON v1.side = 'v1' AND v1.key = k.key LEFT JOIN t t1 ON t1.side = 'v1' AND t1.key = k.key
+LEFT JOIN best v2 ON v2.side = 'v2' AND v2.key = k.key LEFT JOIN t t2 ON t2.side = 'v2' AND t2.key = k.key
+LEFT JOIN best ext ON ext.side = 'ext' AND ext.key = k.key LEFT JOIN t te ON te.side = 'ext' AND te.key = k.key""")
     for job, artifacts in _PUBLISHED.items():
         q[job] = "\nUNION ALL\n".join(
             f"SELECT '{name}' AS artifact, 'ok' AS status, (SELECT count(*) FROM ({q[key]})) AS rows"

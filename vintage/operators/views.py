@@ -82,14 +82,14 @@ def long_view(df: DataFrame, value_cols: Mapping[str, str], sort_col: str | None
     for plotting; every row comes back. NULL values get a visible label
     (X25); columns are renamed to display labels (R3). ``sort_rank`` is the
     sort key, ascending: the place on a fixed ladder when given (others
-    after it, T8), else minus the ``sort_col`` count, so that the largest
-    come first. Ranking or a top-k is left to the caller (``top_k_per_group``)."""
+    after it, T8), else minus the ``sort_col`` count (default: the first of
+    ``value_cols``), so that the largest come first. Ranking or a top-k is left to the caller (``top_k_per_group``)."""
     labelled = df.withColumn("field_value", null_label("field_value"))
     if ladder:
         pos = F.array_position(F.array(*[F.lit(x) for x in ladder]), F.col("field_value"))
         rank = F.when(pos > 0, pos).otherwise(F.lit(len(ladder) + 1)).cast("bigint")
     else:
-        rank = (-F.col(sort_col)).cast("bigint")
+        rank = (-F.col(sort_col or next(iter(value_cols)))).cast("bigint")
     labelled = labelled.withColumn("sort_rank", rank)
     stacked = labelled.unpivot(["field_value", "sort_rank"], list(value_cols), "version", "value")
     m = F.create_map(*[F.lit(x) for kv in value_cols.items() for x in kv])

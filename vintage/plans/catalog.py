@@ -131,6 +131,14 @@ QUERIES: dict[str, Query] = {
         j.value_counts_with_benchmark(),
         {"cnt_base": "Base release", "cnt_new": "New release", "cnt_benchmark": "Benchmark"},
         ladder=LADDER)),
+    "long_view_by_count": _pr(lambda j: vw.long_view(
+        j.value_counts(), {"cnt_base": "Base release", "cnt_new": "New release"}, sort_col="cnt_new")),
+    # releases by version, results in order, labels by any spelling
+    "release_chain_counts": _po(lambda j: j.release_chain_counts()),
+    "release_chain_incremental": _po(lambda j: j.release_chain_incremental()),
+    "ordered_distribution": _po(lambda j: j.ordered_distribution()),
+    "ordered_totals": _po(lambda j: j.ordered_totals()),
+    "label_shares": _po(lambda j: j.label_shares()),
     # publish (each writes its job's tables and returns what it wrote)
     "publish_manifest": _publish("publish_profile_matrix"),
     "publish_postings": _publish("publish_postings"),

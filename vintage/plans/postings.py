@@ -4,22 +4,30 @@ method returning a lazy DataFrame."""
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.functions.expr import drop_suffix, left, map_lookup, norm, null_if_any, recode
+from vintage.functions.expr import drop_suffix, left, map_lookup, norm, null_if_any, recode, title_case
 from vintage.operators import benchmark as bm
+from vintage.operators.chain import recounted
 from vintage.operators.changes import code_agreement, code_changes, code_pairs, with_code_names
+from vintage.operators.compare import release_value_counts
 from vintage.operators.coverage import coverage, coverage_pct, field_coverage_by_source
 from vintage.operators.distribution import (coverage_matrix, distribution, distribution_anchored,
                                             distribution_matrix)
 from vintage.operators.joins import lookup, norm_join
+from vintage.operators.labels import label_union
 from vintage.operators.salary import (direct_coverage, salary_buckets, salary_buckets_wide, salary_coverage,
                                       salary_median_by_group, salary_outliers, salary_stats)
 from vintage.operators.trends import monthly_totals_spine, monthly_with_benchmark, yearly_totals
+from vintage.session import checkpoint_dir
 from vintage.sources.fixtures import Fixtures
+from vintage.sources.ordered import read_ordered, write_ordered
+from vintage.sources.releases import Releases
+from vintage.sources.staging import dataset_state
 from vintage.spec import FieldSpec, Period, Source
 
 # Parameters of the test job (the original job's values are in comments).
@@ -312,6 +320,52 @@ class PostingsJob:
     def salary_outliers(self, highest: bool) -> DataFrame:
         return salary_outliers(self.v1.scoped(None), self.fx.salary(), 20, highest)
 
+    # ----------------------------------------------------- releases, order
+    @cached_property
+    def releases(self) -> Releases:
+        """The postings releases found by version, under one schema."""
+        return Releases(self.spark, self.fx.release_root(), "postings", {"state_name": "state"}, {"country": US})
+
+    CHAIN_FIELDS = {"state": None, "min_degree": None}
+
+    def release_chain_counts(self) -> DataFrame:
+        """P1 over all releases, whatever their schemas."""
+        return release_value_counts(self.releases.aligned(), "state", exclude=UNCLASSIFIED)
+
+    def release_chain_incremental(self) -> DataFrame:
+        """P1 / P7 over a growing chain: the first two releases are counted,
+        then the third comes; ``releases_read`` says how many were read for it."""
+        rel = self.releases
+        store = f"{checkpoint_dir(self.spark).rstrip('/')}/vintage-chain/{uuid.uuid4().hex}"
+        kinds = {c: rel.schema[c].simpleString() for c in self.CHAIN_FIELDS}
+        rows = {v: (f"{dataset_state(self.spark, f'{self.fx.release_root()}/{v}')} {kinds}", lambda df=df: df) for v, df in rel.aligned().items()}
+        recounted(self.spark, store, dict(list(rows.items())[:2]), self.CHAIN_FIELDS)
+        counts, read = recounted(self.spark, store, rows, self.CHAIN_FIELDS)
+        return counts.withColumn("releases_read", F.lit(len(read)).cast("bigint"))
+
+    def _in_order(self, df: DataFrame, order: list, keys: list[str]) -> DataFrame:
+        table = f"{checkpoint_dir(self.spark).rstrip('/')}/vintage-ordered/{uuid.uuid4().hex}"
+        write_ordered(df, table, order, keys)
+        return read_ordered(self.spark, table)
+
+    def ordered_distribution(self) -> DataFrame:
+        """An employer table in display order: by the vendor's count, then
+        the release's, unknown counts last, then by name."""
+        d = self.distribution("employer").select("field_value", F.nullif(F.col("ext_count"), F.lit(0)).alias("ext_count"),
+                                                 F.nullif(F.col("v1_count"), F.lit(0)).alias("v1_count"))
+        return self._in_order(d, [F.col("ext_count").desc_nulls_last(), F.col("v1_count").desc_nulls_last(), F.col("field_value").asc_nulls_last()],
+                              ["ext_count", "v1_count", "field_value"])
+
+    def ordered_totals(self) -> DataFrame:
+        """Yearly totals by source, then year."""
+        return self._in_order(self.totals_yearly(), [F.col("source").asc(), F.col("yr").asc()], ["source", "yr"])
+
+    def label_shares(self) -> DataFrame:
+        """Industries of three tables that spell them differently."""
+        p = Period.year(COMPARE_YEAR)
+        ext = self.ext.scoped(p).select(title_case("naics2_name").alias("label"))
+        return label_union({"v1": (self.v1.scoped(p), "naics2_name", None), "v2": (self.v2.scoped(p), "naics2_name", None), "ext": (ext, "label", None)})
+
     # --------------------------------------------------------- benchmarks
     def series_mean(self) -> DataFrame:
         return bm.series_annual_mean(bm.series_from_payload(self.fx.series_json()), "2024")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.sources import positions
-from vintage.sources.staging import staged
+from vintage.sources.staging import staged, staged_folder
 from vintage.sources.tables import Tables
 
 # Relations the queries read, with the columns their stored files are
@@ -404,6 +404,21 @@ class Fixtures:
         self.recipes = Recipes(spark, root)
         self.is_staged = staged
 
+    def release_root(self) -> str:
+        """A folder of three releases of ``postings`` whose schemas drift: a
+        key widens, a column is renamed, columns go and come."""
+        def make(path: str) -> None:
+            r = self.recipes
+            r.postings_v1().select("job_id", "country", F.col("naics6").cast("int").alias("naics6"), "state", "min_degree", "msa") \
+                .write.parquet(f"{path}/r1/postings")
+            r.postings_v2().select("job_id", "country", F.col("naics6").cast("bigint").alias("naics6"), F.col("state").alias("state_name"), "min_degree") \
+                .write.parquet(f"{path}/r2/postings")
+            r.postings_ext().select(F.col("id").alias("Job_ID"), F.col("state").alias("State_Name"), "min_degree", "title") \
+                .write.parquet(f"{path}/r10/postings")
+            # a version without the table
+            r.naics_hierarchy().write.parquet(f"{path}/r3/hierarchy")
+        return staged_folder(self.spark, self.root, "releases", make, _recipe_text())
+
     def __getattr__(self, name: str):
         if name.startswith("_") or name not in STAGED:
             raise AttributeError(name)

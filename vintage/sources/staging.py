@@ -60,6 +60,20 @@ _RESOLVED: dict[tuple[str, str, str], DataFrame] = {}
 _MAKING = threading.RLock()
 
 
+def staged_folder(spark: SparkSession, dataset: str, name: str, make: Callable[[str], None], recipe: str = "") -> str:
+    """A folder of files derived from ``dataset`` that ``make`` fills, once per
+    state of the dataset and recipe."""
+    with _MAKING:
+        root = stage_root(spark, dataset, recipe)
+        marker = f"{root}/_done_{name}"
+        path = _marked(spark, marker)
+        if path is None:
+            path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+            make(path)
+            spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").parquet(marker)
+        return path
+
+
 def staged(spark: SparkSession, dataset: str, name: str, build: Callable[[], DataFrame],
            sort_by: Sequence[str] = (), recipe: str = "") -> DataFrame:
     """The table ``name`` derived from ``dataset``: written on first use,
