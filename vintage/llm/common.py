@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -50,6 +51,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like ``checkpointed``, as compressed columns, and gone with ``dropped``."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vintage-cut/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Remove the files of ``written`` frames that nothing reads any more:
+    whatever was made of them has been written itself."""
+    for df in frames:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._written)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (any case)."""
     have = {c.lower() for c in df.columns}

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.llm import graph
-from vintage.llm.common import checkpointed
+from vintage.llm.common import dropped, written
 from vintage.llm.textbatch import U, grams, hashed, mix, prefix, slices, spans
 
 CHUNKS, SYMBOLS, BITS, ERRORS = 8, 5, 12, 1
@@ -233,37 +233,40 @@ def _compared(x: tuple, y: tuple, slot: int, percent: int) -> list[tuple[int, in
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    rows = checkpointed(signatures(docs, id_col, text_col, shingle))
-    classes = checkpointed(rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
+    rows = written(signatures(docs, id_col, text_col, shingle))
+    classes = written(rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), *[F.max(c).alias(c) for c in _SIG]))
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
     shared = (_keys(classes).groupBy("slot", "value").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_met"))
               .filter("lo < hi").select("slot", "value", "n_met"))
-    met = checkpointed(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "n_met"))
+    pairs_met = written(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "n_met"))
     # the text that meets most others under all its keys heads each of them:
     # of a text and its altered copies that is the text they all come from
-    popular = met.groupBy("node").agg(F.struct(F.sum("n_met").alias("n_met"), (-F.col("node")).alias("id")).alias("rank"))
-    ranked = met.select("slot", "value", "node").join(popular, "node")
+    popular = pairs_met.groupBy("node").agg(F.struct(F.sum("n_met").alias("n_met"), (-F.col("node")).alias("id")).alias("rank"))
+    ranked = pairs_met.select("slot", "value", "node").join(popular, "node")
     heads = ranked.groupBy("slot", "value").agg((-F.max("rank")["id"]).alias("head"))
-    met = checkpointed(met.select("slot", "value", "node").join(heads, ["slot", "value"]))
+    met = written(pairs_met.select("slot", "value", "node").join(heads, ["slot", "value"]))
+    dropped(pairs_met)
 
-    star = checkpointed(_close(met.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), classes, percent))
-    links = checkpointed(confirm(star, _needed(texts, star), shingle, percent))
-    first = checkpointed(graph.components(links))
+    star = written(_close(met.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), classes, percent))
+    links = written(confirm(star, _needed(texts, star), shingle, percent))
+    first = written(graph.components(links))
 
     placed = met.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (placed.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_met"))
              .filter("lo < hi").select("slot", "value", "n_met"))
-    rest = checkpointed(placed.select("slot", "value", "node", "component").join(mixed, ["slot", "value"]))
-    crowd = _crowded(rest.filter(F.col("n_met") > FEW), classes, texts, shingle, percent)
-    rest = rest.filter(F.col("n_met") <= FEW)
+    loose = written(placed.select("slot", "value", "node", "component").join(mixed, ["slot", "value"]))
+    dropped(met, first)
+    crowd = _crowded(loose.filter(F.col("n_met") > FEW), classes, texts, shingle, percent)
+    rest = loose.filter(F.col("n_met") <= FEW)
     other = rest.select("slot", "value", F.col("node").alias("b"), F.col("component").alias("b_component"))
     pairs = (rest.join(other, ["slot", "value"]).filter("node < b and component <> b_component")
              .select(F.col("node").alias("a"), "b").distinct())
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    late = checkpointed(_close(pairs, classes, percent).join(tried, ["a", "b"], "left_anti"))
-    links = links.union(confirm(late, _needed(texts, late), shingle, percent)).union(crowd)
-    whole = graph.components(links)
+    late = written(_close(pairs, classes, percent).join(tried, ["a", "b"], "left_anti"))
+    dropped(star)
+    whole = graph.components(links.union(confirm(late, _needed(texts, late), shingle, percent)).union(crowd))
+    dropped(links, late, loose)
 
     named = classes.join(whole, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
     return rows.join(named, ["d1", "d2"], "left").select(
