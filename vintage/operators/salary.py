@@ -4,12 +4,15 @@ Postings and the salary side table are joined on the description id; the
 side table may hold several rows per id, so the COUNT(*) measures count
 joined rows, as the original job does (S20). At scale both sides are large:
 the join is a sort-merge on ``desc_id`` after each side is filtered and
-pruned to the three or four columns used.
+pruned to the three or four columns used. Both sides may come as lists of
+frames, the parts of tables stored side by side by the id
+(``sources/colocated.py``): each part joins by itself, without an exchange
+where it is bucketed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,11 +23,25 @@ from vintage.operators.median import histogram, summary
 from vintage.operators.reshape import wide
 
 
+Frames = DataFrame | Sequence[DataFrame]
+
+
+def _listed(df: Frames) -> list[DataFrame]:
+    return [df] if isinstance(df, DataFrame) else list(df)
+
+
+def _parts(postings: Mapping[str, Frames], salary: Frames) -> Iterator[tuple[str, DataFrame, DataFrame]]:
+    """(source, postings, salary) of every part; an id is in one part only."""
+    for name, p in postings.items():
+        for own, side in zip(_listed(p), _listed(salary), strict=True):
+            yield name, own, side
+
+
 def positive_salary(salary: DataFrame, amount: str = "parsed_salary_min") -> Column:
     return F.col(amount).isNotNull() & (F.col(amount) > 0)
 
 
-def salaried(postings: Mapping[str, DataFrame], salary: DataFrame, keep: Sequence[str] = (),
+def salaried(postings: Mapping[str, Frames], salary: Frames, keep: Sequence[str] = (),
              key: str = "desc_id", amount: str = "parsed_salary_min", period_col: str = "salary_per",
              piece_is_null: bool = True) -> DataFrame:
     """``(source, *keep, yearly, c)``: each source's postings joined to their
@@ -32,12 +49,14 @@ def salaried(postings: Mapping[str, DataFrame], salary: DataFrame, keep: Sequenc
     that yearly value. The salary side is first reduced to (id, yearly,
     count) with map-side partial aggregation, so an id repeated across a
     third of the side table is a handful of rows before the join."""
-    sal = (salary.filter(positive_salary(salary, amount))
-           .groupBy(key, annual_salary(amount, period_col, piece_is_null).alias("yearly"))
-           .agg(F.count(F.lit(1)).alias("c")))
-    frames = [p.select(key, *keep).join(sal, key).select(
+    def reduced(side: DataFrame) -> DataFrame:
+        return (side.filter(positive_salary(side, amount))
+                .groupBy(key, annual_salary(amount, period_col, piece_is_null).alias("yearly"))
+                .agg(F.count(F.lit(1)).alias("c")))
+
+    frames = [p.select(key, *keep).join(reduced(side), key).select(
         F.lit(name).alias("source"), *keep, "yearly", "c")
-        for name, p in postings.items()]
+        for name, p, side in _parts(postings, salary)]
     return union_all(frames)
 
 
@@ -51,7 +70,7 @@ def direct_salaries(sources: Mapping[str, tuple[DataFrame, str]], keep: Sequence
     return union_all(frames)
 
 
-def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame,
+def salary_stats(postings: Mapping[str, Frames], salary: Frames,
                  direct: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """``(source, min, max, avg, median, n_postings_with_salary,
     n_values)``; the row count includes piece-rate rows whose yearly value
@@ -71,7 +90,7 @@ def salary_stats(postings: Mapping[str, DataFrame], salary: DataFrame,
         "n_postings_with_salary", "n_values")
 
 
-def salary_buckets(postings: Mapping[str, DataFrame], salary: DataFrame) -> DataFrame:
+def salary_buckets(postings: Mapping[str, Frames], salary: Frames) -> DataFrame:
     """P20: rows per (source, bucket) and the bucket's share of the source.
     NULL yearly values (piece rate) are dropped first, as in the job (S15)."""
     s = salaried(postings, salary).filter(F.col("yearly").isNotNull())
@@ -83,7 +102,7 @@ def salary_buckets(postings: Mapping[str, DataFrame], salary: DataFrame) -> Data
                     (F.col("cnt") / F.col("_tot") * 100).alias("pct")))
 
 
-def salary_buckets_wide(postings: Mapping[str, DataFrame], salary: DataFrame,
+def salary_buckets_wide(postings: Mapping[str, Frames], salary: Frames,
                         direct: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """P20, the notebook's variant: ``(salary_bucket, {src}_pct ...)`` over
     every source's buckets, 0 where a source lacks one; shares of all rows
@@ -97,7 +116,7 @@ def salary_buckets_wide(postings: Mapping[str, DataFrame], salary: DataFrame,
     return wide(shares, ["salary_bucket"], "source", names, {"pct": 0.0}, name="{label}_{measure}")
 
 
-def salary_median_by_group(postings: Mapping[str, DataFrame], salary: DataFrame, group: str,
+def salary_median_by_group(postings: Mapping[str, Frames], salary: Frames, group: str,
                            cap: float | None = None,
                            direct: Mapping[str, tuple[DataFrame, str]] | None = None) -> DataFrame:
     """Median yearly salary and row count per (source, group); groups
@@ -126,7 +145,7 @@ def _summary(hist: DataFrame, keys: list[str]) -> DataFrame:
         F.col("_n").alias("n_values"))
 
 
-def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, country_col: str,
+def salary_coverage(postings: Mapping[str, Frames], salary: Frames, country_col: str,
                     codes: Mapping[str, str], key: str = "desc_id",
                     amount: str = "parsed_salary_min") -> DataFrame:
     """Postings (joined rows) and postings with a positive salary per
@@ -140,14 +159,16 @@ def salary_coverage(postings: Mapping[str, DataFrame], salary: DataFrame, countr
     # the left join: adaptive execution can split only the left side of a
     # left outer join, so a hot id must not reach the join as many rows.
     # A posting with k salary rows still counts k times (1 when k = 0).
-    sal = salary.groupBy(key).agg(F.count(F.lit(1)).alias("k"),
-                                  F.count_if(positive_salary(salary, amount)).alias("pos"))
+    def reduced(side: DataFrame) -> DataFrame:
+        return side.groupBy(key).agg(F.count(F.lit(1)).alias("k"),
+                                     F.count_if(positive_salary(side, amount)).alias("pos"))
+
     frames = [p.filter(F.col(country_col).isin(list(codes))).select(key, country_col)
-              .join(sal, key, "left")
+              .join(reduced(side), key, "left")
               .select(F.lit(name).alias("source"), code.alias("country"),
                       F.coalesce(F.col("k"), F.lit(1)).alias("k"),
                       F.coalesce(F.col("pos"), F.lit(0)).alias("pos"))
-              for name, p in postings.items()]
+              for name, p, side in _parts(postings, salary)]
     counts = union_all(frames).groupBy("source", "country").agg(
         F.sum("k").alias("total_postings"), F.sum("pos").alias("postings_with_salary"))
     return _with_pct(counts)
@@ -166,15 +187,15 @@ def direct_coverage(name: str, countries: Mapping[str, DataFrame], amount: str)
         F.count(F.lit(1)).alias("total_postings"), F.count_if("pos").alias("postings_with_salary")))
 
 
-def salary_outliers(postings: DataFrame, salary: DataFrame, k: int = 20, highest: bool = True,
+def salary_outliers(postings: Frames, salary: Frames, k: int = 20, highest: bool = True,
                     key: str = "desc_id", amount: str = "parsed_salary_min",
                     period_col: str = "salary_per") -> DataFrame:
     """The ``k`` highest (or lowest) yearly amounts with their raw
     fields; the outlier variant keeps piece rates at the raw amount."""
-    sal = salary.filter(positive_salary(salary, amount)).select(key, amount, period_col)
-    j = postings.select(key).join(sal, key).select(
-        key, amount, period_col, annual_salary(amount, period_col, piece_is_null=False)
-        .alias("yearly_salary_min"))
+    j = union_all([
+        p.select(key).join(side.filter(positive_salary(side, amount)).select(key, amount, period_col), key).select(
+            key, amount, period_col, annual_salary(amount, period_col, piece_is_null=False).alias("yearly_salary_min"))
+        for _, p, side in _parts({"": postings}, salary)])
     y = F.col("yearly_salary_min")
     order = [y.desc() if highest else y.asc(), F.col(key).asc(),
              F.col(period_col).asc_nulls_last(), F.col(amount).asc()]

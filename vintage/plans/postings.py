@@ -5,6 +5,7 @@ method returning a lazy DataFrame."""
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from vintage.operators.changes import code_agreement, code_changes, code_pairs,
 from vintage.operators.compare import release_value_counts
 from vintage.operators.coverage import coverage, coverage_pct, field_coverage_by_source
 from vintage.operators.distribution import (coverage_matrix, distribution, distribution_anchored,
-                                            distribution_matrix)
+                                            distribution_matrix, union_all)
 from vintage.operators.joins import lookup, norm_join
 from vintage.operators.labels import label_union
 from vintage.operators.salary import (direct_coverage, salary_buckets, salary_buckets_wide, salary_coverage,
@@ -238,10 +239,15 @@ class PostingsJob:
             field_coverage_by_source(industry, {"industry": F.col("naics2_name")}))
 
     # ------------------------------------------------------------ changes
+    @staticmethod
+    def _stored(source: Source, frame: DataFrame) -> Source:
+        """The source over another layout of its table."""
+        return replace(source, frame=lambda: frame)
+
     def _pairs(self) -> DataFrame:
-        old_scope = self.v1.scoped(Period.year(CHANGES_YEAR))
-        return code_pairs(old_scope.select("job_id", "onet_code"),
-                          self.fx.postings_v2().select("job_id", "onet_code"), "job_id", "onet_code")
+        return union_all([
+            code_pairs(self._stored(self.v1, part["postings_v1"]).scoped(Period.year(CHANGES_YEAR)).select("job_id", "onet_code"),
+                       part["postings_v2"], "job_id", "onet_code") for part in self.fx.family("by_job")])
 
     def code_changes_top(self) -> DataFrame:
         return code_changes(self._pairs(), 30)
@@ -254,9 +260,10 @@ class PostingsJob:
 
     def _classifier_pairs(self) -> DataFrame:
         """The classifier's output as the newer release, paired by description."""
-        old = self.v1.scoped(Period.year(CHANGES_YEAR)).select("desc_id", "onet_code")
-        new = self.fx.classifier().select("desc_id", F.col("top1_code").alias("onet_code"))
-        return code_pairs(old, new, "desc_id", "onet_code")
+        return union_all([
+            code_pairs(self._stored(self.v1, part["postings_v1"]).scoped(Period.year(CHANGES_YEAR)).select("desc_id", "onet_code"),
+                       part["classifier"].withColumnRenamed("top1_code", "onet_code"), "desc_id", "onet_code")
+            for part in self.fx.family("by_description")])
 
     def classifier_changes(self) -> DataFrame:
         return with_code_names(code_changes(self._classifier_pairs(), 30), self.lookup, "onet_code", "onet_name")
@@ -265,34 +272,41 @@ class PostingsJob:
         return code_agreement(self._classifier_pairs())
 
     # ------------------------------------------------------------- salary
-    def _salary_postings(self, period: Period | None, keep_soc2: bool = False) -> dict[str, DataFrame]:
+    @cached_property
+    def _salary(self) -> list[DataFrame]:
+        return [part["salary"] for part in self.fx.family("by_description")]
+
+    def _salary_postings(self, period: Period | None, keep_soc2: bool = False, everywhere: bool = False,
+                         names: tuple[str, ...] = ("v1", "v2")) -> dict[str, list[DataFrame]]:
+        """Parts of the releases' postings beside those of the salary table."""
         out = {}
         for s in (self.v1, self.v2):
-            df = s.scoped(period)
-            if keep_soc2:
-                df = self._soc2_prep(df)
-            out[s.name] = df
+            if s.name not in names:
+                continue
+            s = replace(s, country=None) if everywhere else s
+            parts = [self._stored(s, part[f"postings_{s.name}"]).scoped(period) for part in self.fx.family("by_description")]
+            out[s.name] = [self._soc2_prep(df) for df in parts] if keep_soc2 else parts
         return out
 
     def salary_stats(self) -> DataFrame:
-        return salary_stats(self._salary_postings(None), self.fx.salary())
+        return salary_stats(self._salary_postings(None), self._salary)
 
     def salary_stats_with_vendor(self) -> DataFrame:
         """The notebook's variant: the vendor's own ``salary_from`` beside
         the release's annualised side-table salaries."""
-        return salary_stats({"v1": self.v1.scoped(None)}, self.fx.salary(),
+        return salary_stats(self._salary_postings(None, names=("v1",)), self._salary,
                             direct={"ext": (self.fx.postings_ext(), "salary_from")})
 
     def salary_buckets(self) -> DataFrame:
-        return salary_buckets(self._salary_postings(Period.year(COMPARE_YEAR)), self.fx.salary())
+        return salary_buckets(self._salary_postings(Period.year(COMPARE_YEAR)), self._salary)
 
     def salary_median_by_group(self) -> DataFrame:
         return salary_median_by_group(self._salary_postings(Period.year(COMPARE_YEAR), True),
-                                      self.fx.salary(), "lu_soc2").withColumnRenamed("lu_soc2", "soc2")
+                                      self._salary, "lu_soc2").withColumnRenamed("lu_soc2", "soc2")
 
     def salary_buckets_with_vendor(self) -> DataFrame:
         p = Period.year(COMPARE_YEAR)
-        return salary_buckets_wide({"v1": self.v1.scoped(p)}, self.fx.salary(),
+        return salary_buckets_wide(self._salary_postings(p, names=("v1",)), self._salary,
                                    {"ext": (self.ext.scoped(p), "salary_from")})
 
     def salary_median_with_vendor(self) -> DataFrame:
@@ -300,25 +314,23 @@ class PostingsJob:
         release's annualised ones up to the sanity bound."""
         p = Period.year(COMPARE_YEAR)
         return salary_median_by_group(
-            {"v1": self._soc2_prep(self.v1.scoped(p))}, self.fx.salary(), "lu_soc2", cap=SALARY_CAP,
+            self._salary_postings(p, True, names=("v1",)), self._salary, "lu_soc2", cap=SALARY_CAP,
             direct={"ext": (self._soc2_prep(self.ext.scoped(p)), "salary_from")}).withColumnRenamed("lu_soc2", "soc2")
 
     def salary_coverage_with_vendor(self) -> DataFrame:
         p = Period.year(COMPARE_YEAR)
         vendor = {"US": p.apply(self.fx.postings_ext(), "posted"), "UK": p.apply(self.fx.postings_ext_uk(), "posted"),
                   "HK": p.apply(self.fx.postings_ext_global().filter(F.col("country") == "Hong Kong"), "posted")}
-        release = salary_coverage({"v1": p.apply(self.fx.postings_v1(), "post_date")}, self.fx.salary(),
+        release = salary_coverage(self._salary_postings(p, everywhere=True, names=("v1",)), self._salary,
                                   "country", COUNTRY_CODES)
         return direct_coverage("ext", vendor, "salary_from").unionByName(release)
 
     def salary_coverage(self) -> DataFrame:
         p = Period.year(COMPARE_YEAR)
-        frames = {n: p.apply(f(), "post_date")
-                  for n, f in (("v1", self.fx.postings_v1), ("v2", self.fx.postings_v2))}
-        return salary_coverage(frames, self.fx.salary(), "country", COUNTRY_CODES)
+        return salary_coverage(self._salary_postings(p, everywhere=True), self._salary, "country", COUNTRY_CODES)
 
     def salary_outliers(self, highest: bool) -> DataFrame:
-        return salary_outliers(self.v1.scoped(None), self.fx.salary(), 20, highest)
+        return salary_outliers(self._salary_postings(None, names=("v1",))["v1"], self._salary, 20, highest)
 
     # ----------------------------------------------------- releases, order
     @cached_property

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.sources import positions
+from vintage.sources.colocated import Parts, colocated
 from vintage.sources.staging import staged, staged_folder
 from vintage.sources.tables import Tables
 
@@ -38,6 +39,15 @@ STAGED = {
 }
 # Tables stored with positions of their ids (exact distinct counts).
 POSITIONED = {"postings_v1": "job_id", "postings_v2": "job_id", "postings_ext": "id"}
+# Tables stored side by side by the key that joins them (key, columns of each).
+FAMILIES = {
+    "by_job": ("job_id", {"postings_v1": ("job_id", "post_date", "country", "onet_code"),
+                          "postings_v2": ("job_id", "onet_code")}),
+    "by_description": ("desc_id", {"postings_v1": ("desc_id", "post_date", "country", "onet_code"),
+                                   "postings_v2": ("desc_id", "post_date", "country", "onet_code"),
+                                   "salary": ("desc_id", "salary_per", "parsed_salary_min"),
+                                   "classifier": ("desc_id", "top1_code")}),
+}
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -419,6 +429,14 @@ class Fixtures:
             r.naics_hierarchy().write.parquet(f"{path}/r3/hierarchy")
         return staged_folder(self.spark, self.root, "releases", make, _recipe_text())
 
+    def family(self, name: str) -> Parts:
+        """The parts of a family of ``FAMILIES``, a frame per member."""
+        key, columns = FAMILIES[name]
+        members = {m: lambda m=m, c=c: getattr(self, m)().select(*c) for m, c in columns.items()}
+        if not self.is_staged:
+            return [{m: build() for m, build in members.items()}]
+        return colocated(self.spark, self.root, name, key, members, _recipe_text())
+
     def __getattr__(self, name: str):
         if name.startswith("_") or name not in STAGED:
             raise AttributeError(name)
