@@ -348,6 +348,17 @@ def test_embedding_join_is_brute_force(spark, cell, monkeypatch):
     assert got == {i: (n[i], want[i]) for i in want}
 
 
+def test_embeddings_without_ids(spark):
+    """Rows without an id link, and are named by the smallest id they reach."""
+    rows = [(9, [1.0, 0.0], "x"), (None, [1.0, 0.01], "x"), (None, [1.0, 0.01], "x"), (None, [0.0, 1.0], "x"),
+            (None, [0.01, 1.0], "x"), (None, None, "x"), (4, [1.0, 0.02], "x"), (None, [1.0, 0.0], None), (2, [-1.0, 0.0], "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string").withColumn("NODE", F.lit(1)).withColumn("grp", F.lit("a"))
+    got = sorted([tuple(r) for r in embeddings.near_duplicates(df).collect()], key=str)
+    assert got == sorted([(9, 3, 4), (4, 3, 4), (None, 3, 4), (None, 3, 4), (None, 1, None), (None, 1, None),
+                          (None, 0, None), (None, 0, None), (2, 0, 2)], key=str)
+    assert embeddings.near_duplicates(df.limit(0)).count() == 0
+
+
 # ------------------------------------------------------------ substring dedup
 
 def test_gear_hash_depends_on_its_window_only():

@@ -23,7 +23,9 @@ pivots and the cells' radii are the only things that are broadcast.
 Defined results: vectors that are null, empty, zero or hold null or
 non-finite components, or whose label is null, link with nothing and are
 their own component; vectors of different length are not compared; rows of
-one id are one node; an empty table gives an empty result.
+one id are one node; an empty table gives an empty result. Rows without an
+id link like any other, and each is a vector of its own; as they have no name, their
+component is the smallest id that they reach, or null where none has one.
 """
 
 from __future__ import annotations
@@ -32,11 +34,12 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.llm import graph
-from vintage.llm.common import checkpointed
+from vintage.llm.common import checkpointed, ship
 
 #: Rows per pivot aimed at, pivots at most, rows of a block aimed at.
 CELL = 2048
@@ -51,21 +54,35 @@ def _unit(raw: list[bytes], kind: str) -> np.ndarray:
     return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
 
 
-def _packed(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
-    """(vec_id, grp, vec binary) of the vectors that can link."""
-    v = F.col("v")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
+def _columns(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    return vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"),
                           F.col(vec_col).alias("v"))
+
+
+def _linkable() -> Column:
+    v = F.col("v")
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = rows.filter(F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & fine)
+    return F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False))
+
+
+def _unlinkable(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    return _columns(vectors, id_col, vec_col, label_col).filter(~_linkable())
+
+
+def _packed(vectors: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
+    """(vec_id, grp, vec binary) of the vectors that can link."""
+    rows = _columns(vectors, id_col, vec_col, label_col).filter(_linkable())
 
     def run(batches):
         for batch in batches:
             column = batch.column(2)
             kind = np.float32 if pa.types.is_float32(column.type.value_type) else np.float64
             # 0.0 and -0.0 are equal
-            packed = [(np.array(x, kind) + kind(0)).tobytes() for x in column.to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["vec_id", "grp", "vec"])
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind) + kind(0)
+            ends = np.cumsum(pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)) * flat.itemsize
+            bounds = pa.array(np.concatenate([[0], ends]).astype(np.int32)).buffers()[1]
+            packed = pa.Array.from_buffers(pa.binary(), len(column), [None, bounds, pa.py_buffer(flat.tobytes())])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], names=["vec_id", "grp", "vec"])
 
     grp = F.concat_ws(":", F.size("v"), "label")
     return rows.select("vec_id", grp.alias("grp"), "v").mapInArrow(run, "vec_id long, grp string, vec binary")
@@ -106,15 +123,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     """(vec_id, n_links, component_id) of every row of ``vectors``."""
     spark = vectors.sparkSession
     sc = spark.sparkContext
+    ship(spark)
     radius = math.sqrt(2 - 2 * least)
     kind = "<f4" if "float" in dict(vectors.dtypes)[vec_col] else "<f8"
     rows = checkpointed(_packed(vectors, id_col, vec_col, label_col))
-    classes = checkpointed(rows.groupBy("grp", "vec").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n")))
+    # a class is named by a number of its own, fixed by the checkpoint: all its ids may be null
+    classes = checkpointed(rows.groupBy("grp", "vec").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("n"))
+                           .withColumn("node", F.monotonically_increasing_id()))
 
     sizes = classes.groupBy("grp").agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > CELL)
     total = classes.count()
     per = max(CELL, -(-total // MAX_PIVOTS))
-    draw = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) < F.lit(float(1 << 30) / per)
+    draw = F.pmod(F.xxhash64("vec"), F.lit(1 << 30)) < F.lit(float(1 << 30) / per)
     drawn: dict[str, list[bytes]] = {}
     # about one in ``per`` rows, so near MAX_PIVOTS in all
     for r in classes.filter(draw).join(sizes, "grp", "left_semi").select("grp", "vec").orderBy("grp", "vec").limit(2 * MAX_PIVOTS).collect():
@@ -254,13 +274,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     every = found.union(ring)
     counts = every.groupBy("node").agg(F.sum("links").alias("links"))
     parts = graph.components(every.select(F.col("node").alias("a"), F.col("to").alias("b")))
-    named = (classes.join(counts, "node", "left").join(parts, "node", "left")
-             .select("grp", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-                     F.coalesce("component", "node").alias("component_id")))
-    mine = rows.join(named, ["grp", "vec"]).groupBy("vec_id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    ids = vectors.select(F.col(id_col).cast("long").alias("vec_id"))
+    reached = classes.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    first = reached.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = (reached.join(counts, "node", "left").join(first, "component")
+             .select("grp", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"))
+    found = rows.join(named, ["grp", "vec"])
+    # rows without an id stay one by one; the others are one node an id
+    mine = (found.filter("vec_id is not null").groupBy("vec_id")
+            .agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id")))
+    alone = _unlinkable(vectors, id_col, vec_col, label_col)
+    nameless = found.filter("vec_id is null").select("vec_id", "n_links", "component_id").union(
+        alone.filter("vec_id is null").select("vec_id", F.lit(0).cast("long"), F.lit(None).cast("long")))
+    ids = vectors.select(F.col(id_col).cast("long").alias("vec_id")).filter("vec_id is not null")
     return ids.join(mine, "vec_id", "left").select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("component_id", "vec_id").alias("component_id")).union(nameless)
 
 
 def _merge(label: np.ndarray, rows: np.ndarray) -> None:

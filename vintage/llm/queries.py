@@ -60,9 +60,10 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links and component of every vector (equal labels, cosine 0.93)."""
+    """Links and component of every vector (equal labels, cosine 0.93); a row
+    without an id is kept where no row of its component has one."""
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
-    return found.select("*", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+    return found.select("*", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
