@@ -317,6 +317,18 @@ def test_near_duplicates_of_nothing(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_near_duplicates_without_ids(spark):
+    """Rows without an id link, and are named by the smallest id they reach."""
+    word = lambda seed: [f"w{seed}x{i}" for i in range(61)]
+    near = lambda seed: " ".join([*word(seed)[:-1], "other"])
+    rows = [(8, " ".join(word(1)), 0), (None, near(1), 0), (3, " ".join(word(2)), 0), (None, " ".join(word(3)), 0), (None, near(3), 0),
+            (None, " ".join(word(2)), 0), (None, " ".join(word(2)), 0), (None, None, 0), (None, "", 0), (5, " ".join(word(5)), 0), (None, " ".join(word(6)), 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, NODE int")
+    got = sorted([tuple(r) for r in minhash.near_duplicates(df).collect()], key=str)
+    assert got == sorted([(8, 60, 8), (None, 60, 8), (3, 60, 3), (None, 60, None), (None, 60, None), (None, 60, 3), (None, 60, 3),
+                          (None, 0, None), (None, 0, None), (5, 60, 5), (None, 60, None)], key=str)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 180)] + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)] + [(5, 5)]

@@ -23,7 +23,11 @@ the others are confirmed on the full shingle sets of their texts.
 Defined results: null text and text without words have an empty set, link
 with nothing and are their own component; rows with the same id are one
 node; equal sets are linked; an empty table gives an empty result; fewer
-words than a shingle make the whole sequence the only shingle.
+words than a shingle make the whole sequence the only shingle. Rows without an
+id link like any other and are named inside by a 64-bit hash of their text (so equal
+texts are one node; a hash equal to another row's name would merge two
+nodes, at a thousand million such rows with a chance of 3 in 100); as they have no id, their component is the
+smallest id that they reach, or null where none has one.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.llm import graph
-from vintage.llm.common import dropped, written
+from vintage.llm.common import dropped, ship, written
 from vintage.llm.textbatch import U, grams, hashed, mix, prefix, slices, spans
 
 CHUNKS, SYMBOLS, BITS, ERRORS = 8, 5, 12, 1
@@ -83,11 +87,12 @@ _SIG = [f"c{i}" for i in range(CHUNKS)]
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2) -> DataFrame:
-    """(doc_id, n_shingles, d1, d2, c0..c7): set size, two digests of the set
-    (null when it is empty) and the signature's chunks."""
+    """(doc_id, name, n_shingles, d1, d2, c0..c7): the id and what stands for it
+    inside, set size, two digests of the set (null when it is empty) and the
+    signature's chunks."""
     def run(batches):
         for batch in batches:
-            column = batch.column(1)
+            column = batch.column(2)
             if not len(column):
                 continue
             n = np.zeros(len(column), np.int64)
@@ -99,11 +104,16 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     out[2:, r] = _signature(s)
             empty = n == 0
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), *[pa.array(x.view(np.int64), mask=empty) for x in out]],
-                names=["doc_id", "n_shingles", "d1", "d2", *_SIG])
+                [batch.column(0), batch.column(1), pa.array(n), *[pa.array(x.view(np.int64), mask=empty) for x in out]],
+                names=["doc_id", "name", "n_shingles", "d1", "d2", *_SIG])
 
-    schema = "doc_id long, n_shingles long, " + ", ".join(f"{c} long" for c in ("d1", "d2", *_SIG))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    schema = "doc_id long, name long, n_shingles long, " + ", ".join(f"{c} long" for c in ("d1", "d2", *_SIG))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), _name(id_col, text_col).alias("name"),
+                       F.col(text_col).alias("text")).mapInArrow(run, schema)
+
+
+def _name(id_col: str, text_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col))
 
 
 def _keys(classes: DataFrame) -> DataFrame:
@@ -233,10 +243,11 @@ def _compared(x: tuple, y: tuple, slot: int, percent: int) -> list[tuple[int, in
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2,
                     percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    ship(docs.sparkSession)
     rows = written(signatures(docs, id_col, text_col, shingle))
     classes = written(rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
-        F.min("doc_id").alias("node"), F.max("n_shingles").alias("n_shingles"), *[F.max(c).alias(c) for c in _SIG]))
-    texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).alias("text"))
+        F.min("doc_id").alias("id"), F.min("name").alias("node"), F.max("n_shingles").alias("n_shingles"), *[F.max(c).alias(c) for c in _SIG]))
+    texts = docs.select(_name(id_col, text_col).alias("node"), F.col(text_col).alias("text"))
     shared = (_keys(classes).groupBy("slot", "value").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_met"))
               .filter("lo < hi").select("slot", "value", "n_met"))
     pairs_met = written(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "n_met"))
@@ -268,7 +279,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     whole = graph.components(links.union(confirm(late, _needed(texts, late), shingle, percent)).union(crowd))
     dropped(links, late, loose)
 
-    named = classes.join(whole, "node", "left").select("d1", "d2", F.coalesce("component", "node").alias("component_id"))
+    reached = classes.join(whole, "node", "left").select("d1", "d2", "id", F.coalesce("component", "node").alias("component"))
+    first = reached.groupBy("component").agg(F.min("id").alias("component_id"))
+    named = reached.join(first, "component").select("d1", "d2", "component_id")
     return rows.join(named, ["d1", "d2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 

@@ -67,9 +67,10 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Near-duplicate component of every document (two-word shingles, 0.8)."""
+    """Near-duplicate component of every document (two-word shingles, 0.8); a
+    row without an id is kept where no row of its component has one."""
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
-    return found.select("*", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("*", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
