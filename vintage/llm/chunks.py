@@ -2,51 +2,61 @@
 
 A gear rolling hash runs over the bytes of a text (each step shifts the
 hash by one bit and adds the table entry of the byte, so it depends on the
-last ``WINDOW`` bytes only); a chunk ends after white space where the hash
-falls below ``1 / MEAN_WORDS`` of its range. Cuts depend on what stands
-around them and not on where, so an insertion moves later chunks without
-changing them, and a passage that two texts share is cut alike in both.
-
-At every chunk's start the next ``GRAM`` words, whatever the cuts in them,
-make an anchor. Anchors are compared by digest over the whole table: counts
-per digest are aggregated before the shuffle, so an anchor in a third of all
-documents is one row per task; the digests that occur more than once are
-joined back to their places. Each place is then paired with the first one of
-its digest (smallest document, then position), and the two texts are
-compared word by word to both sides, white space included, up to the real
-limits of what they share. So a passage is one stretch of one other place,
-ends at whole words, and does not depend on where its anchors lie; one of at
-least ``LEAST_WORDS`` words is a repeated passage. A passage is missed only
-if no anchor of it has its first place where the passage itself is met: with
-51 words that no chunk starts far enough from its end has a chance of about
-1 in 100,000.
+last ``WINDOW`` bytes only); a chunk ends at the word whose hash is smallest
+among the ``REACH`` words before it and after it. So chunks have more than
+``REACH`` words (but at a text's limits), 7 on average, and cuts depend on
+what stands around them and not on where: an insertion moves later chunks
+without changing them, and a passage that two texts share is cut alike in
+both, but for its first and last words.
+
+Chunks are deduplicated by digest (two of 64 bits). One aggregation over the
+table, combined before the shuffle, gives every digest that occurs more than
+once its number of places, its first place (smallest document, text, number)
+and its last. Neighbouring chunks that all occur elsewhere are a run; a run
+ends where first places begin or end. At both ends a run then grows word by
+word into the chunk that is cut differently, as far as the ``EDGE`` words
+there equal those at the first or at the last place of its outermost chunk.
+Only these few hashes of words are compared; of the texts, those with runs
+or places move once. A run of at least ``LEAST_WORDS`` words is a repeated
+passage. In 51 words, fewer than two cuts are rarer than 1 in 100,000.
+
+No digest is gathered in one task: the digests with a thousandth or more of
+all repeated places, at most 1,000, are joined in ``SALTS`` parts, and the
+places that many runs are compared with are dealt to them in parts.
 
 Defined results: null text is an empty text and has no chunks; repeats
 inside one document count as well; rows with the same id are one document
-whose texts are numbered by content; of identical rows (same id and text)
-one is the first and each other one a copy of it as a whole; an empty table
-gives an empty result; chunks may be long (a text without white space is one
-chunk).
+whose texts are numbered by content; rows without an id are documents after
+all others, named by their text, and have a null ``doc_id`` (also as
+``first_doc_id``; the largest long as an id reads as null too); of identical
+rows (same id and text) one is the first and each other one a copy of it; an
+empty table gives an empty result; chunks may be long (a text without white
+space is one chunk). White space counts inside a chunk, not between chunks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintage.llm.common import checkpointed
-from vintage.llm.textbatch import PLAIN, SPACE, hashed, prefix, slices, spans
+from vintage.llm.common import ship, written
+from vintage.llm.textbatch import PLAIN, hashed, prefix, slices, spans
 
 WINDOW = 16
-MEAN_WORDS = 4
-GRAM = 8
+REACH = 3
+EDGE = 32
 LEAST_WORDS = 15
-#: A text that others repeat goes to the pairs in at most so many parts.
-PARTS = 64
+#: Parts of a hot digest, and runs that one copy of a place is compared with.
+SALTS = 64
+RUNS = 2000
 
 _GEAR = np.random.default_rng(20_240_611).integers(0, 1 << 16, 256, dtype=np.uint16)
+#: Any other one-to-one map of bytes: its hash is the second digest.
+_OTHER = np.random.default_rng(20_240_612).permutation(256).astype(np.uint8)
+#: Order of documents without an id.
+_LAST = (1 << 63) - 1
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -60,193 +70,181 @@ def rolling(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Ends of the chunks of all rows, ascending; every row's end is one."""
+def closing(data: np.ndarray, bounds: np.ndarray, end: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Whether a chunk ends with the word; words by their ``end`` and ``row``."""
     h = rolling(data)
     # the first bytes of a row must not depend on the row before
     for b in bounds[1:-1]:
         part = data[b:b + WINDOW]
         h[b:b + len(part)] = rolling(part)
-    inside = np.flatnonzero(SPACE[data] & (h < (1 << 16) // MEAN_WORDS)) + 1
-    return np.union1d(inside, bounds[1:])
+    value, n = h[end - 1], len(end)
+    out = np.ones(n, bool)
+    for k in range(1, min(REACH, n - 1) + 1):
+        apart = row[k:] != row[:-k]
+        out[k:] &= apart | (value[k:] < value[:-k])
+        out[:-k] &= apart | (value[:-k] <= value[k:])
+    out[:-1] |= row[1:] != row[:-1]
+    out[-1:] = True
+    return out
+
+
+def _cut(column: pa.Array):
+    """Per slice: (first row, words as (start, end, row), first and last word
+    of every chunk, number of the chunk in its row, prefix sums, bytes, code
+    point of every byte in its row, bounds)."""
+    for first, data, bounds in slices(column):
+        start, end, row = spans(data, bounds)
+        if not len(start):
+            continue
+        last = np.flatnonzero(closing(data, bounds, end, row))
+        begin = np.concatenate([[0], last[:-1] + 1])
+        of = row[begin]
+        number = np.arange(len(of)) - np.searchsorted(of, of)
+        points = np.arange(len(data) + 1) if data.max() < 128 else np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        yield first, (start, end, row), (begin, last), number, prefix(data, PLAIN), data, points, bounds
 
 
 def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_id, chunk, start, end, n_words, digest): the chunks of
-    every text that have words; start and end in code points."""
+    """(doc_id, text_id, chunk, start, end, n_words, digest, check): the chunks
+    of every text that has words; start and end in code points."""
     def run(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            text_ids = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, data, bounds in slices(batch.column(2)):
-                if not len(data):
-                    continue
-                end = cuts(data, bounds)
-                start = np.concatenate([[0], end[:-1]])
-                keep = end > start
-                start, end = start[keep], end[keep]
-                row = np.searchsorted(bounds, start, "right") - 1
-                word_start = spans(data, bounds)[0]
-                words = np.searchsorted(word_start, end) - np.searchsorted(word_start, start)
-                digest = hashed(prefix(data, PLAIN), start, end)
-                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                base = points[bounds[row]]
-                number = np.arange(len(row)) - np.searchsorted(row, row)
-                keep = words > 0
+            for first, (start, end, row), (begin, last), number, sums, data, points, bounds in _cut(batch.column(2)):
+                a, b, of = start[begin], end[last], row[begin]
+                base, rows = points[bounds[of]], pa.array(first + of)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[first + row][keep]), pa.array(text_ids[first + row][keep]), pa.array(number[keep].astype(np.int32)),
-                     pa.array((points[start] - base)[keep].astype(np.int32)), pa.array((points[end] - base)[keep].astype(np.int32)),
-                     pa.array(words[keep].astype(np.int32)), pa.array(digest.view(np.int64)[keep])],
-                    names=["doc_id", "text_id", "chunk", "start", "end", "n_words", "digest"])
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(number.astype(np.int32)),
+                     pa.array((points[a] - base).astype(np.int32)), pa.array((points[b] - base).astype(np.int32)),
+                     pa.array((last - begin + 1).astype(np.int32)), pa.array(hashed(sums, a, b).view(np.int64)),
+                     pa.array(hashed(prefix(data, _OTHER), a, b).view(np.int64))],
+                    names=["doc_id", "text_id", "chunk", "start", "end", "n_words", "digest", "check"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, text_id long, chunk int, start int, end int, n_words int, digest long")
+    return _texts(docs, id_col, text_col).select("doc_id", "text_id", "text").mapInArrow(
+        run, "doc_id long, text_id long, chunk int, start int, end int, n_words int, digest long, check long")
 
 
-def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_id, word, digest): the number of the first word and the
-    digest of the ``GRAM`` words from every chunk's start that has as many."""
-    def run(batches):
-        for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            text_ids = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, data, bounds in slices(batch.column(2)):
-                if not len(data):
-                    continue
-                start, end, row = spans(data, bounds)
-                at = np.unique(np.searchsorted(start, np.concatenate([bounds[:-1], cuts(data, bounds)])))
-                at = at[at + GRAM <= len(start)]
-                at = at[row[at] == row[at + GRAM - 1]]
-                digest = hashed(prefix(data, PLAIN), start[at], end[at + GRAM - 1])
-                word = at - np.searchsorted(row, row[at])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[first + row[at]]), pa.array(text_ids[first + row[at]]), pa.array(word.astype(np.int32)),
-                     pa.array(digest.view(np.int64))], names=["doc_id", "text_id", "word", "digest"])
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_id"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, text_id long, word int, digest long")
 
+def _order() -> Column:
+    return F.coalesce("doc_id", F.lit(_LAST)).alias("o")
+
+
+def _around(rows: DataFrame) -> DataFrame:
+    """Of the ``wanted`` stretches (c0, c1) of chunks of every (o, t, text):
+    limits in code points, number of the first word, words, and the hashes of up to ``EDGE`` words
+    before and after, nearest first, with the code points where they begin
+    and end."""
+    def lists(parts, kind):
+        cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(cut), pa.array(np.concatenate(parts).astype(kind)))
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_id"), F.col(text_col).alias("text"))
-    return rows.filter(F.col("doc_id").isNotNull())
-
-
-def shared_stretches(x: tuple, y: tuple, seeds: list[tuple[int, int]], least: int) -> list[tuple[int, int, int, int]]:
-    """(from, to, from, to): stretches of at least ``least`` words that two
-    texts share around the ``seeds`` (word of x, word of y). A text is the
-    hashes of its words with and without the white space after them."""
-    (xs, xw), (ys, yw) = x, y
-    out: list[tuple[int, int, int, int]] = []
-    for i, j in sorted(seeds):
-        have = next((r for r in reversed(out) if r[0] <= i and i + GRAM <= r[1]), None)
-        if have is not None:
-            a, b, shift = have[0], have[1], i - j
-            # inside a known stretch: go on only if this seed may reach beyond it
-            right = b < len(xs) and 0 <= b - shift < len(ys) and xw[b] == yw[b - shift]
-            left = a > 0 and a - 1 - shift >= 0 and xs[a - 1] == ys[a - 1 - shift]
-            if have[0] - have[2] == shift or not (left or right):
-                continue
-        n = min(len(xs) - i, len(ys) - j)
-        # the last word's white space does not count
-        apart = np.flatnonzero(xs[i:i + n] != ys[j:j + n])
-        to = int(apart[0]) if len(apart) else n
-        to += to < n and xw[i + to] == yw[j + to]
-        m = min(i, j)
-        apart = np.flatnonzero(xs[i - m:i] != ys[j - m:j])
-        back = m - 1 - int(apart[-1]) if len(apart) else m
-        if to >= GRAM:
-            out.append((i - back, i + to, j - back, j + to))
-    return sorted({r for r in out if r[1] - r[0] >= least})
-
-
-def _words(column: pa.Array):
-    """(hashes with, hashes without white space, starts, ends in code points)
-    of the words of every row, in order."""
-    for _, data, bounds in slices(column):
-        start, end, row = spans(data, bounds)
-        sums = prefix(data, PLAIN)
-        cut = np.searchsorted(row, np.arange(len(bounds)))
-        upto = np.append(start[1:], len(data))[:len(start)]
-        upto[cut[1:][cut[1:] > cut[:-1]] - 1] = bounds[1:][cut[1:] > cut[:-1]]
-        spaced, plain = hashed(sums, start, upto), hashed(sums, start, end)
-        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-        for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-            base = points[bounds[r]]
-            yield spaced[a:b], plain[a:b], points[start[a:b]] - base, points[end[a:b]] - base
-
-
-def _compared(rows: DataFrame, least: int) -> DataFrame:
-    """Both sides of every stretch that a text shares with its first place,
-    and the whole of texts that have identical rows (``copies``). ``rows``
-    come by place and part, in order of ``role``: the place's own text, the
-    texts that are compared with it, the texts with copies."""
     def run(batches):
-        place, home = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            names = ("first_doc_id", "first_text_id", "role", "doc_id", "text_id", "copies")
-            ids, out = zip(*[batch.column(n).to_pylist() for n in names]), []
-            for (fd, ft, role, d, t, copies), seeds, x in zip(ids, batch.column("seeds"), _words(batch.column("text"))):
-                if role == 0:
-                    place, home = (fd, ft), x
-                elif role == 1:
-                    if place != (fd, ft):
-                        raise RuntimeError(f"no text of the first place {fd}")
-                    seeds = [(s["word"], s["first_word"], s["n_places"]) for s in seeds.as_py()]
-                    for a, b, c, e in shared_stretches(x[:2], home[:2], [s[:2] for s in seeds], least):
-                        inside = [n for i, j, n in seeds if a <= i and i + GRAM <= b and i - j == a - c]
-                        about = (b - a, len(inside), fd, max(inside))
-                        out.append((d, t, int(x[2][a]), int(x[3][b - 1]), *about, True, 1))
-                        out.append((fd, ft, int(home[2][c]), int(home[3][e - 1]), *about, False, 1))
-                elif len(x[0]) >= least:
-                    out.append((d, t, int(x[2][0]), int(x[3][-1]), len(x[0]), 1, d, copies, False, copies))
-            yield pa.RecordBatch.from_pylist([dict(zip(fields, r)) for r in out], schema)
-
-    fields = ["doc_id", "text_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "n_places", "removable", "copies"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-    schema = pa.schema(list(zip(fields, kinds)))
-    return rows.mapInArrow(run, "doc_id long, text_id long, start int, end int, n_words long, n_chunks long, first_doc_id long, "
-                                "n_places long, removable boolean, copies long")
+            wanted = batch.column(3)
+            cut = wanted.offsets.to_numpy()
+            c0, c1 = (wanted.values.field(i).to_numpy() for i in (0, 1))
+            for first, (start, end, row), (begin, last), _, sums, _, points, bounds in _cut(batch.column(2)):
+                of, words = row[begin], hashed(sums, start, end).astype(np.uint32).view(np.int32)
+                for r in np.unique(of):
+                    at, base = np.searchsorted(of, r), points[bounds[r]]
+                    low, high = np.searchsorted(row, [r, r + 1])
+                    k = slice(cut[first + r], cut[first + r + 1])
+                    a, b = begin[at + c0[k]], last[at + c1[k]] + 1
+                    if not len(a):
+                        continue
+                    before = [np.arange(x - 1, max(low, x - EDGE) - 1, -1) for x in a]
+                    after = [np.arange(x, min(high, x + EDGE)) for x in b]
+                    whose = pa.array(np.full(len(a), first + r))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(whose), batch.column(1).take(whose), pa.array(c0[k]), pa.array(c1[k]),
+                         pa.array((points[start[a]] - base).astype(np.int32)), pa.array((points[end[b - 1]] - base).astype(np.int32)),
+                         pa.array(a - low), pa.array((b - a).astype(np.int64)), lists([words[x] for x in before], np.int32), lists([words[x] for x in after], np.int32),
+                         lists([points[start[x]] - base for x in before], np.int32), lists([points[end[x]] - base for x in after], np.int32)],
+                        names=["o", "t", "c0", "c1", "start", "end", "word", "n_words", "before", "after", "starts", "ends"])
+
+    return rows.select("o", "t", "text", "wanted").mapInArrow(
+        run, "o long, t long, c0 int, c1 int, start int, end int, word long, n_words long, before array<int>, after array<int>, "
+             "starts array<int>, ends array<int>")
+
+
+def _runs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(o, t, c0, c1, n_chunks, n_places, first, head, tail, own): stretches of
+    neighbouring chunks that occur more than once; ``head`` and ``tail`` have
+    the places of the outermost chunks, ``own`` says that the stretch is the
+    first place of its chunks."""
+    found = chunked(docs, id_col, text_col).select(_order(), F.col("text_id").alias("t"), F.col("chunk").alias("c"), "digest", "check")
+    place, both = F.struct("o", "t", "c"), ["digest", "check"]
+    shared = written(found.groupBy(*both).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("lo"), F.max(place).alias("hi")).filter("n > 1"))
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    # each has a thousandth of all repeated places, so there are at most 1,000
+    hot = F.broadcast(shared.filter(F.col("n") * 1000 > total).filter(F.col("n") > SALTS * RUNS // 100).select(*both, F.lit(True).alias("hot")))
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("o", "t", "c"), F.lit(SALTS)).cast("int")).otherwise(0)
+    placed = (found.join(hot, both, "left").withColumn("salt", salt).drop("hot")
+              .join(shared.join(hot, both, "left").withColumn("salt", F.explode(parts)).drop("hot"), [*both, "salt"]))
+    # identical rows hold the same places: merged before they move
+    placed = placed.groupBy("o", "t", "c").agg(F.min("n").alias("n"), F.min("lo").alias("lo"), F.min("hi").alias("hi"))
+    placed = placed.withColumn("own", F.col("lo") == place)
+    order = Window.partitionBy("o", "t", "own").orderBy("c")
+    edge = F.struct("lo", "hi", "n")
+    return placed.withColumn("island", F.col("c") - F.row_number().over(order)).groupBy("o", "t", "own", "island").agg(
+        F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("n_chunks"), F.max("n").alias("n_places"),
+        F.mode("lo.o", True).alias("first"), F.min_by(edge, "c").alias("head"), F.max_by(edge, "c").alias("tail"))
+
+
+def _grown(runs: DataFrame, around: DataFrame) -> DataFrame:
+    """(o, t, c0, c1, side, words): by how many words a run grows at a side."""
+    def edges(side: str, at: str, words: str) -> DataFrame:
+        return runs.filter(F.size(words) > 0).select("o", "t", "c0", "c1", F.lit(side).alias("side"), F.col(words).alias("x"), F.col(f"{at}.n").alias("n"), F.explode(
+            F.array_distinct(F.array(f"{at}.lo", f"{at}.hi"))).alias("p"), F.struct("o", "t", F.col("c0" if at == "head" else "c1").alias("c")).alias("me")
+        ).filter("p <> me").drop("me")
+
+    many = edges("before", "head", "before").union(edges("after", "tail", "after")).withColumn(
+        "salt", F.pmod(F.xxhash64("o", "t", "c0"), F.ceil(F.col("n") / RUNS)).cast("int"))
+    places = many.groupBy("p", "side").agg(F.max("n").alias("n")).select(
+        F.col("p.o").alias("o"), F.col("p.t").alias("t"), F.col("p.c").alias("c0"), F.col("p.c").alias("c1"), "p", "side", "n")
+    held = places.join(around, ["o", "t", "c0", "c1"]).select("p", "side", F.when(F.col("side") == "before", F.col("before")).otherwise(F.col("after")).alias("y"), F.explode(
+        F.sequence(F.lit(0), F.ceil(F.col("n") / RUNS).cast("int") - 1)).alias("salt"))
+    apart = F.array_position(F.zip_with("x", "y", lambda a, b: F.coalesce(a == b, F.lit(False))), False)
+    words = F.when(apart == 0, F.size("x")).otherwise(apart - 1)
+    return many.join(held, ["p", "side", "salt"]).groupBy("o", "t", "c0", "c1", "side").agg(F.max(words).cast("int").alias("words"))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, start, end, n_words, n_chunks, first_doc_id, n_places, removable):
-    the repeated passages of every document, each with the place that it
-    repeats and up to the limits of what both share. ``first_doc_id`` is the
-    document of that place, ``n_chunks`` the anchors in it, ``n_places`` the
-    most places of one of them; ``removable`` is false for the place itself,
-    unless that lies within a copy of an earlier one. Equal limits are listed
-    once, with the smallest ``first_doc_id``."""
-    found = anchors(docs, id_col, text_col)
-    place = F.struct("doc_id", "text_id", "word")
-    # only counts go over the whole table; first places are taken among the few that repeat
-    shared = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n_places")).filter("n_places > 1")
-    placed = found.join(shared, "digest").withColumn("first", F.min(place).over(Window.partitionBy("digest")))
-    seed = F.struct("word", F.col("first.word").alias("first_word"), "n_places")
-    hits = placed.filter(place != F.col("first")).select(
-        "doc_id", "text_id", F.col("first.doc_id").alias("first_doc_id"), F.col("first.text_id").alias("first_text_id"), seed.alias("seed"))
-    side, first = ["doc_id", "text_id"], ["first_doc_id", "first_text_id"]
-    part = F.pmod(F.xxhash64(*side), F.lit(PARTS)).cast("int").alias("part")
-    pairs = checkpointed(hits.groupBy(*side, *first).agg(F.collect_set("seed").alias("seeds")).select("*", part))
-
-    # every text goes where it is compared; a place that many texts repeat is dealt to them in parts
-    rows = _texts(docs, id_col, text_col)
-    none = F.lit(None).cast(pairs.schema["seeds"].dataType).alias("seeds")
-    one, same = F.lit(1).cast("long").alias("copies"), [F.col("doc_id").alias("first_doc_id"), F.col("text_id").alias("first_text_id")]
-    places = pairs.select(*first, "part").distinct().select(
-        F.col("first_doc_id").alias("doc_id"), F.col("first_text_id").alias("text_id"), *first, "part", F.lit(0).alias("role"), none, one)
-    many = rows.groupBy(*side).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-    needed = places.union(pairs.select(*side, *first, "part", F.lit(1).alias("role"), "seeds", one)).union(
-        many.select(*side, *same, F.lit(-1).alias("part"), F.lit(2).alias("role"), none, "copies"))
-    dealt = needed.join(rows, side).repartition(*first, "part").sortWithinPartitions(*first, "part", "role")
-    runs = _compared(dealt, least_words).groupBy(*side, "start", "end", "n_words", "removable", "copies").agg(
-        F.min("first_doc_id").alias("first_doc_id"), F.max("n_chunks").alias("n_chunks"), F.max("n_places").alias("n_places"))
-    # a place that lies within a copy of an earlier one can go with it
-    before = Window.partitionBy(*side).orderBy("start", F.col("end").desc(), F.col("removable").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    runs = runs.withColumn("gone", F.max(F.when(F.col("removable"), F.col("end"))).over(before)).filter(
-        F.col("removable") | (F.col("copies") > 1) | F.col("gone").isNull() | (F.col("gone") < F.col("end")))
+    the repeated passages of every document. ``first_doc_id`` is the first
+    document of most of its chunks, ``n_chunks`` the whole chunks in it,
+    ``n_places`` the most places of one of them; ``removable`` is false for the first place itself."""
+    ship(docs.sparkSession)
+    runs = written(_runs(docs, id_col, text_col))
+    # the runs and the places that their ends are compared with, once per text
+    stretch = lambda c0, c1: F.struct(F.col(c0).alias("c0"), F.col(c1).alias("c1")).alias("s")
+    wanted = runs.select("o", "t", stretch("c0", "c1"))
+    for p in ("head.lo", "head.hi", "tail.lo", "tail.hi"):
+        wanted = wanted.union(runs.select(f"{p}.o", f"{p}.t", stretch(f"{p}.c", f"{p}.c")))
+    texts = _texts(docs, id_col, text_col).select(_order(), F.col("text_id").alias("t"), "text")
+    wanted = wanted.groupBy("o", "t").agg(F.collect_set("s").alias("wanted"))
+    around = written(_around(texts.join(wanted, ["o", "t"])).dropDuplicates(["o", "t", "c0", "c1"]))
+    key = ["o", "t", "c0", "c1"]
+    whole = runs.join(around, key)
+    grown = _grown(whole, around).groupBy(*key).agg(*[F.max(F.when(F.col("side") == s, F.col("words"))).alias(f"n_{s}") for s in ("before", "after")])
+    copies = texts.groupBy("o", "t").agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    n, m = (F.coalesce(f"n_{s}", F.lit(0)) for s in ("before", "after"))
+    limits = whole.join(grown, key, "left").select(
+        "o", "t", F.when(n > 0, F.get("starts", n - 1)).otherwise(F.col("start")).alias("start"), F.when(m > 0, F.get("ends", m - 1)).otherwise(F.col("end")).alias("end"),
+        (F.col("n_words") + n + m).alias("n_words"), "n_chunks", "first", "n_places", "own",
+        (F.col("word") - n).alias("w0"), (F.col("word") + F.col("n_words") + m).alias("w1")).filter(F.col("n_words") >= least_words)
+    # a first place goes with the copies of earlier ones that it lies in, unless enough words are left between them
+    so_far = lambda *by: Window.partitionBy("o", "t").orderBy(*by).rowsBetween(Window.unboundedPreceding, 0)
+    copied = lambda c: F.when(~F.col("own"), F.col(c))
+    out = limits.withColumn("low", F.max(copied("w1")).over(so_far("w0", "own"))).withColumn("high", F.min(copied("w0")).over(so_far(F.col("w1").desc(), "own")))
+    out = out.filter(~F.col("own") | (F.coalesce(F.least("w1", "high"), "w1") - F.coalesce(F.greatest("w0", "low"), "w0") >= least_words))
     # of identical rows the first keeps its text
-    runs = runs.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return runs.select("doc_id", "start", "end", "n_words", "n_chunks", "first_doc_id", "n_places",
-                       (F.col("removable") | (F.col("copy") > 1)).alias("removable"))
+    out = out.join(copies, ["o", "t"], "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1).cast("long")))))
+    named = lambda c: F.when(F.col(c) != _LAST, F.col(c))
+    return out.select(
+        named("o").alias("doc_id"), "start", "end", "n_words", "n_chunks", named("first").alias("first_doc_id"), "n_places",
+        (~F.col("own") | (F.col("copy") > 1)).alias("removable"))
