@@ -3,7 +3,8 @@
 A page is read into its leaf blocks: stretches of text between block-level
 tags, each with the path of open elements (tags, classes, ids). A block
 becomes a vector of hashed path tokens, hashed words and a few numbers
-(length, share of link text, signs at the end, place in the page). A
+(length, share of link text, signs at the end, place in the page, share of
+the page's text that its container holds, known names in its path). A
 bidirectional LSTM reads the page's blocks in both directions, so every
 block is judged in the light of the whole document, and labels each as main
 text or not. Network and training are plain numpy.
@@ -12,9 +13,14 @@ Training needs no hand labels: a bounded sample of ``TRAIN_PAGES`` pages (a
 parameter; smallest hash of the page id) is labelled by the meaning of its
 elements (article and main against nav, header, footer, aside, form and
 containers named after such things), and varied: main text moves into
-containers with other usual names or without a name, and blocks from
-elsewhere are put in as menus, sidebars, notices, adverts, forms and reader
-comments. So names, text form and neighbourhood are all learnt.
+containers with usual, strange or no names, and blocks from elsewhere are
+put in as menus, sidebars, notices, adverts, forms and reader comments, also
+under strange names; in half of the pages letters are exchanged. So names,
+text form and neighbourhood are all learnt, and none is needed.
+
+Reading is linear: a comment, tag or quoted value that is never closed takes
+the rest of the page, as in browsers. Of paths deeper than 32 elements the 8
+outermost and 24 innermost count.
 
 Both training and extraction are Arrow map stages; extraction has no
 shuffle, and texts are never cut.
@@ -28,7 +34,9 @@ from __future__ import annotations
 
 import random
 import re
-from html.parser import HTMLParser
+from collections import Counter
+from functools import lru_cache
+from html import unescape
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +48,10 @@ from vintage.llm.textbatch import PUNCT, U, hashed, prefix, slices, spans
 
 TRAIN_PAGES = 400
 EPOCHS = 6
+#: Varied forms of every training page.
+VARIED = 4
 HIDDEN = 16
-PATH_DIM, WORD_DIM = 48, 16
+PATH_DIM, WORD_DIM = 48, 256
 #: Pages whose recurrences run together.
 TOGETHER = 64
 
@@ -73,91 +83,162 @@ _OTHER_TAGS = frozenset("nav header footer aside form title head menu button".sp
 _NAME = re.compile(r"[A-Za-z]+")
 
 
-class _Blocks(HTMLParser):
-    """Leaf blocks as (path, text, characters of link text)."""
+#: A tag's or an attribute's name, and the raw content's end of the elements whose content is no markup.
+_TAG = re.compile(r"[A-Za-z][^\s/>]*+")
+_BETWEEN = re.compile(r"[\s/]*+")
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+)?+")
+_PLAIN = re.compile(r"[^\s>]*+")
+_SHORT = re.compile("-?>")
+_RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in ("script", "style")}
+#: Elements of a path that count: so many outermost and innermost ones.
+OUTER, INNER = 8, 24
+
+
+class _Blocks:
+    """Leaf blocks as (path, text, characters of link text), in one pass: a
+    comment, tag or quoted value that nothing closes takes the rest of the
+    page, as in browsers, so no position is read twice."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, str]] = []
+        self.count: Counter = Counter()
+        self.nearest: list[int] = []
         self.blocks: list[tuple[str, str, int]] = []
         self.text: list[str] = []
-        self.linked = self.silent = self.links = 0
+        self.linked = self.silent = 0
 
-    def _end_block(self):
+    def end_block(self):
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                self.blocks.append((" ".join(t for _, t in self.open), text, self.linked))
+                path = self.open if len(self.open) <= OUTER + INNER else self.open[:OUTER] + self.open[-INNER:]
+                self.blocks.append((" ".join(t for _, t in path), text, self.linked))
             self.text, self.linked = [], 0
 
-    def _close(self, at: int):
-        for tag, _ in self.open[at:]:
-            self.links -= tag == "a"
+    def close(self, at: int):
+        while len(self.open) > at:
+            tag, _ = self.open.pop()
+            self.count[tag] -= 1
             self.silent -= tag in SILENT
-        del self.open[at:]
+            if self.nearest and self.nearest[-1] == len(self.open):
+                self.nearest.pop()
 
-    def handle_starttag(self, tag, attrs):
+    def begin(self, tag: str, attributes: list[tuple[str, str]]):
         if tag == "br":
             self.text.append(" ")
         if tag in BLOCKS:
-            self._end_block()
+            self.end_block()
             # a paragraph ends where the next block begins, an item where the next one does
-            for same in (("p",), ("li",)) if tag == "li" else (("p",),):
-                for at in range(len(self.open) - 1, -1, -1):
-                    if self.open[at][0] in same:
-                        self._close(at)
-                        break
-                    if self.open[at][0] in BLOCKS:
-                        break
+            for same in ("p", "li") if tag == "li" else ("p",):
+                if self.nearest and self.open[self.nearest[-1]][0] == same:
+                    self.close(self.nearest[-1])
         if tag in VOID:
             return
         names = [tag]
-        for key, value in attrs:
+        for key, value in attributes:
             if key in ("class", "id", "role") and value:
                 names += [f".{w}" for w in [value.lower(), *value.lower().split(), *_NAME.findall(value.lower())]]
+        if tag in BLOCKS:
+            self.nearest.append(len(self.open))
         self.open.append((tag, " ".join(dict.fromkeys(n.replace(" ", "_") for n in names))))
-        self.links += tag == "a"
+        self.count[tag] += 1
         self.silent += tag in SILENT
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
+    def end(self, tag: str):
         if tag in BLOCKS:
-            self._end_block()
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][0] == tag:
-                self._close(at)
-                return
-
-    def parse_marked_section(self, i, report=1):
-        # as in browsers: a section of foreign markup is text, any other "<![" a comment up to the next ">"
-        if self.rawdata.startswith("<![CDATA[", i) and any(tag in FOREIGN for tag, _ in self.open):
-            end = self.rawdata.find("]]>", i)
-            if end >= 0:
-                self.handle_data(self.rawdata[i + 9:end])
-                return end + 3
-        return self.parse_bogus_comment(i, report)
-
-    def handle_data(self, data):
-        if not self.silent:
+            self.end_block()
+        if self.count[tag]:
+            at = len(self.open) - 1
+            while self.open[at][0] != tag:
+                at -= 1
+            self.close(at)
+
+    def data(self, data: str):
+        if data and not self.silent:
             self.text.append(data)
-            if self.links:
+            if self.count["a"]:
                 self.linked += len(data)
 
+    def _start_tag(self, html: str, at: int) -> int:
+        """Reads the tag at ``at``; where to go on."""
+        name = _TAG.match(html, at + 1)
+        tag, i, attributes = name[0].lower(), name.end(), []
+        while True:
+            i = _BETWEEN.match(html, i).end()
+            if i >= len(html):
+                return i
+            if html[i] == ">":
+                break
+            m = _ATTRIBUTE.match(html, i)
+            key, value, i = m[1], "", m.end()
+            if m.end() > m.end(1):
+                if html[i:i + 1] in ("'", '"') and i < len(html):
+                    to = html.find(html[i], i + 1)
+                    if to < 0:
+                        return len(html)
+                    value, i = html[i + 1:to], to + 1
+                else:
+                    value = _PLAIN.match(html, i)[0]
+                    i += len(value)
+            attributes.append((key.lower(), unescape(value)))
+        self.begin(tag, attributes)
+        if html[i - 1] == "/":
+            if tag not in VOID:
+                self.end(tag)
+        elif tag in _RAW:
+            stop = _RAW[tag].search(html, i)
+            return stop.start() if stop else len(html)
+        return i + 1
+
+    def read(self, html: str):
+        def after(sign: str, i: int) -> int:
+            to = html.find(sign, i)
+            return to + len(sign) if to >= 0 else len(html)
+
+        at = 0
+        while at < len(html):
+            to = html.find("<", at)
+            if to < 0:
+                to = len(html)
+            if to > at:
+                self.data(unescape(html[at:to]))
+            at = to
+            if at >= len(html):
+                break
+            if _TAG.match(html, at + 1):
+                at = self._start_tag(html, at)
+            elif html.startswith("</", at):
+                name = _TAG.match(html, at + 2)
+                stop = after(">", at + 2)
+                if name and html[stop - 1] == ">":
+                    self.end(name[0].lower())
+                at = stop
+            elif html.startswith("<!--", at):
+                short = _SHORT.match(html, at + 4)
+                at = short.end() if short else after("-->", at + 4)
+            elif html.startswith("<![CDATA[", at) and any(self.count[t] for t in FOREIGN):
+                # a section of foreign markup is text, any other "<!" a comment up to the next ">"
+                stop = html.find("]]>", at)
+                if stop < 0:
+                    stop = len(html)
+                self.data(html[at + 9:stop])
+                at = stop + 3
+            elif html[at + 1:at + 2] in ("!", "?") and at + 1 < len(html):
+                at = after(">", at + 2)
+            else:
+                self.data("<")
+                at += 1
+        self.end_block()
+
 
 def blocks(html: str | None) -> list[tuple[str, str, int]]:
     """(path, text, characters of link text) of the leaf blocks, in page order."""
-    parser = _Blocks()
-    parser.feed(html or "")
-    parser.close()
-    parser._end_block()
-    return parser.blocks
+    reader = _Blocks()
+    reader.read(html or "")
+    return reader.blocks
 
 
-NUMBERS = 8
+NUMBERS = 14
 DIM = PATH_DIM + WORD_DIM + NUMBERS
 _paths: dict[str, np.ndarray] = {}
 
@@ -177,6 +258,22 @@ def _path_vector(path: str) -> np.ndarray:
     return have
 
 
+@lru_cache(20_000)
+def _known(path: str) -> tuple[float, float]:
+    meaning = _meaning(path)
+    return 1.0 * (meaning == 1), 1.0 * (meaning == 0)
+
+
+@lru_cache(20_000)
+def _holder(path: str) -> str:
+    """The path without its innermost element."""
+    tokens = path.split()
+    at = len(tokens) - 1
+    while at > 0 and tokens[at].startswith("."):
+        at -= 1
+    return " ".join(tokens[:max(at, 0)])
+
+
 def vectors(page: list[tuple[str, str, int]]) -> np.ndarray:
     """One row per block."""
     out = np.zeros((len(page), DIM))
@@ -189,11 +286,19 @@ def vectors(page: list[tuple[str, str, int]]) -> np.ndarray:
     words = out[:, PATH_DIM:PATH_DIM + WORD_DIM]
     words /= np.maximum(1.0, np.sqrt((words ** 2).sum(axis=1, keepdims=True)))
     n = len(page)
+    # where the page's running text lies, and what the names of elements mean
+    held: Counter = Counter()
+    holders = [_holder(path) for path, _, _ in page]
+    for holder, (_, text, linked) in zip(holders, page):
+        held[holder] += len(text) - linked
+    number = Counter(holders)
+    most, whole = max(held.values(), default=0) or 1, sum(held.values()) or 1
     for i, (path, text, linked) in enumerate(page):
         out[i, :PATH_DIM] = _path_vector(path) / 3
         size = len(text)
         out[i, PATH_DIM + WORD_DIM:] = (
-            np.log1p(size) / 5, linked / size, text[-1] in ".!?…", text.count(" ") > 8, i / n, n / 50, text.count(".") / size * 20, 1.0)
+            np.log1p(size) / 5, linked / size, text[-1] in ".!?…", text.count(" ") > 8, i / n, n / 50, text.count(".") / size * 20, 1.0,
+            held[holders[i]] / whole, held[holders[i]] / most, held[holders[i]] == most, np.log1p(held[holders[i]] / number[holders[i]]) / 5, *_known(path))
     return out
 
 
@@ -321,22 +426,34 @@ def _meaning(path: str) -> int | None:
     return None
 
 
+def _strange(rng: random.Random) -> str:
+    """A name that says nothing."""
+    return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(2, 9)))
+
+
 def _varied(page: list[tuple[str, str, int]], pool: list[str], rng: random.Random) -> tuple[list, list]:
-    """A page with its main text in another container and other blocks put in."""
-    main = rng.choice(["", "", *[f"div .{n}" for n in MAIN_NAMES], "main", "section", "article", "div"])
+    """A page with its main text in another container and other blocks put in;
+    names are usual ones, strange ones or missing, and in half of the pages the
+    letters are exchanged, so that words say nothing."""
+    main = rng.choice([rng.choice([f"div .{n}" for n in MAIN_NAMES] + ["main", "article"]), rng.choice(["", "div", "section"]),
+                       f"{rng.choice(['div', 'section'])} .{_strange(rng)}"])
     out, labels = [], []
 
     def other(n: int, inside: str):
-        kind = rng.choice(list(OTHER_NAMES))
+        kind = rng.choice([*OTHER_NAMES, "comment", "note"])
         name = rng.choice(OTHER_NAMES[kind].split())
         tag = {"menu": "nav", "head": "header", "foot": "footer", "side": "aside", "form": "form"}.get(kind, "div")
         holder = rng.choice([f"{tag} .{name}", f"div .{name}", f"section .{name}", tag if tag != "div" else f"div .{name}"])
-        leaf = {"menu": "ul li a", "form": "label", "comment": "p"}.get(kind, rng.choice(["p", "div", "ul li a", "span", "h3"]))
+        if rng.random() < 0.55:
+            holder = f"{rng.choice(['div', 'section', 'ul', 'div div'])} .{_strange(rng)}"
+        leaf = {"menu": "ul li a", "form": "label", "comment": "p"}.get(kind, rng.choice(["p", "p", "div", "ul li a", "span", "h3"]))
         for _ in range(n):
             words = rng.choice(pool).split()
             short = kind in ("menu", "head", "form", "share") or leaf == "ul li a"
             at = rng.randrange(len(words))
-            text = " ".join(words[at:at + (rng.randint(1, 4) if short else rng.randint(3, 80))]) or "x"
+            text = " ".join(words[at:at + (rng.randint(1, 4) if short else rng.choice([rng.randint(3, 20), rng.randint(3, 60)]))]) or "x"
+            if not short and rng.random() < 0.7:
+                text = text[0].upper() + text[1:] + ("" if text[-1] in ".!?" else rng.choice("...!?"))
             path = " ".join(x for x in (inside, holder, leaf) if x)
             out.append((path, text, len(text) if "a" in leaf.split() else 0))
             labels.append(0)
@@ -347,17 +464,38 @@ def _varied(page: list[tuple[str, str, int]], pool: list[str], rng: random.Rando
         label = _meaning(path)
         if label is None:
             continue
-        if label and main:
-            path = re.sub(r"\b(article|main)\b(?! \.)", main, path)
+        if label:
+            tokens = path.split()
+            at = next(k for k, t in enumerate(tokens) if t in ("article", "main") or t[0] == "." and t[1:] in MAIN_NAMES)
+            at -= tokens[at][0] == "."
+            path = " ".join(x for x in (*tokens[:at], main, *[t for t in tokens[at + 1:] if t[0] != "." and t not in ("article", "main")]) if x)
         out.append((path, text, linked))
         labels.append(label)
-        if label and rng.random() < 0.05:
+        if label and rng.random() < 0.03:
             other(rng.randint(1, 3), path.rpartition(" ")[0])
     for _ in range(rng.randint(0, 3)):
         other(rng.randint(1, 6), "html body")
+    if rng.random() < 0.5:
+        letters = "abcdefghijklmnopqrstuvwxyz"
+        other_letters = "".join(rng.sample(letters, 26))
+        swap = str.maketrans(letters + letters.upper(), other_letters + other_letters.upper())
+        out = [(path, text.translate(swap), linked) for path, text, linked in out]
     return out, labels
 
 
+def _learnt(htmls: list[str]) -> dict[str, np.ndarray]:
+    """The network that the pages teach, each as it is and varied."""
+    read = [p for p in map(blocks, htmls) if p]
+    pool = [t for p in read for _, t, _ in p] or ["x"]
+    rng, made = random.Random(11), []
+    for p in read:
+        plain = [(b, y) for b in p if (y := _meaning(b[0])) is not None]
+        made.append(([b for b, _ in plain], [y for _, y in plain]))
+        made += [_varied(p, pool, rng) for _ in range(VARIED)]
+    made = [(vectors(b), np.array(y, float)) for b, y in made if b]
+    return fit(made) if made else _start()
+
+
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", most: int = TRAIN_PAGES) -> dict[str, np.ndarray]:
     """Network from at most ``most`` pages, one of every id. One task learns from the bounded
     sample; what it returns has a fixed size."""
@@ -367,15 +505,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", mos
 
     def learn(batches):
         rows = sorted((r, h) for b in batches for h, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if h)
-        read = [p for p in (blocks(h) for _, h in rows) if p]
-        pool = [t for p in read for _, t, _ in p] or ["x"]
-        rng, made = random.Random(11), []
-        for p in read:
-            plain = [(b, y) for b in p if (y := _meaning(b[0])) is not None]
-            made.append(([b for b, _ in plain], [y for _, y in plain]))
-            made += [_varied(p, pool, rng) for _ in range(2)]
-        made = [(vectors(b), np.array(y, float)) for b, y in made if b]
-        net = fit(made) if made else _start()
+        net = _learnt([h for _, h in rows])
         yield pa.RecordBatch.from_arrays([pa.array(list(net)), pa.array([v.astype("<f8").tobytes() for v in net.values()], pa.binary())], names=["k", "v"])
 
     shapes = {k: v.shape for k, v in _start().items()}
