@@ -161,6 +161,8 @@ class WordBpe:
             last[end], size[end] = token, k
         out = []
         while n:
+            if size[n] <= 0:
+                raise ValueError(f"the vocabulary has no tokens for {s[:40]!r}")
             out.append(last[n])
             n -= size[n]
         out.reverse()
