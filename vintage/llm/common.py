@@ -96,6 +96,25 @@ def one_row(rows: DataFrame, ids: DataFrame, value: str) -> DataFrame:
             .select("id", f"one.{value}"))
 
 
+#: Longs of the bit table that :func:`few_others` broadcasts, at most.
+FILTER = 1 << 18
+
+
+def few_others(rows: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
+    """The ``rows`` whose id may occur in ``ids``: all that do, and those few
+    others whose hash has the same bit, for a join on the id that follows.
+    Broadcast is a table of bits, of ``FILTER`` longs at most whatever the
+    input holds, so rows that the join has no use for stay where they are."""
+    def place(df: DataFrame) -> tuple[Column, Column]:
+        bit = F.pmod(F.xxhash64(df[id_col]), F.lit(64 * FILTER))
+        return F.floor(bit / 64), (bit % 64).cast("int")
+
+    long, bit = place(ids)
+    bits = ids.groupBy(long.alias("long")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit)).alias("bits"))
+    long, bit = place(rows)
+    return rows.join(F.broadcast(bits), (long == bits["long"]) & (F.getbit(bits["bits"], bit) == 1), "left_semi")
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text``; empty for null and for no words."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(WS))

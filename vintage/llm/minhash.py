@@ -34,11 +34,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.llm import graph
-from vintage.llm.common import dropped, ship, written
+from vintage.llm.common import dropped, few_others, ship, written
 from vintage.llm.textbatch import U, grams, hashed, mix, prefix, slices, spans
 
 CHUNKS, SYMBOLS, BITS, ERRORS = 8, 5, 12, 1
@@ -84,6 +84,8 @@ def _signature(s: np.ndarray) -> np.ndarray:
 
 
 _SIG = [f"c{i}" for i in range(CHUNKS)]
+#: Bits of a key below its slot.
+_SLOT = BITS * (SYMBOLS - 1)
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 2) -> DataFrame:
@@ -117,11 +119,24 @@ def _name(id_col: str, text_col: str) -> Column:
 
 
 def _keys(classes: DataFrame) -> DataFrame:
-    """(slot, value, node): every chunk under the keys that leave one symbol out."""
-    low = (1 << BITS) - 1
-    slots = [F.struct(F.lit(c * SYMBOLS + v).alias("slot"), F.col(_SIG[c]).bitwiseAND(F.lit(~(low << (BITS * v)))).alias("value"))
-             for c in range(CHUNKS) for v in range(SYMBOLS)]
-    return classes.select("node", F.explode(F.array(*slots)).alias("k")).select("k.slot", "k.value", "node")
+    """(key, node): every chunk under the keys that leave one symbol out. A key
+    is one number: the place left out (its slot) above ``_SLOT`` bits that hold
+    the other symbols of the chunk."""
+    def key(c: int, v: int) -> Column:
+        low = F.col(_SIG[c]).bitwiseAND(F.lit((1 << (BITS * v)) - 1))
+        high = F.shiftleft(F.shiftright(F.col(_SIG[c]), BITS * (v + 1)), BITS * v)
+        return high.bitwiseOR(low).bitwiseOR(F.lit((c * SYMBOLS + v) << _SLOT))
+
+    return classes.select(F.explode(F.array(*[key(c, v) for c in range(CHUNKS) for v in range(SYMBOLS)])).alias("key"), "node")
+
+
+def _mixed(members: DataFrame, value: str) -> DataFrame:
+    """Members of the keys that hold two or more of ``value``, with the number of
+    members (n_met). Rows move once, to their key; a key's rows are read in turn."""
+    key = Window.partitionBy("key")
+    lo, hi = F.min(value).over(key), F.max(value).over(key)
+    return (members.withColumns({"lo": lo, "hi": hi, "n_met": F.count(F.lit(1)).over(key)})
+            .filter("lo < hi").drop("lo", "hi"))
 
 
 def _distance(x: str, y: str) -> Column:
@@ -172,13 +187,12 @@ def _crowded(members: DataFrame, classes: DataFrame, texts: DataFrame, shingle:
     blocks = F.ceil(F.col("n_met") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     visits = F.when(block + 1 < blocks, F.sequence(block + 1, blocks - 1)).otherwise(F.array().cast("array<int>"))
-    places = members.withColumn("place", F.explode(F.concat(F.array(F.struct(block.alias("block"), F.lit(0).alias("visits"))), F.transform(
+    places = members.withColumn("slot", F.shiftright("key", _SLOT).cast("int")).withColumn("place", F.explode(F.concat(F.array(F.struct(block.alias("block"), F.lit(0).alias("visits"))), F.transform(
         visits, lambda b: F.struct(b.alias("block"), F.lit(1).alias("visits"))))))
-    key = ["slot", "value", "block"]
-    ids = members.select("node").distinct()
-    rows = (places.select("slot", "value", "place.block", "place.visits", "node", "component")
-            .join(classes.join(ids, "node", "left_semi").select("node", *_SIG), "node")
-            .join(texts.join(ids, "node", "left_semi"), "node"))
+    key = ["slot", "key", "block"]
+    rows = (places.select("slot", "key", "place.block", "place.visits", "node", "component")
+            .join(few_others(classes, members, "node").select("node", *_SIG), "node")
+            .join(few_others(texts, members, "node"), "node"))
     rows = rows.select(*key, "visits", "node", "component", *_SIG, "text").repartition(*key).sortWithinPartitions(*key, "visits", "node")
 
     def run(batches):
@@ -248,33 +262,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(rows.filter("n_shingles > 0").groupBy("d1", "d2").agg(
         F.min("doc_id").alias("id"), F.min("name").alias("node"), F.max("n_shingles").alias("n_shingles"), *[F.max(c).alias(c) for c in _SIG]))
     texts = docs.select(_name(id_col, text_col).alias("node"), F.col(text_col).alias("text"))
-    shared = (_keys(classes).groupBy("slot", "value").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count(F.lit(1)).alias("n_met"))
-              .filter("lo < hi").select("slot", "value", "n_met"))
-    pairs_met = written(_keys(classes).join(shared, ["slot", "value"]).select("slot", "value", "node", "n_met"))
+    pairs_met = written(_mixed(_keys(classes), "node"))
     # the text that meets most others under all its keys heads each of them:
     # of a text and its altered copies that is the text they all come from
     popular = pairs_met.groupBy("node").agg(F.struct(F.sum("n_met").alias("n_met"), (-F.col("node")).alias("id")).alias("rank"))
-    ranked = pairs_met.select("slot", "value", "node").join(popular, "node")
-    heads = ranked.groupBy("slot", "value").agg((-F.max("rank")["id"]).alias("head"))
-    met = written(pairs_met.select("slot", "value", "node").join(heads, ["slot", "value"]))
+    ranked = pairs_met.select("key", "node").join(popular, "node")
+    heads = ranked.groupBy("key").agg((-F.max("rank")["id"]).alias("head"))
+    met = written(pairs_met.select("key", "node").join(heads, "key"))
     dropped(pairs_met)
 
-    star = written(_close(met.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), classes, percent))
+    star = written(_close(met.filter("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(),
+                          few_others(classes, met, "node"), percent))
     links = written(confirm(star, _needed(texts, star), shingle, percent))
     first = written(graph.components(links))
 
-    placed = met.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (placed.groupBy("slot", "value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n_met"))
-             .filter("lo < hi").select("slot", "value", "n_met"))
-    loose = written(placed.select("slot", "value", "node", "component").join(mixed, ["slot", "value"]))
+    placed = met.join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    loose = written(_mixed(placed, "component"))
     dropped(met, first)
     crowd = _crowded(loose.filter(F.col("n_met") > FEW), classes, texts, shingle, percent)
     rest = loose.filter(F.col("n_met") <= FEW)
-    other = rest.select("slot", "value", F.col("node").alias("b"), F.col("component").alias("b_component"))
-    pairs = (rest.join(other, ["slot", "value"]).filter("node < b and component <> b_component")
+    other = rest.select("key", F.col("node").alias("b"), F.col("component").alias("b_component"))
+    pairs = (rest.join(other, "key").filter("node < b and component <> b_component")
              .select(F.col("node").alias("a"), "b").distinct())
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    late = written(_close(pairs, classes, percent).join(tried, ["a", "b"], "left_anti"))
+    late = written(_close(pairs, few_others(classes, loose, "node"), percent).join(tried, ["a", "b"], "left_anti"))
     dropped(star)
     whole = graph.components(links.union(confirm(late, _needed(texts, late), shingle, percent)).union(crowd))
     dropped(links, late, loose)
@@ -286,7 +297,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the ids that occur in ``pairs``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return texts.join(ids, "node", "left_semi")
+def _needed(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The rows of the nodes that occur in ``pairs``, and few others."""
+    return few_others(rows, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
