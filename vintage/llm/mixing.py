@@ -70,20 +70,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
                        word_count(F.col(text_col)).alias("size"),
                        F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
                        *([F.struct(*docs.columns).alias("row")] if carry else []))
-    base = base.withColumn("cell", F.substring("key", 1, digits))
+    # a source as a string that is never null and a flag: the sums inside a range
+    # and the join with its offset then share one move of the rows
+    base = base.withColumns({"cell": F.substring("key", 1, digits), "no_source": F.col("source").isNull(),
+                             "some_source": F.coalesce(F.col("source").cast("string"), F.lit(""))})
     # without texts the table is a few dozen bytes a row: keep it, so that
     # words are counted once
     slim = base.drop("row") if carry else (base := checkpointed(base))
-    cells = slim.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
+    group = ["some_source", "no_source", "cell"]
+    cells = slim.groupBy("source", *group).agg(F.sum("size").alias("cell_size"))
     goal = targets(cells.select("source", F.col("cell_size").alias("size")), weights, share, most)
     in_order = Window.partitionBy("source").orderBy("cell")
     cells = cells.withColumn("ahead", F.sum("cell_size").over(in_order) - F.col("cell_size"))
-    plan = (cells.join(goal, cells["source"].eqNullSafe(goal["source"])).drop(goal["source"])
-            .withColumnRenamed("source", "c_source").withColumnRenamed("cell", "c_cell"))
+    plan = cells.join(goal, cells["source"].eqNullSafe(goal["source"])).select(*group, "ahead", "source_size", "target")
     placed = base.withColumn("within", F.sum("size").over(
-        Window.partitionBy("source", "cell").orderBy("key", "doc_id", "size")
+        Window.partitionBy(*group).orderBy("key", "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size"))
-    placed = placed.join(plan, placed["source"].eqNullSafe(plan["c_source"]) & (placed["cell"] == plan["c_cell"]))
+    placed = placed.join(plan, group)
     words = F.floor("target")
     passes = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(F.lit(0))
     rest = words - passes * F.col("source_size")
